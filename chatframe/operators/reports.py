@@ -71,3 +71,27 @@ def cut_fields(df: DataFrame, cols: Sequence[str], n: int = 200) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, cut(c, n))
     return df
+
+
+def bertscore_report_table(summary: DataFrame, delta_label: str = "delta") -> DataFrame:
+    """M1: 4-decimal P/R/F1 per variant and a signed delta row, labelled."""
+    labels = F.create_map(*[x for k, v in VARIANT_LABELS.items() for x in (F.lit(k), F.lit(v))])
+    is_delta = F.col("variant") == delta_label
+    label = F.when(is_delta, F.lit(DELTA_LABEL)).otherwise(labels[F.col("variant")])
+    cols = [F.when(is_delta, format_fixed(c, 4, signed=True)).otherwise(format_fixed(c, 4)).alias(c)
+            for c in ("precision", "recall", "f1")]
+    return summary.select(label.alias("label"), *cols)
+
+
+def judge_report_table(wide: DataFrame, dims: Sequence[str] = ("correctness", "completeness")) -> DataFrame:
+    """M2: one line per dimension (localised label, 2 decimals, signed diff)
+    and the total line."""
+    rows = []
+    for d in dims:
+        rows.append(F.struct(F.lit(DIMENSION_LABELS.get(d, d)).alias("label"),
+                             F.col(f"base_{d}").alias("base"), F.col(f"lora_{d}").alias("lora")))
+    rows.append(F.struct(F.lit(TOTAL_LABEL).alias("label"), F.col("base_total").alias("base"),
+                         F.col("lora_total").alias("lora")))
+    long = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return long.select("label", format_fixed("base", 2).alias("base"), format_fixed("lora", 2).alias("lora"),
+                       format_fixed(F.col("lora") - F.col("base"), 2, signed=True).alias("diff"))

@@ -299,3 +299,120 @@ FROM answers""", "answers"))
 def side_by_side(spark, sf_dir):
     from chatframe.operators.reports import side_by_side as sbs
     return sbs(fx.answers(spark, sf_dir))
+
+
+# -------------------------------------------------------------- bertscore ---
+def pair_scores(spark, sf_dir):
+    from chatframe.operators.bertscore import bertscore
+    return bertscore(fx.token_pairs(spark, sf_dir))
+
+
+_BS_SQL = """
+c AS (SELECT pair_id, side AS variant, tok_id, CAST(vec AS DOUBLE[]) AS vec FROM token_pairs WHERE side <> 'ref'),
+r AS (SELECT pair_id, tok_id, CAST(vec AS DOUBLE[]) AS vec FROM token_pairs WHERE side = 'ref'),
+s AS (SELECT c.pair_id, c.variant, c.tok_id AS ct, r.tok_id AS rt, list_cosine_similarity(c.vec, r.vec) AS sim
+      FROM c JOIN r ON c.pair_id = r.pair_id),
+pp AS (SELECT pair_id, variant, avg(m) AS precision FROM
+         (SELECT pair_id, variant, ct, max(sim) AS m FROM s GROUP BY pair_id, variant, ct) x GROUP BY pair_id, variant),
+rr AS (SELECT pair_id, variant, avg(m) AS recall FROM
+         (SELECT pair_id, variant, rt, max(sim) AS m FROM s GROUP BY pair_id, variant, rt) x GROUP BY pair_id, variant),
+scores AS (SELECT pp.pair_id, pp.variant, precision, recall,
+           CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END AS f1
+           FROM pp JOIN rr ON pp.pair_id = rr.pair_id AND pp.variant = rr.variant),
+diffs AS (SELECT pair_id, max(CASE WHEN variant = 'base' THEN f1 END) AS base_f1,
+                 max(CASE WHEN variant = 'lora' THEN f1 END) AS lora_f1
+          FROM scores GROUP BY pair_id),
+d AS (SELECT *, lora_f1 - base_f1 AS f1_diff FROM diffs)"""
+
+
+def _bs(body: str, *views: str) -> str:
+    return q.with_views(body, "token_pairs", *views, extra=[("bs_dummy", "SELECT 1")]).replace(
+        "bs_dummy AS (\nSELECT 1\n)", _BS_SQL.strip())
+
+
+@register("bertscore_pairs", _bs("""
+SELECT pair_id, variant, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1
+FROM scores"""))
+def bertscore_pairs(spark, sf_dir):
+    s = pair_scores(spark, sf_dir)
+    return s.select("pair_id", "variant", r6("precision").alias("precision"),
+                    r6("recall").alias("recall"), r6("f1").alias("f1"))
+
+
+@register("bertscore_summary", _bs("""
+SELECT variant, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM (
+  SELECT variant, avg(precision) AS precision, avg(recall) AS recall, avg(f1) AS f1 FROM scores GROUP BY variant
+  UNION ALL
+  SELECT 'delta', avg(CASE WHEN variant = 'lora' THEN precision END) - avg(CASE WHEN variant = 'base' THEN precision END),
+         avg(CASE WHEN variant = 'lora' THEN recall END) - avg(CASE WHEN variant = 'base' THEN recall END),
+         avg(CASE WHEN variant = 'lora' THEN f1 END) - avg(CASE WHEN variant = 'base' THEN f1 END)
+  FROM scores) x"""))
+def bertscore_summary(spark, sf_dir):
+    from chatframe.operators.bertscore import summary
+    s = summary(pair_scores(spark, sf_dir))
+    return s.select("variant", r6("precision").alias("precision"), r6("recall").alias("recall"),
+                    r6("f1").alias("f1"))
+
+
+def _ranked_sql(desc: bool) -> str:
+    o = "DESC" if desc else "ASC"
+    return _bs(f"""
+SELECT CAST(row_number() OVER (ORDER BY f1_diff {o}, pair_id) AS INT) AS rank, pair_id,
+       round(base_f1, 6) AS base_f1, round(lora_f1, 6) AS lora_f1, round(f1_diff, 6) AS f1_diff
+FROM (SELECT * FROM d ORDER BY f1_diff {o}, pair_id LIMIT 3) t""")
+
+
+def _ranked(spark, sf_dir, desc: bool):
+    from chatframe.operators.bertscore import f1_diffs
+    from chatframe.operators.reports import top_k
+    t = top_k(f1_diffs(pair_scores(spark, sf_dir)), "f1_diff", 3, descending=desc)
+    return t.select(F.col("rank").cast("int").alias("rank"), "pair_id",
+                    r6("base_f1").alias("base_f1"), r6("lora_f1").alias("lora_f1"),
+                    r6("f1_diff").alias("f1_diff"))
+
+
+@register("bertscore_top", _ranked_sql(True))
+def bertscore_top(spark, sf_dir):
+    return _ranked(spark, sf_dir, True)
+
+
+@register("bertscore_bottom", _ranked_sql(False))
+def bertscore_bottom(spark, sf_dir):
+    return _ranked(spark, sf_dir, False)
+
+
+@register("bertscore_details", _bs("""
+SELECT a.pair_id, a.question, left(a.reference, 200) AS reference, left(a.base_answer, 200) AS base_pred,
+       left(a.lora_answer, 200) AS lora_pred, round(d.base_f1, 6) AS base_f1, round(d.lora_f1, 6) AS lora_f1,
+       round(d.f1_diff, 6) AS f1_diff
+FROM (SELECT *, row_number() OVER (ORDER BY sample_id) - 1 AS pair_id FROM answers) a
+JOIN d ON a.pair_id = d.pair_id""", "answers"))
+def bertscore_details(spark, sf_dir):
+    from chatframe.operators.bertscore import f1_diffs
+    from chatframe.operators.sampling import number_rows
+    a = number_rows(fx.answers(spark, sf_dir), "sample_id", name="pair_id", start=0)
+    d = f1_diffs(pair_scores(spark, sf_dir))
+    j = a.join(d, "pair_id")
+    return j.select("pair_id", "question", tx.cut("reference", 200).alias("reference"),
+                    tx.cut("base_answer", 200).alias("base_pred"),
+                    tx.cut("lora_answer", 200).alias("lora_pred"),
+                    r6("base_f1").alias("base_f1"), r6("lora_f1").alias("lora_f1"),
+                    r6("f1_diff").alias("f1_diff"))
+
+
+@register("bertscore_report", _bs("""
+SELECT CASE variant WHEN 'base' THEN 'Base Model' WHEN 'lora' THEN 'LoRA Model' ELSE '提升幅度' END AS label,
+       CASE WHEN variant = 'delta' THEN printf('%+.4f', precision) ELSE printf('%.4f', precision) END AS precision,
+       CASE WHEN variant = 'delta' THEN printf('%+.4f', recall) ELSE printf('%.4f', recall) END AS recall,
+       CASE WHEN variant = 'delta' THEN printf('%+.4f', f1) ELSE printf('%.4f', f1) END AS f1
+FROM (
+  SELECT variant, avg(precision) AS precision, avg(recall) AS recall, avg(f1) AS f1 FROM scores GROUP BY variant
+  UNION ALL
+  SELECT 'delta', avg(CASE WHEN variant = 'lora' THEN precision END) - avg(CASE WHEN variant = 'base' THEN precision END),
+         avg(CASE WHEN variant = 'lora' THEN recall END) - avg(CASE WHEN variant = 'base' THEN recall END),
+         avg(CASE WHEN variant = 'lora' THEN f1 END) - avg(CASE WHEN variant = 'base' THEN f1 END)
+  FROM scores) x"""))
+def bertscore_report(spark, sf_dir):
+    from chatframe.operators.bertscore import summary
+    from chatframe.operators.reports import bertscore_report_table
+    return bertscore_report_table(summary(pair_scores(spark, sf_dir)))
