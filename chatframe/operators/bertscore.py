@@ -4,28 +4,62 @@ P = mean over candidate tokens of the best cosine against the reference
 tokens, R = the same from the reference side, F1 = 2PR / (P + R); no idf
 weighting, no baseline rescaling.  An empty side, or P + R = 0, scores 0.
 
-Two physical forms share the same per-block math (``block_scores``):
+Two physical forms:
 
 * row-local (``bertscore_local``): both token lists of a pair in one row,
-  higher-order functions only, no shuffle;
+  higher-order functions only, no shuffle.  Spark runs lambdas interpreted,
+  so this suits short texts (a few dozen tokens);
 * blocked relational (``bertscore``): tokens as rows.  Each side of a pair is
   cut into hash blocks of at most ~``block`` tokens; every candidate block
   meets every reference block of the same pair exactly once, so a pair with
-  millions of tokens is spread over many tasks and the all-pairs similarity
-  is computed once per (candidate, reference) token pair and never
-  materialised as rows.  Per-token maxima are then combined by partial
-  aggregation.  Typical pairs fit one block per side, which degenerates to
-  the row-local form.
+  millions of tokens is spread over many tasks.  Inside a block pair the
+  cosine matrix is one numpy matmul in an Arrow-batched ``mapInPandas``
+  (computed once, read row- and column-wise), never materialised as rows.
+  Per-token maxima across blocks are then combined by partial aggregation.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-DEFAULT_BLOCK = 256
+from pyspark.sql import types as T
+
+DEFAULT_BLOCK = 512
+
+BLOCK_OUT = T.StructType([
+    T.StructField("pair_id", T.LongType()), T.StructField("variant", T.StringType()),
+    T.StructField("c_ids", T.ArrayType(T.LongType())), T.StructField("c_m", T.ArrayType(T.DoubleType())),
+    T.StructField("r_ids", T.ArrayType(T.LongType())), T.StructField("r_m", T.ArrayType(T.DoubleType())),
+])
+
+
+def _unit(rows) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.fromiter((r["tok_id"] for r in rows), dtype=np.int64, count=len(rows))
+    m = np.vstack([np.asarray(r["vec"], dtype=np.float64) for r in rows])
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return ids, np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
+
+
+def _block_maxima(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per block pair: cosine matrix once (one matmul), best match per
+    candidate token (row max) and per reference token (column max)."""
+    for pdf in batches:
+        out = {k: [] for k in ("pair_id", "variant", "c_ids", "c_m", "r_ids", "r_m")}
+        for pair_id, variant, cands, refs in zip(pdf["pair_id"], pdf["variant"], pdf["cands"], pdf["refs"]):
+            c_ids, c = _unit(cands)
+            r_ids, r = _unit(refs)
+            sim = c @ r.T
+            out["pair_id"].append(pair_id)
+            out["variant"].append(variant)
+            out["c_ids"].append(c_ids)
+            out["c_m"].append(sim.max(axis=1))
+            out["r_ids"].append(r_ids)
+            out["r_m"].append(sim.max(axis=0))
+        yield pd.DataFrame(out)
 
 
 def normalize(vec: Column) -> Column:
@@ -81,7 +115,7 @@ def bertscore(tokens: DataFrame, candidates: Sequence[str] = ("base", "lora"),
     Returns ``<pair_id, variant, precision, recall, f1>`` for every pair that
     has any token and every candidate variant (0 when a side is empty).
     """
-    t = tokens.select("pair_id", "side", "tok_id", normalize(F.col("vec")).alias("vec"))
+    t = tokens.select("pair_id", "side", "tok_id", F.col("vec").cast("array<float>").alias("vec"))
     counts = t.groupBy("pair_id", "side").agg(F.count(F.lit(1)).alias("n"))
     nblocks = counts.select("pair_id", "side",
                             F.greatest(F.ceil(F.col("n") / block), F.lit(1)).cast("int").alias("nb"))
@@ -104,13 +138,13 @@ def bertscore(tokens: DataFrame, candidates: Sequence[str] = ("base", "lora"),
             .groupBy("pair_id", "variant", "cb", "rb").agg(F.collect_list(tok).alias("refs")))
 
     pairs = cand.join(ref, ["pair_id", "variant", "cb", "rb"])
-    c_best, r_best = block_scores(F.col("cands"), F.col("refs"))
-    best = pairs.select("pair_id", "variant", c_best.alias("cb_m"), r_best.alias("rb_m"))
-    per_tok = (best.select("pair_id", "variant", F.lit("c").alias("role"), F.explode("cb_m").alias("x"))
-                   .unionByName(best.select("pair_id", "variant", F.lit("r").alias("role"),
-                                            F.explode("rb_m").alias("x")))
-                   .groupBy("pair_id", "variant", "role", F.col("x.tok_id").alias("tok_id"))
-                   .agg(F.max("x.m").alias("m")))
+    best = pairs.mapInPandas(_block_maxima, BLOCK_OUT)
+    def side(role: str, ids: str, m: str) -> DataFrame:
+        z = best.select("pair_id", "variant", F.explode(F.arrays_zip(ids, m)).alias("x"))
+        return z.select("pair_id", "variant", F.lit(role).alias("role"),
+                        F.col(f"x.{ids}").alias("tok_id"), F.col(f"x.{m}").alias("m"))
+    per_tok = side("c", "c_ids", "c_m").unionByName(side("r", "r_ids", "r_m"))
+    per_tok = per_tok.groupBy("pair_id", "variant", "role", "tok_id").agg(F.max("m").alias("m"))
     pr = per_tok.groupBy("pair_id", "variant").agg(
         F.avg(F.when(F.col("role") == "c", F.col("m"))).alias("precision"),
         F.avg(F.when(F.col("role") == "r", F.col("m"))).alias("recall"))

@@ -47,7 +47,7 @@ def assign_ab(df: DataFrame, seed: int = 42, key: str = "sample_id",
 def unfence(reply: Column | str) -> Column:
     """K4: strip, take the first fenced block, drop a leading ``json`` tag, strip."""
     s = py_strip(reply)
-    inner = F.element_at(F.split(s, FENCE, -1), 2)
+    inner = F.try_element_at(F.split(s, FENCE, -1), F.lit(2))
     inner = F.when(F.startswith(inner, F.lit("json")), F.substr(inner, F.lit(5))).otherwise(inner)
     return F.when(F.startswith(s, F.lit(FENCE)), py_strip(inner)).otherwise(s)
 
@@ -61,13 +61,6 @@ def decode_reply(text: Column | str) -> Column:
     return F.when(v.isNotNull() & one, F.try_variant_get(v, "$[0]", "variant"))
 
 
-def _score(doc: Column, model: str, dim: str) -> tuple[Column, Column, Column]:
-    """(present, value if numeric, is numeric) of ``doc.model.dim``."""
-    x = F.try_variant_get(doc, f"$.{model}.{dim}", "variant")
-    numeric = F.coalesce(F.schema_of_variant(x).rlike(_NUMERIC_VARIANT), F.lit(False))
-    return x.isNotNull(), F.when(numeric, F.try_variant_get(x, "$", "double")), numeric
-
-
 def score_replies(df: DataFrame, dims: Sequence[str] = SCORE_DIMS,
                   reply: str = "reply", call_error: str | None = "error",
                   atomic: bool = False) -> DataFrame:
@@ -76,50 +69,62 @@ def score_replies(df: DataFrame, dims: Sequence[str] = SCORE_DIMS,
     Adds ``error`` (closed code set or NULL) and ``base_<dim>`` /
     ``lora_<dim>`` doubles holding the values that count (prefix rule; with
     ``atomic=True`` only rows without error count).
-    """
-    doc = decode_reply(unfence(F.col(reply)))
-    has_a = F.try_variant_get(doc, "$.model_a", "variant").isNotNull()
-    has_b = F.try_variant_get(doc, "$.model_b", "variant").isNotNull()
-    base_is_a = F.col("base_is_a")
-
-    # reading order: base.d1, lora.d1, base.d2, lora.d2, ...
-    slots = []
-    for dim in dims:
-        for variant in ("base", "lora"):
-            pa, va, na = _score(doc, "model_a", dim)
-            pb, vb, nb = _score(doc, "model_b", dim)
-            is_a = base_is_a if variant == "base" else ~base_is_a
-            present = F.when(is_a, pa).otherwise(pb)
-            numeric = F.when(is_a, na).otherwise(nb)
-            value = F.when(is_a, va).otherwise(vb)
-            slots.append((f"{variant}_{dim}", present, numeric, value))
-
-    prior_ok = F.lit(True)
-    slot_error = F.lit(None).cast("string")
-    outs = []
-    for name, present, numeric, value in slots:
-        ok = present & numeric
-        outs.append((name, F.when(prior_ok & ok, value)))
-        slot_error = F.when(slot_error.isNull() & prior_ok & ~present, F.lit("missing_score")) \
-                      .when(slot_error.isNull() & prior_ok & ~numeric, F.lit("bad_score_type")) \
-                      .otherwise(slot_error)
-        prior_ok = prior_ok & ok
 
+    Built in stages of plain columns (the reply is parsed once; every later
+    step refers to columns, so the plan stays linear in the number of
+    dimensions and everything remains one narrow, codegen'd projection).
+    """
     call_failed = F.col(reply).isNull()
     if call_error is not None and call_error in df.columns:
         call_failed = call_failed | F.col(call_error).isNotNull()
-    error = (F.when(call_failed, F.lit("call_failed"))
-              .when(doc.isNull(), F.lit("bad_json"))
-              .when(~(has_a & has_b), F.lit("missing_model"))
+    df = df.withColumn("_failed", call_failed)
+    if call_error is not None and call_error in df.columns:
+        df = df.drop(call_error)
+    # K4 then K5, one column per step: each intermediate is computed once
+    d = (df
+           .withColumn("_s", py_strip(F.col(reply)))
+           .withColumn("_inner", F.try_element_at(F.split("_s", FENCE, -1), F.lit(2)))
+           .withColumn("_inner", F.when(F.startswith("_inner", F.lit("json")),
+                                        F.substr("_inner", F.lit(5))).otherwise(F.col("_inner")))
+           .withColumn("_body", F.when(F.startswith("_s", F.lit(FENCE)), py_strip("_inner"))
+                                 .otherwise(F.col("_s")))
+           .withColumn("_v", F.try_parse_json(F.concat(F.lit("["), F.col("_body"), F.lit("]"))))
+           .withColumn("_doc", F.when(F.try_variant_get("_v", "$[0]", "variant").isNotNull()
+                                      & F.try_variant_get("_v", "$[1]", "variant").isNull(),
+                                      F.try_variant_get("_v", "$[0]", "variant"))))
+    d = (d.withColumn("_base", F.when(F.col("base_is_a"),
+                                      F.try_variant_get("_doc", "$.model_a", "variant"))
+                                 .otherwise(F.try_variant_get("_doc", "$.model_b", "variant")))
+          .withColumn("_lora", F.when(F.col("base_is_a"),
+                                      F.try_variant_get("_doc", "$.model_b", "variant"))
+                                 .otherwise(F.try_variant_get("_doc", "$.model_a", "variant"))))
+    # reading order: base.d1, lora.d1, base.d2, lora.d2, ...
+    slots = [(f"{v}_{dim}", f"_{v}", dim) for dim in dims for v in ("base", "lora")]
+    for name, model, dim in slots:
+        d = d.withColumn(f"_x_{name}", F.try_variant_get(model, f"$.{dim}", "variant"))
+    for name, _, _ in slots:
+        x = F.col(f"_x_{name}")
+        d = d.withColumn(f"_ok_{name}", F.coalesce(F.schema_of_variant(x).rlike(_NUMERIC_VARIANT),
+                                                   F.lit(False)))
+    # first failing slot decides the code; values before it still count
+    slot_error = None
+    for name, _, _ in slots:
+        code = F.when(F.col(f"_x_{name}").isNull(), F.lit("missing_score")).otherwise(F.lit("bad_score_type"))
+        cond = ~F.col(f"_ok_{name}")
+        slot_error = F.when(cond, code) if slot_error is None else slot_error.when(cond, code)
+    error = (F.when(F.col("_failed"), F.lit("call_failed"))
+              .when(F.col("_doc").isNull(), F.lit("bad_json"))
+              .when(F.col("_base").isNull() | F.col("_lora").isNull(), F.lit("missing_model"))
               .otherwise(slot_error))
-    decoded_ok = ~call_failed & doc.isNotNull() & has_a & has_b
-
-    out = df.drop(*[c for c in ([call_error] if call_error else []) if c in df.columns])
-    out = out.withColumn("error", error)
-    for name, value in outs:
-        keep = decoded_ok & (F.col("error").isNull() if atomic else F.lit(True))
-        out = out.withColumn(name, F.when(keep, value))
-    return out
+    d = d.withColumn("error", error)
+    decoded = ~F.col("_failed") & F.col("_base").isNotNull() & F.col("_lora").isNotNull()
+    prior = decoded & (F.col("error").isNull() if atomic else F.lit(True))
+    outs = []
+    for name, _, _ in slots:
+        prior = prior & F.col(f"_ok_{name}")
+        outs.append(F.when(prior, F.try_variant_get(f"_x_{name}", "$", "double")).alias(name))
+    keep = [c for c in d.columns if not c.startswith("_")]
+    return d.select(*keep, *outs)
 
 
 def scoreboard_wide(scored: DataFrame, dims: Sequence[str] = SCORE_DIMS,

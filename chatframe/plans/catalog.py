@@ -416,3 +416,145 @@ def bertscore_report(spark, sf_dir):
     from chatframe.operators.bertscore import summary
     from chatframe.operators.reports import bertscore_report_table
     return bertscore_report_table(summary(pair_scores(spark, sf_dir)))
+
+
+# -------------------------------------------------------------- inference ---
+STUB_NEW_TOKENS = 16
+
+
+@register("generate_stub", q.with_views(f"""
+SELECT sample_id, 'base' AS variant, array_to_string(list_slice(w, 1, {STUB_NEW_TOKENS}), ' ') AS answer FROM p
+UNION ALL
+SELECT sample_id, 'lora' AS variant,
+       array_to_string(list_slice(w, greatest(len(w) - {STUB_NEW_TOKENS - 1}, 1), len(w)), ' ') AS answer FROM p""",
+    "sft", extra=[("p", f"SELECT sample_id, {q.words(_GEN_PROMPT)} AS w FROM sft")]))
+def generate_stub(spark, sf_dir):
+    from chatframe.operators.inference import EchoModel, generate_variants
+    s = fx.sft(spark, sf_dir).select(
+        "sample_id", render_chat(to_messages("system_user"), DEFAULT_TEMPLATE,
+                                 add_generation_prompt=True).alias("prompt"))
+    return generate_variants(s, {"base": EchoModel, "lora": lambda: EchoModel(tail=True)},
+                             max_new_tokens=STUB_NEW_TOKENS)
+
+
+@register("judge_stub", q.with_views(f"""
+SELECT sample_id, base_is_a, CAST(NULL AS VARCHAR) AS error,
+       CAST(CASE WHEN base_is_a THEN 1 + n % 10 ELSE 1 + (n // 100) % 10 END AS DOUBLE) AS base_correctness,
+       CAST(CASE WHEN base_is_a THEN 1 + (n // 100) % 10 ELSE 1 + n % 10 END AS DOUBLE) AS lora_correctness,
+       CAST(CASE WHEN base_is_a THEN 1 + (n // 10) % 10 ELSE 1 + (n // 7) % 10 END AS DOUBLE) AS base_completeness,
+       CAST(CASE WHEN base_is_a THEN 1 + (n // 7) % 10 ELSE 1 + (n // 10) % 10 END AS DOUBLE) AS lora_completeness
+FROM (SELECT sample_id, base_is_a, length({_JP}) AS n
+      FROM (SELECT *, CASE WHEN base_is_a THEN base_answer ELSE lora_answer END AS answer_a,
+                      CASE WHEN base_is_a THEN lora_answer ELSE base_answer END AS answer_b
+            FROM (SELECT *, substr(md5(concat('42:ab:', CAST(sample_id AS VARCHAR))), 1, 1) >= '8' AS base_is_a
+                  FROM answers) a) b) c""", "answers"))
+def judge_stub(spark, sf_dir):
+    from chatframe.functions.prompts import judge_messages
+    from chatframe.operators.inference import judge, length_judge
+    a = jd.assign_ab(fx.answers(spark, sf_dir), SEED)
+    calls = a.select("sample_id", "base_is_a",
+                     judge_messages(render_judge_prompt()).alias("messages"))
+    replies = judge(calls, length_judge, model="stand-in", min_interval_s=0.0,
+                    keep=("sample_id", "base_is_a"))
+    return jd.score_replies(replies).select(
+        "sample_id", "base_is_a", "error", "base_correctness", "lora_correctness",
+        "base_completeness", "lora_completeness")
+
+
+@register("judge_resume", q.with_views("""
+SELECT sample_id, question FROM answers a
+WHERE NOT EXISTS (SELECT 1 FROM judge_details j WHERE j.sample_id = a.sample_id AND j.error IS NULL)""",
+    "answers", "judge_details"))
+def judge_resume(spark, sf_dir):
+    from chatframe.operators.inference import materialize, pending
+    from chatframe.session import work_dir
+    # resume compares against the *stored* judgements (written once, read back)
+    done = materialize(judged(spark, sf_dir).select("sample_id", "error"), work_dir(spark, "judged"))
+    return pending(fx.answers(spark, sf_dir), done).select("sample_id", "question")
+
+
+_BT_WORDS = {c: q.words(c) for c in ("base_answer", "lora_answer", "reference")}
+
+
+@register("bertscore_text", q.with_views(f"""
+SELECT g.pair_id, g.variant, round(coalesce(p.precision, 0), 6) AS precision,
+       round(coalesce(rc.recall, 0), 6) AS recall,
+       round(CASE WHEN coalesce(p.precision, 0) + coalesce(rc.recall, 0) = 0 THEN 0
+                  ELSE 2 * coalesce(p.precision, 0) * coalesce(rc.recall, 0)
+                       / (coalesce(p.precision, 0) + coalesce(rc.recall, 0)) END, 6) AS f1
+FROM grid g
+LEFT JOIN p ON p.pair_id = g.pair_id AND p.variant = g.variant
+LEFT JOIN rc ON rc.pair_id = g.pair_id AND rc.variant = g.variant""", "answers", extra=[
+    ("toks", f"""SELECT sample_id AS pair_id, 'base' AS side, unnest({_BT_WORDS['base_answer']}) AS w FROM answers
+UNION ALL SELECT sample_id, 'lora', unnest({_BT_WORDS['lora_answer']}) FROM answers
+UNION ALL SELECT sample_id, 'ref', unnest({_BT_WORDS['reference']}) FROM answers"""),
+    ("bk", "SELECT pair_id, side, substr(md5(w), 1, 1) AS b FROM toks"),
+    ("refb", "SELECT DISTINCT pair_id, b FROM bk WHERE side = 'ref'"),
+    ("candb", "SELECT DISTINCT pair_id, side, b FROM bk WHERE side <> 'ref'"),
+    ("grid", "SELECT pair_id, variant FROM (SELECT DISTINCT pair_id FROM bk) x, (VALUES ('base'), ('lora')) v(variant)"),
+    ("has", "SELECT DISTINCT pair_id, side FROM bk WHERE side <> 'ref'"),
+    ("p", """SELECT c.pair_id, c.side AS variant, avg(CASE WHEN r.b IS NULL THEN 0.0 ELSE 1.0 END) AS precision
+FROM bk c LEFT JOIN refb r ON r.pair_id = c.pair_id AND r.b = c.b
+WHERE c.side <> 'ref' GROUP BY 1, 2"""),
+    ("rc", """SELECT r.pair_id, v.side AS variant, avg(CASE WHEN cb.b IS NULL THEN 0.0 ELSE 1.0 END) AS recall
+FROM bk r JOIN has v ON v.pair_id = r.pair_id
+LEFT JOIN candb cb ON cb.pair_id = r.pair_id AND cb.side = v.side AND cb.b = r.b
+WHERE r.side = 'ref' GROUP BY 1, 2""")]))
+def bertscore_text(spark, sf_dir):
+    from chatframe.operators.bertscore import bertscore
+    from chatframe.operators.inference import bucket_encoder, encode_tokens
+    a = fx.answers(spark, sf_dir)
+    texts = (a.select(F.col("sample_id").alias("pair_id"), F.lit("base").alias("side"),
+                      F.col("base_answer").alias("text"))
+              .unionByName(a.select(F.col("sample_id").alias("pair_id"), F.lit("lora").alias("side"),
+                                    F.col("lora_answer").alias("text")))
+              .unionByName(a.select(F.col("sample_id").alias("pair_id"), F.lit("ref").alias("side"),
+                                    F.col("reference").alias("text"))))
+    toks = encode_tokens(texts, bucket_encoder)
+    s = bertscore(toks)
+    return s.select("pair_id", "variant", r6("precision").alias("precision"),
+                    r6("recall").alias("recall"), r6("f1").alias("f1"))
+
+
+# ---------------------------------------------------------------- reports ---
+@register("judge_report", q.with_views("""
+SELECT label, printf('%.2f', base) AS base, printf('%.2f', lora) AS lora, printf('%+.2f', lora - base) AS diff FROM (
+  SELECT '正確性' AS label, coalesce(avg(base_correctness), 0) AS base, coalesce(avg(lora_correctness), 0) AS lora
+  FROM judge_details
+  UNION ALL
+  SELECT '完整性', coalesce(avg(base_completeness), 0), coalesce(avg(lora_completeness), 0) FROM judge_details
+  UNION ALL
+  SELECT '總平均',
+         (coalesce(sum(base_correctness), 0) + coalesce(sum(base_completeness), 0)) / (2 * greatest(count(base_correctness), 1)),
+         (coalesce(sum(lora_correctness), 0) + coalesce(sum(lora_completeness), 0)) / (2 * greatest(count(lora_correctness), 1))
+  FROM judge_details) x""", "judge_details"))
+def judge_report(spark, sf_dir):
+    from chatframe.operators.reports import judge_report_table
+    return judge_report_table(jd.scoreboard_wide(judged(spark, sf_dir)))
+
+
+def _examples_sql() -> str:
+    parts = []
+    for direction, o in (("gain", "DESC"), ("loss", "ASC")):
+        parts.append(f"""
+SELECT '{direction}' AS direction, CAST(row_number() OVER (ORDER BY f1_diff {o}, t.pair_id) AS INT) AS rank, t.pair_id,
+       printf('%+.4f', f1_diff) AS diff, concat(left(question, 60), '...') AS question,
+       printf('%.4f', base_f1) AS base_f1, printf('%.4f', lora_f1) AS lora_f1
+FROM (SELECT * FROM d ORDER BY f1_diff {o}, pair_id LIMIT 3) t
+LEFT JOIN (SELECT row_number() OVER (ORDER BY sample_id) - 1 AS pair_id, question FROM answers) a
+  ON a.pair_id = t.pair_id""")
+    return _bs("\nUNION ALL\n".join(parts), "answers")
+
+
+@register("bertscore_examples", _examples_sql())
+def bertscore_examples(spark, sf_dir):
+    from chatframe.operators.bertscore import f1_diffs
+    from chatframe.operators.reports import ranked_examples
+    from chatframe.operators.sampling import number_rows
+    d = f1_diffs(pair_scores(spark, sf_dir))
+    qs = number_rows(fx.answers(spark, sf_dir), "sample_id", name="pair_id", start=0) \
+        .select("pair_id", "question")
+    gain = ranked_examples(d, qs, 3, descending=True).withColumn("direction", F.lit("gain"))
+    loss = ranked_examples(d, qs, 3, descending=False).withColumn("direction", F.lit("loss"))
+    return gain.unionByName(loss).select(
+        "direction", F.col("rank").cast("int").alias("rank"), "pair_id", "diff", "question", "base_f1", "lora_f1")

@@ -88,26 +88,31 @@ def judge_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def judge_replies_from_truth(t: DataFrame) -> DataFrame:
-    """Reply text rendered from the truth table, incl. every failure class."""
+    """Reply text rendered from the truth table, incl. every failure class
+    (built in stages so each piece of text is one column)."""
     kind = F.col("kind")
     s = lambda c: F.col(c).cast("string")
-    b = F.concat(F.lit('{"correctness": '),
-                 F.when(kind == 5, F.concat(F.lit('"'), s("bc"), F.lit('"'))).otherwise(s("bc")),
-                 F.lit(', "completeness": '), s("bp"), F.lit(', "comment": "ok"}'))
-    lo = F.concat(F.lit('{"correctness": '), s("lc"),
-                  F.when(kind == 3, F.lit("")).otherwise(F.concat(F.lit(', "completeness": '), s("lp"))),
-                  F.lit(', "comment": "ok"}'))
-    a_txt = F.when(F.col("base_is_a"), b).otherwise(lo)
-    b_txt = F.when(F.col("base_is_a"), lo).otherwise(b)
-    body = F.concat(F.lit('{"model_a": '), a_txt, F.lit(', "model_b": '), b_txt, F.lit("}"))
     nl = F.lit("\n")
+    d = (t.withColumn("_b", F.concat(
+              F.lit('{"correctness": '),
+              F.when(kind == 5, F.concat(F.lit('"'), s("bc"), F.lit('"'))).otherwise(s("bc")),
+              F.lit(', "completeness": '), s("bp"), F.lit(', "comment": "ok"}')))
+          .withColumn("_l", F.concat(
+              F.lit('{"correctness": '), s("lc"),
+              F.when(kind == 3, F.lit("")).otherwise(F.concat(F.lit(', "completeness": '), s("lp"))),
+              F.lit(', "comment": "ok"}')))
+          .withColumn("_a_txt", F.when(F.col("base_is_a"), F.col("_b")).otherwise(F.col("_l")))
+          .withColumn("_b_txt", F.when(F.col("base_is_a"), F.col("_l")).otherwise(F.col("_b")))
+          .withColumn("_body", F.concat(F.lit('{"model_a": '), F.col("_a_txt"), F.lit(', "model_b": '),
+                                        F.col("_b_txt"), F.lit("}"))))
+    body = F.col("_body")
     reply = (F.when(kind == 0, F.concat(F.lit("```json"), nl, body, nl, F.lit("```")))
               .when(kind == 1, F.concat(F.lit("  ```"), nl, body, nl, F.lit("``` ")))
               .when(kind == 2, F.lit("cannot judge"))
               .when(kind == 4, F.concat(body, F.lit(" done")))
-              .when(kind == 6, F.concat(F.lit('{"model_a": '), a_txt, F.lit("}")))
+              .when(kind == 6, F.concat(F.lit('{"model_a": '), F.col("_a_txt"), F.lit("}")))
               .otherwise(body))
-    return t.select("sample_id", "base_is_a", reply.alias("reply"))
+    return d.select("sample_id", "base_is_a", reply.alias("reply"))
 
 
 def judge_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
