@@ -558,3 +558,53 @@ def bertscore_examples(spark, sf_dir):
     loss = ranked_examples(d, qs, 3, descending=False).withColumn("direction", F.lit("loss"))
     return gain.unionByName(loss).select(
         "direction", F.col("rank").cast("int").alias("rank"), "pair_id", "diff", "question", "base_f1", "lora_f1")
+
+
+# ------------------------------------------------------------ sources/sinks ---
+@register("training_text_sink", q.with_views(f"SELECT {_SFT_TEXT} AS text FROM sft", "sft"))
+def training_text_sink(spark, sf_dir):
+    from chatframe.session import work_dir
+    from chatframe.sources.writers import write_training_text
+    path = work_dir(spark, "training-text")
+    write_training_text(sft_text(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@register("answers_document", q.with_views(
+    "SELECT sample_id, instruction, question, reference, base_answer, lora_answer FROM answers", "answers"))
+def answers_document(spark, sf_dir):
+    from chatframe.session import work_dir
+    from chatframe.sources.readers import read_answers
+    from chatframe.sources.writers import write_answers
+    path = work_dir(spark, "answers")
+    write_answers(fx.answers(spark, sf_dir), {"num_samples": None, "adapter_path": "stand-in",
+                                              "max_new_tokens": 512, "seed": SEED}, path)
+    return read_answers(spark, path)
+
+
+# -------------------------------------------------------------- streaming ---
+@register("stream_context", ORACLE["context_at_turn"])
+def stream_context(spark, sf_dir):
+    from chatframe.schemas import TURN
+    from chatframe.streaming.context import stream_context as sc
+    from chatframe.streaming.runner import run_append
+    src = (spark.readStream.schema(TURN).option("pathGlobFilter", "conversations.parquet")
+                .parquet(sf_dir))
+    return run_append(sc(src, HISTORY_BUDGET), "stream-context")
+
+
+@register("stream_scoreboard", ORACLE["judge_scoreboard"])
+def stream_scoreboard(spark, sf_dir):
+    from chatframe.operators.inference import materialize
+    from chatframe.session import work_dir
+    from chatframe.streaming.runner import run_complete
+    from chatframe.streaming.scoreboard import running_sums, sums_to_scoreboard
+    # replies arrive as files (three micro-batches); the coin is recomputed
+    replies = fx.judge_replies(spark, sf_dir).drop("base_is_a")
+    path = work_dir(spark, "replies")
+    materialize(replies.repartition(3, "sample_id"), path, mode="overwrite")
+    stream = (spark.readStream.schema(replies.schema).option("maxFilesPerTrigger", 1).parquet(path)
+                   .withColumn("base_is_a", jd.ab_coin(SEED)))
+    board = sums_to_scoreboard(run_complete(running_sums(stream), "scoreboard"))
+    return board.select("dimension", r6("base").alias("base"), r6("lora").alias("lora"),
+                        r6("diff").alias("diff"))
