@@ -37,9 +37,9 @@ BLOCK_OUT = T.StructType([
 ])
 
 
-def _unit(rows) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.fromiter((r["tok_id"] for r in rows), dtype=np.int64, count=len(rows))
-    m = np.vstack([np.asarray(r["vec"], dtype=np.float64) for r in rows])
+def _unit(ids, flat) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.asarray(ids, dtype=np.int64)
+    m = np.asarray(flat, dtype=np.float64).reshape(len(ids), -1)
     norm = np.linalg.norm(m, axis=1, keepdims=True)
     return ids, np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
@@ -49,9 +49,10 @@ def _block_maxima(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     candidate token (row max) and per reference token (column max)."""
     for pdf in batches:
         out = {k: [] for k in ("pair_id", "variant", "c_ids", "c_m", "r_ids", "r_m")}
-        for pair_id, variant, cands, refs in zip(pdf["pair_id"], pdf["variant"], pdf["cands"], pdf["refs"]):
-            c_ids, c = _unit(cands)
-            r_ids, r = _unit(refs)
+        for pair_id, variant, ci, cv, ri, rv in zip(pdf["pair_id"], pdf["variant"], pdf["c_tok"],
+                                                     pdf["c_vec"], pdf["r_tok"], pdf["r_vec"]):
+            c_ids, c = _unit(ci, cv)
+            r_ids, r = _unit(ri, rv)
             sim = c @ r.T
             out["pair_id"].append(pair_id)
             out["variant"].append(variant)
@@ -137,6 +138,13 @@ def bertscore(tokens: DataFrame, candidates: Sequence[str] = ("base", "lora"),
             .withColumn("cb", F.explode(F.sequence(F.lit(0), F.col("nb_c") - 1)))
             .groupBy("pair_id", "variant", "cb", "rb").agg(F.collect_list(tok).alias("refs")))
 
+    # token ids and row-major vectors as flat arrays: cheap Arrow -> numpy
+    cand = cand.select("pair_id", "variant", "cb", "rb",
+                       F.transform("cands", lambda x: x["tok_id"]).alias("c_tok"),
+                       F.flatten(F.transform("cands", lambda x: x["vec"])).alias("c_vec"))
+    ref = ref.select("pair_id", "variant", "cb", "rb",
+                     F.transform("refs", lambda x: x["tok_id"]).alias("r_tok"),
+                     F.flatten(F.transform("refs", lambda x: x["vec"])).alias("r_vec"))
     pairs = cand.join(ref, ["pair_id", "variant", "cb", "rb"])
     best = pairs.mapInPandas(_block_maxima, BLOCK_OUT)
     def side(role: str, ids: str, m: str) -> DataFrame:
