@@ -33,7 +33,9 @@ DEFAULT_BLOCK = 512
 BLOCK_OUT = T.StructType([
     T.StructField("pair_id", T.LongType()), T.StructField("variant", T.StringType()),
     T.StructField("c_ids", T.ArrayType(T.LongType())), T.StructField("c_m", T.ArrayType(T.DoubleType())),
+    T.StructField("c_w", T.ArrayType(T.LongType())),
     T.StructField("r_ids", T.ArrayType(T.LongType())), T.StructField("r_m", T.ArrayType(T.DoubleType())),
+    T.StructField("r_w", T.ArrayType(T.LongType())),
 ])
 
 
@@ -46,20 +48,29 @@ def _unit(ids, flat) -> tuple[np.ndarray, np.ndarray]:
 
 def _block_maxima(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per block pair: cosine matrix once (one matmul), best match per
-    candidate token (row max) and per reference token (column max)."""
+    candidate token (row max) and per reference token (column max).
+
+    When the pair has a single block on both sides (the common case) the
+    maxima are final, so only their mean and count leave the kernel (one
+    pseudo-token ``-1`` of weight n per side); otherwise every token's block
+    maximum is emitted with weight 1 for the cross-block max."""
     for pdf in batches:
-        out = {k: [] for k in ("pair_id", "variant", "c_ids", "c_m", "r_ids", "r_m")}
-        for pair_id, variant, ci, cv, ri, rv in zip(pdf["pair_id"], pdf["variant"], pdf["c_tok"],
-                                                     pdf["c_vec"], pdf["r_tok"], pdf["r_vec"]):
+        out = {k: [] for k in ("pair_id", "variant", "c_ids", "c_m", "c_w", "r_ids", "r_m", "r_w")}
+        for pair_id, variant, nb_c, nb_r, ci, cv, ri, rv in zip(
+                pdf["pair_id"], pdf["variant"], pdf["nb_c"], pdf["nb_r"],
+                pdf["c_tok"], pdf["c_vec"], pdf["r_tok"], pdf["r_vec"]):
             c_ids, c = _unit(ci, cv)
             r_ids, r = _unit(ri, rv)
             sim = c @ r.T
+            c_m, r_m = sim.max(axis=1), sim.max(axis=0)
             out["pair_id"].append(pair_id)
             out["variant"].append(variant)
-            out["c_ids"].append(c_ids)
-            out["c_m"].append(sim.max(axis=1))
-            out["r_ids"].append(r_ids)
-            out["r_m"].append(sim.max(axis=0))
+            if nb_c == 1 and nb_r == 1:
+                out["c_ids"].append([-1]); out["c_m"].append([c_m.mean()]); out["c_w"].append([len(c_m)])
+                out["r_ids"].append([-1]); out["r_m"].append([r_m.mean()]); out["r_w"].append([len(r_m)])
+            else:
+                out["c_ids"].append(c_ids); out["c_m"].append(c_m); out["c_w"].append(np.ones(len(c_m), np.int64))
+                out["r_ids"].append(r_ids); out["r_m"].append(r_m); out["r_w"].append(np.ones(len(r_m), np.int64))
         yield pd.DataFrame(out)
 
 
@@ -127,35 +138,35 @@ def bertscore(tokens: DataFrame, candidates: Sequence[str] = ("base", "lora"),
     def blk(nb: Column) -> Column:
         return F.pmod(F.xxhash64("tok_id"), nb).cast("int")
 
-    tok = F.struct("tok_id", "vec")
+    # token ids and row-major vectors of a block as flat arrays (cheap Arrow
+    # -> numpy); both lists are filled row by row by the same aggregate, so
+    # their orders agree
     cand = (t.where(F.col("side").isin(*candidates)).withColumnRenamed("side", "variant")
              .join(cand_nb, ["pair_id", "variant"]).join(ref_nb, "pair_id")
              .withColumn("cb", blk(F.col("nb_c")))
              .withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("nb_r") - 1)))
-             .groupBy("pair_id", "variant", "cb", "rb").agg(F.collect_list(tok).alias("cands")))
+             .groupBy("pair_id", "variant", "cb", "rb", "nb_c", "nb_r")
+             .agg(F.collect_list("tok_id").alias("c_tok"), F.flatten(F.collect_list("vec")).alias("c_vec")))
     ref = (t.where(F.col("side") == ref_side).join(ref_nb, "pair_id").join(cand_nb, "pair_id")
             .withColumn("rb", blk(F.col("nb_r")))
             .withColumn("cb", F.explode(F.sequence(F.lit(0), F.col("nb_c") - 1)))
-            .groupBy("pair_id", "variant", "cb", "rb").agg(F.collect_list(tok).alias("refs")))
-
-    # token ids and row-major vectors as flat arrays: cheap Arrow -> numpy
-    cand = cand.select("pair_id", "variant", "cb", "rb",
-                       F.transform("cands", lambda x: x["tok_id"]).alias("c_tok"),
-                       F.flatten(F.transform("cands", lambda x: x["vec"])).alias("c_vec"))
-    ref = ref.select("pair_id", "variant", "cb", "rb",
-                     F.transform("refs", lambda x: x["tok_id"]).alias("r_tok"),
-                     F.flatten(F.transform("refs", lambda x: x["vec"])).alias("r_vec"))
+            .groupBy("pair_id", "variant", "cb", "rb")
+            .agg(F.collect_list("tok_id").alias("r_tok"), F.flatten(F.collect_list("vec")).alias("r_vec")))
+
     pairs = cand.join(ref, ["pair_id", "variant", "cb", "rb"])
     best = pairs.mapInPandas(_block_maxima, BLOCK_OUT)
-    def side(role: str, ids: str, m: str) -> DataFrame:
-        z = best.select("pair_id", "variant", F.explode(F.arrays_zip(ids, m)).alias("x"))
-        return z.select("pair_id", "variant", F.lit(role).alias("role"),
-                        F.col(f"x.{ids}").alias("tok_id"), F.col(f"x.{m}").alias("m"))
-    per_tok = side("c", "c_ids", "c_m").unionByName(side("r", "r_ids", "r_m"))
-    per_tok = per_tok.groupBy("pair_id", "variant", "role", "tok_id").agg(F.max("m").alias("m"))
+    def side(role: str, ids: str, m: str, wt: str) -> DataFrame:
+        z = best.select("pair_id", "variant", F.explode(F.arrays_zip(ids, m, wt)).alias("x"))
+        return z.select("pair_id", "variant", F.lit(role).alias("role"), F.col(f"x.{ids}").alias("tok_id"),
+                        F.col(f"x.{m}").alias("m"), F.col(f"x.{wt}").alias("w"))
+    per_tok = side("c", "c_ids", "c_m", "c_w").unionByName(side("r", "r_ids", "r_m", "r_w"))
+    per_tok = per_tok.groupBy("pair_id", "variant", "role", "tok_id").agg(
+        F.max("m").alias("m"), F.max("w").alias("w"))
+    mw = F.col("m") * F.col("w")
+    is_c, is_r = F.col("role") == "c", F.col("role") == "r"
     pr = per_tok.groupBy("pair_id", "variant").agg(
-        F.avg(F.when(F.col("role") == "c", F.col("m"))).alias("precision"),
-        F.avg(F.when(F.col("role") == "r", F.col("m"))).alias("recall"))
+        (F.sum(F.when(is_c, mw)) / F.sum(F.when(is_c, F.col("w")))).alias("precision"),
+        (F.sum(F.when(is_r, mw)) / F.sum(F.when(is_r, F.col("w")))).alias("recall"))
 
     # every (pair, candidate variant); pairs missing a side score 0
     all_pairs = (tokens.select("pair_id").distinct()

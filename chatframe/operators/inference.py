@@ -135,32 +135,42 @@ def encode_tokens(df: DataFrame, encoder_factory: Callable[[], Callable[[str], S
     """H5: text -> one row per token ``<keep..., tok_id, vec array<float>>``.
 
     Token rows (not one array per text) keep a long text from becoming one
-    huge row; the encoder must not emit special tokens.
+    huge row; the encoder must not emit special tokens.  Vectors go back to
+    the JVM as one flat Arrow buffer per batch (``mapInArrow``), not as
+    per-token Python objects.
     """
+    import numpy as np
+    import pyarrow as pa
+
     schema = _out_schema(df, keep, [T.StructField("tok_id", T.LongType()),
                                     T.StructField("vec", T.ArrayType(T.FloatType()))])
     cols = list(keep)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches):
         enc = encoder_factory()
-        for pdf in batches:
-            rows = {c: [] for c in cols}
-            tok_ids, vecs = [], []
-            for rec in pdf.itertuples(index=False):
-                t = getattr(rec, text)
+        for rb in batches:
+            texts = rb.column(text).to_pylist()
+            rows, tok_ids, mats = [], [], []
+            for i, t in enumerate(texts):
                 if t is None:
                     continue
-                for i, v in enumerate(enc(t)):
-                    for c in cols:
-                        rows[c].append(getattr(rec, c))
-                    tok_ids.append(i)
-                    vecs.append([float(x) for x in v])
-            res = pd.DataFrame(rows)
-            res["tok_id"] = pd.Series(tok_ids, dtype="int64")
-            res["vec"] = vecs
-            yield res
-
-    return df.select(*cols, text).mapInPandas(run, schema)
+                m = np.asarray(enc(t), dtype=np.float32)
+                if m.size == 0:
+                    continue
+                rows.append(np.full(len(m), i, dtype=np.int64))
+                tok_ids.append(np.arange(len(m), dtype=np.int64))
+                mats.append(m.reshape(len(m), -1))
+            if not mats:
+                continue
+            idx = pa.array(np.concatenate(rows))
+            mat = np.concatenate(mats)
+            offsets = pa.array(np.arange(0, mat.size + 1, mat.shape[1], dtype=np.int32))
+            vec = pa.ListArray.from_arrays(offsets, pa.array(mat.reshape(-1), pa.float32()))
+            arrays = [rb.column(c).take(idx) for c in cols]
+            arrays += [pa.array(np.concatenate(tok_ids)), vec]
+            yield pa.RecordBatch.from_arrays(arrays, names=cols + ["tok_id", "vec"])
+
+    return df.select(*cols, text).mapInArrow(run, schema)
 
 
 def pending(todo: DataFrame, done: DataFrame, key: str = "sample_id") -> DataFrame:
@@ -209,17 +219,15 @@ def length_judge() -> Callable[..., str]:
     return call
 
 
-def bucket_encoder(dims: int = 16) -> Callable[[str], list[list[float]]]:
+def bucket_encoder(dims: int = 16) -> Callable[[str], Sequence[Sequence[float]]]:
     """Stand-in encoder: each whitespace word becomes the one-hot vector of
     the first hex digit of its md5 (so cosine is 1 for equal buckets)."""
     import hashlib
 
-    def enc(text: str) -> list[list[float]]:
-        out = []
-        for w in text.split():
-            b = int(hashlib.md5(w.encode("utf-8")).hexdigest()[0], 16) % dims
-            v = [0.0] * dims
-            v[b] = 1.0
-            out.append(v)
-        return out
+    import numpy as np
+    eye = np.eye(dims, dtype=np.float32)
+
+    def enc(text: str):
+        buckets = [int(hashlib.md5(w.encode("utf-8")).hexdigest()[0], 16) % dims for w in text.split()]
+        return eye[buckets]
     return enc

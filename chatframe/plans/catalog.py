@@ -504,12 +504,10 @@ def bertscore_text(spark, sf_dir):
     from chatframe.operators.bertscore import bertscore
     from chatframe.operators.inference import bucket_encoder, encode_tokens
     a = fx.answers(spark, sf_dir)
-    texts = (a.select(F.col("sample_id").alias("pair_id"), F.lit("base").alias("side"),
-                      F.col("base_answer").alias("text"))
-              .unionByName(a.select(F.col("sample_id").alias("pair_id"), F.lit("lora").alias("side"),
-                                    F.col("lora_answer").alias("text")))
-              .unionByName(a.select(F.col("sample_id").alias("pair_id"), F.lit("ref").alias("side"),
-                                    F.col("reference").alias("text"))))
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(c).alias("text"))
+                      for s, c in (("base", "base_answer"), ("lora", "lora_answer"), ("ref", "reference"))])
+    texts = a.select(F.col("sample_id").alias("pair_id"), F.explode(sides).alias("t")) \
+             .select("pair_id", "t.side", "t.text")
     toks = encode_tokens(texts, bucket_encoder)
     s = bertscore(toks)
     return s.select("pair_id", "variant", r6("precision").alias("precision"),
