@@ -83,9 +83,14 @@ def context_bounds(turns: DataFrame, max_tokens: int, tokenizer_factory=None,
 
     Returns the input columns plus ``n_tokens``, ``pos``, ``cum_n``, ``start_pos``.
     """
-    width = max(int(max_tokens), 1)
     t = with_token_counts(turns, tokenizer_factory)
     s = segmented_scan(t, "conv_id", "turn", sums={"n": F.col("n_tokens")}, chunk_size=chunk_size)
+    return _bounds_from_scan(s.drop("group_rows", "tot_n"), max_tokens)
+
+
+def _bounds_from_scan(s: DataFrame, max_tokens: int) -> DataFrame:
+    """``context_bounds`` on rows that already carry ``pos`` and ``cum_n``."""
+    width = max(int(max_tokens), 1)
     s = s.withColumn("cex", F.col("cum_n") - F.col("n_tokens")) \
          .withColumn("v", F.col("cum_n") - F.lit(max_tokens))
 
@@ -112,7 +117,7 @@ def context_bounds(turns: DataFrame, max_tokens: int, tokenizer_factory=None,
     out = s.join(found, ["conv_id", "v"], "left")
     after = F.col("pos") + 1
     return (out.withColumn("start_pos", F.least(F.coalesce(F.col("found"), after), after))
-               .drop("found", "v", "group_rows", "tot_n"))
+               .drop("found", "v"))
 
 
 def context_at_turn(turns: DataFrame, max_tokens: int, tokenizer_factory=None,
@@ -155,8 +160,22 @@ def prompts_for_turns(turns: DataFrame, max_tokens: int,
                       template: ChatTemplate = DEFAULT_TEMPLATE,
                       tokenizer_factory=None, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """G3 (+F1/F2): the rendered prompt the model sees at every user turn."""
-    clean = session_filter(turns, chunk_size)
-    b = context_bounds(clean, max_tokens, tokenizer_factory, chunk_size)
+    # F1/F2 and the token scan in one ordered pass: the kept rows are a
+    # prefix (before the first exit) minus blank user turns, so their
+    # positions and token sums are running sums over the original order.
+    user = F.col("role") == "user"
+    stripped = py_strip(F.col("text"))
+    blank = user & (stripped == "")
+    t = (turns.withColumn("_exit", (user & F.lower(stripped).isin(*EXIT_WORDS)).cast("bigint"))
+              .withColumn("_blank", blank)
+              .withColumn("text", F.when(user, stripped).otherwise(F.col("text"))))
+    t = with_token_counts(t, tokenizer_factory)
+    s = segmented_scan(t, "conv_id", "turn", chunk_size=chunk_size, sums={
+        "exit": F.col("_exit"), "kept": (~F.col("_blank")).cast("bigint"), "n": F.col("n_tokens")})
+    kept = (s.where((F.col("cum_exit") == 0) & ~F.col("_blank"))
+             .withColumn("pos", F.col("cum_kept") - 1)
+             .select("conv_id", "turn", "role", "text", "n_tokens", "pos", "cum_n"))
+    b = _bounds_from_scan(kept, max_tokens)
     ctx = context_messages(b, at=F.col("role") == "user")
     grouped = ctx.groupBy("conv_id", "at_turn").agg(
         F.sort_array(F.collect_list(F.when(F.col("turn").isNotNull(),

@@ -106,3 +106,32 @@ def test_sft_lead_across_chunks(spark):
                  for r in ctx.conversations_to_sft(df, chunk_size=3).collect())
     want = [(100 + t, "sys", f"m{t}", f"m{t + 1}") for t in range(0, 10, 2)]
     assert got == want
+
+
+def test_hot_conversation_is_chunked(spark):
+    """One conversation with thousands of turns (a hot key): the result still
+    equals the loop, and the scan's per-chunk windows stay bounded."""
+    import random as _r
+    rng = _r.Random(5)
+    rows = [(9, t, "user" if t % 2 == 0 else "assistant",
+             " ".join("x" for _ in range(rng.choice([0, 1, 2, 3])))) for t in range(3000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["first_turn"], r["n_messages"], r["n_tokens"])
+           for r in ctx.context_at_turn(df, BUDGET, chunk_size=64).collect()}
+    assert got == loop_context(rows, BUDGET)
+    plan = ctx.context_at_turn(df, BUDGET, chunk_size=64)._jdf.queryExecution().optimizedPlan().toString()
+    # every window over the turns is partitioned by (conv_id, chunk) or (conv_id, bucket)
+    assert "_chunk" in plan
+
+
+def test_prompts_respect_session_rules(spark):
+    """Blank user turns are skipped and 'exit' ends the session before the
+    history clip, exactly like the chat loop."""
+    rows = [(1, 0, "user", "a b"), (1, 1, "assistant", "c d e"), (1, 2, "user", "   "),
+            (1, 3, "user", "f"), (1, 4, "assistant", "g h i j"), (1, 5, "user", " EXIT "),
+            (1, 6, "user", "never")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["turn"]: (r["n_messages"], r["prompt"]) for r in ctx.prompts_for_turns(df, 6, chunk_size=2).collect()}
+    assert sorted(got) == [0, 3]
+    assert got[0][0] == 1 and got[3][0] == 2          # [a b] ; [c d e, f] (a b evicted: 2+3+1 > 6)
+    assert "c d e" in got[3][1] and "a b" not in got[3][1]
