@@ -131,7 +131,7 @@ def test_prompts_respect_session_rules(spark):
             (1, 3, "user", "f"), (1, 4, "assistant", "g h i j"), (1, 5, "user", " EXIT "),
             (1, 6, "user", "never")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {r["turn"]: (r["n_messages"], r["prompt"]) for r in ctx.prompts_for_turns(df, 6, chunk_size=2).collect()}
+    got = {r["turn"]: (r["n_messages"], r["prompt"]) for r in ctx.prompts_for_turns(df, 5, chunk_size=2).collect()}
     assert sorted(got) == [0, 3]
-    assert got[0][0] == 1 and got[3][0] == 2          # [a b] ; [c d e, f] (a b evicted: 2+3+1 > 6)
+    assert got[0][0] == 1 and got[3][0] == 2          # [a b] ; [c d e, f] (a b evicted: 2+3+1 > 5)
     assert "c d e" in got[3][1] and "a b" not in got[3][1]
