@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatframe.llm import decontam
+from chatframe.llm import decontam, repeats
 from chatframe.llm.spark_util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,10 @@ it AS (SELECT rid, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN cov USING (rid) LEFT JOIN it USING (rid)"""
+
+
+@register
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed",
+                      F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256")
