@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatframe.llm import decontam, repeats
+from chatframe.llm import decontam, repeats, simhash
 from chatframe.llm.spark_util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,9 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.without_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed",
                       F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256")
+
+
+@register
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
