@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatframe.llm import decontam, repeats, simhash
+from chatframe.llm import bpe_fst, decontam, repeats, secret_scan, simhash, token_counts
 from chatframe.llm.spark_util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +63,31 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@register
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.secret_spans(table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def n(kind):
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda x: x["kind"].isin(*secret_scan.BASE))
+    return out.select("doc_id", n("assign"), n("access"), n("hex"),
+                      F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+                      joined(F.col("found")).alias("spans"))
+
+
+@register
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_fst.round_trip(table(spark, sf_dir, "documents"),
+                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
