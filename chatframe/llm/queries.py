@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatframe.llm import bpe_fst, decontam, langid, repeats, secret_scan, simhash, token_counts
+from chatframe.llm import bpe_fst, decontam, html_paths, langid, repeats, secret_scan, simhash, token_counts
 from chatframe.llm.spark_util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.identify(docs, langid.fit(docs))
     return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_paths.extracted(table(spark, sf_dir, "pages"))
