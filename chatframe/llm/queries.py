@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatframe.llm import bpe_fst, decontam, html_paths, langid, repeats, secret_scan, simhash, token_counts
+from chatframe.llm import bpe_fst, decontam, html_paths, langid, repeats, secret_scan, simhash, token_counts, warc_zip
 from chatframe.llm.spark_util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,19 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_paths.extracted(table(spark, sf_dir, "pages"))
+
+
+@register
+def op5_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc_zip.round_trip(table(spark, sf_dir, "pages"))
+    return out.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      F.col("refers_to").cast("long").alias("refers_to"))
+
+
+ORACLE["op5_warc_archives"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, h, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN strlen(h) >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(h) >= 1000 AND page_id < last THEN last END AS refers_to
+FROM g"""

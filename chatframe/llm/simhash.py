@@ -6,15 +6,16 @@ is 1 where over half of the hashes have it.
 
 *Links.*  Distinct fingerprints at most ``distance`` bits apart:
 
-1. The 64 bits are dealt to ``parts`` partitions, correlated bits together, by
-   a 64 x 64 matrix of co-occurrences that the tasks pre-aggregate.
-2. If the partitions have thresholds that sum to ``distance - parts + 1``, two
+1. The 64 bits are dealt to partitions, correlated bits together, by a 64 x 64
+   matrix of co-occurrences that the tasks pre-aggregate.
+2. If ``m`` partitions have thresholds that sum to ``distance - m + 1``, two
    linked fingerprints agree within the threshold in at least one partition.
    Dynamic programming picks unequal thresholds (-1: not probed) by estimated
-   cost: probes, and candidates from the partitions' bit frequencies and
-   measured exact collisions.
+   rows: probes, and candidates from the partitions' bit frequencies and
+   measured exact collisions.  The same estimate picks ``m``.
 3. Index rows hold a partition's value; probe rows the values up to the
-   threshold away.  Probe rows without an index row of another fingerprint go.
+   threshold away.  Keys without an index row go, and a key of two
+   fingerprints is verified in the aggregate that counts it.
 4. Keys are verified in blocks: members of a key with many of them are dealt
    to blocks of ``BLOCK`` rows and each pair of blocks is its own group, so no
    key is one task.  A group emits the edges of a spanning forest, never all
@@ -44,10 +45,8 @@ from chatframe.llm.spark_util import stored
 
 SHINGLE = 4
 DISTANCE = 4
-PARTS = 3
 SEED = 42
 BLOCK = 4096
-PROBE_COST = 4.0   # cost of a probe row against a verified candidate
 
 
 # ------------------------------------------------------------- fingerprints ---
@@ -163,20 +162,38 @@ def allocate(cost: np.ndarray, total: int) -> list[int]:
     return best[total][1]
 
 
-def thresholds(n: int, together: np.ndarray, groups: list[list[int]], collisions: list[float],
-               distance: int) -> list[int]:
-    """``collisions``: measured pairs of fingerprints that agree in a partition;
-    they scale the independent-bit estimate, which correlation breaks."""
+def part_costs(n: int, together: np.ndarray, groups: list[list[int]], distance: int,
+               collisions: list[float] | None = None) -> np.ndarray:
+    """Estimated rows by partition and threshold + 1: probes, and candidates
+    under independent bits.  ``collisions``, the measured pairs that agree in a
+    partition, scale them, since correlated bits collide more often."""
     p = np.diag(together) / max(n, 1)
     top = min(2, max(0, distance))
     cost = np.zeros((len(groups), top + 2))
     for g, bits in enumerate(groups):
         share = near_share(p[bits], top)
-        scale = collisions[g] / max(share[0] * n * n / 2, 1e-9) if n else 1.0
+        scale = collisions[g] / max(share[0] * n * n / 2, 1e-9) if collisions and n else 1.0
         for t in range(top + 1):
             probes = n * sum(comb(len(bits), k) for k in range(t + 1))
-            cost[g, t + 1] = PROBE_COST * probes + max(scale, 1.0) * share[:t + 1].sum() * n * n / 2
-    return allocate(cost, distance - len(groups) + 1)
+            cost[g, t + 1] = probes + max(scale, 1.0) * share[:t + 1].sum() * n * n / 2
+    return cost
+
+
+def choose_parts(n: int, together: np.ndarray, distance: int) -> list[list[int]]:
+    """The partitioning of 2 to ``distance + 1`` parts with the least estimate:
+    more fingerprints make wider parts worth their probes."""
+    best = None
+    for m in range(2, max(2, distance + 1) + 1):
+        groups = group_bits(n, together, m)
+        cost = part_costs(n, together, groups, distance)
+        if distance - m + 1 > m * (cost.shape[1] - 2):
+            continue
+        total = sum(cost[g, t + 1] for g, t in enumerate(allocate(cost, distance - m + 1)))
+        if best is None or total < best[0]:
+            best = (total, groups)
+    if best is None:
+        raise ValueError(f"distance {distance} is beyond what partition thresholds of 2 can cover")
+    return best[1]
 
 
 def _part_value(bits: np.ndarray, group: list[int]) -> np.ndarray:
@@ -269,21 +286,23 @@ def _verify(key: np.ndarray, fp: np.ndarray, idx: np.ndarray, side: np.ndarray,
     return a, b
 
 
-def links(fps: DataFrame, distance: int = DISTANCE, parts: int = PARTS) -> DataFrame:
+def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that connect every two
     fingerprints whose link chain exists."""
     fps = stored(fps.select("fp").distinct(), "fps")
     n, together = bit_matrix(fps)
-    groups = group_bits(n, together, parts)
-    exact = probe_rows(fps, groups, [0] * parts)
+    groups = choose_parts(n, together, distance)
+    exact = probe_rows(fps, groups, [0] * len(groups))
     same = {r[0]: float(r[1]) for r in exact.groupBy("key").count().where("count > 1")
             .groupBy(F.shiftright("key", 58).alias("g")).agg(F.expr("sum(count * (count - 1) / 2D)")).collect()}
-    limits = thresholds(n, together, groups, [same.get(g, 0.0) for g in range(parts)], distance)
-    rows = probe_rows(fps, groups, limits)
-    # keys with an index row and another row; the others can't link anything
-    keys = (rows.groupBy("key").agg(F.count("*").alias("n"), F.max("idx").alias("has"))
-            .where("has AND n > 1").select("key", "n"))
-    met = rows.join(keys, "key")
+    cost = part_costs(n, together, groups, distance, [same.get(g, 0.0) for g in range(len(groups))])
+    rows = probe_rows(fps, groups, allocate(cost, distance - len(groups) + 1))
+    # keys without an index row can't link; a key of two is its one pair
+    keys = stored(rows.groupBy("key").agg(
+        F.count("*").alias("n"), F.max("idx").alias("has"), F.min("fp").alias("a"), F.max("fp").alias("b"))
+        .where("has AND n > 1").where(F.expr(f"n > 2 OR bit_count(a ^ b) <= {int(distance)}")), "keys")
+    pairs = keys.where("n = 2").select("a", "b")
+    met = rows.join(keys.where("n > 2").select("key", "n"), "key")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     dealt = (met.select("key", "fp", "idx", blocks.alias("nb"), mine.alias("blk"))
@@ -311,16 +330,15 @@ def links(fps: DataFrame, distance: int = DISTANCE, parts: int = PARTS) -> DataF
             yield edges(hold)
 
     return (dealt.select("grp", "fp", "idx", "side").repartition("grp").sortWithinPartitions("grp")
-            .mapInArrow(run, "a long, b long"))
+            .mapInArrow(run, "a long, b long").unionByName(pairs))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
-                    parts: int = PARTS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp, component_id (the smallest
     doc_id that links reach)."""
     rows = stored(fingerprints(docs, shingle), "fingerprints")
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    comp = components(links(rows, distance, parts))
+    comp = components(links(rows, distance))
     by_fp = least.join(comp, least.fp == comp.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     by_fp = stored(by_fp, "roots")
