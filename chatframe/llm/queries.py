@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatframe.llm import bpe_fst, decontam, html_paths, langid, repeats, secret_scan, simhash, token_counts, warc_zip
+from chatframe.llm import bpe_fst, decontam, html_paths, langid, repeats, secret_scan, simhash, token_counts, vptree, warc_zip
 from chatframe.llm.spark_util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,21 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_d
        CASE WHEN strlen(h) >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN strlen(h) >= 1000 AND page_id < last THEN last END AS refers_to
 FROM g"""
+
+
+@register
+def op1_vptree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = vptree.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0,
+                         k=20, factor=1.0)
+    return out.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+ORACLE["op1_vptree_search"] = """
+WITH v AS (SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+             AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+      FROM v q, v c WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
