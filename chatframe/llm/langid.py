@@ -178,6 +178,28 @@ def code_lengths(model: Model, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
+def _predicted(m: Model | None, text: pa.Array, letter: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score and bits per byte of every text of a batch."""
+    n = len(text)
+    lang, score, per = np.full(n, UND, object), np.zeros(n), np.zeros(n)
+    ok = letter.to_numpy(zero_copy_only=False).astype(bool)
+    if m is not None and n:
+        buf, off = text_buffer(text)
+        bits = code_lengths(m, buf, off)
+        best = bits.argmin(axis=1)
+        low = bits[np.arange(n), best]
+        share = 1 / np.exp2(np.maximum(low[:, None] - bits, -1000)).sum(axis=1)
+        lang[ok] = np.array(m.langs, object)[best[ok]]
+        score[ok] = share[ok]
+        per[ok] = low[ok] / np.maximum(1, np.diff(off))[ok]
+    return lang, score, per
+
+
+def _inputs() -> list[Column]:
+    return [F.coalesce(F.col("text"), F.lit("")).cast("binary"),
+            F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))]
+
+
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score (the winner's
     share among the languages' probabilities of the text), bits_per_byte."""
@@ -185,27 +207,30 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = shared.value
         for b in batches:
-            buf, off = text_buffer(b.column("text"))
-            n = b.num_rows
-            lang, score, per = np.full(n, UND, object), np.zeros(n), np.zeros(n)
-            letter = b.column("letter").to_numpy(zero_copy_only=False).astype(bool)
-            if m is not None and n:
-                bits = code_lengths(m, buf, off)
-                best = bits.argmin(axis=1)
-                low = bits[np.arange(n), best]
-                share = 1 / np.exp2(np.maximum(low[:, None] - bits, -1000)).sum(axis=1)
-                lang[letter] = np.array(m.langs, object)[best[letter]]
-                score[letter] = share[letter]
-                per[letter] = low[letter] / np.maximum(1, np.diff(off))[letter]
+            lang, score, per = _predicted(shared.value, b.column(1), b.column(2))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(lang, pa.string()), pa.array(score), pa.array(per)],
+                [b.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(per)],
                 ["doc_id", "lang_pred", "score", "bits_per_byte"])
 
-    src = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
-                      F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter"))
-    return src.mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double, bits_per_byte double")
+    return docs.select("doc_id", *_inputs()).mapInArrow(
+        run, f"doc_id {id_type}, lang_pred string, score double, bits_per_byte double")
+
+
+def accepted(docs: DataFrame, model: Model | None, most_bits: float = float(np.log2(SYMBOLS))) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose text has a language: not
+    ``und``, and coded in less than ``most_bits`` a byte (equal chances)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for b in batches:
+            lang, _, per = _predicted(shared.value, b.column(b.num_columns - 2), b.column(b.num_columns - 1))
+            keep = pa.array((lang != UND) & (per < most_bits), pa.bool_())
+            out = pa.RecordBatch.from_arrays(b.columns[:-2], b.schema.names[:-2])
+            yield out.filter(keep)
+
+    text, letter = _inputs()
+    return docs.select(*docs.columns, text.alias("_t"), letter.alias("_l")).mapInArrow(run, docs.schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
