@@ -4,18 +4,12 @@ P = mean over candidate tokens of the best cosine against the reference
 tokens, R = the same from the reference side, F1 = 2PR / (P + R); no idf
 weighting, no baseline rescaling.  An empty side, or P + R = 0, scores 0.
 
-Two physical forms:
-
-* row-local (``bertscore_local``): both token lists of a pair in one row,
-  higher-order functions only, no shuffle.  Spark runs lambdas interpreted,
-  so this suits short texts (a few dozen tokens);
-* blocked relational (``bertscore``): tokens as rows.  Each side of a pair is
-  cut into hash blocks of at most ~``block`` tokens; every candidate block
-  meets every reference block of the same pair exactly once, so a pair with
-  millions of tokens is spread over many tasks.  Inside a block pair the
-  cosine matrix is one numpy matmul in an Arrow-batched ``mapInPandas``
-  (computed once, read row- and column-wise), never materialised as rows.
-  Per-token maxima across blocks are then combined by partial aggregation.
+Tokens are rows.  Each side of a pair is cut into blocks of at most ``block``
+token ids (``floor(tok_id / block)``), so no counts are joined; every candidate
+block meets every reference block of the pair once, which spreads a pair with
+millions of tokens over many tasks.  The cosine matrix of a block pair is one
+numpy matmul in an Arrow-batched ``mapInPandas``, read row- and column-wise by
+the same call.  Per-token maxima are combined by partial aggregation.
 """
 
 from __future__ import annotations
@@ -30,14 +24,6 @@ from pyspark.sql import types as T
 
 DEFAULT_BLOCK = 512
 
-BLOCK_OUT = T.StructType([
-    T.StructField("pair_id", T.LongType()), T.StructField("variant", T.StringType()),
-    T.StructField("c_ids", T.ArrayType(T.LongType())), T.StructField("c_m", T.ArrayType(T.DoubleType())),
-    T.StructField("c_w", T.ArrayType(T.LongType())),
-    T.StructField("r_ids", T.ArrayType(T.LongType())), T.StructField("r_m", T.ArrayType(T.DoubleType())),
-    T.StructField("r_w", T.ArrayType(T.LongType())),
-])
-
 
 def _unit(ids, flat) -> tuple[np.ndarray, np.ndarray]:
     ids = np.asarray(ids, dtype=np.int64)
@@ -47,144 +33,78 @@ def _unit(ids, flat) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _block_maxima(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per block pair: cosine matrix once (one matmul), best match per
-    candidate token (row max) and per reference token (column max).
-
-    When the pair has a single block on both sides (the common case) the
-    maxima are final, so only their mean and count leave the kernel (one
-    pseudo-token ``-1`` of weight n per side); otherwise every token's block
-    maximum is emitted with weight 1 for the cross-block max."""
+    """Per block pair: the best match of every candidate token (row maxima)
+    and reference token (column maxima) of one cosine matrix."""
     for pdf in batches:
-        out = {k: [] for k in ("pair_id", "variant", "c_ids", "c_m", "c_w", "r_ids", "r_m", "r_w")}
-        for pair_id, variant, nb_c, nb_r, ci, cv, ri, rv in zip(
-                pdf["pair_id"], pdf["variant"], pdf["nb_c"], pdf["nb_r"],
-                pdf["c_tok"], pdf["c_vec"], pdf["r_tok"], pdf["r_vec"]):
+        out = {k: [] for k in ("tok", "m", "is_c")}
+        for ci, cv, ri, rv in zip(pdf["c_tok"], pdf["c_vec"], pdf["r_tok"], pdf["r_vec"], strict=True):
             c_ids, c = _unit(ci, cv)
             r_ids, r = _unit(ri, rv)
             sim = c @ r.T
-            c_m, r_m = sim.max(axis=1), sim.max(axis=0)
-            out["pair_id"].append(pair_id)
-            out["variant"].append(variant)
-            if nb_c == 1 and nb_r == 1:
-                out["c_ids"].append([-1]); out["c_m"].append([c_m.mean()]); out["c_w"].append([len(c_m)])
-                out["r_ids"].append([-1]); out["r_m"].append([r_m.mean()]); out["r_w"].append([len(r_m)])
-            else:
-                out["c_ids"].append(c_ids); out["c_m"].append(c_m); out["c_w"].append(np.ones(len(c_m), np.int64))
-                out["r_ids"].append(r_ids); out["r_m"].append(r_m); out["r_w"].append(np.ones(len(r_m), np.int64))
-        yield pd.DataFrame(out)
-
-
-def normalize(vec: Column) -> Column:
-    """Unit-length double vector (cosine = dot product afterwards)."""
-    v = vec.cast("array<double>")
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.transform(v, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)))
-
-
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-
-
-def block_scores(cand: Column, ref: Column) -> tuple[Column, Column]:
-    """Per-token best similarity inside one block pair.
-
-    ``cand`` / ``ref`` are ``array<struct<tok_id, vec>>`` with unit vectors.
-    Returns (array<struct<tok_id, m>> for candidates, same for references);
-    the similarity matrix is computed once and read row- and column-wise.
-    """
-    sim = F.transform(cand, lambda c: F.transform(ref, lambda r: _dot(c["vec"], r["vec"])))
-    c_best = F.transform(cand, lambda c, i: F.struct(c["tok_id"].alias("tok_id"),
-                                                     F.array_max(F.element_at(sim, i + 1)).alias("m")))
-    r_best = F.transform(ref, lambda r, j: F.struct(
-        r["tok_id"].alias("tok_id"),
-        F.array_max(F.transform(sim, lambda row: F.element_at(row, j + 1))).alias("m")))
-    return c_best, r_best
+            out["tok"].append(np.concatenate([c_ids, r_ids]))
+            out["m"].append(np.concatenate([sim.max(axis=1), sim.max(axis=0)]))
+            out["is_c"].append(np.repeat([True, False], [len(c_ids), len(r_ids)]))
+        yield pdf[["pair_id", "variant"]].assign(**out)
 
 
 def _f1(p: Column, r: Column) -> Column:
     return F.when((p + r) == 0, F.lit(0.0)).otherwise(2 * p * r / (p + r))
 
 
-def bertscore_local(cand_vecs: Column, ref_vecs: Column) -> Column:
-    """Row-local K1 over ``array<array<float>>`` columns -> struct(precision, recall, f1)."""
-    def wrap(vs):
-        return F.transform(vs, lambda v, i: F.struct(i.cast("bigint").alias("tok_id"),
-                                                     normalize(v).alias("vec")))
-    c_best, r_best = block_scores(wrap(cand_vecs), wrap(ref_vecs))
-
-    def mean_m(a):
-        return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x["m"]) / F.size(a)
-    empty = (F.size(cand_vecs) == 0) | (F.size(ref_vecs) == 0)
-    p = F.when(empty, F.lit(0.0)).otherwise(mean_m(c_best))
-    r = F.when(empty, F.lit(0.0)).otherwise(mean_m(r_best))
-    return F.struct(p.alias("precision"), r.alias("recall"), _f1(p, r).alias("f1"))
-
-
 def bertscore(tokens: DataFrame, candidates: Sequence[str] = ("base", "lora"),
-              ref_side: str = "ref", block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Blocked relational K1 over ``<pair_id, side, tok_id, vec>`` rows.
+              ref_side: str = "ref", block: int = DEFAULT_BLOCK, pairs: DataFrame | None = None) -> DataFrame:
+    """K1 over ``<pair_id, side, tok_id, vec>`` rows, ``pair_id`` of any type.
 
-    Returns ``<pair_id, variant, precision, recall, f1>`` for every pair that
-    has any token and every candidate variant (0 when a side is empty).
+    Returns ``<pair_id, variant, precision, recall, f1>`` for every pair of
+    ``pairs`` (default: those with any token) and every candidate variant; an
+    empty side scores 0.  ``tokens`` is read once for each role: store it if an
+    encoder made it.
     """
-    t = tokens.select("pair_id", "side", "tok_id", F.col("vec").cast("array<float>").alias("vec"))
-    counts = t.groupBy("pair_id", "side").agg(F.count(F.lit(1)).alias("n"))
-    nblocks = counts.select("pair_id", "side",
-                            F.greatest(F.ceil(F.col("n") / block), F.lit(1)).cast("int").alias("nb"))
-    ref_nb = nblocks.where(F.col("side") == ref_side).select("pair_id", F.col("nb").alias("nb_r"))
-    cand_nb = nblocks.where(F.col("side").isin(*candidates)).select(
-        "pair_id", F.col("side").alias("variant"), F.col("nb").alias("nb_c"))
-
-    def blk(nb: Column) -> Column:
-        return F.pmod(F.xxhash64("tok_id"), nb).cast("int")
-
-    # token ids and row-major vectors of a block as flat arrays (cheap Arrow
-    # -> numpy); both lists are filled row by row by the same aggregate, so
-    # their orders agree
-    cand = (t.where(F.col("side").isin(*candidates)).withColumnRenamed("side", "variant")
-             .join(cand_nb, ["pair_id", "variant"]).join(ref_nb, "pair_id")
-             .withColumn("cb", blk(F.col("nb_c")))
-             .withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("nb_r") - 1)))
-             .groupBy("pair_id", "variant", "cb", "rb", "nb_c", "nb_r")
-             .agg(F.collect_list("tok_id").alias("c_tok"), F.flatten(F.collect_list("vec")).alias("c_vec")))
-    ref = (t.where(F.col("side") == ref_side).join(ref_nb, "pair_id").join(cand_nb, "pair_id")
-            .withColumn("rb", blk(F.col("nb_r")))
-            .withColumn("cb", F.explode(F.sequence(F.lit(0), F.col("nb_c") - 1)))
-            .groupBy("pair_id", "variant", "cb", "rb")
-            .agg(F.collect_list("tok_id").alias("r_tok"), F.flatten(F.collect_list("vec")).alias("r_vec")))
-
-    pairs = cand.join(ref, ["pair_id", "variant", "cb", "rb"])
-    best = pairs.mapInPandas(_block_maxima, BLOCK_OUT)
-    def side(role: str, ids: str, m: str, wt: str) -> DataFrame:
-        z = best.select("pair_id", "variant", F.explode(F.arrays_zip(ids, m, wt)).alias("x"))
-        return z.select("pair_id", "variant", F.lit(role).alias("role"), F.col(f"x.{ids}").alias("tok_id"),
-                        F.col(f"x.{m}").alias("m"), F.col(f"x.{wt}").alias("w"))
-    per_tok = side("c", "c_ids", "c_m", "c_w").unionByName(side("r", "r_ids", "r_m", "r_w"))
-    per_tok = per_tok.groupBy("pair_id", "variant", "role", "tok_id").agg(
-        F.max("m").alias("m"), F.max("w").alias("w"))
-    mw = F.col("m") * F.col("w")
-    is_c, is_r = F.col("role") == "c", F.col("role") == "r"
-    pr = per_tok.groupBy("pair_id", "variant").agg(
-        (F.sum(F.when(is_c, mw)) / F.sum(F.when(is_c, F.col("w")))).alias("precision"),
-        (F.sum(F.when(is_r, mw)) / F.sum(F.when(is_r, F.col("w")))).alias("recall"))
-
-    # every (pair, candidate variant); pairs missing a side score 0
-    all_pairs = (tokens.select("pair_id").distinct()
-                       .withColumn("variant", F.explode(F.array(*[F.lit(c) for c in candidates]))))
-    out = all_pairs.join(pr, ["pair_id", "variant"], "left")
-    p = F.coalesce(F.col("precision"), F.lit(0.0))
-    r = F.coalesce(F.col("recall"), F.lit(0.0))
-    return out.select("pair_id", "variant", p.alias("precision"), r.alias("recall"), _f1(p, r).alias("f1"))
+    def blocks(rows: DataFrame, role: str) -> DataFrame:
+        # both lists are filled row by row by one aggregate: their orders agree
+        return (rows.select("pair_id", "side", "tok_id", F.col("vec").cast("array<float>").alias("vec"),
+                            F.floor(F.col("tok_id") / block).alias("blk"))
+                .groupBy("pair_id", "side", "blk")
+                .agg(F.collect_list("tok_id").alias(f"{role}_tok"),
+                     F.flatten(F.collect_list("vec")).alias(f"{role}_vec")).drop("blk"))
+
+    cand = blocks(tokens.where(F.col("side").isin(*candidates)), "c").withColumnRenamed("side", "variant")
+    ref = blocks(tokens.where(F.col("side") == ref_side), "r").drop("side")
+    out = T.StructType([tokens.schema["pair_id"], T.StructField("variant", T.StringType()),
+                        T.StructField("tok", T.ArrayType(T.LongType())), T.StructField("m", T.ArrayType(T.DoubleType())),
+                        T.StructField("is_c", T.ArrayType(T.BooleanType()))])
+    best = cand.join(ref, "pair_id").mapInPandas(_block_maxima, out)
+    per_tok = (best.select("pair_id", "variant", F.explode(F.arrays_zip("tok", "m", "is_c")).alias("x"))
+               .groupBy("pair_id", "variant", F.col("x.is_c").alias("is_c"), F.col("x.tok").alias("tok"))
+               .agg(F.max("x.m").alias("m")).select("pair_id", "variant", "is_c", "m"))
+    # every pair and variant, as rows without a score
+    known = (tokens if pairs is None else pairs).select("pair_id")
+    grid = known.select("pair_id", F.explode(F.array(*[F.lit(c) for c in candidates])).alias("variant"),
+                        F.lit(None).cast("boolean").alias("is_c"), F.lit(None).cast("double").alias("m"))
+    pr = per_tok.unionByName(grid).groupBy("pair_id", "variant").agg(
+        F.coalesce(F.avg(F.when(F.col("is_c"), F.col("m"))), F.lit(0.0)).alias("precision"),
+        F.coalesce(F.avg(F.when(~F.col("is_c"), F.col("m"))), F.lit(0.0)).alias("recall"))
+    return pr.select("pair_id", "variant", "precision", "recall",
+                     _f1(F.col("precision"), F.col("recall")).alias("f1"))
 
 
 def f1_diffs(scores: DataFrame, base: str = "base", lora: str = "lora") -> DataFrame:
-    """K2: one row per pair with both F1 and ``f1_diff = lora - base``."""
-    w = scores.groupBy("pair_id").agg(
-        F.max(F.when(F.col("variant") == base, F.col("f1"))).alias("base_f1"),
-        F.max(F.when(F.col("variant") == lora, F.col("f1"))).alias("lora_f1"))
+    """K2: one row per pair with ``<variant>_precision / _recall / _f1`` and
+    ``f1_diff = lora - base``."""
+    w = scores.groupBy("pair_id").agg(*[
+        F.max(F.when(F.col("variant") == v, F.col(c))).alias(f"{n}_{c}")
+        for n, v in (("base", base), ("lora", lora)) for c in ("precision", "recall", "f1")])
     return w.withColumn("f1_diff", F.col("lora_f1") - F.col("base_f1"))
 
 
+def result_details(answers: DataFrame, scores: DataFrame) -> DataFrame:
+    """I4: every answer row with the scores of its own tokens (``pair_id`` is
+    its ``sample_id``)."""
+    a = answers.select(F.col("sample_id").alias("pair_id"), "question", "reference",
+                       F.col("base_answer").alias("base_pred"), F.col("lora_answer").alias("lora_pred"))
+    return a.join(f1_diffs(scores), "pair_id")
+
+
 def summary(scores: DataFrame, base: str = "base", lora: str = "lora",
             delta_label: str = "delta") -> DataFrame:
     """L1 + L2: mean P/R/F1 per variant (F1 is the mean of F1s) and the

@@ -24,14 +24,14 @@ def conversations_to_sft(turns: DataFrame, key: Column | None = None,
                          chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """Each user turn answered by the next (assistant) turn becomes an
     instruction row; the conversation's system text is the instruction.
-    ``sample_id`` defaults to ``conv_id * 100 + turn``."""
+    ``sample_id`` defaults to the text ``conv_id:turn``, one for each turn."""
     s = segmented_scan(
         turns, "conv_id", "turn", nexts=["role", "text"],
         group_max={"sys": F.when(F.col("role") == "system", F.col("text"))},
         chunk_size=chunk_size)
-    key = key if key is not None else (F.col("conv_id") * 100 + F.col("turn"))
+    key = key if key is not None else F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     return (s.where((F.col("role") == "user") & (F.col("next_role") == "assistant"))
-             .select(key.cast("bigint").alias("sample_id"),
+             .select(key.alias("sample_id"),
                      F.coalesce(F.col("sys"), F.lit("")).alias("instruction"),
                      F.col("text").alias("input"),
                      F.col("next_text").alias("output")))
@@ -42,7 +42,7 @@ def session_filter(turns: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFra
     each session at the first user turn saying exit/quit (that turn and all
     later ones are dropped)."""
     user = F.col("role") == "user"
-    stripped = py_strip(F.col("text"))
+    stripped = F.coalesce(py_strip(F.col("text")), F.lit(""))  # a null user text is a blank one
     is_exit = user & F.lower(stripped).isin(*EXIT_WORDS)
     s = segmented_scan(turns, "conv_id", "turn",
                        sums={"exit": is_exit.cast("bigint")}, chunk_size=chunk_size)
@@ -164,7 +164,7 @@ def prompts_for_turns(turns: DataFrame, max_tokens: int,
     # prefix (before the first exit) minus blank user turns, so their
     # positions and token sums are running sums over the original order.
     user = F.col("role") == "user"
-    stripped = py_strip(F.col("text"))
+    stripped = F.coalesce(py_strip(F.col("text")), F.lit(""))
     blank = user & (stripped == "")
     t = (turns.withColumn("_exit", (user & F.lower(stripped).isin(*EXIT_WORDS)).cast("bigint"))
               .withColumn("_blank", blank)

@@ -2,8 +2,9 @@
 (H1-H5).
 
 The functions themselves are per-row libraries (model runtimes, API
-clients); here they run inside Arrow-batched iterators, built once per task
-by a factory, in parallel over partitions.  Everything around them (prompt
+clients); here they run inside Arrow-batched iterators and get whole batches.
+A factory builds them once for each Python process (``_made``), which Spark
+reuses between tasks.  Everything around them (prompt
 rendering, decoding, scoring) stays JVM-side.
 
 Model and judge calls are expensive and not idempotent, so their results
@@ -16,6 +17,7 @@ so a rerun calls nothing twice.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Protocol
 
@@ -26,11 +28,22 @@ from pyspark.sql import types as T
 
 
 class Generator(Protocol):
-    """What ``generate`` needs from a model runtime."""
+    """What ``generate`` needs from a model runtime; lists go in and out, so
+    the runtime can batch on its own device."""
 
-    def encode(self, text: str) -> Sequence: ...
-    def generate(self, ids: Sequence, max_new_tokens: int) -> Sequence: ...
-    def decode(self, ids: Sequence) -> str: ...
+    def encode(self, texts: list[str]) -> list[Sequence]: ...
+    def generate(self, ids: list[Sequence], max_new_tokens: int) -> list[Sequence]: ...
+    def decode(self, ids: list[Sequence]) -> list[str]: ...
+
+
+_MADE: dict = {}
+
+
+def _made(factory: Callable, token: str):
+    """The factory's product, built once in this Python process."""
+    if token not in _MADE:
+        _MADE[token] = factory()
+    return _MADE[token]
 
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
@@ -50,27 +63,21 @@ def generate(df: DataFrame, model_factory: Callable[[], Generator], prompt: str
              out: str = "answer", max_new_tokens: int = 512,
              keep: Sequence[str] = ("sample_id",)) -> DataFrame:
     """H2: prompt -> stripped answer text, only the newly generated part.
-
-    ``model_factory`` is called once per task, before the first batch.
-    """
+    Null prompts get a null answer."""
     schema = _out_schema(df, keep, [T.StructField(out, T.StringType())])
-    cols = list(keep)
+    cols, token = list(keep), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = model_factory()
+        model = _made(model_factory, token)
         for pdf in batches:
-            answers = []
-            for p in pdf[prompt]:
-                if p is None:
-                    answers.append(None)
-                    continue
-                ids = list(model.encode(p))
-                full = list(model.generate(ids, max_new_tokens))
-                new = full[len(ids):] if len(full) > len(ids) else []
-                answers.append(model.decode(new).strip())
-            res = pdf[cols].copy()
-            res[out] = answers
-            yield res
+            at = [i for i, p in enumerate(pdf[prompt]) if p is not None]
+            ids = [list(x) for x in model.encode([pdf[prompt].iloc[i] for i in at])]
+            full = model.generate(ids, max_new_tokens)
+            new = [list(f)[len(x):] for f, x in zip(full, ids, strict=True)]
+            answers: list[str | None] = [None] * len(pdf)
+            for i, text in zip(at, model.decode(new), strict=True):
+                answers[i] = text.strip()
+            yield pdf[cols].assign(**{out: answers})
 
     return df.select(*cols, prompt).mapInPandas(run, schema)
 
@@ -90,21 +97,22 @@ def generate_variants(df: DataFrame, factories: Mapping[str, Callable[[], Genera
 
 def judge(df: DataFrame, client_factory: Callable[[], Callable[..., str]], model: str,
           messages: str = "messages", temperature: float = 0.0, max_tokens: int = 500,
-          min_interval_s: float = 1.0, keep: Sequence[str] = ("sample_id",)) -> DataFrame:
+          min_interval_s: float = 1.0, keep: Sequence[str] = ("sample_id",),
+          concurrency: int | None = None) -> DataFrame:
     """H4: one judge call per row -> ``<keep..., reply, error>``.
 
     ``client_factory()`` returns ``call(messages, model=..., temperature=...,
     max_tokens=...) -> str``.  A failing call is captured per row (``error``
     holds the message) and the job goes on.  Calls of one task are spaced at
-    least ``min_interval_s`` apart; total concurrency is the number of
-    partitions, so bound it with ``repartition(n)`` before calling.
+    least ``min_interval_s`` apart; ``concurrency`` is the number of tasks that
+    call (default: the partitions of ``df``).
     """
     schema = _out_schema(df, keep, [T.StructField("reply", T.StringType()),
                                     T.StructField("error", T.StringType())])
-    cols = list(keep)
+    cols, token = list(keep), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = client_factory()
+        call = _made(client_factory, token)
         last = None
         for pdf in batches:
             replies, errors = [], []
@@ -127,15 +135,18 @@ def judge(df: DataFrame, client_factory: Callable[[], Callable[..., str]], model
             res["error"] = errors
             yield res
 
-    return df.select(*cols, messages).mapInPandas(run, schema)
+    calls = df.select(*cols, messages)
+    return (calls.repartition(concurrency) if concurrency else calls).mapInPandas(run, schema)
 
 
-def encode_tokens(df: DataFrame, encoder_factory: Callable[[], Callable[[str], Sequence[Sequence[float]]]],
+def encode_tokens(df: DataFrame,
+                  encoder_factory: Callable[[], Callable[[list[str]], list[Sequence[Sequence[float]]]]],
                   text: str = "text", keep: Sequence[str] = ("pair_id", "side")) -> DataFrame:
     """H5: text -> one row per token ``<keep..., tok_id, vec array<float>>``.
 
     Token rows (not one array per text) keep a long text from becoming one
-    huge row; the encoder must not emit special tokens.  Vectors go back to
+    huge row; the encoder gets the texts of a batch and must not emit special
+    tokens.  Vectors go back to
     the JVM as one flat Arrow buffer per batch (``mapInArrow``), not as
     per-token Python objects.
     """
@@ -144,17 +155,15 @@ def encode_tokens(df: DataFrame, encoder_factory: Callable[[], Callable[[str], S
 
     schema = _out_schema(df, keep, [T.StructField("tok_id", T.LongType()),
                                     T.StructField("vec", T.ArrayType(T.FloatType()))])
-    cols = list(keep)
+    cols, token = list(keep), uuid.uuid4().hex
 
     def run(batches):
-        enc = encoder_factory()
+        enc = _made(encoder_factory, token)
         for rb in batches:
-            texts = rb.column(text).to_pylist()
+            texts = [(i, t) for i, t in enumerate(rb.column(text).to_pylist()) if t is not None]
             rows, tok_ids, mats = [], [], []
-            for i, t in enumerate(texts):
-                if t is None:
-                    continue
-                m = np.asarray(enc(t), dtype=np.float32)
+            for (i, _), m in zip(texts, enc([t for _, t in texts]), strict=True):
+                m = np.asarray(m, dtype=np.float32)
                 if m.size == 0:
                     continue
                 rows.append(np.full(len(m), i, dtype=np.int64))
@@ -184,50 +193,3 @@ def materialize(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
     nothing upstream is recomputed (or re-called) later."""
     df.write.mode(mode).parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-# --------------------------------------------------------------------------
-# Deterministic stand-ins used by tests and the registered stub queries.
-
-class EchoModel:
-    """Word-level stand-in: 'generates' by repeating ``max_new_tokens`` words
-    of the prompt, from the start (``tail=False``) or from the end."""
-
-    def __init__(self, tail: bool = False):
-        self.tail = tail
-
-    def encode(self, text: str) -> list[str]:
-        return text.split()
-
-    def generate(self, ids: Sequence, max_new_tokens: int) -> list:
-        ids = list(ids)
-        new = ids[-max_new_tokens:] if self.tail else ids[:max_new_tokens]
-        return ids + new
-
-    def decode(self, ids: Sequence) -> str:
-        return " ".join(ids)
-
-
-def length_judge() -> Callable[..., str]:
-    """Stand-in judge: scores are digits of the user prompt's length."""
-    def call(messages, model=None, temperature=None, max_tokens=None) -> str:
-        n = len(messages[-1]["content"])
-        a = (1 + n % 10, 1 + (n // 10) % 10)
-        b = (1 + (n // 100) % 10, 1 + (n // 7) % 10)
-        return ('{"model_a": {"correctness": %d, "completeness": %d, "comment": "ok"}, '
-                '"model_b": {"correctness": %d, "completeness": %d, "comment": "ok"}}' % (*a, *b))
-    return call
-
-
-def bucket_encoder(dims: int = 16) -> Callable[[str], Sequence[Sequence[float]]]:
-    """Stand-in encoder: each whitespace word becomes the one-hot vector of
-    the first hex digit of its md5 (so cosine is 1 for equal buckets)."""
-    import hashlib
-
-    import numpy as np
-    eye = np.eye(dims, dtype=np.float32)
-
-    def enc(text: str):
-        buckets = [int(hashlib.md5(w.encode("utf-8")).hexdigest()[0], 16) % dims for w in text.split()]
-        return eye[buckets]
-    return enc

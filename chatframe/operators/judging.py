@@ -5,9 +5,9 @@ Decoding rules (strict JSON like ``json.loads``):
 
 * the reply is stripped; if it starts with a code fence the piece between the
   first and second fence is taken, a leading ``json`` tag dropped, stripped;
-* the text is parsed as ``'[' + text + ']'`` and must give exactly one array
-  element: this rejects trailing text and several concatenated objects, which
-  the lenient JSON readers accept;
+* the text is parsed as ``'[' + text + ',"' + md5(text) + '"]'`` and the second
+  element must be that digest: this rejects trailing text, also after a ``]`` of
+  the reply, and several values, which the lenient JSON readers accept;
 * ``model_a`` / ``model_b`` must both be present (else ``missing_model``);
 * scores are read in the order base.d1, lora.d1, base.d2, lora.d2, ...; on the
   first missing (``missing_score``) or non-numeric (``bad_score_type``) value
@@ -44,58 +44,45 @@ def assign_ab(df: DataFrame, seed: int = 42, key: str = "sample_id",
               .withColumn("answer_b", F.when(F.col("base_is_a"), F.col(lora)).otherwise(F.col(base))))
 
 
-def unfence(reply: Column | str) -> Column:
-    """K4: strip, take the first fenced block, drop a leading ``json`` tag, strip."""
-    s = py_strip(reply)
-    inner = F.try_element_at(F.split(s, FENCE, -1), F.lit(2))
-    inner = F.when(F.startswith(inner, F.lit("json")), F.substr(inner, F.lit(5))).otherwise(inner)
-    return F.when(F.startswith(s, F.lit(FENCE)), py_strip(inner)).otherwise(s)
-
-
-def decode_reply(text: Column | str) -> Column:
-    """K5: strict parse to a Variant holding the single JSON value, else NULL."""
-    t = F.col(text) if isinstance(text, str) else text
-    v = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
-    one = (F.try_variant_get(v, "$[0]", "variant").isNotNull()
-           & F.try_variant_get(v, "$[1]", "variant").isNull())
-    return F.when(v.isNotNull() & one, F.try_variant_get(v, "$[0]", "variant"))
-
-
 def score_replies(df: DataFrame, dims: Sequence[str] = SCORE_DIMS,
                   reply: str = "reply", call_error: str | None = "error",
                   atomic: bool = False) -> DataFrame:
     """K4-K8: decode ``reply`` and un-blind it with ``base_is_a``.
 
-    Adds ``error`` (closed code set or NULL) and ``base_<dim>`` /
-    ``lora_<dim>`` doubles holding the values that count (prefix rule; with
-    ``atomic=True`` only rows without error count).
+    All input columns stay, but for ``call_error``, whose message moves to
+    ``call_message``.  Adds ``error`` (closed code set or NULL), ``base_comment``
+    and ``lora_comment``, and ``base_<dim>`` / ``lora_<dim>`` doubles holding
+    the values that count (prefix rule; with ``atomic=True`` only rows without
+    error count).
 
     Built in stages of plain columns (the reply is parsed once; every later
     step refers to columns, so the plan stays linear in the number of
     dimensions and everything remains one narrow, codegen'd projection).
     """
-    call_failed = F.col(reply).isNull()
-    if call_error is not None and call_error in df.columns:
-        call_failed = call_failed | F.col(call_error).isNotNull()
-    df = df.withColumn("_failed", call_failed)
-    if call_error is not None and call_error in df.columns:
-        df = df.drop(call_error)
+    has_error = call_error is not None and call_error in df.columns
+    made = {f"{v}_{x}" for v in ("base", "lora") for x in (*dims, "comment")} | {"call_message", "error"}
+    kept = [c for c in df.columns if c != call_error and c not in made]
+    message = F.col(call_error).cast("string") if has_error else F.lit(None).cast("string")
+    d = df.select(F.struct(*kept).alias("_in"), F.col(reply).alias("_reply"), F.col("base_is_a").alias("_a"),
+                  message.alias("call_message"))
     # K4 then K5, one column per step: each intermediate is computed once
-    d = (df
-           .withColumn("_s", py_strip(F.col(reply)))
+    d = (d
+           .withColumn("_failed", F.col("_reply").isNull() | F.col("call_message").isNotNull())
+           .withColumn("_s", py_strip(F.col("_reply")))
            .withColumn("_inner", F.try_element_at(F.split("_s", FENCE, -1), F.lit(2)))
            .withColumn("_inner", F.when(F.startswith("_inner", F.lit("json")),
                                         F.substr("_inner", F.lit(5))).otherwise(F.col("_inner")))
            .withColumn("_body", F.when(F.startswith("_s", F.lit(FENCE)), py_strip("_inner"))
                                  .otherwise(F.col("_s")))
-           .withColumn("_v", F.try_parse_json(F.concat(F.lit("["), F.col("_body"), F.lit("]"))))
-           .withColumn("_doc", F.when(F.try_variant_get("_v", "$[0]", "variant").isNotNull()
-                                      & F.try_variant_get("_v", "$[1]", "variant").isNull(),
+           .withColumn("_mark", F.md5("_body"))
+           .withColumn("_v", F.try_parse_json(F.concat(F.lit("["), F.col("_body"), F.lit(',"'), F.col("_mark"),
+                                                       F.lit('"]'))))
+           .withColumn("_doc", F.when(F.try_variant_get("_v", "$[1]", "string") == F.col("_mark"),
                                       F.try_variant_get("_v", "$[0]", "variant"))))
-    d = (d.withColumn("_base", F.when(F.col("base_is_a"),
+    d = (d.withColumn("_base", F.when(F.col("_a"),
                                       F.try_variant_get("_doc", "$.model_a", "variant"))
                                  .otherwise(F.try_variant_get("_doc", "$.model_b", "variant")))
-          .withColumn("_lora", F.when(F.col("base_is_a"),
+          .withColumn("_lora", F.when(F.col("_a"),
                                       F.try_variant_get("_doc", "$.model_b", "variant"))
                                  .otherwise(F.try_variant_get("_doc", "$.model_a", "variant"))))
     # reading order: base.d1, lora.d1, base.d2, lora.d2, ...
@@ -123,15 +110,16 @@ def score_replies(df: DataFrame, dims: Sequence[str] = SCORE_DIMS,
     for name, _, _ in slots:
         prior = prior & F.col(f"_ok_{name}")
         outs.append(F.when(prior, F.try_variant_get(f"_x_{name}", "$", "double")).alias(name))
-    keep = [c for c in d.columns if not c.startswith("_")]
-    return d.select(*keep, *outs)
+    comments = [F.when(~F.col("_failed"), F.try_variant_get(f"_{v}", "$.comment", "string")).alias(f"{v}_comment")
+                for v in ("base", "lora")]
+    return d.select("_in.*", "call_message", "error", *outs, *comments)
 
 
 def scoreboard_wide(scored: DataFrame, dims: Sequence[str] = SCORE_DIMS,
-                    group: Sequence[str] = ()) -> DataFrame:
+                    group: Sequence[str] = (), mean_of_means: bool = False) -> DataFrame:
     """L3, L5, L6 in one aggregate: means per dimension/variant (0 when
-    nothing scored), totals with the correctness-count denominator and row
-    counts.  Columns: ``<variant>_<dim>``, ``<variant>_total``, ``n_evaluated``,
+    nothing scored), totals with the correctness-count denominator (or, with
+    ``mean_of_means``, the mean of the dimensions' means) and row counts.  Columns: ``<variant>_<dim>``, ``<variant>_total``, ``n_evaluated``,
     ``n_failed``."""
     aggs = []
     for dim in dims:
@@ -141,6 +129,9 @@ def scoreboard_wide(scored: DataFrame, dims: Sequence[str] = SCORE_DIMS,
     for v in ("base", "lora"):
         total = sum((F.coalesce(F.sum(f"{v}_{d}"), F.lit(0.0)) for d in dims), F.lit(0.0))
         denom = F.lit(float(len(dims))) * F.greatest(F.count(f"{v}_{first}"), F.lit(1))
+        if mean_of_means:
+            total = sum((F.coalesce(F.avg(f"{v}_{d}"), F.lit(0.0)) for d in dims), F.lit(0.0))
+            denom = F.lit(float(len(dims)))
         aggs.append((total / denom).alias(f"{v}_total"))
     aggs.append(F.count_if(F.col("error").isNull()).alias("n_evaluated"))
     aggs.append(F.count_if(F.col("error").isNotNull()).alias("n_failed"))

@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatframe.operators.scans import DEFAULT_CHUNK, segmented_scan
+from pyspark.sql.window import Window
 
-# Above this many rows a top-k would be merged in one task; switch to the
-# threshold method, which keeps the work distributed.
-TOPK_MAX = 100_000
+from chatframe.session import work_dir
+
+COPY_STEP = 10_000  # copies of a row emitted by one task at a time
+PREFIX_DIGITS = 4  # hash prefixes of a sample: 16**4 rows at most in one window
 
 
 def sample_hash(seed: int, key: Column | str = "sample_id") -> Column:
@@ -23,44 +24,31 @@ def sample_hash(seed: int, key: Column | str = "sample_id") -> Column:
 def sample_k(df: DataFrame, k: int, seed: int = 42, key: str = "sample_id") -> DataFrame:
     """Exactly ``min(k, n)`` rows without replacement, reproducible.
 
-    Small ``k``: one ``TakeOrderedAndProject`` (per-partition top-k, then a
-    merge of at most partitions x k rows).  Large ``k``: a 64-bit prefix of the
-    hash is cut at an approximate quantile; rows clearly below are taken as
-    they are, and only the narrow band around the cut is ranked exactly.
+    One lazy plan for every ``k``: count the rows of each hash prefix (a table
+    of at most ``16**PREFIX_DIGITS`` rows), take whole prefixes while they fit,
+    and rank only the rows of the prefix in which the ``k``-th row lies.
     """
-    h = sample_hash(seed, key)
-    if k <= TOPK_MAX:
-        return df.withColumn("_h", h).orderBy("_h", key).limit(k).drop("_h")
-    return _sample_k_threshold(df, k, h, key)
-
-
-def _sample_k_threshold(df: DataFrame, k: int, h: Column, key: str) -> DataFrame:
-    # top 15 hex digits -> non-negative bigint, monotone in the md5 order
-    hv = F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
-    d = df.withColumn("_h", h).withColumn("_hv", hv)
-    stats = d.agg(F.count(F.lit(1)).alias("n")).first()
-    n = stats["n"]
-    if k >= n:
-        return d.drop("_h", "_hv")
-    frac = k / n
-    eps = min(0.5, 4.0 / (k ** 0.5) + 0.001)
-    lo_q, hi_q = max(0.0, frac * (1 - eps)), min(1.0, frac * (1 + eps))
-    lo, hi = d.agg(F.percentile_approx("_hv", [lo_q, hi_q], 10_000).alias("q")).first()["q"]
-    sure = d.where(F.col("_hv") < lo)
-    n_sure = sure.count()
-    band = d.where((F.col("_hv") >= lo) & (F.col("_hv") <= hi))
-    need = k - n_sure
-    if need < 0 or band.count() < need:
-        # approximation missed: fall back to the exact ranking on everything
-        return d.orderBy("_h", key).limit(k).drop("_h", "_hv")
-    picked = band.orderBy("_h", key).limit(need)
-    return sure.unionByName(picked).drop("_h", "_hv")
-
-
-def select_ids(df: DataFrame, ids: DataFrame, key: str = "sample_id") -> DataFrame:
+    d = df.withColumn("_h", sample_hash(seed, key)).withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS))
+    upto = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    cut = (d.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+           .withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+           .where(F.col("_before") < k).select("_p", "_n", "_before"))
+    near = d.join(cut, "_p")
+    whole = near.where(F.col("_before") + F.col("_n") <= k)
+    edge = (near.where(F.col("_before") + F.col("_n") > k)
+            .withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_h", key)))
+            .where(F.col("_before") + F.col("_r") <= k))
+    return whole.select(df.columns).unionByName(edge.select(df.columns))
+
+
+def select_ids(df: DataFrame, ids: DataFrame, key: str = "sample_id", position: str | None = None) -> DataFrame:
     """Rows whose key is in ``ids`` (semi join; AQE broadcasts ``ids``
-    only when its measured size is under the broadcast threshold)."""
-    return df.join(ids.select(key), key, "left_semi")
+    only when its measured size is under the broadcast threshold).  With
+    ``position``, a column of ``ids``, a known list is replayed: that column is
+    added and a key listed twice gives two rows."""
+    if position is None:
+        return df.join(ids.select(key), key, "left_semi")
+    return df.join(ids.select(key, position), key)
 
 
 def ensure_sample_id(df: DataFrame, cols=("instruction", "input", "output"),
@@ -70,7 +58,8 @@ def ensure_sample_id(df: DataFrame, cols=("instruction", "input", "output"),
 
     Exact copies are counted by an aggregate (map-side combined, so a group
     of copies holding a third of the table is not sent to one task) and
-    re-emitted with a copy index; no window, no read-order dependent id.
+    re-emitted with a copy index, in two steps of at most ``COPY_STEP`` so no
+    row becomes one huge array; no window, no read-order dependent id.
     """
     if key in df.columns:
         return df
@@ -82,15 +71,34 @@ def ensure_sample_id(df: DataFrame, cols=("instruction", "input", "output"),
         parts.append(F.coalesce(F.col(c), F.lit("")))
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     full = F.xxhash64(*[F.col(c) for c in df.columns]).cast("string")
-    return (counted.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    steps = F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPY_STEP).cast("long"))
+    inner = F.least(F.lit(COPY_STEP), F.col("_copies") - F.col("_step") * COPY_STEP) - 1
+    return (counted.withColumn("_step", F.explode(steps)).repartition("_step", *df.columns)
+                   .withColumn("_in", F.explode(F.sequence(F.lit(0).cast("long"), inner)))
+                   .withColumn("_copy", F.col("_in") + F.col("_step") * COPY_STEP)
                    .withColumn(key, F.concat_ws(":", F.md5(F.concat(*parts)), full,
                                                 F.col("_copy").cast("string")))
-                   .drop("_copies", "_copy"))
+                   .drop("_copies", "_step", "_in", "_copy"))
+
 
+def number_rows(df: DataFrame, order: str, name: str = "rn", start: int = 1) -> DataFrame:
+    """``enumerate(..., start)`` over any orderable unique key, without
+    the single-task window that an unpartitioned ``row_number`` needs.
 
-def number_rows(df: DataFrame, order: str, name: str = "rn", start: int = 1,
-                chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
-    """``enumerate(..., start)`` over an integer key, without the
-    single-task window that an unpartitioned ``row_number`` needs."""
-    s = segmented_scan(df.withColumn("_all", F.lit(0)), "_all", order, chunk_size=chunk_size)
-    return s.withColumn(name, F.col("pos") + start).drop("_all", "pos", "group_rows")
+    Rows are range-partitioned and sorted, written once with their place in
+    the partition, and shifted by the rows of the partitions before (one
+    number for each partition).  Runs one job when it is called.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, "numbered")
+    (df.repartitionByRange(order).sortWithinPartitions(order)
+     .withColumn("_id", F.monotonically_increasing_id()).write.parquet(path))
+    part = F.shiftright("_id", 33).cast("int")
+    d = spark.read.parquet(path).withColumn("_part", part)
+    before, shift = start, []
+    for p, n in sorted((r["_part"], r["count"]) for r in d.groupBy("_part").count().collect()):
+        shift.append((p, before))
+        before += n
+    offsets = spark.createDataFrame(shift, "_part int, _off long")
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return d.join(offsets, "_part").withColumn(name, place + F.col("_off")).select(*df.columns, name)

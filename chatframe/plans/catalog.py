@@ -44,6 +44,10 @@ def r6(c) -> F.Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
+def r6c(c: F.Column) -> F.Column:
+    return F.round(c, 6)
+
+
 # ---------------------------------------------------------------- judging ---
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     replies = fx.judge_replies(spark, sf_dir).drop("base_is_a")
@@ -127,12 +131,26 @@ def sample_k(spark, sf_dir):
 
 
 @register("select_ids", q.with_views("""
-SELECT * FROM sft s WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = s.sample_id)""", "sft"))
+SELECT * FROM sft s
+WHERE EXISTS (SELECT 1 FROM labels l WHERE concat(l.doc_id // 100, ':', l.doc_id % 100) = s.sample_id)""", "sft"))
 def select_ids(spark, sf_dir):
-    ids = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("sample_id"))
+    ids = table(spark, sf_dir, "labels").select(_label_key().alias("sample_id"))
     return sp.select_ids(fx.sft(spark, sf_dir), ids)
 
 
+def _label_key():
+    d = F.col("doc_id")
+    return F.concat_ws(":", F.floor(d / 100).cast("string"), (d % 100).cast("string"))
+
+
+@register("replay_ids", q.with_views("""
+SELECT l.doc_id AS position, s.* FROM labels l JOIN sft s
+  ON concat(l.doc_id // 100, ':', l.doc_id % 100) = s.sample_id""", "sft"))
+def replay_ids(spark, sf_dir):
+    ids = table(spark, sf_dir, "labels").select(_label_key().alias("sample_id"), F.col("doc_id").alias("position"))
+    return sp.select_ids(fx.sft(spark, sf_dir), ids, position="position")
+
+
 @register("sft_from_conversations", q.with_views("SELECT * FROM sft", "sft"))
 def sft_from_conversations(spark, sf_dir):
     return fx.sft(spark, sf_dir)
@@ -273,12 +291,12 @@ SELECT t.conv_id, t.turn, count(i.turn) AS n_messages,
 FROM c t LEFT JOIN c i
   ON i.conv_id = t.conv_id AND i.turn <= t.turn AND t.cum - i.cum + i.n <= {HISTORY_BUDGET}
 WHERE t.role = 'user'
-GROUP BY t.conv_id, t.turn""", extra=[
-    ("sess", _SESSION.replace("{src}", "conversations")),
+GROUP BY t.conv_id, t.turn""", "turns_with_exit", extra=[
+    ("sess", _SESSION.replace("{src}", "turns_with_exit")),
     ("tok", f"SELECT conv_id, turn, role, text, {q.count_words('text')} AS n FROM sess"),
     ("c", _CUM)]))
 def turn_prompts(spark, sf_dir):
-    return ctx.prompts_for_turns(fx.conversations(spark, sf_dir), HISTORY_BUDGET)
+    return ctx.prompts_for_turns(fx.turns_with_exit(spark, sf_dir), HISTORY_BUDGET)
 
 
 # ------------------------------------------------------- answers / reports ---
@@ -339,6 +357,15 @@ def bertscore_pairs(spark, sf_dir):
                     r6("recall").alias("recall"), r6("f1").alias("f1"))
 
 
+@register("bertscore_blocks", ORACLE["bertscore_pairs"])
+def bertscore_blocks(spark, sf_dir):
+    """The same pairs in blocks of 3 ids, so that every pair has several."""
+    from chatframe.operators.bertscore import bertscore
+    s = bertscore(fx.token_pairs(spark, sf_dir), block=3)
+    return s.select("pair_id", "variant", r6("precision").alias("precision"),
+                    r6("recall").alias("recall"), r6("f1").alias("f1"))
+
+
 @register("bertscore_summary", _bs("""
 SELECT variant, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM (
   SELECT variant, avg(precision) AS precision, avg(recall) AS recall, avg(f1) AS f1 FROM scores GROUP BY variant
@@ -381,23 +408,16 @@ def bertscore_bottom(spark, sf_dir):
     return _ranked(spark, sf_dir, False)
 
 
-@register("bertscore_details", _bs("""
-SELECT a.pair_id, a.question, left(a.reference, 200) AS reference, left(a.base_answer, 200) AS base_pred,
-       left(a.lora_answer, 200) AS lora_pred, round(d.base_f1, 6) AS base_f1, round(d.lora_f1, 6) AS lora_f1,
-       round(d.f1_diff, 6) AS f1_diff
-FROM (SELECT *, row_number() OVER (ORDER BY sample_id) - 1 AS pair_id FROM answers) a
-JOIN d ON a.pair_id = d.pair_id""", "answers"))
-def bertscore_details(spark, sf_dir):
+@register("ranked_few", _bs("""
+SELECT CAST(row_number() OVER (ORDER BY f1_diff, pair_id) AS INT) AS rank, pair_id, round(f1_diff, 6) AS f1_diff
+FROM d WHERE pair_id % 13 = 0"""))
+def ranked_few(spark, sf_dir):
+    """More rows are asked for than there are."""
     from chatframe.operators.bertscore import f1_diffs
-    from chatframe.operators.sampling import number_rows
-    a = number_rows(fx.answers(spark, sf_dir), "sample_id", name="pair_id", start=0)
-    d = f1_diffs(pair_scores(spark, sf_dir))
-    j = a.join(d, "pair_id")
-    return j.select("pair_id", "question", tx.cut("reference", 200).alias("reference"),
-                    tx.cut("base_answer", 200).alias("base_pred"),
-                    tx.cut("lora_answer", 200).alias("lora_pred"),
-                    r6("base_f1").alias("base_f1"), r6("lora_f1").alias("lora_f1"),
-                    r6("f1_diff").alias("f1_diff"))
+    from chatframe.operators.reports import top_k
+    few = f1_diffs(pair_scores(spark, sf_dir)).where("pair_id % 13 = 0")
+    t = top_k(few, "f1_diff", 1000, descending=False)
+    return t.select(F.col("rank").cast("int").alias("rank"), "pair_id", r6("f1_diff").alias("f1_diff"))
 
 
 @register("bertscore_report", _bs("""
@@ -429,7 +449,8 @@ SELECT sample_id, 'lora' AS variant,
        array_to_string(list_slice(w, greatest(len(w) - {STUB_NEW_TOKENS - 1}, 1), len(w)), ' ') AS answer FROM p""",
     "sft", extra=[("p", f"SELECT sample_id, {q.words(_GEN_PROMPT)} AS w FROM sft")]))
 def generate_stub(spark, sf_dir):
-    from chatframe.operators.inference import EchoModel, generate_variants
+    from chatframe.operators.inference import generate_variants
+    from chatframe.sources.standins import EchoModel
     s = fx.sft(spark, sf_dir).select(
         "sample_id", render_chat(to_messages("system_user"), DEFAULT_TEMPLATE,
                                  add_generation_prompt=True).alias("prompt"))
@@ -450,7 +471,8 @@ FROM (SELECT sample_id, base_is_a, length({_JP}) AS n
                   FROM answers) a) b) c""", "answers"))
 def judge_stub(spark, sf_dir):
     from chatframe.functions.prompts import judge_messages
-    from chatframe.operators.inference import judge, length_judge
+    from chatframe.operators.inference import judge
+    from chatframe.sources.standins import length_judge
     a = jd.assign_ab(fx.answers(spark, sf_dir), SEED)
     calls = a.select("sample_id", "base_is_a",
                      judge_messages(render_judge_prompt()).alias("messages"))
@@ -474,46 +496,89 @@ def judge_resume(spark, sf_dir):
 
 
 _BT_WORDS = {c: q.words(c) for c in ("base_answer", "lora_answer", "reference")}
-
-
-@register("bertscore_text", q.with_views(f"""
-SELECT g.pair_id, g.variant, round(coalesce(p.precision, 0), 6) AS precision,
-       round(coalesce(rc.recall, 0), 6) AS recall,
-       round(CASE WHEN coalesce(p.precision, 0) + coalesce(rc.recall, 0) = 0 THEN 0
-                  ELSE 2 * coalesce(p.precision, 0) * coalesce(rc.recall, 0)
-                       / (coalesce(p.precision, 0) + coalesce(rc.recall, 0)) END, 6) AS f1
-FROM grid g
-LEFT JOIN p ON p.pair_id = g.pair_id AND p.variant = g.variant
-LEFT JOIN rc ON rc.pair_id = g.pair_id AND rc.variant = g.variant""", "answers", extra=[
+_BT = [
     ("toks", f"""SELECT sample_id AS pair_id, 'base' AS side, unnest({_BT_WORDS['base_answer']}) AS w FROM answers
 UNION ALL SELECT sample_id, 'lora', unnest({_BT_WORDS['lora_answer']}) FROM answers
 UNION ALL SELECT sample_id, 'ref', unnest({_BT_WORDS['reference']}) FROM answers"""),
     ("bk", "SELECT pair_id, side, substr(md5(w), 1, 1) AS b FROM toks"),
     ("refb", "SELECT DISTINCT pair_id, b FROM bk WHERE side = 'ref'"),
     ("candb", "SELECT DISTINCT pair_id, side, b FROM bk WHERE side <> 'ref'"),
-    ("grid", "SELECT pair_id, variant FROM (SELECT DISTINCT pair_id FROM bk) x, (VALUES ('base'), ('lora')) v(variant)"),
-    ("has", "SELECT DISTINCT pair_id, side FROM bk WHERE side <> 'ref'"),
+    ("grid", "SELECT sample_id AS pair_id, variant FROM answers, (VALUES ('base'), ('lora')) v(variant)"),
+    ("has", "SELECT DISTINCT pair_id, side FROM bk"),
     ("p", """SELECT c.pair_id, c.side AS variant, avg(CASE WHEN r.b IS NULL THEN 0.0 ELSE 1.0 END) AS precision
 FROM bk c LEFT JOIN refb r ON r.pair_id = c.pair_id AND r.b = c.b
 WHERE c.side <> 'ref' GROUP BY 1, 2"""),
     ("rc", """SELECT r.pair_id, v.side AS variant, avg(CASE WHEN cb.b IS NULL THEN 0.0 ELSE 1.0 END) AS recall
-FROM bk r JOIN has v ON v.pair_id = r.pair_id
+FROM bk r JOIN has v ON v.pair_id = r.pair_id AND v.side <> 'ref'
 LEFT JOIN candb cb ON cb.pair_id = r.pair_id AND cb.side = v.side AND cb.b = r.b
-WHERE r.side = 'ref' GROUP BY 1, 2""")]))
-def bertscore_text(spark, sf_dir):
+WHERE r.side = 'ref' GROUP BY 1, 2"""),
+    ("ts", """SELECT g.pair_id, g.variant, coalesce(p.precision, 0) AS precision, coalesce(rc.recall, 0) AS recall,
+  CASE WHEN coalesce(p.precision, 0) + coalesce(rc.recall, 0) = 0 THEN 0
+       ELSE 2 * coalesce(p.precision, 0) * coalesce(rc.recall, 0) / (coalesce(p.precision, 0) + coalesce(rc.recall, 0)) END AS f1
+FROM grid g LEFT JOIN p ON p.pair_id = g.pair_id AND p.variant = g.variant
+LEFT JOIN rc ON rc.pair_id = g.pair_id AND rc.variant = g.variant"""),
+    ("td", """SELECT *, lora_f1 - base_f1 AS f1_diff FROM (
+  SELECT pair_id, max(CASE WHEN variant = 'base' THEN f1 END) AS base_f1,
+         max(CASE WHEN variant = 'lora' THEN f1 END) AS lora_f1 FROM ts GROUP BY pair_id) x"""),
+]
+
+
+def _bt(body: str) -> str:
+    return q.with_views(body, "answers", extra=_BT)
+
+
+def text_scores(spark, sf_dir, a: DataFrame) -> DataFrame:
+    """K1 of every answer row from its own tokens, encoded once and stored."""
     from chatframe.operators.bertscore import bertscore
-    from chatframe.operators.inference import bucket_encoder, encode_tokens
-    a = fx.answers(spark, sf_dir)
+    from chatframe.operators.inference import encode_tokens, materialize
+    from chatframe.session import work_dir
+    from chatframe.sources.standins import bucket_encoder
     sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(c).alias("text"))
                       for s, c in (("base", "base_answer"), ("lora", "lora_answer"), ("ref", "reference"))])
     texts = a.select(F.col("sample_id").alias("pair_id"), F.explode(sides).alias("t")) \
              .select("pair_id", "t.side", "t.text")
-    toks = encode_tokens(texts, bucket_encoder)
-    s = bertscore(toks)
+    toks = materialize(encode_tokens(texts, bucket_encoder), work_dir(spark, "tokens"))
+    return bertscore(toks, pairs=a.select(F.col("sample_id").alias("pair_id")))
+
+
+@register("bertscore_text", _bt("""
+SELECT pair_id, variant, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM ts"""))
+def bertscore_text(spark, sf_dir):
+    s = text_scores(spark, sf_dir, fx.answers(spark, sf_dir))
     return s.select("pair_id", "variant", r6("precision").alias("precision"),
                     r6("recall").alias("recall"), r6("f1").alias("f1"))
 
 
+@register("bertscore_details", _bt("""
+SELECT d.pair_id, a.question, left(a.reference, 200) AS reference, left(a.base_answer, 200) AS base_pred,
+       left(a.lora_answer, 200) AS lora_pred, round(d.base_f1, 6) AS base_f1, round(d.lora_f1, 6) AS lora_f1,
+       round(d.f1_diff, 6) AS f1_diff
+FROM answers a JOIN td d ON a.sample_id = d.pair_id"""))
+def bertscore_details(spark, sf_dir):
+    from chatframe.operators.bertscore import result_details
+    a = fx.answers(spark, sf_dir)
+    d = result_details(a, text_scores(spark, sf_dir, a))
+    return d.select("pair_id", "question", *[tx.cut(c, 200).alias(c) for c in ("reference", "base_pred", "lora_pred")],
+                    *[r6(c).alias(c) for c in ("base_f1", "lora_f1", "f1_diff")])
+
+
+@register("bertscore_document", _bt("""
+SELECT count(*) AS n, round(avg(base_f1), 6) AS base_f1, round(avg(lora_f1), 6) AS lora_f1 FROM td"""))
+def bertscore_document(spark, sf_dir):
+    """B3 written in document form and read back line by line."""
+    from chatframe.operators.bertscore import result_details
+    from chatframe.session import work_dir
+    from chatframe.sources.writers import write_bertscore_results
+    a = fx.answers(spark, sf_dir)
+    d = result_details(a, text_scores(spark, sf_dir, a))
+    path = work_dir(spark, "bertscore-document")
+    write_bertscore_results(d, {"num_samples": None}, path, document=True)
+    lines = spark.read.text(path).where("value rlike '^,?.\"question\"'")
+    row = F.from_json(F.regexp_replace("value", "^,", ""), "base_f1 double, lora_f1 double")
+    return lines.select(row.alias("r")).agg(F.count("*").alias("n"), r6c(F.avg("r.base_f1")).alias("base_f1"),
+                                            r6c(F.avg("r.lora_f1")).alias("lora_f1"))
+
+
 # ---------------------------------------------------------------- reports ---
 @register("judge_report", q.with_views("""
 SELECT label, printf('%.2f', base) AS base, printf('%.2f', lora) AS lora, printf('%+.2f', lora - base) AS diff FROM (
@@ -538,20 +603,21 @@ def _examples_sql() -> str:
 SELECT '{direction}' AS direction, CAST(row_number() OVER (ORDER BY f1_diff {o}, t.pair_id) AS INT) AS rank, t.pair_id,
        printf('%+.4f', f1_diff) AS diff, concat(left(question, 60), '...') AS question,
        printf('%.4f', base_f1) AS base_f1, printf('%.4f', lora_f1) AS lora_f1
-FROM (SELECT * FROM d ORDER BY f1_diff {o}, pair_id LIMIT 3) t
-LEFT JOIN (SELECT row_number() OVER (ORDER BY sample_id) - 1 AS pair_id, question FROM answers) a
-  ON a.pair_id = t.pair_id""")
-    return _bs("\nUNION ALL\n".join(parts), "answers")
+FROM (SELECT pair_id, base_f1, lora_f1, round(f1_diff, 9) AS f1_diff FROM td ORDER BY round(f1_diff, 9) {o}, pair_id LIMIT 3) t
+JOIN answers a ON a.sample_id = t.pair_id""")
+    return _bt("\nUNION ALL\n".join(parts))
 
 
 @register("bertscore_examples", _examples_sql())
 def bertscore_examples(spark, sf_dir):
     from chatframe.operators.bertscore import f1_diffs
+    from chatframe.operators.inference import materialize
     from chatframe.operators.reports import ranked_examples
-    from chatframe.operators.sampling import number_rows
-    d = f1_diffs(pair_scores(spark, sf_dir))
-    qs = number_rows(fx.answers(spark, sf_dir), "sample_id", name="pair_id", start=0) \
-        .select("pair_id", "question")
+    from chatframe.session import work_dir
+    a = fx.answers(spark, sf_dir)
+    d = materialize(f1_diffs(text_scores(spark, sf_dir, a)).withColumn("f1_diff", F.round("f1_diff", 9)),
+                    work_dir(spark, "diffs"))
+    qs = a.select(F.col("sample_id").alias("pair_id"), "question")
     gain = ranked_examples(d, qs, 3, descending=True).withColumn("direction", F.lit("gain"))
     loss = ranked_examples(d, qs, 3, descending=False).withColumn("direction", F.lit("loss"))
     return gain.unionByName(loss).select(
@@ -580,29 +646,143 @@ def answers_document(spark, sf_dir):
     return read_answers(spark, path)
 
 
+@register("answers_parts", ORACLE["answers_document"])
+def answers_parts(spark, sf_dir):
+    """B1/A3 in document form: ordered parts of one JSON document."""
+    from chatframe.session import work_dir
+    from chatframe.sources.readers import read_answers
+    from chatframe.sources.writers import write_answers
+    path = work_dir(spark, "answers-parts")
+    write_answers(fx.answers(spark, sf_dir), {"seed": SEED}, path, document=True)
+    return read_answers(spark, path)
+
+
+@register("read_sft_keys", q.with_views("SELECT * FROM sft", "sft"))
+def read_sft_keys(spark, sf_dir):
+    """A1 over a JSON copy of the rows: the source's keys stay."""
+    from chatframe.session import work_dir
+    from chatframe.sources.readers import read_sft
+    path = work_dir(spark, "sft-json")
+    fx.sft(spark, sf_dir).write.json(path)
+    return read_sft(spark, path, "json")
+
+
+@register("judge_document", q.with_views("""
+SELECT j.sample_id, a.question, j.error, CASE WHEN error IS NULL THEN base_correctness END AS base_correctness,
+       CASE WHEN error IS NULL THEN lora_completeness END AS lora_completeness,
+       CASE WHEN error IS NULL THEN 'ok' END AS comment,
+       (SELECT count(*) FILTER (WHERE error IS NULL) FROM judge_details) AS num_evaluated
+FROM judge_details j JOIN answers a ON a.sample_id = j.sample_id""", "answers", "judge_details"))
+def judge_document(spark, sf_dir):
+    """B2 written in document form and read back."""
+    from chatframe.session import work_dir
+    from chatframe.sources.writers import write_judge_results
+    scored = judged(spark, sf_dir).join(fx.answers(spark, sf_dir).select("sample_id", "question"), "sample_id")
+    path = work_dir(spark, "judge-document")
+    write_judge_results(scored, {"num_samples": None}, path, document=True)
+    lines = spark.read.text(path)
+    kind = "struct<correctness:double,completeness:double,comment:string>"
+    row = F.from_json(F.regexp_replace("value", "^,", ""),
+                      f"sample_id string, question string, base_scores {kind}, lora_scores {kind}, error string")
+    head = lines.where("value like '{\"config\"%'").select(F.regexp_extract(
+        "value", r'"num_evaluated": (\d+)', 1).cast("bigint")).first()
+    return (lines.where("value rlike '^,?.\"sample_id\"'").select(row.alias("r")).select("r.*")
+            .select("sample_id", "question", "error", F.col("base_scores.correctness").alias("base_correctness"),
+                    F.col("lora_scores.completeness").alias("lora_completeness"),
+                    F.col("base_scores.comment").alias("comment"), F.lit(head[0]).alias("num_evaluated")))
+
+
+@register("map_batches", "SELECT doc_id, CAST(length(text) AS BIGINT) AS n FROM documents")
+def map_batches(spark, sf_dir):
+    from chatframe.operators.inference import map_batches as mb
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mb(d, lambda b: b[["doc_id"]].assign(n=b["text"].str.len()), "doc_id long, n long")
+
+
+@register("page_clean", f"""
+SELECT page_id, CAST(length(html) AS BIGINT) AS valid_len, md5(html) AS html_md5,
+       concat(left({q.strip('html')}, 60), '...') AS preview_60
+FROM pages""")
+def page_clean(spark, sf_dir):
+    """T11 over bytes: each page gets an invalid byte, which sanitize replaces."""
+    raw = F.concat(F.lit(b"\xff"), F.col("html").cast("binary"))
+    d = table(spark, sf_dir, "pages").select("page_id", tx.sanitize(raw.cast("string")).alias("c"))
+    body = F.when(F.startswith("c", F.lit("\ufffd")), F.substr("c", F.lit(2)))
+    d = d.select("page_id", body.alias("html"))
+    return d.select("page_id", F.length("html").cast("bigint").alias("valid_len"), F.md5("html").alias("html_md5"),
+                    tx.preview(tx.py_strip("html"), 60, always=True).alias("preview_60"))
+
+
+@register("generate_judge_pipeline", q.with_views(f"""
+SELECT sample_id, substr(md5(concat('42:ab:', sample_id)), 1, 1) >= '8' AS base_is_a,
+       array_to_string(list_slice(w, 1, {STUB_NEW_TOKENS}), ' ') AS base_answer,
+       array_to_string(list_slice(w, greatest(len(w) - {STUB_NEW_TOKENS - 1}, 1), len(w)), ' ') AS lora_answer,
+       CAST(NULL AS VARCHAR) AS error FROM p""", "sft", extra=[("p", f"SELECT sample_id, {q.words(_GEN_PROMPT)} AS w FROM sft")]))
+def generate_judge_pipeline(spark, sf_dir):
+    """Generate, store, judge, store: nothing is generated or judged twice."""
+    from chatframe.functions.prompts import judge_messages
+    from chatframe.operators.inference import generate_variants, judge, materialize, pending
+    from chatframe.operators.reports import attach_variants
+    from chatframe.session import work_dir
+    from chatframe.sources.standins import EchoModel, length_judge
+    s = materialize(fx.sft(spark, sf_dir).select(
+        "sample_id", "input", "output", render_chat(to_messages("system_user"), DEFAULT_TEMPLATE,
+                                                    add_generation_prompt=True).alias("prompt")), work_dir(spark, "prompts"))
+    long = materialize(generate_variants(s, {"base": EchoModel, "lora": lambda: EchoModel(tail=True)},
+                                         max_new_tokens=STUB_NEW_TOKENS), work_dir(spark, "answers"))
+    a = jd.assign_ab(attach_variants(long).join(s.select(
+        "sample_id", F.col("input").alias("question"), F.col("output").alias("reference")), "sample_id"), SEED)
+    calls = a.select("sample_id", "base_is_a", judge_messages(render_judge_prompt()).alias("messages"))
+    store = work_dir(spark, "judged")
+    done = materialize(judge(calls.where("base_is_a"), length_judge, model="stand-in", min_interval_s=0.0,
+                             keep=("sample_id", "base_is_a"), concurrency=4), store)
+    done = materialize(judge(pending(calls, done), length_judge, model="stand-in", min_interval_s=0.0,
+                             keep=("sample_id", "base_is_a"), concurrency=4), store)
+    return jd.score_replies(done).join(a.select("sample_id", "base_answer", "lora_answer"), "sample_id").select(
+        "sample_id", "base_is_a", "base_answer", "lora_answer", "error")
+
+
 # -------------------------------------------------------------- streaming ---
-@register("stream_context", ORACLE["context_at_turn"])
+_TURNS_SESSION = [
+    ("sess", _SESSION.replace("{src}", "turns_with_exit")),
+    ("tok", f"SELECT conv_id, turn, role, text, {q.count_words('text')} AS n FROM sess"), ("c", _CUM)]
+
+
+@register("stream_context", q.with_views(f"""
+SELECT t.conv_id, t.turn, t.role, min(i.turn) AS first_turn, count(i.turn) AS n_messages,
+       CAST(coalesce(sum(i.n), 0) AS BIGINT) AS n_tokens
+FROM c t LEFT JOIN c i
+  ON i.conv_id = t.conv_id AND i.turn <= t.turn AND t.cum - i.cum + i.n <= {HISTORY_BUDGET}
+GROUP BY t.conv_id, t.turn, t.role""", "turns_with_exit", extra=_TURNS_SESSION))
 def stream_context(spark, sf_dir):
+    """Turns arrive in three micro-batches; session rules apply in the stream."""
+    from chatframe.operators.inference import materialize
     from chatframe.schemas import TURN
+    from chatframe.session import work_dir
     from chatframe.streaming.context import stream_context as sc
     from chatframe.streaming.runner import run_append
-    src = (spark.readStream.schema(TURN).option("pathGlobFilter", "conversations.parquet")
-                .parquet(sf_dir))
-    return run_append(sc(src, HISTORY_BUDGET), "stream-context")
+    turns, path = fx.turns_with_exit(spark, sf_dir), work_dir(spark, "turns")
+    for part in ("turn < 2", "turn >= 2 AND turn < 4", "turn >= 4"):
+        materialize(turns.where(part).coalesce(1), path)
+    src = spark.readStream.schema(TURN).option("maxFilesPerTrigger", 1).parquet(path)
+    return run_append(sc(src, HISTORY_BUDGET), "stream-context").where("status = 'ok'").drop("status")
 
 
 @register("stream_scoreboard", ORACLE["judge_scoreboard"])
 def stream_scoreboard(spark, sf_dir):
+    """Every reply's call fails in the first micro-batch and is retried."""
     from chatframe.operators.inference import materialize
     from chatframe.session import work_dir
-    from chatframe.streaming.runner import run_complete
-    from chatframe.streaming.scoreboard import running_sums, sums_to_scoreboard
-    # replies arrive as files (three micro-batches); the coin is recomputed
-    replies = fx.judge_replies(spark, sf_dir).drop("base_is_a")
+    from chatframe.streaming.runner import run_update
+    from chatframe.streaming.scoreboard import best_replies
+    replies = fx.judge_replies(spark, sf_dir).withColumn("error", F.lit(None).cast("string")).withColumn(
+        "run_id", F.lit("run")).withColumn("attempt", F.lit(1))
+    failed = replies.withColumn("reply", F.lit(None).cast("string")).withColumn(
+        "error", F.lit("timeout")).withColumn("attempt", F.lit(0))
     path = work_dir(spark, "replies")
-    materialize(replies.repartition(3, "sample_id"), path, mode="overwrite")
-    stream = (spark.readStream.schema(replies.schema).option("maxFilesPerTrigger", 1).parquet(path)
-                   .withColumn("base_is_a", jd.ab_coin(SEED)))
-    board = sums_to_scoreboard(run_complete(running_sums(stream), "scoreboard"))
-    return board.select("dimension", r6("base").alias("base"), r6("lora").alias("lora"),
-                        r6("diff").alias("diff"))
+    for rows in (failed, replies):
+        materialize(rows.coalesce(2), path)
+    stream = spark.readStream.schema(replies.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    best = run_update(best_replies(stream, at=F.col("attempt")), "scoreboard", ["run_id", "sample_id"])
+    board = jd.scoreboard_long(jd.scoreboard_wide(jd.score_replies(best)))
+    return board.select("dimension", r6("base").alias("base"), r6("lora").alias("lora"), r6("diff").alias("diff"))

@@ -53,7 +53,7 @@ def judge_prompt(question: str, reference: str, answer_a: str, answer_b: str) ->
 
 
 # -- derived views (FIXTURES.md §2), as CTE bodies ---------------------------
-SFT = """SELECT conv_id * 100 + turn AS sample_id, coalesce(sys, '') AS instruction, text AS input, nxt AS output
+SFT = """SELECT concat(conv_id, ':', turn) AS sample_id, coalesce(sys, '') AS instruction, text AS input, nxt AS output
 FROM (SELECT *, lead(text) OVER w AS nxt, lead(role) OVER w AS nrole,
              max(CASE WHEN role = 'system' THEN text END) OVER (PARTITION BY conv_id) AS sys
       FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) q
@@ -78,19 +78,20 @@ TURNS_WITH_EXIT = """SELECT conv_id, turn, role,
 FROM conversations"""
 
 JUDGE_TRUTH = """SELECT sample_id, substr(md5(concat('42:ab:', CAST(sample_id AS STRING))), 1, 1) >= '8' AS base_is_a,
-       sample_id % 13 AS kind,
-       1 + ((sample_id % 97) * 7) % 10 AS bc, 1 + ((sample_id % 89) * 3 + 4) % 10 AS lc,
-       1 + ((sample_id % 83) * 9 + 1) % 10 AS bp, 1 + ((sample_id % 79) * 7 + 7) % 10 AS lp
-FROM sft"""
+       n % 13 AS kind,
+       1 + ((n % 97) * 7) % 10 AS bc, 1 + ((n % 89) * 3 + 4) % 10 AS lc,
+       1 + ((n % 83) * 9 + 1) % 10 AS bp, 1 + ((n % 79) * 7 + 7) % 10 AS lp
+FROM (SELECT *, CAST(split_part(sample_id, ':', 1) AS BIGINT) * 100
+                + CAST(split_part(sample_id, ':', 2) AS BIGINT) AS n FROM sft) s"""
 
 # formula-based expected decode of judge_replies (no parsing): see FIXTURES §2.3
 JUDGE_DETAILS = """SELECT sample_id, base_is_a,
-  CASE kind WHEN 2 THEN 'bad_json' WHEN 4 THEN 'bad_json' WHEN 3 THEN 'missing_score'
+  CASE kind WHEN 2 THEN 'bad_json' WHEN 4 THEN 'bad_json' WHEN 7 THEN 'bad_json' WHEN 8 THEN 'bad_json' WHEN 3 THEN 'missing_score'
             WHEN 5 THEN 'bad_score_type' WHEN 6 THEN 'missing_model' END AS error,
-  CASE WHEN kind IN (2, 4, 5, 6) THEN NULL ELSE CAST(bc AS DOUBLE) END AS base_correctness,
-  CASE WHEN kind IN (2, 4, 5, 6) THEN NULL ELSE CAST(lc AS DOUBLE) END AS lora_correctness,
-  CASE WHEN kind IN (2, 4, 5, 6) THEN NULL ELSE CAST(bp AS DOUBLE) END AS base_completeness,
-  CASE WHEN kind IN (2, 3, 4, 5, 6) THEN NULL ELSE CAST(lp AS DOUBLE) END AS lora_completeness
+  CASE WHEN kind IN (2, 4, 5, 6, 7, 8) THEN NULL ELSE CAST(bc AS DOUBLE) END AS base_correctness,
+  CASE WHEN kind IN (2, 4, 5, 6, 7, 8) THEN NULL ELSE CAST(lc AS DOUBLE) END AS lora_correctness,
+  CASE WHEN kind IN (2, 4, 5, 6, 7, 8) THEN NULL ELSE CAST(bp AS DOUBLE) END AS base_completeness,
+  CASE WHEN kind IN (2, 3, 4, 5, 6, 7, 8) THEN NULL ELSE CAST(lp AS DOUBLE) END AS lora_completeness
 FROM judge_truth"""
 
 VIEWS = {

@@ -1,22 +1,7 @@
-"""Explicit schemas of every source and intermediate table."""
+"""Explicit schemas of sources."""
 
 from pyspark.sql import types as T
 
-# instruction dataset (one row per sample)
-SFT = T.StructType([
-    T.StructField("sample_id", T.LongType()),
-    T.StructField("instruction", T.StringType()),
-    T.StructField("input", T.StringType()),
-    T.StructField("output", T.StringType()),
-])
-
-MESSAGE = T.StructType([
-    T.StructField("role", T.StringType()),
-    T.StructField("content", T.StringType()),
-])
-
-MESSAGES = T.ArrayType(MESSAGE)
-
 # conversation turns (batch and stream)
 TURN = T.StructType([
     T.StructField("conv_id", T.LongType()),
@@ -25,9 +10,10 @@ TURN = T.StructType([
     T.StructField("text", T.StringType()),
 ])
 
-# one answer row per sample (document form: answers[] of the answers file)
+# one answer row per sample (document form: answers[] of the answers file);
+# a key of any type is written as it is and read back as text
 ANSWER = T.StructType([
-    T.StructField("sample_id", T.LongType()),
+    T.StructField("sample_id", T.StringType()),
     T.StructField("instruction", T.StringType()),
     T.StructField("question", T.StringType()),
     T.StructField("reference", T.StringType()),
@@ -42,22 +28,4 @@ ANSWERS_CONFIG = T.StructType([
     T.StructField("seed", T.LongType()),
 ])
 
-# judge reply as returned by the judge call (text, not yet decoded)
-REPLY = T.StructType([
-    T.StructField("sample_id", T.LongType()),
-    T.StructField("reply", T.StringType()),
-    T.StructField("error", T.StringType()),
-])
-
-# token vectors for BERTScore (relational form)
-TOKEN_VEC = T.StructType([
-    T.StructField("pair_id", T.LongType()),
-    T.StructField("side", T.StringType()),
-    T.StructField("tok_id", T.LongType()),
-    T.StructField("vec", T.ArrayType(T.FloatType())),
-])
-
 SCORE_DIMS = ("correctness", "completeness")
-
-# closed set of per-row judge error codes
-ERROR_CODES = ("call_failed", "bad_json", "missing_model", "missing_score", "bad_score_type")

@@ -14,6 +14,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
@@ -21,23 +22,30 @@ _CKPT_KEY = "spark.checkpoint.dir"
 
 def get_spark(master: str | None = None, app: str = "chatframe",
               shuffle_partitions: int | None = None) -> SparkSession:
+    """A session with the settings the operators expect.  What a submit command
+    or an active session already set (master, shuffle partitions, memory) stays."""
     cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus)
-    builder = (
-        SparkSession.builder.master(master).appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+    given = SparkConf()
+    builder = SparkSession.builder.appName(app)
+    if master or not given.contains("spark.master"):
+        builder = builder.master(master or f"local[{cpus}]")
+    wanted = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
         # long texts: keep Arrow batches small for Python-side model calls
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
-        .config("spark.driver.memory", os.environ.get("CHATFRAME_DRIVER_MEM", "16g"))
-    )
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+        "spark.driver.memory": os.environ.get("CHATFRAME_DRIVER_MEM", "16g"),
+    }
+    if shuffle_partitions or not given.contains("spark.master"):
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
+    for k, v in wanted.items():
+        if not given.contains(k) or (k == "spark.sql.shuffle.partitions" and shuffle_partitions):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

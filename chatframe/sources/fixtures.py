@@ -20,10 +20,17 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sft(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Instruction rows from conversations; ``sample_id = conv_id * 100 + turn``."""
+    """Instruction rows from conversations; ``sample_id`` is ``conv_id:turn``."""
     return conversations_to_sft(conversations(spark, sf_dir))
 
 
+def sample_number(sample_id=None) -> F.Column:
+    """A number for the stand-ins' formulas (not a key)."""
+    sid = F.col("sample_id") if sample_id is None else sample_id
+    return (F.split_part(sid, F.lit(":"), F.lit(1)).cast("bigint") * 100
+            + F.split_part(sid, F.lit(":"), F.lit(2)).cast("bigint"))
+
+
 def answers_from_sft(s: DataFrame) -> DataFrame:
     out = F.col("output")
     n = F.length(out)
@@ -42,10 +49,9 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answers_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = answers(spark, sf_dir)
-    return (a.select("sample_id", F.lit("base").alias("variant"), F.col("base_answer").alias("answer"))
-             .unionByName(a.select("sample_id", F.lit("lora").alias("variant"),
-                                   F.col("lora_answer").alias("answer"))))
+    both = F.array(*[F.struct(F.lit(v).alias("variant"), F.col(f"{v}_answer").alias("answer"))
+                     for v in ("base", "lora")])
+    return answers(spark, sf_dir).select("sample_id", F.explode(both).alias("a")).select("sample_id", "a.*")
 
 
 def token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,15 +77,15 @@ def turns_with_exit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def judge_truth_from_sft(s: DataFrame) -> DataFrame:
-    sid = F.col("sample_id")
-    return s.select(
-        sid,
-        ab_coin(42, sid).alias("base_is_a"),
-        (sid % 13).alias("kind"),
-        (1 + ((sid % 97) * 7) % 10).alias("bc"),
-        (1 + ((sid % 89) * 3 + 4) % 10).alias("lc"),
-        (1 + ((sid % 83) * 9 + 1) % 10).alias("bp"),
-        (1 + ((sid % 79) * 7 + 7) % 10).alias("lp"),
+    n = F.col("n")
+    return s.select("sample_id", sample_number().alias("n")).select(
+        "sample_id",
+        ab_coin(42, "sample_id").alias("base_is_a"),
+        (n % 13).alias("kind"),
+        (1 + ((n % 97) * 7) % 10).alias("bc"),
+        (1 + ((n % 89) * 3 + 4) % 10).alias("lc"),
+        (1 + ((n % 83) * 9 + 1) % 10).alias("bp"),
+        (1 + ((n % 79) * 7 + 7) % 10).alias("lp"),
     )
 
 
@@ -111,6 +117,8 @@ def judge_replies_from_truth(t: DataFrame) -> DataFrame:
               .when(kind == 2, F.lit("cannot judge"))
               .when(kind == 4, F.concat(body, F.lit(" done")))
               .when(kind == 6, F.concat(F.lit('{"model_a": '), F.col("_a_txt"), F.lit("}")))
+              .when(kind == 7, F.concat(body, F.lit("] the end")))
+              .when(kind == 8, F.concat(body, F.lit("],[1")))
               .otherwise(body))
     return d.select("sample_id", "base_is_a", reply.alias("reply"))
 

@@ -10,22 +10,26 @@ from pyspark.sql import functions as F
 from chatframe.operators.sampling import ensure_sample_id
 from chatframe.schemas import ANSWER, ANSWERS_CONFIG
 
-# The built-in test questions used when the caller gives none.
-DEFAULT_QUESTIONS = (
-    "解釋 OLED 與 QD-OLED 區別，哪個比較好?",
-    "你是 Taide 嗎?",
-)
+DEFAULT_QUESTIONS = ("What can you help me with?", "Explain the difference between a list and a set.")
+SFT_COLS = ("instruction", "input", "output")
 
 
 def read_sft(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A1: instruction rows (``instruction, input, output``) with a stable key."""
-    cols = "instruction string, input string, output string"
+    """A1: instruction rows (``sample_id, instruction, input, output``, all
+    strings).  Keys of the source are kept; rows without one, or a source
+    without that column, get a content key.  CSV files have a header."""
     reader = spark.read.format(fmt)
-    if fmt in ("json", "csv"):
-        reader = reader.schema(cols)
+    if fmt == "json":
+        reader = reader.schema(", ".join(f"{c} string" for c in ("sample_id", *SFT_COLS)))
+    elif fmt == "csv":
+        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
     df = reader.load(path)
-    keep = [c for c in ("sample_id", "instruction", "input", "output") if c in df.columns]
-    return ensure_sample_id(df.select(*keep))
+    cols = [F.col(c).cast("string").alias(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in SFT_COLS]
+    if "sample_id" not in df.columns:
+        return ensure_sample_id(df.select(*cols)).select("sample_id", *SFT_COLS)
+    df = df.select(F.col("sample_id").cast("string").alias("sample_id"), *cols)
+    made = ensure_sample_id(df.where(F.col("sample_id").isNull()).select(*SFT_COLS))
+    return df.where(F.col("sample_id").isNotNull()).unionByName(made)
 
 
 def questions(spark: SparkSession, items: Sequence[str] | None = None) -> DataFrame:
@@ -38,17 +42,22 @@ def questions(spark: SparkSession, items: Sequence[str] | None = None) -> DataFr
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
     """A3: answers in table form (``<path>/answers`` JSON lines, one per
-    sample) or as one nested document (``config`` + ``answers[]``)."""
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    if not fs.getFileSystem(hconf).exists(fs):
+    sample), as a document in ordered parts (``writers``), or as one nested
+    JSON file (``config`` + ``answers[]``).  Keys are strings."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    at = hadoop(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
         raise FileNotFoundError(f"answers not found: {path} (run the generate step first)")
-    table_form = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/answers")
-    if table_form.getFileSystem(hconf).exists(table_form):
+    if fs.exists(hadoop(f"{path}/answers")):
         return spark.read.schema(ANSWER).json(f"{path}/answers")
+    if fs.getFileStatus(at).isDirectory():
+        lines = spark.read.text(path).where(F.col("value").rlike(r'^,?\{"sample_id"'))
+        row = F.from_json(F.regexp_replace("value", "^,", ""), ANSWER)
+        return lines.select(row.alias("a")).select("a.*")
     doc_schema = f"config {ANSWERS_CONFIG.simpleString()}, answers array<{ANSWER.simpleString()}>"
     doc = spark.read.schema(doc_schema).option("multiLine", True).json(path)
-    return doc.select(F.posexplode("answers").alias("pos", "a")).select("a.*")
+    return doc.select(F.explode("answers").alias("a")).select("a.*")
 
 
 def row_count(df: DataFrame) -> int:

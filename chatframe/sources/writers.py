@@ -1,10 +1,11 @@
 """Sinks (B1-B4).
 
-Table form (default, any size): one JSON/parquet row per sample, written in
-parallel, plus a one-row ``config``.  Document form (the nested single file
-the evaluation scripts produce) gathers all rows into one value, so it is
-only allowed below ``DOCUMENT_MAX_ROWS`` (checked with a count first); every
-document is built by a single aggregate, no joins.
+Table form (default): one JSON/parquet row per sample, written in parallel,
+plus a one-row ``config``.  Document form (the nested file the evaluation
+scripts produce): a folder of parts which, joined in name order, are that JSON
+document.  Many tasks write the rows, each a line; the first and the last line
+hold what stands before and after them, so no value gathers the rows and any
+number of them can be written.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatframe.operators.judging import scoreboard_wide
 from chatframe.operators.reports import cut_fields
+from chatframe.operators.sampling import number_rows
 
-DOCUMENT_MAX_ROWS = 10_000
+ANSWER_COLS = ["sample_id", "instruction", "question", "reference", "base_answer", "lora_answer"]
 
 
 def _write_config(df: DataFrame, config: Mapping, path: str) -> None:
@@ -26,94 +29,69 @@ def _write_config(df: DataFrame, config: Mapping, path: str) -> None:
          .coalesce(1).write.mode("overwrite").text(f"{path}/config")
 
 
-def _document(one_row: DataFrame, config: Mapping, path: str) -> None:
-    """Write a one-row frame of document parts as one JSON document with
-    ``config`` first (nulls dropped, so either-scores-or-error rows keep
-    their shape)."""
-    cfg = json.dumps(dict(config), ensure_ascii=False)
-    body = F.to_json(F.struct(*one_row.columns), {"ignoreNullFields": "true"})
-    text = F.concat(F.lit('{"config": ' + cfg + ", "), F.substr(body, F.lit(2)))
-    one_row.select(text.alias("value")).coalesce(1).write.mode("overwrite").text(path)
-
-
-def _guard(df: DataFrame) -> None:
-    n = df.count()
-    if n > DOCUMENT_MAX_ROWS:
-        raise ValueError(f"{n} rows: too many for the single-document form; use the table form")
-
-
-ANSWER_COLS = ["sample_id", "instruction", "question", "reference", "base_answer", "lora_answer"]
+def _document(rows: DataFrame, order: str, cols: Sequence[str], head: Mapping, name: str, path: str) -> None:
+    """``{<head>, "<name>": [<rows by order>]}`` in ordered parts (null fields
+    are left out, so either-scores-or-error rows keep their shape)."""
+    n = number_rows(rows, order, name="_no")
+    body = F.to_json(F.struct(*cols), {"ignoreNullFields": "true"})
+    lines = n.select(F.col("_no").cast("long").alias("no"),
+                     F.concat(F.when(F.col("_no") > 1, F.lit(",")).otherwise(F.lit("")), body).alias("value"))
+    before = json.dumps(dict(head), ensure_ascii=False)[:-1] + (", " if head else "") + json.dumps(name) + ": ["
+    ends = rows.sparkSession.createDataFrame([(0, before), ((1 << 62), "]}")], "no long, value string")
+    (lines.unionByName(ends).repartitionByRange("no").sortWithinPartitions("no")
+     .select("value").write.mode("overwrite").text(path))
 
 
 def write_answers(df: DataFrame, config: Mapping, path: str, document: bool = False) -> None:
     """B1: answers (one row per sample), overwriting ``path``."""
-    if not document:
-        df.select(*ANSWER_COLS).write.mode("overwrite").json(f"{path}/answers")
-        _write_config(df, config, path)
+    if document:
+        _document(df.select(*ANSWER_COLS), "sample_id", ANSWER_COLS, {"config": dict(config)}, "answers", path)
         return
-    _guard(df)
-    one = df.agg(F.sort_array(F.collect_list(F.struct(*ANSWER_COLS))).alias("answers"))
-    _document(one, config, path)
-
-
-def _judge_aggs(dims: Sequence[str]):
-    means, totals = [], []
-    for d in dims:
-        for v in ("base", "lora"):
-            means.append(F.coalesce(F.avg(f"{v}_{d}"), F.lit(0.0)).alias(f"{v}_{d}"))
-    for v in ("base", "lora"):
-        tot = sum((F.coalesce(F.sum(f"{v}_{d}"), F.lit(0.0)) for d in dims), F.lit(0.0))
-        den = F.lit(float(len(dims))) * F.greatest(F.count(f"{v}_{dims[0]}"), F.lit(1))
-        totals.append((tot / den).alias(f"{v}_total"))
-    return means + totals + [F.count_if(F.col("error").isNull()).alias("n_evaluated")]
+    df.select(*ANSWER_COLS).write.mode("overwrite").json(f"{path}/answers")
+    _write_config(df, config, path)
 
 
 def write_judge_results(scored: DataFrame, config: Mapping, path: str,
                         dims: Sequence[str] = ("correctness", "completeness"),
                         document: bool = False) -> None:
     """B2 from scored rows (``score_replies`` output plus ``question``):
-    details carry either both score objects or ``error``; summary, totals
-    and the details list come from one aggregate (L3-L6, L8)."""
-    scores = {v: F.when(F.col("error").isNull(), F.struct(*[F.col(f"{v}_{d}").alias(d) for d in dims]))
-              for v in ("base", "lora")}
-    detail = F.struct("sample_id", "question", scores["base"].alias("base_scores"),
-                      scores["lora"].alias("lora_scores"), "error")
-    if not document:
-        scored.select(detail.alias("d")).select("d.*").write.mode("overwrite").json(f"{path}/details")
-        scored.agg(*_judge_aggs(dims)).write.mode("overwrite").json(f"{path}/summary")
-        _write_config(scored, config, path)
+    details carry either both score objects, with the judge's comment, or
+    ``error`` (the failed call's message, else the code); ``num_evaluated``
+    goes into ``config`` (L3-L6, L8)."""
+    scores = {v: F.when(F.col("error").isNull(), F.struct(
+        *[F.col(f"{v}_{d}").alias(d) for d in dims], F.col(f"{v}_comment").alias("comment"))) for v in ("base", "lora")}
+    details = scored.select("sample_id", "question", scores["base"].alias("base_scores"),
+                            scores["lora"].alias("lora_scores"),
+                            F.coalesce("call_message", "error").alias("error"))
+    wide = scoreboard_wide(scored, dims).first()
+    config = {**config, "num_evaluated": wide["n_evaluated"]}
+    summary = {d: {"base": wide[f"base_{d}"], "lora": wide[f"lora_{d}"], "diff": wide[f"lora_{d}"] - wide[f"base_{d}"]}
+               for d in dims}
+    total = {v: wide[f"{v}_total"] for v in ("base", "lora")}
+    if document:
+        _document(details, "sample_id", details.columns, {"config": config, "summary": summary, "total": total},
+                  "details", path)
         return
-    _guard(scored)
-    agg = scored.agg(*_judge_aggs(dims), F.sort_array(F.collect_list(detail)).alias("details"))
-    summary = F.struct(*[F.struct(F.col(f"base_{d}").alias("base"), F.col(f"lora_{d}").alias("lora"),
-                                  (F.col(f"lora_{d}") - F.col(f"base_{d}")).alias("diff")).alias(d)
-                         for d in dims])
-    total = F.struct(F.col("base_total").alias("base"), F.col("lora_total").alias("lora"))
-    _document(agg.select(summary.alias("summary"), total.alias("total"), "n_evaluated", "details"),
-              config, path)
+    details.write.mode("overwrite").json(f"{path}/details")
+    _write_config(scored, {"summary": summary, "total": total}, f"{path}/summary")
+    _write_config(scored, config, path)
 
 
 def write_bertscore_results(details: DataFrame, config: Mapping, path: str,
                             document: bool = False, cut: int = 200) -> None:
-    """``details`` has ``pair_id, question, reference, base_pred,
-    lora_pred, base_f1, lora_f1, f1_diff`` and ``<variant>_precision /
-    _recall``; text fields are stored cut to 200 characters and the summary
-    (means per variant) comes from the same aggregate."""
+    """B3 from ``operators.bertscore.result_details``: text fields are stored
+    cut to 200 characters, with the means per variant as ``summary``."""
     d = cut_fields(details, ["reference", "base_pred", "lora_pred"], cut)
     keep = ["question", "reference", "base_pred", "lora_pred", "base_f1", "lora_f1", "f1_diff"]
-    summary = F.struct(*[F.struct(F.avg(f"{v}_precision").alias("precision"),
-                                  F.avg(f"{v}_recall").alias("recall"),
-                                  F.avg(f"{v}_f1").alias("f1")).alias(v) for v in ("base", "lora")])
-    if not document:
-        d.select("pair_id", *keep).write.mode("overwrite").json(f"{path}/details")
-        d.agg(summary.alias("summary")).write.mode("overwrite").json(f"{path}/summary")
-        _write_config(details, config, path)
+    means = details.agg(*[F.avg(f"{v}_{c}").alias(f"{v}_{c}")
+                          for v in ("base", "lora") for c in ("precision", "recall", "f1")]).first()
+    summary = {v: {c: means[f"{v}_{c}"] for c in ("precision", "recall", "f1")} for v in ("base", "lora")}
+    if document:
+        _document(d, "pair_id", keep, {"config": dict(config), "summary": summary}, "details", path)
         return
-    _guard(d)
-    one = d.agg(summary.alias("summary"),
-                F.transform(F.sort_array(F.collect_list(F.struct("pair_id", *keep))),
-                            lambda x: x.dropFields("pair_id")).alias("details"))
-    _document(one, config, path)
+    d.select("pair_id", *keep).write.mode("overwrite").json(f"{path}/details")
+    _write_config(details, {"summary": summary}, f"{path}/summary")
+    _write_config(details, config, path)
 
 
 def write_training_text(df: DataFrame, path: str) -> None:

@@ -1,61 +1,78 @@
 """Stateful context clipping on a stream of turns.
 
-Keyed by ``conv_id`` with ``applyInPandasWithState``; the state is the list
-of retained (turn, tokens) pairs, which the token budget bounds, plus the
-last turn seen.  Token counts are computed JVM-side before the state step.
-A turn that is not newer than the last one seen for its conversation is late:
-it is dropped and counted in the state (``late``).  Output per accepted turn
-matches the batch ``context_at_turn`` columns.
+Keyed by ``conv_id`` with ``applyInPandasWithState``.  The state is the list of
+retained (turn, tokens) pairs, which the token budget bounds, the last turn
+seen and whether the session has ended.  Session rules (F1, F2) apply as in
+``session_filter``: a blank user turn is skipped, and a user turn that says
+exit or quit ends the session with itself.  Texts stay on the JVM side; the
+step gets token counts and flags only.
+
+Every input turn gives one output row.  ``status`` tells what became of it:
+``ok`` (the columns match the batch ``context_at_turn``), ``blank``, ``ended``,
+or ``late``: it is not newer than the last turn of an earlier micro-batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from chatframe.functions.text import py_strip
+from chatframe.operators.context import EXIT_WORDS
 from chatframe.operators.tokens import count_tokens
 
 OUT_SCHEMA = ("conv_id long, turn long, role string, first_turn long, "
-              "n_messages long, n_tokens long")
-STATE_SCHEMA = "turns array<long>, ns array<long>, last_turn long, late long"
+              "n_messages long, n_tokens long, status string")
+STATE_SCHEMA = "turns array<long>, ns array<long>, last_turn long, ended boolean"
 
 
 def _clip(max_tokens: int):
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        (conv_id,) = key
-        if state.exists:
-            turns, ns, last_turn, late = state.get
-            turns, ns = list(turns), list(ns)
-        else:
-            turns, ns, last_turn, late = [], [], None, 0
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values("turn", kind="stable")
-        out = []
-        total = sum(ns)
-        for turn, role, n in zip(pdf["turn"], pdf["role"], pdf["n_tokens"]):
-            if last_turn is not None and turn <= last_turn:
-                late += 1
-                continue
-            last_turn = int(turn)
-            turns.append(int(turn))
-            ns.append(int(n))
-            total += int(n)
-            while turns and total > max_tokens:   # drop oldest until within budget
-                total -= ns.pop(0)
-                turns.pop(0)
-            out.append((conv_id, int(turn), role, turns[0] if turns else None, len(turns), total))
-        state.update((turns, ns, last_turn, late))
-        yield pd.DataFrame(out, columns=["conv_id", "turn", "role", "first_turn", "n_messages", "n_tokens"])
+        held, ns, last, ended = state.get if state.exists else ([], [], None, False)
+        new = pd.concat(list(batches), ignore_index=True).sort_values("turn", kind="stable")
+        late = new["turn"].le(last) if last is not None else pd.Series(False, index=new.index)
+        late |= new["turn"].duplicated()
+        stop = (new["is_exit"] & ~late).cumsum().gt(0) | bool(ended)
+        new["status"] = np.select([late, stop, new["is_blank"]], ["late", "ended", "blank"], "ok")
+        ok = new[new["status"] == "ok"]
+        turns = np.concatenate([np.asarray(held, np.int64), ok["turn"].to_numpy(np.int64)])
+        size = np.concatenate([np.asarray(ns, np.int64), ok["n_tokens"].to_numpy(np.int64)])
+        upto = np.cumsum(size)
+        before = upto - size
+        # a turn sees the messages from the first one whose tokens up to it fit
+        first = np.minimum(np.searchsorted(before, upto - max_tokens), np.arange(1, len(size) + 1))
+        at = np.arange(len(held), len(size))
+        seen = at + 1 - first[at]
+        new[["first_turn", "n_messages", "n_tokens_seen"]] = None
+        some = seen > 0
+        edge = np.minimum(first[at], len(size) - 1)
+        new.loc[ok.index, "first_turn"] = [int(t) if s else None for t, s in zip(turns[edge], some, strict=True)]
+        new.loc[ok.index, "n_messages"] = seen
+        new.loc[ok.index, "n_tokens_seen"] = np.where(some, upto[at] - before[edge], 0)
+        keep = int(first[-1]) if len(first) else 0
+        accepted = new.loc[new["status"] != "late", "turn"]
+        newest = max(accepted.max(), last if last is not None else accepted.max()) if len(accepted) else last
+        state.update((turns[keep:].tolist(), size[keep:].tolist(), None if newest is None else int(newest),
+                      bool(stop.any() or ended)))
+        out = new.assign(conv_id=key[0], n_tokens=new["n_tokens_seen"])
+        yield out[["conv_id", "turn", "role", "first_turn", "n_messages", "n_tokens", "status"]].astype(
+            {"first_turn": "Int64", "n_messages": "Int64", "n_tokens": "Int64"})
     return step
 
 
 def stream_context(turns: DataFrame, max_tokens: int, tokenizer_factory=None) -> DataFrame:
-    """Streaming (or batch) ``<conv_id, turn, role, text>`` -> per-turn
-    visible-history summary, one output row per accepted turn."""
-    t = turns.select("conv_id", "turn", "role",
-                     count_tokens(F.col("text"), tokenizer_factory).alias("n_tokens"))
+    """Streaming (or batch) ``<conv_id, turn, role, text>`` -> the visible
+    history of every turn, with its ``status``."""
+    user = F.col("role") == "user"
+    stripped = F.coalesce(py_strip(F.col("text")), F.lit(""))
+    said = F.when(user, stripped).otherwise(F.col("text"))
+    t = turns.select("conv_id", "turn", "role", F.coalesce(count_tokens(said, tokenizer_factory), F.lit(0)).alias("n_tokens"),
+                     (user & F.lower(stripped).isin(*EXIT_WORDS)).alias("is_exit"),
+                     (user & (stripped == "")).alias("is_blank"))
     return t.groupBy("conv_id").applyInPandasWithState(
         _clip(max_tokens), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)

@@ -4,6 +4,7 @@ the shared checkpoint folder and read the result back."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from chatframe.session import work_dir
 
@@ -19,18 +20,19 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
-def run_complete(stream: DataFrame, name: str) -> DataFrame:
-    """Complete-mode stream -> each micro-batch overwrites a small snapshot
-    table (the running result, one row per group)."""
+def run_update(stream: DataFrame, name: str, key: list[str]) -> DataFrame:
+    """Update-mode stream -> changed rows are appended with their epoch; the
+    result is the newest row of each key (a repeated epoch changes nothing)."""
     spark = stream.sparkSession
     base = work_dir(spark, name)
-    out = f"{base}/snapshot"
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        batch.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{base}/out/epoch={epoch}")
 
-    q = (stream.writeStream.outputMode("complete").foreachBatch(write)
+    q = (stream.writeStream.outputMode("update").foreachBatch(write)
                .option("checkpointLocation", f"{base}/ckpt")
                .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    rest = [c for c in stream.columns if c not in key]
+    return (spark.read.parquet(f"{base}/out").groupBy(*key)
+            .agg(F.max_by(F.struct(*rest), "_epoch").alias("r")).select(*key, "r.*"))

@@ -1,41 +1,31 @@
 """Running judge scoreboard over a stream of replies.
 
-Decoding (K4-K7) is a stateless projection; each sample counts once
-(``dropDuplicates`` on the key: its state is partitioned by key hash across
-the state store, one entry per judged sample); the aggregate keeps sums and
-counts only, so the final means equal the batch scoreboard.
+The state is one row per (run, sample): the last successful reply, else the
+last one.  A failed call followed by a good retry therefore counts once, as a
+success.  The store is partitioned by that key, so it is bounded by the samples
+of the runs being judged.  Scores are read from the stored replies by the
+batch scoreboard.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatframe.operators.judging import score_replies
-from chatframe.schemas import SCORE_DIMS
-
-
-def running_sums(replies: DataFrame, dims: Sequence[str] = SCORE_DIMS,
-                 key: str = "sample_id") -> DataFrame:
-    """Per-run sums and counts (``complete`` output mode)."""
-    scored = score_replies(replies.dropDuplicates([key]), dims)
-    aggs = []
-    for d in dims:
-        for v in ("base", "lora"):
-            aggs += [F.sum(f"{v}_{d}").alias(f"sum_{v}_{d}"), F.count(f"{v}_{d}").alias(f"cnt_{v}_{d}")]
-    aggs += [F.count_if(F.col("error").isNull()).alias("n_evaluated"),
-             F.count_if(F.col("error").isNotNull()).alias("n_failed")]
-    return scored.groupBy(F.lit("run").alias("run_id")).agg(*aggs)
-
 
-def sums_to_scoreboard(sums: DataFrame, dims: Sequence[str] = SCORE_DIMS) -> DataFrame:
-    """Long scoreboard (dimension, base, lora, diff) from the running sums."""
-    def mean(v, d):
-        return F.coalesce(F.col(f"sum_{v}_{d}") / F.when(F.col(f"cnt_{v}_{d}") > 0, F.col(f"cnt_{v}_{d}")),
-                          F.lit(0.0))
-    rows = [F.struct(F.lit(d).alias("dimension"), mean("base", d).alias("base"),
-                     mean("lora", d).alias("lora")) for d in dims]
-    long = sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    return long.withColumn("diff", F.col("lora") - F.col("base"))
+KEPT = ("base_is_a", "reply", "error")
+
+
+def best_replies(replies: DataFrame, key: str = "sample_id", run: str = "run_id",
+                 at: Column | None = None) -> DataFrame:
+    """Per run and sample the reply that counts (``update`` or ``complete``
+    output mode).  ``at`` orders replies; by default their arrival."""
+    error = F.col("error") if "error" in replies.columns else F.lit(None).cast("string")
+    d = replies.select(run, key, "base_is_a", "reply", error.alias("error"),
+                       (F.current_timestamp() if at is None else at).alias("_at"))
+    ok = score_replies(d.withColumn("_reply_kept", F.col("reply")).withColumn("_error_kept", F.col("error")))
+    row = F.struct(F.col("error").isNull().alias("ok"), F.col("_at").alias("at"), "base_is_a",
+                   F.col("_reply_kept").alias("reply"), F.col("_error_kept").alias("error"))
+    best = ok.groupBy(run, key).agg(F.max(row).alias("b"))
+    return best.select(run, key, *[f"b.{c}" for c in KEPT])

@@ -46,3 +46,45 @@ def test_identical_and_empty(spark):
     assert got[(0, "base")] == pytest.approx((1.0, 1.0, 1.0))
     assert got[(0, "lora")] == (0.0, 0.0, 0.0)
     assert got[(1, "base")] == (0.0, 0.0, 0.0)
+
+
+def test_blank_pairs_score_zero_and_keys_may_be_text(spark):
+    df = spark.createDataFrame([("1:0", "base", 0, [1.0]), ("1:0", "ref", 0, [1.0])],
+                               "pair_id string, side string, tok_id long, vec array<float>")
+    known = spark.createDataFrame([("1:0",), ("2:2",)], "pair_id string")
+    got = {(r["pair_id"], r["variant"]): r["f1"] for r in bertscore(df, pairs=known).collect()}
+    assert got == {("1:0", "base"): 1.0, ("1:0", "lora"): 0.0, ("2:2", "base"): 0.0, ("2:2", "lora"): 0.0}
+
+
+def test_plan_shuffles_and_one_kernel(spark):
+    from chatframe.plans.catalog import bertscore_pairs
+    plan = bertscore_pairs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = bertscore_pairs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 6
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_every_text_is_encoded_once(spark):
+    from chatframe.operators.inference import encode_tokens, materialize, pending
+    from chatframe.session import work_dir
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def enc(texts):
+            calls.add(len(texts))
+            return [np.ones((len(t.split()), 2), np.float32) for t in texts]
+        return enc
+    texts = spark.createDataFrame([(i, s, "a b") for i in range(20) for s in ("base", "lora", "ref")],
+                                  "pair_id long, side string, text string")
+    store = work_dir(spark, "toks")
+    toks = materialize(encode_tokens(texts, factory), store)
+    assert bertscore(toks).count() == 40 and calls.value == 60
+    done = toks.select("pair_id").distinct()
+    again = encode_tokens(pending(texts, done, "pair_id"), factory)
+    assert again.count() == 0 and calls.value == 60

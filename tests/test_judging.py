@@ -63,14 +63,49 @@ def test_unblind_round_trip(spark):
 
 def test_fixture_scoreboard_sf0001(spark):
     from chatframe.plans.catalog import judge_scoreboard, judge_total
-    board = {r["dimension"]: r for r in judge_scoreboard(spark, "/root/testdata/sf0.001").collect()}
-    assert board["correctness"]["base"] == pytest.approx(5.541667, abs=1e-6)
-    assert board["correctness"]["lora"] == pytest.approx(6.25, abs=1e-6)
-    assert board["completeness"]["base"] == pytest.approx(6.041667, abs=1e-6)
-    assert board["completeness"]["lora"] == pytest.approx(5.954545, abs=1e-6)
-    t = judge_total(spark, "/root/testdata/sf0.001").first()
-    assert (t["base_total"], t["lora_total"], t["n_evaluated"]) == (
-        pytest.approx(5.791667, abs=1e-6), pytest.approx(5.854167, abs=1e-6), 22)
+    from chatframe.sources import fixtures as fx
+    got = {"base": {"correctness": [], "completeness": []}, "lora": {"correctness": [], "completeness": []}}
+    evaluated = 0
+    for r in fx.sft(spark, "/root/testdata/sf0.001").select("sample_id").collect():
+        conv, turn = map(int, r["sample_id"].split(":"))
+        n = conv * 100 + turn
+        if n % 13 in (2, 4, 5, 6, 7, 8):  # nothing of these replies counts
+            continue
+        evaluated += n % 13 != 3
+        got["base"]["correctness"].append(1 + ((n % 97) * 7) % 10)
+        got["lora"]["correctness"].append(1 + ((n % 89) * 3 + 4) % 10)
+        got["base"]["completeness"].append(1 + ((n % 83) * 9 + 1) % 10)
+        if n % 13 != 3:
+            got["lora"]["completeness"].append(1 + ((n % 79) * 7 + 7) % 10)
+    for r in judge_scoreboard(spark, "/root/testdata/sf0.001").collect():
+        for v in ("base", "lora"):
+            x = got[v][r["dimension"]]
+            assert r[v] == pytest.approx(sum(x) / len(x), abs=1e-6)
+    assert judge_total(spark, "/root/testdata/sf0.001").first()["n_evaluated"] == evaluated
+
+
+@pytest.mark.parametrize("tail", ["] the end", "],[1", "]]", '],"x"', ',"x"', "]//"])
+def test_text_after_the_reply_is_an_error(spark, tail):
+    row = score(spark, [OK + tail, "```\n" + OK + "]\nHope this helps\n```"])
+    assert [r["error"] for r in row] == ["bad_json", "bad_json"] and row[0]["base_correctness"] is None
+
+
+def test_input_columns_comments_and_messages_stay(spark):
+    told = OK.replace('"correctness": 7', '"comment": "good", "correctness": 7')
+    df = spark.createDataFrame([(1, told, True, None, "u", "v"), (2, None, True, "boom", "u", "v")],
+                               "sample_id long, reply string, base_is_a boolean, error string, _s string, _doc string")
+    a, b = jd.score_replies(df).orderBy("sample_id").collect()
+    assert (a["_s"], a["_doc"], a["base_comment"], a["lora_comment"], a["error"]) == ("u", "v", "good", None, None)
+    assert (b["error"], b["call_message"]) == ("call_failed", "boom")
+
+
+def test_atomic_and_mean_of_means(spark):
+    part = '{"model_a": {"correctness": 7, "completeness": 5}, "model_b": {"correctness": 3}}'
+    df = spark.createDataFrame([(1, OK, True), (2, part, True)], "sample_id long, reply string, base_is_a boolean")
+    strict = jd.score_replies(df, atomic=True).where("sample_id = 2").first()
+    assert strict["base_correctness"] is None and strict["error"] == "missing_score"
+    wide = jd.scoreboard_wide(jd.score_replies(df), mean_of_means=True).first()
+    assert wide["lora_total"] == pytest.approx((3 + 9) / 2) and wide["base_total"] == pytest.approx(6)
 
 
 def test_scoring_plan_is_narrow(spark):

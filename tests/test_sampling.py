@@ -1,5 +1,5 @@
-"""Seeded exact-size sampling: independent of partitioning; the distributed
-large-k path equals the exact ranking."""
+"""Seeded exact-size sampling: independent of partitioning; every k gives
+the exact ranking."""
 
 from pyspark.sql import functions as F
 
@@ -18,17 +18,34 @@ def test_sample_independent_of_partitioning(spark):
     assert ids(sp.sample_k(df, 10_000, seed=1)) == list(range(5000))  # k clamped to n
 
 
-def test_large_k_path_exact(spark, monkeypatch):
-    df = spark.range(20000).withColumnRenamed("id", "sample_id")
-    exact = ids(sp.sample_k(df, 3000, seed=5))
-    monkeypatch.setattr(sp, "TOPK_MAX", 10)
-    assert ids(sp.sample_k(df, 3000, seed=5)) == exact
+def test_sample_is_the_exact_ranking_for_every_k(spark, monkeypatch):
+    import hashlib
+    monkeypatch.setattr(sp, "PREFIX_DIGITS", 1)  # many rows in the last prefix
+    df = spark.range(500).withColumnRenamed("id", "sample_id")
+    ranked = sorted(range(500), key=lambda i: hashlib.md5(f"5:{i}".encode()).hexdigest())
+    for k in (0, 1, 37, 499, 500, 600):
+        assert ids(sp.sample_k(df, k, seed=5)) == sorted(ranked[:k])
 
 
-def test_number_rows_dense(spark):
-    df = spark.createDataFrame([(i * 7,) for i in range(50)], "k long")
-    got = sorted((r["k"], r["rn"]) for r in sp.number_rows(df, "k", chunk_size=8).collect())
-    assert got == [(i * 7, i + 1) for i in range(50)]
+def test_replay_keeps_positions(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "sample_id string, x int")
+    known = spark.createDataFrame([("b", 0), ("a", 1), ("b", 2), ("z", 3)], "sample_id string, p int")
+    got = sp.select_ids(df, known, position="p").orderBy("p").collect()
+    assert [(r["sample_id"], r["x"], r["p"]) for r in got] == [("b", 2, 0), ("a", 1, 1), ("b", 2, 2)]
+
+
+def test_number_rows_by_any_key(spark):
+    for keys, kind in (([i * 7 for i in range(50)], "long"), ([f"k{i:03d}" for i in range(50)], "string"), ([], "long")):
+        df = spark.createDataFrame([(k,) for k in keys], f"k {kind}").repartition(4)
+        out = sp.number_rows(df, "k")
+        assert sorted((r["k"], r["rn"]) for r in out.collect()) == [(k, i + 1) for i, k in enumerate(keys)]
+        assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_copies_keep_distinct_keys(spark, monkeypatch):
+    monkeypatch.setattr(sp, "COPY_STEP", 7)
+    df = spark.createDataFrame([("i", "q", "a")] * 40, "instruction string, input string, output string")
+    assert sp.ensure_sample_id(df).select("sample_id").distinct().count() == 40
 
 
 def test_ensure_sample_id_copies(spark):

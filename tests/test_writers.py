@@ -1,5 +1,5 @@
 """Sinks: table and document forms, the either-scores-or-error detail shape,
-the 200-character cut, and the document-size guard."""
+the 200-character cut, keys from source to scores."""
 
 import json
 
@@ -7,9 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatframe.operators import judging as jd
+from chatframe.operators.bertscore import result_details
+from chatframe.operators.reports import side_by_side
+from chatframe.operators.sampling import sample_k
+from chatframe.plans.catalog import text_scores
 from chatframe.session import work_dir
 from chatframe.sources import writers as w
-from chatframe.sources.readers import read_answers
+from chatframe.sources.readers import questions, read_answers, read_sft
 
 OK = '{"model_a": {"correctness": 7, "completeness": 5}, "model_b": {"correctness": 3, "completeness": 9}}'
 
@@ -27,7 +31,7 @@ def test_judge_document_shape(spark):
     doc = read_doc(spark, path)
     assert list(doc)[:2] == ["config", "summary"]
     assert doc["summary"]["correctness"] == {"base": 7.0, "lora": 3.0, "diff": -4.0}
-    assert doc["total"] == {"base": 6.0, "lora": 6.0} and doc["n_evaluated"] == 1
+    assert doc["total"] == {"base": 6.0, "lora": 6.0} and doc["config"]["num_evaluated"] == 1
     ok, bad = doc["details"]
     assert set(ok) == {"sample_id", "question", "base_scores", "lora_scores"}
     assert set(bad) == {"sample_id", "question", "error"} and bad["error"] == "bad_json"
@@ -47,14 +51,50 @@ def test_bertscore_document_cut(spark):
     assert doc["summary"]["base"]["precision"] == pytest.approx(0.4)
 
 
-def test_answers_roundtrip_and_guard(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "i", "q", "r", "b", "l")],
-                               "sample_id long, instruction string, question string, reference string, "
-                               "base_answer string, lora_answer string")
+def test_answers_round_trip(spark, tmp_path):
+    rows = [(f"{i}:{i % 3}", "i", 'q "x"\n, y', "r", None if i == 4 else "b", "l") for i in range(300)]
+    df = spark.createDataFrame(rows, "sample_id string, instruction string, question string, reference string, "
+                               "base_answer string, lora_answer string").repartition(5)
     for document in (False, True):
         path = work_dir(spark, "answers")
         w.write_answers(df, {"seed": 42}, path, document=document)
-        assert [tuple(r) for r in read_answers(spark, path).collect()] == [(1, "i", "q", "r", "b", "l")]
-    monkeypatch.setattr(w, "DOCUMENT_MAX_ROWS", 0)
-    with pytest.raises(ValueError):
-        w.write_answers(df, {}, work_dir(spark, "answers"), document=True)
+        assert sorted(tuple(r) for r in read_answers(spark, path).collect()) == sorted(rows)
+    doc = read_doc(spark, path)
+    assert [a["sample_id"] for a in doc["answers"]] == sorted(r[0] for r in rows) and doc["config"] == {"seed": 42}
+    one = tmp_path / "answers.json"
+    one.write_text(json.dumps(doc, indent=2))
+    assert sorted(tuple(r) for r in read_answers(spark, str(one)).collect()) == sorted(rows)
+
+
+def test_empty_document(spark):
+    df = spark.createDataFrame([], "sample_id string, instruction string, question string, reference string, "
+                               "base_answer string, lora_answer string")
+    path = work_dir(spark, "answers")
+    w.write_answers(df, {}, path, document=True)
+    assert read_doc(spark, path) == {"config": {}, "answers": []} and read_answers(spark, path).count() == 0
+
+
+def test_read_sft_keeps_or_makes_keys(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"sample_id": "x", "instruction": "i", "input": "q", "output": "o"}\n'
+                                     '{"instruction": "i", "input": "q2", "output": "o"}\n' * 1)
+    (tmp_path / "b.csv").write_text('instruction,input,output\ni,"a ""b""\nc",o\ni,"a ""b""\nc",o\n')
+    a = read_sft(spark, str(tmp_path / "a.json"), "json").collect()
+    assert {r["sample_id"] for r in a if r["input"] == "q"} == {"x"} and all(r["sample_id"] for r in a) and len(a) == 2
+    b = read_sft(spark, str(tmp_path / "b.csv"), "csv").collect()
+    assert len({r["sample_id"] for r in b}) == 2 and {r["input"] for r in b} == {'a "b"\nc'}
+    assert questions(spark, []).count() == 2 and [r["question"] for r in questions(spark, ["a"]).collect()] == ["a"]
+
+
+def test_from_source_to_scores_without_ids(spark, tmp_path):
+    """A dataset without keys runs through sample, answers, numbering and scores."""
+    rows = "".join(json.dumps({"instruction": "i", "input": f"q{i}", "output": f"w{i} same"}) + "\n" for i in range(20))
+    (tmp_path / "s.json").write_text(rows)
+    s = sample_k(read_sft(spark, str(tmp_path / "s.json"), "json"), 8)
+    a = s.select("sample_id", "instruction", F.col("input").alias("question"), F.col("output").alias("reference"),
+                 F.lit("same").alias("base_answer"), F.col("output").alias("lora_answer"))
+    path = work_dir(spark, "answers")
+    w.write_answers(a, {}, path)
+    back = read_answers(spark, path)
+    assert sorted(r["question_no"] for r in side_by_side(back).collect()) == list(range(1, 9))
+    d = result_details(back, text_scores(spark, "", back)).collect()
+    assert len(d) == 8 and all(r["lora_f1"] == pytest.approx(1) for r in d)
