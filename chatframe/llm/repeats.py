@@ -169,7 +169,8 @@ def anchors(buf: np.ndarray, off: np.ndarray, min_len: int = MIN_LEN,
     last = np.append(first[1:], len(win)) - 1
     a, lo, hi = a[first], win[first], win[last]
     ctx = mix64(span_hash(h, lo, hi + min_len) + (a - lo).astype(np.uint64))
-    return a, lo, hi, gram[a], ctx
+    # anchors have the smallest hashes, so their classes are hashed anew
+    return a, lo, hi, mix64(gram[a] + np.uint64(K)), ctx
 
 
 def text_anchors(buf: np.ndarray, off: np.ndarray, min_len: int = MIN_LEN):
