@@ -76,12 +76,13 @@ def context_bounds(turns: DataFrame, max_tokens: int, tokenizer_factory=None,
     (eviction is monotone, so the history is a contiguous suffix).  The start
     is therefore the first position whose ``cex`` reaches ``v = cum_t -
     max_tokens``.  That value lies in ``[v, cum_t]``, i.e. in value bucket
-    ``floor(v / W)`` or the next one for ``W = max_tokens``: a window over
-    ``(conv_id, bucket)`` (at most ``2 W`` distinct values, independent of the
-    conversation length) answers the first, an equi-join on the next bucket's
-    first position the second.
+    ``floor(v / W)`` or the next one for ``W = max_tokens``.  Every message is
+    emitted into its own bucket and the one before, every turn looks in the
+    bucket of ``v``, and one window over ``(conv_id, bucket)`` (at most ``2 W``
+    distinct values, however long the conversation) finds the message.
 
-    Returns the input columns plus ``n_tokens``, ``pos``, ``cum_n``, ``start_pos``.
+    Returns the input columns plus ``n_tokens``, ``pos``, ``cum_n``, ``start_pos``
+    and ``hit``, the first visible message as (pos, turn, cex).
     """
     t = with_token_counts(turns, tokenizer_factory)
     s = segmented_scan(t, "conv_id", "turn", sums={"n": F.col("n_tokens")}, chunk_size=chunk_size)
@@ -91,49 +92,40 @@ def context_bounds(turns: DataFrame, max_tokens: int, tokenizer_factory=None,
 def _bounds_from_scan(s: DataFrame, max_tokens: int) -> DataFrame:
     """``context_bounds`` on rows that already carry ``pos`` and ``cum_n``."""
     width = max(int(max_tokens), 1)
-    s = s.withColumn("cex", F.col("cum_n") - F.col("n_tokens")) \
-         .withColumn("v", F.col("cum_n") - F.lit(max_tokens))
-
-    build = (s.groupBy("conv_id", "cex").agg(F.min("pos").alias("bpos"))
-              .withColumn("b", F.floor(F.col("cex") / width)))
-    probe = (s.select("conv_id", "v").distinct()
-              .withColumn("b", F.floor(F.col("v") / width)))
-
-    both = (probe.select("conv_id", "b", F.col("v").alias("val"), F.lit(0).alias("kind"),
-                         F.lit(None).cast("bigint").alias("bpos"))
-            .unionByName(build.select("conv_id", "b", F.col("cex").alias("val"),
-                                      F.lit(1).alias("kind"), "bpos")))
-    w = (Window.partitionBy("conv_id", "b").orderBy("val", "kind")
-               .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    in_bucket = (both.withColumn("c1", F.first("bpos", ignorenulls=True).over(w))
-                     .where(F.col("kind") == 0)
-                     .select("conv_id", "b", F.col("val").alias("v"), "c1"))
-    next_bucket = (build.groupBy("conv_id", "b").agg(F.min("bpos").alias("c2"))
-                        .withColumnRenamed("b", "b_next"))
-    found = (in_bucket.join(next_bucket,
-                            (in_bucket.conv_id == next_bucket.conv_id)
-                            & (next_bucket.b_next == in_bucket.b + 1), "left")
-                      .select(in_bucket.conv_id, "v", F.coalesce("c1", "c2").alias("found")))
-    out = s.join(found, ["conv_id", "v"], "left")
+    cex = F.col("cum_n") - F.col("n_tokens")
+    v = F.col("cum_n") - F.lit(max_tokens)
+    here = F.struct(F.col("pos").alias("pos"), F.col("turn").alias("turn"), cex.alias("cex"))
+    nothing = F.lit(None).cast(s.select(here.alias("h")).schema["h"].dataType)
+
+    def place(bucket, val, hit):
+        return F.struct(F.floor(bucket / width).alias("b"), val.alias("val"), hit.alias("hit"))
+
+    d = s.withColumn("_x", F.explode(F.array(
+        place(v, v, nothing), place(cex, cex, here), place(cex - width, cex, here))))
+    is_turn = F.col("_x.hit").isNull()
+    # messages only need what ``hit`` holds
+    d = d.select("conv_id", *[F.when(is_turn, F.col(c)).alias(c) for c in s.columns if c != "conv_id"], "_x.*")
+    # from large to small values, so the last message seen is the first that fits
+    w = (Window.partitionBy("conv_id", "b")
+         .orderBy(F.desc("val"), F.col("hit").isNull(), F.desc("hit.pos"))
+         .rowsBetween(Window.unboundedPreceding, 0))
+    found = d.withColumn("_f", F.last("hit", ignorenulls=True).over(w)).where(F.col("hit").isNull())
     after = F.col("pos") + 1
-    return (out.withColumn("start_pos", F.least(F.coalesce(F.col("found"), after), after))
-               .drop("found", "v"))
+    return (found.withColumn("start_pos", F.least(F.coalesce(F.col("_f.pos"), after), after))
+                 .withColumn("hit", F.when(F.col("_f.pos") <= F.col("pos"), F.col("_f")))
+                 .drop("b", "val", "_f"))
 
 
 def context_at_turn(turns: DataFrame, max_tokens: int, tokenizer_factory=None,
                     chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """Per turn, the visible history after clipping: its first turn,
     message count and token count (no pair enumeration)."""
-    b = context_bounds(turns, max_tokens, tokenizer_factory, chunk_size)
-    b = b.withColumn("_sp", F.when(F.col("start_pos") <= F.col("pos"), F.col("start_pos")))
-    starts = b.select("conv_id", F.col("pos").alias("_sp"),
-                      F.col("turn").alias("first_turn"), F.col("cex").alias("start_cex"))
-    j = b.join(starts, ["conv_id", "_sp"], "left")
-    return j.select(
+    b = context_bounds(turns.select("conv_id", "turn", "role", "text"), max_tokens, tokenizer_factory, chunk_size)
+    return b.select(
         "conv_id", "turn", "role",
-        "first_turn",
+        F.col("hit.turn").alias("first_turn"),
         (F.col("pos") - F.col("start_pos") + 1).cast("bigint").alias("n_messages"),
-        F.coalesce(F.col("cum_n") - F.col("start_cex"), F.lit(0)).cast("bigint").alias("n_tokens"),
+        F.coalesce(F.col("cum_n") - F.col("hit.cex"), F.lit(0)).cast("bigint").alias("n_tokens"),
     )
 
 

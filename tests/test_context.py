@@ -170,6 +170,14 @@ def test_hot_conversation_is_chunked(spark):
     assert got == loop_context(rows, BUDGET)
     plan = ctx.context_at_turn(df, BUDGET, chunk_size=64)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = ctx.context_at_turn(df, BUDGET)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 6
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_prompts_respect_session_rules(spark):
