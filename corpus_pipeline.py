@@ -34,10 +34,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                    "groups")
     gone = found.where("doc_id <> component_id").select("doc_id")
     again = found.where("doc_id = component_id AND n > 1").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return (kept.join(again, "doc_id", "left_anti")
-            .unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-            .select(docs.columns))
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    if again.isEmpty():
+        return kept
+    kept = stored(kept, "kept")
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(
+        kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
