@@ -61,6 +61,6 @@ def length_profile(df: DataFrame, n: str, max_len: int = 1024,
             F.sum(F.greatest(c - max_len, F.lit(0))).alias("tokens_cut"),
             F.min(c).alias("min_len"), F.max(c).alias("max_len"),
             F.avg(c).alias("avg_len")]
-    for q in quantiles:
-        aggs.append(F.percentile(c, q).alias(f"p{round(q * 100):02d}"))
-    return df.agg(*aggs)
+    out = df.agg(*aggs, F.percentile(c, list(quantiles)).alias("_q"))  # one map for all quantiles
+    return out.select(*[x for x in out.columns if x != "_q"],
+                      *[F.col("_q")[i].alias(f"p{round(q * 100):02d}") for i, q in enumerate(quantiles)])
