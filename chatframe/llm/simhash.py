@@ -6,20 +6,22 @@ is 1 where over half of the hashes have it.
 
 *Links.*  Distinct fingerprints at most ``distance`` bits apart:
 
-1. The 64 bits are dealt to partitions, correlated bits together, by a 64 x 64
-   matrix of co-occurrences that the tasks pre-aggregate.
-2. If ``m`` partitions have thresholds that sum to ``distance - m + 1``, two
+1. The 64 bits are dealt to ``parts`` partitions, correlated bits together, by
+   a 64 x 64 matrix of co-occurrences that the tasks pre-aggregate.  Fewer,
+   wider partitions mean more probes and fewer chance candidates: 3 suit up to
+   some 10^8 fingerprints at distance 4, beyond that 2.
+2. If the partitions have thresholds that sum to ``distance - parts + 1``, two
    linked fingerprints agree within the threshold in at least one partition.
    Dynamic programming picks unequal thresholds (-1: not probed) by estimated
    rows: probes, and candidates from the partitions' bit frequencies and
-   measured exact collisions.  The same estimate picks ``m``.
+   measured exact collisions.
 3. Index rows hold a partition's value; probe rows the values up to the
-   threshold away.  Keys without an index row go, and a key of two
-   fingerprints is verified in the aggregate that counts it.
-4. Keys are verified in blocks: members of a key with many of them are dealt
-   to blocks of ``BLOCK`` rows and each pair of blocks is its own group, so no
-   key is one task.  A group emits the edges of a spanning forest, never all
-   of its pairs, which loses no connection.
+   threshold away.  Both are shuffled once by that value.
+4. Each index row of a value is compared with all rows of it.  A group emits
+   the edges of a spanning forest, never all of its pairs, which loses no
+   connection.  Values with over ``BLOCK`` index rows (known from the counts of
+   2, as a ``BitSet``) are dealt to ``SPLIT`` groups: index rows to one of
+   them, the others to all.
 
 Groups follow from connected components.  Copies share a fingerprint and are
 never paired.
@@ -41,12 +43,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatframe.llm.components import components
-from chatframe.llm.spark_util import stored
+from chatframe.llm.kernels import BitSet, mix64
+from chatframe.llm.spark_util import bit_set, stored
 
 SHINGLE = 4
 DISTANCE = 4
+PARTS = 3
 SEED = 42
 BLOCK = 4096
+SPLIT = 16
+SET_BITS = 20
 
 
 # ------------------------------------------------------------- fingerprints ---
@@ -179,23 +185,6 @@ def part_costs(n: int, together: np.ndarray, groups: list[list[int]], distance:
     return cost
 
 
-def choose_parts(n: int, together: np.ndarray, distance: int) -> list[list[int]]:
-    """The partitioning of 2 to ``distance + 1`` parts with the least estimate:
-    more fingerprints make wider parts worth their probes."""
-    best = None
-    for m in range(2, max(2, distance + 1) + 1):
-        groups = group_bits(n, together, m)
-        cost = part_costs(n, together, groups, distance)
-        if distance - m + 1 > m * (cost.shape[1] - 2):
-            continue
-        total = sum(cost[g, t + 1] for g, t in enumerate(allocate(cost, distance - m + 1)))
-        if best is None or total < best[0]:
-            best = (total, groups)
-    if best is None:
-        raise ValueError(f"distance {distance} is beyond what partition thresholds of 2 can cover")
-    return best[1]
-
-
 def _part_value(bits: np.ndarray, group: list[int]) -> np.ndarray:
     """The partition's bits packed into the low bits of an int64."""
     out = np.zeros(len(bits), np.int64)
@@ -213,9 +202,10 @@ def _flips(width: int, t: int) -> np.ndarray:
     return np.array(masks, np.int64)
 
 
-def probe_rows(fps: DataFrame, groups: list[list[int]], limits: list[int]) -> DataFrame:
-    """(key, fp, idx): a partition's value (idx) or one near it; the partition
-    is in the key's high bits."""
+def probe_rows(fps: DataFrame, groups: list[list[int]], limits: list[int], hot: BitSet | None = None) -> DataFrame:
+    """(key, fp, idx): a partition's value (idx) or one near it.  The partition
+    is in the key's high bits; rows of a hot key go to ``SPLIT`` sub-keys, the
+    index rows to one of them as such."""
     def run(batches):
         for b in batches:
             all_fp = b.column("fp").to_numpy()
@@ -225,102 +215,84 @@ def probe_rows(fps: DataFrame, groups: list[list[int]], limits: list[int]) -> Da
                 for g, (group, t) in enumerate(zip(groups, limits, strict=True)):
                     if t < 0:
                         continue
-                    v = _part_value(bits, group)
                     masks = np.concatenate([[0], _flips(len(group), t)])
-                    key = (np.int64(g) << np.int64(58)) | (v[:, None] ^ masks[None, :])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.ravel()), pa.array(np.repeat(fp, len(masks))),
-                         pa.array(np.tile(masks == 0, len(fp)))], ["key", "fp", "idx"])
+                    key = ((np.int64(g) << np.int64(58)) | (_part_value(bits, group)[:, None] ^ masks[None, :])).ravel()
+                    own, idx = np.repeat(fp, len(masks)), np.tile(masks == 0, len(fp))
+                    if hot is not None and (h := hot.has(mix64(key.view(np.uint64)))).any():
+                        sub = np.arange(SPLIT)[None, :]
+                        mine = (mix64(own[h].view(np.uint64)) % np.uint64(SPLIT)).astype(np.int64)
+                        key = np.concatenate([key[~h], (key[h][:, None] | (sub << 40)).ravel()])
+                        idx = np.concatenate([idx[~h], (idx[h][:, None] & (sub == mine[:, None])).ravel()])
+                        own = np.concatenate([own[~h], np.repeat(own[h], SPLIT)])
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(own), pa.array(idx)], ["key", "fp", "idx"])
     return fps.select("fp").mapInArrow(run, "key long, fp long, idx boolean")
 
 
 # ------------------------------------------------------------- verification ---
-def _forest(fp: np.ndarray, idx: np.ndarray, side: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Spanning forest of the links inside one group.  ``side``: bit 0 and 1
-    tell on which sides of a pair of blocks a row stands."""
-    n = len(fp)
-    root = np.arange(n)
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
+def _forest(fp: np.ndarray, idx: np.ndarray, distance: int) -> list[tuple[int, int]]:
+    """Spanning forest of the links between index rows and all rows of a group."""
+    label = np.arange(len(fp))
     out = []
-    right = np.flatnonzero(side & 2)
-    for a in np.flatnonzero(side & 1).tolist():
-        near = np.bitwise_count(fp[right] ^ fp[a]) <= distance
-        near &= idx[right] | idx[a]
-        for b in right[near].tolist():
-            x, y = find(a), find(b)
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                out.append((int(fp[a]), int(fp[b])))
+    for a in np.flatnonzero(idx).tolist():
+        near = np.flatnonzero(np.bitwise_count(fp ^ fp[a]) <= distance)
+        near = near[label[near] != label[a]]
+        # one edge to each part that ``a`` is not connected with yet
+        for part, i in zip(*np.unique(label[near], return_index=True), strict=True):
+            out.append((int(fp[a]), int(fp[near[i]])))
+            label[label == part] = label[a]
     return out
 
 
-def _small_groups(key: np.ndarray, fp: np.ndarray, idx: np.ndarray, distance: int, most: int = 8):
-    """Links of all groups of at most ``most`` rows (sorted by key) at once."""
-    a, b = [], []
-    for k in range(1, most):
-        i = np.flatnonzero(key[k:] == key[:-k])
-        ok = (np.bitwise_count(fp[i] ^ fp[i + k]) <= distance) & (idx[i] | idx[i + k])
-        a.append(fp[i[ok]])
-        b.append(fp[i[ok] + k])
-    return np.concatenate(a), np.concatenate(b)
-
-
-def _verify(key: np.ndarray, fp: np.ndarray, idx: np.ndarray, side: np.ndarray, distance: int):
+def _verify(key: np.ndarray, fp: np.ndarray, idx: np.ndarray, distance: int, most: int = 8):
+    """Links of complete groups (rows sorted by key): groups of at most
+    ``most`` rows all at once, larger ones by ``_forest``."""
     cut = np.flatnonzero(np.diff(key)) + 1
     start, end = np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])
     size = end - start
-    small = np.repeat(size <= 8, size)
-    a, b = _small_groups(key[small], fp[small], idx[small], distance)
-    more: list[tuple[int, int]] = []
-    for i, j in zip(start[size > 8].tolist(), end[size > 8].tolist(), strict=True):
-        more += _forest(fp[i:j], idx[i:j], side[i:j], distance)
-    if more:
-        x = np.array(more, np.uint64)
-        a, b = np.concatenate([a, x[:, 0]]), np.concatenate([b, x[:, 1]])
-    return a, b
-
-
-def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    small = np.repeat(size <= most, size)
+    k, f, x = key[small], fp[small], idx[small]
+    a, b = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+    for d in range(1, most):
+        i = np.flatnonzero(k[d:] == k[:-d])
+        i = i[(np.bitwise_count(f[i] ^ f[i + d]) <= distance) & (x[i] | x[i + d])]
+        a.append(f[i])
+        b.append(f[i + d])
+    for i, j in zip(start[size > most].tolist(), end[size > most].tolist(), strict=True):
+        if idx[i:j].any() and (found := _forest(fp[i:j], idx[i:j], distance)):
+            pairs = np.array(found, np.uint64)
+            a.append(pairs[:, 0])
+            b.append(pairs[:, 1])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def links(fps: DataFrame, distance: int = DISTANCE, parts: int = PARTS) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that connect every two
     fingerprints whose link chain exists."""
     fps = stored(fps.select("fp").distinct(), "fps")
     n, together = bit_matrix(fps)
-    groups = choose_parts(n, together, distance)
-    exact = probe_rows(fps, groups, [0] * len(groups))
-    same = {r[0]: float(r[1]) for r in exact.groupBy("key").count().where("count > 1")
-            .groupBy(F.shiftright("key", 58).alias("g")).agg(F.expr("sum(count * (count - 1) / 2D)")).collect()}
-    cost = part_costs(n, together, groups, distance, [same.get(g, 0.0) for g in range(len(groups))])
-    rows = probe_rows(fps, groups, allocate(cost, distance - len(groups) + 1))
-    # keys without an index row can't link; a key of two is its one pair
-    keys = stored(rows.groupBy("key").agg(
-        F.count("*").alias("n"), F.max("idx").alias("has"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-        .where("has AND n > 1").where(F.expr(f"n > 2 OR bit_count(a ^ b) <= {int(distance)}")), "keys")
-    pairs = keys.where("n = 2").select("a", "b")
-    met = rows.join(keys.where("n > 2").select("key", "n"), "key")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    dealt = (met.select("key", "fp", "idx", blocks.alias("nb"), mine.alias("blk"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-             .select("key", "fp", "idx", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"),
-                     F.when(F.col("blk") == F.col("other"), 3).when(F.col("blk") < F.col("other"), 1)
-                     .otherwise(2).cast("int").alias("side"))
-             .withColumn("grp", F.xxhash64("key", "i", "j")))
+    groups = group_bits(n, together, parts)
+    counts = stored(probe_rows(fps, groups, [0] * parts).groupBy("key").agg(F.count("*").alias("n")).where("n > 1"),
+                    "collisions")
+    same = {r[0]: float(r[1]) for r in counts.groupBy(F.shiftright("key", 58).alias("g"))
+            .agg(F.expr("sum(n * (n - 1) / 2D)")).collect()}
+    cost = part_costs(n, together, groups, distance, [same.get(g, 0.0) for g in range(parts)])
+
+    def mixed(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(mix64(b.column(0).to_numpy().view(np.uint64)).view(np.int64))], ["h"])
+
+    hot = bit_set(counts.where(F.col("n") > BLOCK).select("key").mapInArrow(mixed, "h long"), "h", SET_BITS)
+    rows = probe_rows(fps, groups, allocate(cost, distance - parts + 1), hot)
 
     def run(batches):
-        hold: list[np.ndarray] = [np.empty(0, np.int64)] * 4
+        hold: list[np.ndarray] = [np.empty(0, np.int64)] * 3
 
         def edges(cols):
-            a, b = _verify(cols[0], cols[1].view(np.uint64), cols[2].astype(bool), cols[3], distance)
+            a, b = _verify(cols[0], cols[1].view(np.uint64), cols[2].astype(bool), distance)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
         for bt in batches:
-            new = [bt.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("grp", "fp", "idx", "side")]
+            new = [bt.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "fp", "idx")]
             hold = [np.concatenate(x) for x in zip(hold, new, strict=True)]
             cut = int(np.searchsorted(hold[0], hold[0][-1])) if len(hold[0]) else 0
             if cut:
@@ -329,16 +301,16 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
         if len(hold[0]):
             yield edges(hold)
 
-    return (dealt.select("grp", "fp", "idx", "side").repartition("grp").sortWithinPartitions("grp")
-            .mapInArrow(run, "a long, b long").unionByName(pairs))
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
+                    parts: int = PARTS) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp, component_id (the smallest
     doc_id that links reach)."""
     rows = stored(fingerprints(docs, shingle), "fingerprints")
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    comp = components(links(rows, distance))
+    comp = components(links(rows, distance, parts))
     by_fp = least.join(comp, least.fp == comp.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     by_fp = stored(by_fp, "roots")

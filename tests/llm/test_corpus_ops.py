@@ -91,16 +91,26 @@ def test_blocks_of_a_hot_key(spark, monkeypatch):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+@pytest.mark.parametrize("parts", [2, 3, 4, 5])
 @pytest.mark.parametrize("n", [10, 10**6, 10**10])
-def test_thresholds_cover_the_distance(n):
+def test_thresholds_cover_the_distance(n, parts):
     m = np.full((64, 64), n / 4)
     np.fill_diagonal(m, n / 2)
-    groups = simhash.choose_parts(n, m, 4)
+    groups = simhash.group_bits(n, m, parts)
     assert sorted(b for g in groups for b in g) == list(range(64))
-    pick = simhash.allocate(simhash.part_costs(n, m, groups, 4), 4 - len(groups) + 1)
+    pick = simhash.allocate(simhash.part_costs(n, m, groups, 4), 4 - parts + 1)
     assert sum(t + 1 for t in pick) == 4 + 1
 
 
+def test_probing_skewed_bits_costs_more():
+    n, m = 10**6, np.full((64, 64), 10**6 / 4)
+    np.fill_diagonal(m, 10**6 / 2)
+    groups = simhash.group_bits(n, m, 3)
+    for b in groups[0]:  # nearly constant bits: everything collides there
+        m[b, b] = n * 0.999
+    assert simhash.allocate(simhash.part_costs(n, m, groups, 4), 2)[0] == -1
+
+
 def test_correlated_bits_go_together():
     x = np.random.default_rng(1).integers(0, 2, (500, 64))
     x[:, 40] = x[:, 3]
