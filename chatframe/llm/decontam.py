@@ -33,13 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatframe.llm.kernels import (LOWER, BitSet, group_hash, mix64, row_slices,
+from chatframe.llm.kernels import (LOWER, RUN_BASE, BitSet, group_hash, mix64, row_slices,
                                    text_buffer, words_of)
 from chatframe.llm.spark_util import bit_set, stored
 
 WIDTH = 10       # words of a window
 SHINGLE = 3      # words of a shingle
 SET_BITS = 23    # 1 MB bit sets
+WHOLE = 99       # stands for an offset where a window's own hash is meant
 
 
 def _sliced(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -140,8 +141,8 @@ def _starts(h, doc, pre: BitSet, plan: BitSet, lens: list[int], shingle: int):
             i = i[doc[i] == doc[i + n - 1]]
             w = np.zeros(len(i), np.uint64)
             for j in range(n):
-                w = w * np.uint64(0x9E3779B97F4A7C15 | 1) + h[i + j]
-            i = i[plan.has(mix64(mix64(w + np.uint64(n)) ^ _shift(99, n)))]
+                w = w * RUN_BASE + h[i + j]
+            i = i[plan.has(mix64(mix64(w + np.uint64(n)) ^ _shift(WHOLE, n)))]
             found.append(np.stack([i, np.full(len(i), n)]))
     return np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
 
@@ -224,7 +225,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH,
         for b in batches:
             n = b.column("len").to_numpy().astype(np.uint64)
             p = mix64(b.column("sh").to_numpy().view(np.uint64) ^ _shift(b.column("off").to_numpy(), n))
-            w = mix64(b.column("whash").to_numpy().view(np.uint64) ^ _shift(99, n))
+            w = mix64(b.column("whash").to_numpy().view(np.uint64) ^ _shift(WHOLE, n))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([p, w]).view(np.int64))], ["k"])
 
     plan = bit_set(pre.mapInArrow(keys, "k long"), "k", set_bits)

@@ -18,6 +18,7 @@ SLICE_BYTES = 1 << 20
 _M = (1 << 64) - 1
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
+RUN_BASE = np.uint64(_P)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -137,7 +138,7 @@ def group_hash(word_hash: np.ndarray, n: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     out = np.zeros(m, np.uint64)
     for k in range(n):  # n is small; no power tables as long as the text
-        out = out * np.uint64(_P) + word_hash[k:k + m]
+        out = out * RUN_BASE + word_hash[k:k + m]
     return mix64(out + np.uint64(n))
 
 

@@ -179,15 +179,16 @@ def text_anchors(buf: np.ndarray, off: np.ndarray, min_len: int = MIN_LEN):
     which splits an anchor's windows at most; every window keeps one anchor."""
     for lo, hi in row_slices(off, SLICE):
         base, end = int(off[lo]), int(off[hi])
-        for s in range(base, max(base + 1, end - min_len + 1), 2 * SLICE):
-            e = min(end, s + 2 * SLICE + min_len - 1)
-            cut = off[lo:hi + 1] - s if hi - lo > 1 else np.array([0, e - s])
-            p, a, z, ah, ch = anchors(buf[s:e], cut, min_len)
-            row = np.searchsorted(cut, p, side="right") - 1
-            rel = (cut[row] if hi - lo > 1 else np.full(len(p), base - s)) if len(p) else p
-            yield lo + row, p - rel, a - rel, z - rel, ah, ch
-            if hi - lo > 1:
-                break
+        cuts = [(base, end)]
+        if hi - lo == 1:
+            cuts = [(s, min(end, s + 2 * SLICE + min_len - 1))
+                    for s in range(base, max(base + 1, end - min_len + 1), 2 * SLICE)]
+        for s, e in cuts:
+            bounds = off[lo:hi + 1] - s if hi - lo > 1 else np.array([0, e - s])
+            pos, first, last, ah, ch = anchors(buf[s:e], bounds, min_len)
+            row = lo + np.searchsorted(bounds, pos, side="right") - 1
+            shift = s - off[row]
+            yield row, pos + shift, first + shift, last + shift, ah, ch
 
 
 def anchor_table(docs: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
