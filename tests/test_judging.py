@@ -2,7 +2,6 @@
 and the expected scoreboard on the fixture (FIXTURES §2.3)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from chatframe.operators import judging as jd
 

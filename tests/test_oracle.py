@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import table_hash
+from chatframe.plans.catalog import QUERIES
 from chatframe.sources.tables import TABLES
 from conftest import SF_SMOKE
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")

@@ -1,7 +1,6 @@
 """Seeded exact-size sampling: independent of partitioning; every k gives
 the exact ranking."""
 
-from pyspark.sql import functions as F
 
 from chatframe.operators import sampling as sp
 
