@@ -1,14 +1,16 @@
 """Byte-level BPE as a lazily determinised finite-state transducer.
 
 A token sequence is the encoding of its bytes exactly if each two neighbours
-encode to themselves, so the encodings of all prefixes of a piece are the
-paths of a nondeterministic transducer: a configuration is a node of the
-vocabulary trie, the token before it, and the tokens of its path that are not
-written yet.  Determinising by subsets, a state is the set of live
-configurations; a byte moves them all, and the tokens on which all of them
-agree are written.  Live configurations start at most a token's length back,
-which bounds the lookahead.  States and moves are made when first met and kept
-in a table of bounded size, which starts anew when full.
+encode to themselves, so every prefix of a piece has one encoding, and the
+encodings of all prefixes are the paths of a nondeterministic transducer: a
+configuration is a node of the vocabulary trie and the token before it.
+Determinising by subsets, a state is the set of live configurations, and its
+output is the last token of the prefix that has been read.  Walking back over
+these outputs gives the tokens.  Live configurations start at most a token's
+length back, which bounds the lookahead: in a long piece, tokens up to the last
+boundary that all of them share are written while reading goes on.  States and
+moves are made when first met and kept in tables of bounded size, which start
+anew when full.
 
 Decoding joins token bytes in chunks and pushes them through an incremental
 UTF-8 state machine: what it carries from chunk to chunk is the unfinished
@@ -30,15 +32,15 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-MAX_STATES = 1 << 17
-MAX_PAIRS = 1 << 20
-MEMO_PIECES = 1 << 18   # pieces whose ids a task remembers
+MAX_STATES = 1 << 18
+MAX_PAIRS = 1 << 18
+MEMO_PIECES = 1 << 19   # pieces whose ids a task remembers
 MEMO_CHARS = 32
 CHUNK = 1 << 14         # tokens decoded at once
 _NEVER = 1 << 40
-_LIVE, _REST = -1, -2
+_TOKEN = (1 << 24) - 1
+LOOK = 4096             # bytes read before settled tokens are written
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -52,8 +54,9 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self.child: dict[int, int] = {}      # node * 256 + byte -> node
+        self.child: dict[int, int] = {}      # node << 8 | byte -> node
         self.token: list[int] = [-1]         # node -> token id
+        self.depth: list[int] = [0]
         for t, i in ranks.items():
             node = 0
             for c in t:
@@ -61,24 +64,31 @@ class Transducer:
                 if nxt is None:
                     nxt = self.child[node << 8 | c] = len(self.token)
                     self.token.append(-1)
+                    self.depth.append(self.depth[node] + 1)
                 node = nxt
             self.token[node] = i
+        self.inner = {k >> 8 for k in self.child}
+        self.size = {i: len(t) for t, i in ranks.items()}
         self.self_ok: dict[int, bool] = {}
-        self._reset()
         self.pair_ok: dict[int, bool] = {}
         self.spines: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
+        self._reset()
 
     def _reset(self) -> None:
-        self.states: dict[tuple, dict] = {}
-        self.start = self._state(((0, -1, ()),))
-
-    def _state(self, configs: tuple) -> dict:
-        """A state: byte -> (state, tokens written), ``_LIVE`` -> its
-        configurations by age, ``_REST`` -> tokens to write at the end."""
-        s = self.states.get(configs)
+        self.moves: dict[int, int] = {}           # state << 8 | byte -> state
+        self.live: list[tuple[int, ...]] = []     # state -> configurations, oldest first
+        self.last: list[int] = []                 # state -> last token of the prefix
+        self.number: dict[tuple[int, ...], int] = {}
+        self._state((0,))
+
+    def _state(self, live: tuple[int, ...]) -> int:
+        """The state of these configurations, ``node << 24 | token before + 1``;
+        the last one is at the root, behind the prefix's last token."""
+        s = self.number.get(live)
         if s is None:
-            node, _, wait = configs[-1]
-            s = self.states[configs] = {_LIVE: configs, _REST: wait if node == 0 else ()}
+            s = self.number[live] = len(self.live)
+            self.live.append(live)
+            self.last.append((live[-1] & _TOKEN) - 1)
         return s
 
     def _merged(self, data: bytes, stop: int = 1) -> list[bytes]:
@@ -140,49 +150,67 @@ class Transducer:
             self.pair_ok[a << 32 | b] = ok
         return ok
 
-    def _move(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
-        live, whole = [], None
-        child, token, pair_ok = self.child, self.token, self.pair_ok
-        for node, prev, wait in state[_LIVE]:
-            nxt = child.get(node << 8 | byte)
+    def _move(self, state: int, byte: int) -> int:
+        live, whole = [], -1
+        child, token, inner, pair_ok = self.child, self.token, self.inner, self.pair_ok
+        for cfg in self.live[state]:
+            nxt = child.get((cfg >> 24) << 8 | byte)
             if nxt is None:
                 continue
-            live.append((nxt, prev, wait))
+            prev = (cfg & _TOKEN) - 1
+            if nxt in inner:
+                live.append(nxt << 24 | prev + 1)
             t = token[nxt]
-            if whole is None and t >= 0 and self._reachable(t):
+            if whole < 0 <= t and self._reachable(t):
                 ok = True if prev < 0 else pair_ok.get(prev << 32 | t)
                 if ok or (ok is None and self._follows(prev, t)):
-                    whole = (0, t, (*wait, t))
-        live.append(whole)  # each prefix has exactly one encoding
-        first, n = live[0][2], 0
-        if first:
-            most = min(len(c[2]) for c in live)
-            while n < most and all(c[2][n] == first[n] for c in live):
-                n += 1
-        if n:
-            live = [(a, b, w[n:]) for a, b, w in live]
-        move = state[byte] = (self._state(tuple(live)), first[:n])
-        return move
+                    whole = t
+        live.append(whole + 1)  # each prefix has exactly one encoding
+        nxt = self.moves[state << 8 | byte] = self._state(tuple(live))
+        return nxt
+
+    def _back(self, seen: list[int], at: int) -> list[int]:
+        """Tokens of the first ``at`` bytes that ``seen`` covers."""
+        out, size = [], self.size
+        while at:
+            t = seen[at - 1]
+            out.append(t)
+            at -= size[t]
+        return out[::-1]
+
+    def _settled(self, state: int, seen: list[int]) -> int:
+        """The last boundary that all live configurations share."""
+        common: set[int] | None = None
+        for cfg in self.live[state]:
+            at, chain = len(seen) - self.depth[cfg >> 24], set()
+            while at > 0:
+                chain.add(at)
+                at -= self.size[seen[at - 1]]
+            common = chain if common is None else common & chain
+        return max(common or (), default=0)
 
     def encode(self, piece: bytes) -> list[int]:
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        if len(self.states) > MAX_STATES:
+        if len(self.live) > MAX_STATES:
             self._reset()
-        state, out = self.start, []
+        state, out, seen = 0, [], []
+        moves, last = self.moves, self.last
         for c in piece:
-            m = state.get(c)
-            if m is None:
-                if len(self.states) > 2 * MAX_STATES:  # within one very long piece
-                    live = state[_LIVE]
+            nxt = moves.get(state << 8 | c)
+            if nxt is None:
+                if len(self.live) > 2 * MAX_STATES:  # within one very long piece
+                    live = self.live[state]
                     self._reset()
-                    state = self._state(live)
-                m = self._move(state, c)
-            state = m[0]
-            if m[1]:
-                out += m[1]
-        out += state[_REST]
-        return out
+                    state, moves, last = self._state(live), self.moves, self.last
+                nxt = self._move(state, c)
+            state = nxt
+            seen.append(last[state])
+            if len(seen) >= LOOK:
+                done = self._settled(state, seen)
+                out += self._back(seen, done)
+                del seen[:done]
+        return out + self._back(seen, len(seen))
 
 
 class Utf8Stream:

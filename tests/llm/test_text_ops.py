@@ -96,6 +96,7 @@ def test_state_table_restarts(reference, monkeypatch):
     monkeypatch.setattr(bpe_fst, "MAX_STATES", 50)
     monkeypatch.setattr(bpe_fst, "MAX_PAIRS", 50)
     monkeypatch.setattr(bpe_fst, "MEMO_PIECES", 10)
+    monkeypatch.setattr(bpe_fst, "LOOK", 64)
     c = bpe_fst.Codec(RANKS, P.PATTERN)
     text = "".join(random.Random(1).choices("abcdefgh ", k=5000)) + "q" * 3000 + "interchangeability" * 50
     assert np.frombuffer(c.encode(text), "<u4").tolist() == reference.encode_ordinary(text)
