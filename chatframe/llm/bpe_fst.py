@@ -26,16 +26,17 @@ import base64
 import hashlib
 import re
 import struct
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from chatframe.llm.kernels import held
+
 MAX_STATES = 1 << 18
 MAX_PAIRS = 1 << 18
-MEMO_PIECES = 1 << 19   # pieces whose ids a task remembers
+MEMO_PIECES = 1 << 17   # pieces whose ids a task remembers, in each of two generations
 MEMO_CHARS = 32
 CHUNK = 1 << 14         # tokens decoded at once
 _NEVER = 1 << 40
@@ -277,19 +278,21 @@ class Codec:
         self.split_latin = latin_pattern(pattern).findall
         self.vocabulary = [self.fst.bytes_of.get(i, b"") for i in range(max(ranks.values()) + 1)]
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         pieces = self.split(text) if _BEYOND(text) else self.split_latin(text)
-        memo = self.memo
+        if len(self.memo) > MEMO_PIECES:  # frequent pieces come back from the older generation
+            self.memo, self.older = {}, self.memo
+        memo, older, encode = self.memo, self.older, self.fst.encode
         new = set(pieces).difference(memo)
-        if len(memo) + len(new) > MEMO_PIECES:
-            memo.clear()
-            new = set(pieces)
-        encode = self.fst.encode
         for p in new:
-            ids = encode(p.encode())
-            memo[p] = struct.pack(f"<{len(ids)}I", *ids)
+            ids = older.get(p)
+            if ids is None:
+                ids = encode(p.encode())
+                ids = struct.pack(f"<{len(ids)}I", *ids)
+            memo[p] = ids
         out = b"".join(map(memo.__getitem__, pieces))
         for p in new:
             if len(p) > MEMO_CHARS:
@@ -305,9 +308,8 @@ class Codec:
         yield b"", stream.close()
 
 
-@lru_cache(maxsize=1)
 def codec(path: str, pattern: str) -> Codec:
-    return Codec(path, pattern)
+    return held(("bpe", path, pattern), lambda: Codec(path, pattern))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatframe.llm.kernels import (LOWER, RUN_BASE, BitSet, group_hash, mix64, row_slices,
+from chatframe.llm.kernels import (LOWER, RUN_BASE, BitSet, group_hash, held, mix64, row_slices,
                                    text_buffer, words_of)
 from chatframe.llm.spark_util import bit_set, stored
 
@@ -103,6 +103,7 @@ def item_windows(items: DataFrame, width: int = WIDTH, shingle: int = SHINGLE) -
 def shingle_counts(docs: DataFrame, wanted: BitSet, widths: list[int]) -> DataFrame:
     """How often each shingle whose hash is in ``wanted`` occurs: (sh, n)."""
     def run(batches):
+        held("decontam")
         for b in batches:
             hits = [np.empty(0, np.uint64)]
             for _, _, _, _, _, h, doc in _sliced(b):
@@ -153,6 +154,7 @@ def candidate_spans(docs: DataFrame, pre: BitSet, plan: BitSet, lens: list[int],
     id_type = docs.schema["doc_id"].dataType
 
     def run(batches):
+        held("decontam")
         for b in batches:
             n_words = np.zeros(b.num_rows, np.int64)
             spans: list[list[str]] = [[] for _ in range(b.num_rows)]

@@ -8,7 +8,8 @@ result, operators compare the bytes or a second independent hash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,6 +22,24 @@ _P_INV = pow(_P, -1, 1 << 64)
 RUN_BASE = np.uint64(_P)
 
 
+_HELD: dict = {}
+
+
+def held(name, make: Callable | None = None):
+    """The one large object that a Python process keeps between tasks.
+
+    Spark reuses its Python workers for whatever comes next.  An operator that
+    starts in one asks for its own object by name (or for none), and what
+    another operator kept there is given up first."""
+    if name not in _HELD:
+        if _HELD:
+            _HELD.clear()
+            gc.collect()
+        pa.default_memory_pool().release_unused()
+        _HELD[name] = make() if make else None
+    return _HELD[name]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser (splitmix64) that spreads sums over all 64 bits."""
     x = x ^ (x >> np.uint64(30))

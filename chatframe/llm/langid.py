@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from chatframe.llm.kernels import row_slices, text_buffer
+from chatframe.llm.kernels import held, row_slices, text_buffer
 
 ORDER = 3
 SYMBOLS = 128             # start mark, frequent bytes, and one class for the others
@@ -207,6 +207,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        held("langid")
         for b in batches:
             lang, score, per = _predicted(shared.value, b.column(1), b.column(2))
             yield pa.RecordBatch.from_arrays(
@@ -223,6 +224,7 @@ def accepted(docs: DataFrame, model: Model | None, most_bits: float = float(np.l
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        held("langid")
         for b in batches:
             lang, _, per = _predicted(shared.value, b.column(b.num_columns - 2), b.column(b.num_columns - 1))
             keep = pa.array((lang != UND) & (per < most_bits), pa.bool_())

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatframe.llm.kernels import held
+
 # The kinds' expressions and public token formats.
 KINDS = ("assign", "access", "hex", "github", "npm")
 BASE = ("assign", "access", "hex")
@@ -112,6 +114,7 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
+        held("secrets")
         for b in batches:
             found = [[{"kind": k, "start": s, "end": e} for k, s, e in spans(x.as_py() or b"")]
                      for x in b.column("text")]
@@ -135,6 +138,7 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
+        held("secrets")
         for b in batches:
             cols = list(b.columns)
             cols[at] = pa.array([None if x is None else redact(x, mark) for x in cols[at].to_pylist()], pa.string())

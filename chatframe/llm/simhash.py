@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatframe.llm.components import components
-from chatframe.llm.kernels import BitSet, mix64
+from chatframe.llm.kernels import BitSet, held, mix64
 from chatframe.llm.spark_util import bit_set, stored
 
 SHINGLE = 4
@@ -85,6 +85,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        held("simhash")
         for b in batches:
             fp = np.array([simhash(x.as_py() or b"", shingle) for x in b.column("text")], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])

@@ -20,14 +20,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatframe.llm.kernels import row_slices, text_buffer
+from chatframe.llm.kernels import held, row_slices, text_buffer
 
 BATCH_BYTES = 1 << 20
 MEMO_PIECES = 1 << 18   # pieces whose counts a task remembers
@@ -103,9 +102,8 @@ class WholeCounter:
         return [len(e.ids) for e in self.model.encode_batch(texts, add_special_tokens=False)]
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> PieceCounter | WholeCounter:
-    return PieceCounter(path) if path.endswith(".model") else WholeCounter(path)
+    return held(("counter", path), lambda: (PieceCounter if path.endswith(".model") else WholeCounter)(path))
 
 
 def token_counts(docs: DataFrame, path: str, limit: int) -> DataFrame:
