@@ -37,5 +37,26 @@ def bit_set(df: DataFrame, hash_col: str | Column, bits: int) -> BitSet:
     return out
 
 
+def without_ids(df: DataFrame, gone: DataFrame, key: str, bits: int = 23) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``gone`` (null keys stay).
+
+    A bit set of ``gone``, at most ``2**(bits - 6)`` rows of two longs, is
+    broadcast; only rows that it can't clear are shuffled for the exact join.
+    """
+    def slot(c: str) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(c), 64 - bits)
+
+    def bit(c: str) -> Column:
+        return F.expr(f"shiftleft(1L, cast({c} & 63L as int))")
+
+    words = (gone.select(slot(key).alias("_s")).select(F.shiftright("_s", 6).alias("_w"), bit("_s").alias("_one"))
+             .groupBy("_w").agg(F.bit_or("_one").alias("_bits")))
+    marked = (df.withColumn("_slot", slot(key)).withColumn("_w", F.shiftright("_slot", 6))
+              .join(F.broadcast(words), "_w", "left")
+              .withColumn("_maybe", F.coalesce(F.col("_bits").bitwiseAND(bit("_slot")) != 0, F.lit(False))))
+    clear = marked.where(~F.col("_maybe")).select(df.columns)
+    return clear.unionByName(marked.where("_maybe").select(df.columns).join(gone, key, "left_anti").select(df.columns))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatframe.llm import bpe_fst, decontam, langid, secret_scan, simhash
-from chatframe.llm.spark_util import stored, table
+from chatframe.llm.spark_util import stored, table, without_ids
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                    "groups")
     gone = found.where("doc_id <> component_id").select("doc_id")
     again = found.where("doc_id = component_id AND n > 1").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    kept = without_ids(docs, gone, "doc_id")
     if again.isEmpty():
         return kept
     kept = stored(kept, "kept")
@@ -45,7 +45,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
     gone = stored(rows.where("n_hit > 0 AND doc_id IS NOT NULL").select("doc_id").distinct(), "contaminated")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, gone, "doc_id")
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 
 from chatframe.llm import components, decontam, langid, repeats, simhash
 from chatframe.llm.kernels import BitSet
-from chatframe.llm.spark_util import bit_set
+from chatframe.llm.spark_util import bit_set, without_ids
 
 
 def words(rng, n, vocabulary=200):
@@ -312,6 +312,15 @@ def test_bit_sets_agree(spark):
     assert (bit_set(df, "h", 10).words == mine.words).all() and mine.has(h.view(np.uint64)).all()
 
 
+@pytest.mark.parametrize("bits", [7, 20])
+def test_without_ids_is_exact(spark, bits):
+    df = spark.createDataFrame([(i if i % 50 else None, i) for i in range(400)], "doc_id long, _x int").repartition(3)
+    gone = spark.createDataFrame([(i,) for i in range(0, 400, 3)], "doc_id long")
+    got = sorted(r["_x"] for r in without_ids(df, gone, "doc_id", bits).collect())
+    assert got == [i for i in range(400) if i % 50 == 0 or i % 3]
+    assert without_ids(df, gone.limit(0), "doc_id", bits).count() == 400
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(159, 200), (7, 7)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
