@@ -412,14 +412,27 @@ def bertscore_bottom(spark, sf_dir):
 SELECT CAST(row_number() OVER (ORDER BY f1_diff, pair_id) AS INT) AS rank, pair_id, round(f1_diff, 6) AS f1_diff
 FROM d WHERE pair_id % 13 = 0"""))
 def ranked_few(spark, sf_dir):
-    """More rows are asked for than there are."""
+    """All pairs its SQL names, numbered without a cap."""
     from chatframe.operators.bertscore import f1_diffs
-    from chatframe.operators.reports import top_k
     few = f1_diffs(pair_scores(spark, sf_dir)).where("pair_id % 13 = 0")
-    t = top_k(few, "f1_diff", 1000, descending=False)
+    t = sp.number_rows(few.withColumn("at", F.struct("f1_diff", "pair_id")), "at", name="rank")
     return t.select(F.col("rank").cast("int").alias("rank"), "pair_id", r6("f1_diff").alias("f1_diff"))
 
 
+@register("ranked_variants", _bs("""
+SELECT CAST(row_number() OVER (ORDER BY f1 DESC, variant) AS INT) AS rank, variant, round(f1, 6) AS f1 FROM (
+  SELECT variant, avg(f1) AS f1 FROM scores GROUP BY variant
+  UNION ALL
+  SELECT 'delta', avg(CASE WHEN variant = 'lora' THEN f1 END) - avg(CASE WHEN variant = 'base' THEN f1 END)
+  FROM scores) x"""))
+def ranked_variants(spark, sf_dir):
+    """More rows are asked for than the three of the summary over all pairs."""
+    from chatframe.operators.bertscore import summary
+    from chatframe.operators.reports import top_k
+    t = top_k(summary(pair_scores(spark, sf_dir)), "f1", 10, tiebreak="variant")
+    return t.select(F.col("rank").cast("int").alias("rank"), "variant", r6("f1").alias("f1"))
+
+
 @register("bertscore_report", _bs("""
 SELECT CASE variant WHEN 'base' THEN 'Base Model' WHEN 'lora' THEN 'LoRA Model' ELSE '提升幅度' END AS label,
        CASE WHEN variant = 'delta' THEN printf('%+.4f', precision) ELSE printf('%.4f', precision) END AS precision,
