@@ -2,17 +2,21 @@
 
 A page is read into *nodes* (the text of one block) in page order, each with
 its tag path from the root.  Nodes under elements that are never the article
-(``SKIP``, or named so by class, id or role) are left out.  For the others:
+(``SKIP``, or hidden) are left out.  Elements that a whole class, id, role or
+aria-label names as boilerplate are set apart on the path (``~``).  Hidden or
+so named elements that hold ``article``, ``main`` or ``MOST`` of the page's
+text are taken like others.  For the nodes that are left:
 
 1. Aggregate by path: characters and punctuation marks per node, without the
    characters inside links.
 2. Smooth both ratios over the nodes in page order (a Gaussian window), so a
    heading or a short line between paragraphs follows its neighbours.
 3. Fuse: the root of the product of the two ratios, each with one added, times
-   a weight for paths inside ``article`` or ``main``.
+   a weight for paths inside ``article`` or ``main``, and a smaller one for
+   paths named as boilerplate.
 4. Threshold: a path is content if the mean of its nodes reaches ``SHARE`` of
-   the best path's, or if it lies inside the container of content and is not
-   mostly links.
+   the best path's, or if it lies inside the container of content, is not
+   mostly links and not named as boilerplate there.
 
 The text is the content nodes' blocks: character references decoded, white
 space made one space, trimmed, joined by two ``\\n``.  Nothing is cut off.
@@ -36,6 +40,8 @@ from pyspark.sql import functions as F
 SHARE = 0.1
 SIGMA = 1.0
 ROOT_WEIGHT = 4.0
+NAMED_WEIGHT = 0.08   # content only if richer than the best path without such a name
+MOST = 2 / 3     # share of the page's characters that only an element around the article has
 LINKS = 0.6      # share of link characters that makes a path a menu
 
 # Element classes of the HTML standard.
@@ -62,14 +68,17 @@ SCOPE = frozenset("ul ol dl table select article section div blockquote body htm
 TOKEN = re.compile(
     r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>|<[a-zA-Z/!?][^>]*+\Z""", re.S)
-NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 #: words in class, id or role that name what is not the article
 BOILERPLATE = frozenset("""ad ads advert advertisement adverts advertising sponsor sponsored promo promotion banner
     sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar cookie cookies consent
     notice notices alert disclaimer popup modal overlay newsletter subscribe signup login search share sharing
-    social related recommended comment comments discussion replies respond disqus pagination pager widget
+    social related recommended comment comments replies respond disqus pagination pager widget
     complementary contentinfo skip""".split())
+#: words that say nothing beside them, as in site-footer or comments-area
+NEUTRAL = frozenset("""area bar block bottom box button buttons container form global inner item items left link links
+    list outer page post posts primary right secondary section site top wrap wrapper""".split())
 PAGE_HEADER = frozenset(["header"])
 MARKS = re.compile(r"[^\w\s]")
 _WORD = re.compile(r"[a-z]+")
@@ -82,22 +91,37 @@ class Node:
         self.path, self.text, self.links, self.rooted = path, text, links, rooted
 
 
-def _named(attrs: str) -> bool:
-    """Whether class, id or role say that the element is not the article."""
+def _attributes(attrs: str) -> dict[str, str]:
+    """Values by lower-case name; of a repeated name the first."""
+    out: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attrs):
+        out.setdefault(m[1].lower(), (m[2] or "").strip("\"'"))
+    return out
+
+
+def _boilerplate(token: str) -> bool:
+    words = set(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower()))
+    return bool(words & BOILERPLATE) and words <= BOILERPLATE | NEUTRAL
+
+
+def _kind(attrs: str) -> str:
+    """``hidden``, ``named`` (as not the article) or nothing."""
     if not attrs or attrs.isspace():
-        return False
-    if HIDDEN.search(attrs):
-        return True
-    words = set()
-    for m in NAMES.finditer(attrs):
-        words.update(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", m[1]).lower()))
-    return bool(words & BOILERPLATE)
+        return ""
+    a = _attributes(attrs)
+    if (("hidden" in a and a["hidden"].lower() != "until-found") or a.get("aria-hidden", "").strip().lower() == "true"
+            or NO_DISPLAY.search(a.get("style", ""))):
+        return "hidden"
+    tokens = [t for k in ("class", "id", "role") for t in a.get(k, "").split()] + [a.get("aria-label", "")]
+    return "named" if any(map(_boilerplate, tokens)) else ""
 
 
 def nodes(page: str) -> list[Node]:
     """Text nodes outside of what is never content, in page order."""
     out: list[Node] = []
-    stack: list[tuple[str, bool]] = []       # (name, left out)
+    stack: list[tuple[str, bool, int]] = []  # (name, left out, number in apart or -1)
+    apart: list[list] = []                   # hidden or named elements: kind, characters, holds the article
+    within: list[list[tuple[str, int]]] = [] # for each node its elements: (name, number in apart or -1)
     text: list[str] = []
     links = in_link = 0
     at = 0
@@ -107,8 +131,12 @@ def nodes(page: str) -> list[Node]:
         if text:
             body = " ".join(html.unescape("".join(text)).split())
             if body:
-                names = [n for n, _ in stack]
-                out.append(Node("/".join(names), body, links, "article" in names or "main" in names))
+                names = [n for n, _, _ in stack]
+                out.append(Node("", body, links, "article" in names or "main" in names))
+                within.append([(n, i) for n, _, i in stack])
+                for _, _, i in stack:
+                    if i >= 0:
+                        apart[i][1] += len(body)
         text, links = [], 0
 
     def off() -> bool:
@@ -137,7 +165,7 @@ def nodes(page: str) -> list[Node]:
                 in_link = 0
             elif name in BLOCK or name in INSIDE:
                 flush()
-                if any(n == name for n, _ in stack):
+                if any(n == name for n, _, _ in stack):
                     while stack.pop()[0] != name:
                         pass
             continue
@@ -166,12 +194,31 @@ def nodes(page: str) -> list[Node]:
                         break
                 elif stack[i][0] in SCOPE:
                     break
-            skip = off() or name in SKIP or (name not in ("html", "body", "article", "main") and _named(attrs))
-            if name in PAGE_HEADER and not any(n in ("article", "main") for n, _ in stack):
+            skip = off() or name in SKIP
+            inside = any(n in ("article", "main") for n, _, _ in stack)
+            if name in PAGE_HEADER and not inside:
                 skip = True
-            stack.append((name, skip))
+            number = -1
+            if name in ("article", "main"):
+                if not inside and not skip:
+                    for _, _, i in stack:
+                        if i >= 0:
+                            apart[i][2] = True
+            elif not skip and name not in ("html", "body"):
+                kind = _kind(attrs)
+                if kind:
+                    number = len(apart)
+                    apart.append([kind, 0, False])
+            stack.append((name, skip, number))
     flush()
-    return out
+    whole = sum(len(n.text) for n in out)
+    kinds = ["" if holds or n > MOST * whole else kind for kind, n, holds in apart] + [""]
+    kept = []
+    for node, names in zip(out, within, strict=True):
+        if not any(kinds[i] == "hidden" for _, i in names):
+            node.path = "/".join(n + "~" if kinds[i] else n for n, i in names)
+            kept.append(node)
+    return kept
 
 
 def _smooth(values: list[float], sigma: float) -> list[float]:
@@ -200,7 +247,7 @@ def content_paths(found: list[Node]) -> set[str]:
     marks = _smooth([chars[n.path][1] / chars[n.path][2] for n in found], SIGMA)
     score: dict[str, float] = {}
     for n, a, b in zip(found, length, marks, strict=True):
-        fused = sqrt((1 + a) * (1 + b)) * (ROOT_WEIGHT if n.rooted else 1.0)
+        fused = sqrt((1 + a) * (1 + b)) * (ROOT_WEIGHT if n.rooted else 1.0) * (NAMED_WEIGHT if "~" in n.path else 1.0)
         score[n.path] = score.get(n.path, 0.0) + fused / chars[n.path][2]
     menu = {p for p, c in chars.items() if c[3] > LINKS * (c[0] + c[3])}
     best = max((v for p, v in score.items() if p not in menu), default=0.0)
@@ -209,7 +256,8 @@ def content_paths(found: list[Node]) -> set[str]:
     if good & rooted:   # an article element holds the article
         good &= rooted
     holders = {p.rpartition("/")[0] for p in good} - {"html", "html/body", "body", ""}
-    return good | {p for p in score if p not in menu and any((p + "/").startswith(h + "/") for h in holders)}
+    return good | {p for p in score if p not in menu and any(
+        (p + "/").startswith(h + "/") and "~" not in p[len(h):] for h in holders)}
 
 
 def main_text(page: str) -> str:

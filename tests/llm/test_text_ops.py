@@ -167,6 +167,27 @@ def test_main_text(page, text):
     assert html_paths.main_text(page) == text
 
 
+LONG = "A long paragraph, with marks. And more, too."
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<div class='overflow-hidden'><p>{LONG}</div>", LONG), (f"<div aria-hidden='false'><p>{LONG}</div>", LONG),
+    (f"<div data-hidden='1' title='hidden'><p>{LONG}</div>", LONG),
+    (f"<article><p>{LONG}<div hidden><p>no, not.</div><div aria-hidden=true><p>no, not.</div>"
+     "<div style='color:red; display: none'><p>no, not.</div></article>", LONG),
+    (f"<div class='content-sidebar-wrap'><main><p>{LONG}</main></div>", LONG),
+    (f"<div class='sidebar-wrap'><div id=widget><article><p>{LONG}</article></div></div>", LONG),
+    (f"<body class=x><div class='has-sidebar'><p>{LONG}</div><div class=site-footer><p>Small, print.</div>", LONG),
+    (f"<div class='widget'><p>{LONG}</div><p>x", LONG + "\n\nx"),
+    (f"<article><p>{LONG}<section id='discussion'><p>We, then.</section><section aria-label='Related work'><p>They, then."
+     "</section><div class='share-enabled'><p>All, then.</div></article>", f"{LONG}\n\nWe, then.\n\nThey, then.\n\nAll, then."),
+    (f"<article>{'<p>word word word' * 60}<div class='promo'><p>{LONG * 28}</div></article>", "word word word\n\n" * 60 + LONG * 28),
+    (f"<article><p>{LONG}<div class='shareButtons related-posts'><p>Tell, all.</div></article>", LONG),
+])
+def test_names_do_not_delete_the_article(page, text):
+    assert html_paths.main_text(page) == text
+
+
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<li", ">", "<!--", "-->", "<script>", "</script>", "a b",
                                  "&amp;", "&#0;", "<table>", "<td>", "</table>", "'", '"', "<a href='", "<article>", "</article>"]),
                 max_size=25))
