@@ -8,7 +8,8 @@ so named elements that hold ``article``, ``main`` or ``MOST`` of the page's
 text are taken like others.  For the nodes that are left:
 
 1. Aggregate by path: characters and punctuation marks per node, without the
-   characters inside links.
+   characters inside links: an ``a`` with ``href``, until it or its enclosing
+   block ends.
 2. Smooth both ratios over the nodes in page order (a Gaussian window), so a
    heading or a short line between paragraphs follows its neighbours.
 3. Fuse: the root of the product of the two ratios, each with one added, times
@@ -82,6 +83,7 @@ NEUTRAL = frozenset("""area bar block bottom box button buttons container form g
 PAGE_HEADER = frozenset(["header"])
 MARKS = re.compile(r"[^\w\s]")
 _WORD = re.compile(r"[a-z]+")
+CLOSED = re.compile(r"""(?:^|[\s"'])/$""")   # a slash that no unquoted value ends with
 
 
 class Node:
@@ -123,8 +125,8 @@ def nodes(page: str) -> list[Node]:
     apart: list[list] = []                   # hidden or named elements: kind, characters, holds the article
     within: list[list[tuple[str, int]]] = [] # for each node its elements: (name, number in apart or -1)
     text: list[str] = []
-    links = in_link = 0
-    at = 0
+    links = at = 0
+    link_at = -1                             # elements open where the open link began, or -1
 
     def flush() -> None:
         nonlocal text, links
@@ -146,9 +148,14 @@ def nodes(page: str) -> list[Node]:
         nonlocal links
         if s and not off():
             text.append(s)
-            if in_link:
+            if link_at >= 0:
                 links += len(s.strip())
 
+    def end_link() -> None:
+        nonlocal link_at
+        if len(stack) < link_at:
+            link_at = -1
+
     while True:
         m = TOKEN.search(page, at)
         if m is None:
@@ -162,12 +169,13 @@ def nodes(page: str) -> list[Node]:
         name = name.lower()
         if m[1] or m[4]:                      # end tag
             if name == "a":
-                in_link = 0
+                link_at = -1
             elif name in BLOCK or name in INSIDE:
                 flush()
                 if any(n == name for n, _, _ in stack):
                     while stack.pop()[0] != name:
                         pass
+                    end_link()
             continue
         attrs = m[3] if m[2] else m[6]
         if name in RAW:
@@ -180,7 +188,7 @@ def nodes(page: str) -> list[Node]:
         if name == "br":
             data(" ")
         elif name == "a":
-            in_link = 1
+            link_at = len(stack) if not CLOSED.search(attrs) and "href" in _attributes(attrs) else -1
         if name in VOID and name != "hr":
             continue
         if name in BLOCK or name in INSIDE:
@@ -194,6 +202,7 @@ def nodes(page: str) -> list[Node]:
                         break
                 elif stack[i][0] in SCOPE:
                     break
+            end_link()
             skip = off() or name in SKIP
             inside = any(n in ("article", "main") for n, _, _ in stack)
             if name in PAGE_HEADER and not inside:

@@ -188,6 +188,21 @@ def test_names_do_not_delete_the_article(page, text):
     assert html_paths.main_text(page) == text
 
 
+@pytest.mark.parametrize(("start", "end"), [
+    ("<a name='top'>", ""), ("<a>", ""), ("<a id='s1'/>", ""), ("<a href='#s1'/>", ""), ("<a href='#s1' />", ""),
+    ("<div><a href='/up'>up</div>", ""), ("<p><a href='/up'>up", ""), ("<div><p><a href='/up'>up</div>", ""),
+])
+def test_only_links_are_links(start, end):
+    assert html_paths.main_text(f"<article>{start}<p>{LONG}<p>{LONG}{end}</article>").endswith(f"{LONG}\n\n{LONG}")
+    for n in html_paths.nodes(f"<article>{start}<p>{LONG}</article>"):
+        assert n.links == (2 if n.text == "up" else 0)
+
+
+@pytest.mark.parametrize("link", [f"<a href=/>{LONG}</a>", f"<a class=x HREF='/'><div>{LONG}</div></a>", f"<a href=''>{LONG}"])
+def test_links_keep_their_characters(link):
+    assert [n.links for n in html_paths.nodes(f"<div>{link}</div><p>x")] == [len(LONG), 0]
+
+
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<li", ">", "<!--", "-->", "<script>", "</script>", "a b",
                                  "&amp;", "&#0;", "<table>", "<td>", "</table>", "'", '"', "<a href='", "<article>", "</article>"]),
                 max_size=25))
