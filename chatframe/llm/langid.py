@@ -11,9 +11,10 @@ Statistics are frozen after training, so a byte's code length depends on its
 ``ORDER`` predecessors only and is read from one table
 ``(context, byte) -> bits by language``.
 
-*Bounds.*  Trees are fitted on whole labelled texts, drawn by hash, of at most
-``TRAIN_BYTES`` bytes for all languages together (equal shares); the table
-takes at most ``TABLE_BYTES``: the rarest order-``ORDER`` contexts are left
+*Bounds.*  Trees are fitted on labelled texts, drawn by hash, of at most
+``TRAIN_BYTES`` bytes for all languages together (equal shares).  Texts are
+whole, but of one that alone exceeds its language's share one ``RUN``-th
+of the share is learned; every label has texts.  The table takes at most ``TABLE_BYTES``: the rarest order-``ORDER`` contexts are left
 to their suffixes.  Both are independent of the corpus.
 
 Defined cases: null texts and texts without a letter get ``und`` and score 0;
@@ -30,7 +31,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from chatframe.llm.kernels import held, row_slices, text_buffer
 
@@ -38,6 +38,8 @@ ORDER = 3
 SYMBOLS = 128             # start mark, frequent bytes, and one class for the others
 TRAIN_BYTES = 8 << 20
 TABLE_BYTES = 48 << 20
+RUN = 4                   # a text longer than the share gives this part of the share
+DRAWN = 8                 # expected draws of a language at least, however long its texts
 UND = "und"
 
 
@@ -50,23 +52,33 @@ class Model:
 
 
 def training_sample(docs: DataFrame, lang: str = "lang", total: int = TRAIN_BYTES) -> list[tuple[str, bytes]]:
-    """Whole texts, by language, of at most ``total`` bytes together."""
+    """Texts by language, of at most ``total`` bytes together and some of every
+    label.  In order of hash each text is taken that still fits its language's
+    share; of texts longer than the share only a run of bytes."""
     known = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") > 0)).select(
         F.col(lang).alias("lang"), F.col("text").cast("binary").alias("text"),
-        F.octet_length("text").cast("long").alias("n"))
-    size = known.groupBy("lang").agg(F.sum("n").alias("all")).toPandas()
+        F.octet_length("text").cast("long").alias("n"), F.xxhash64("text").alias("h"))
+    size = known.groupBy("lang").agg(F.sum("n").alias("all"), F.count("*").alias("texts"), F.min("h").alias("first")).toPandas()
     if not len(size):
         return []
-    share = total // len(size)
+    share = max(1, total // len(size))
+    run = max(1, share // RUN)
+
+    def by_lang(values) -> Column:
+        return F.create_map(*[x for l, v in zip(size["lang"], values, strict=True) for x in (F.lit(l), F.lit(v))])[F.col("lang")]
+
     # twice the share, by hash, before anything is ordered
-    rate = F.create_map(*[x for l, a in zip(size["lang"], size["all"], strict=True)
-                          for x in (F.lit(l), F.lit(min(1.0, 2 * share / a)))])
-    h = F.xxhash64("text")
-    drawn = known.withColumn("h", h).where(F.pmod("h", F.lit(1 << 20)) < rate[F.col("lang")] * (1 << 20))
-    w = Window.partitionBy("lang").orderBy("h", "n").rowsBetween(Window.unboundedPreceding, 0)
-    rows = (drawn.dropDuplicates(["lang", "h", "n"]).withColumn("upto", F.sum("n").over(w))
-            .where(F.col("upto") <= share).select("lang", "text"))
-    return sorted((r[0], bytes(r[1])) for r in rows.toLocalIterator())
+    rate = by_lang([min(1.0, max(2 * share / a, DRAWN / t)) for a, t in zip(size["all"], size["texts"], strict=True)])
+    drawn = (known.where((F.pmod("h", F.lit(1 << 20)) < rate * (1 << 20)) | (F.col("h") == by_lang(map(int, size["first"]))))
+             .withColumn("text", F.when(F.col("n") > share, F.substring("text", 1, run)).otherwise(F.col("text"))))
+
+    rows = drawn.dropDuplicates(["lang", "h", "n"]).select("lang", "h", "n", "text").toLocalIterator()
+    left, out = dict.fromkeys(size["lang"], share), []
+    for name, _, _, text in sorted((r[0], r[1], r[2], bytes(r[3])) for r in rows):
+        if len(text) <= left[name]:
+            left[name] -= len(text)
+            out.append((name, text))
+    return sorted(out)
 
 
 def _symbols(texts: list[tuple[str, bytes]]) -> np.ndarray:

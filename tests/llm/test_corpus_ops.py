@@ -296,6 +296,34 @@ def test_identify_rows(docs):
     assert kept.columns == df.columns and kept.count() == len(rows) - 3
 
 
+def test_sample_has_every_label(docs):
+    """Also those whose texts are few and longer than the share."""
+    rows = [(i, f"short {i}", "en") for i in range(500)] + [(1000 + i, f"{i} long " * 300, "fr") for i in range(3)]
+    rows += [(2000 + i, f"{i} " + "very long " * 90_000, f"l{i}") for i in range(20)]
+    got = langid.training_sample(docs(rows), total=22 * 400)
+    size = Counter()
+    for l, t in got:
+        size[l] += len(t)
+    assert set(size) == {r[2] for r in rows} and max(size.values()) <= 400
+    assert size["fr"] == 300 and all(t.decode() in {r[1] for r in rows} for l, t in got if l == "en")
+
+
+def test_sample_skips_only_what_does_not_fit(docs):
+    rng = random.Random(8)
+    rows = [(i, chr(97 + i) * rng.randint(1, 90), "en") for i in range(12)]
+    share = sum(len(r[1]) for r in rows) * 2 // 3
+    got = {t.decode() for _, t in langid.training_sample(docs(rows), total=share)}
+    left = share - sum(map(len, got))
+    assert left >= 0 and all(len(r[1]) > left for r in rows if r[1] not in got)
+
+
+def test_one_text_longer_than_the_sample(docs):
+    df = docs([(1, "the cat and the dog " * 450_000, "en"), (3, "the dog", None)])
+    model = langid.fit(df)
+    assert model is not None and model.langs == ["en"]
+    assert langid.accepted(df, model).count() == 2
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = langid.identify(docs, langid.fit(docs)).join(docs.where(langid.held_out()).select("doc_id", "lang"), "doc_id")
