@@ -16,7 +16,8 @@ distances and the triangle inequality holds.
    if its lower bound times ``factor`` exceeds the ``k``-th distance.  Factor 1
    is exact search, larger factors look at less.
 
-Distances choose candidates; scores are inner products of the original vectors,
+Distances choose candidates, with all rows that tie at the ``k``-th one up to
+rounding; scores are inner products of the original vectors,
 summed in order in double precision, and decide ranks (ties: smaller id).
 
 Defined cases: null or empty vectors, zero vectors and vectors with null or
@@ -45,6 +46,8 @@ LEAF = 256
 QUERY_BLOCK = 4096
 SALTS = 64
 EPS = 1e-9
+TIE = 1e-7       # rounding of distances: rows this close to the k-th compete by exact score
+PIECE = 1 << 21  # components multiplied at a time
 
 
 # -------------------------------------------------------------------- trees ---
@@ -106,6 +109,45 @@ class Found:
         self.dist[q], self.row[q] = np.take_along_axis(both, order, 1), np.take_along_axis(row, order, 1)
 
 
+class Ties:
+    """Of all rows within ``limit`` of their query the ``k`` best by (exact
+    score, smaller key).  ``raw`` and ``q``: vectors as given."""
+
+    def __init__(self, limit: np.ndarray, k: int, raw: np.ndarray, q: np.ndarray, keys: np.ndarray):
+        self.bound, self.k, self.raw, self.q, self.keys = limit + TIE, k, raw, q, keys
+        self.kept = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0))
+        self.new: list[tuple[np.ndarray, ...]] = []
+        self.waiting = 0
+
+    def limit(self, q: np.ndarray) -> np.ndarray:
+        return self.bound[q]
+
+    def add(self, q: np.ndarray, d: np.ndarray, rows: np.ndarray) -> None:
+        i, j = np.nonzero(d <= self.bound[q][:, None])
+        self.pairs(q[i], rows[j], d[i, j])
+
+    def pairs(self, q: np.ndarray, rows: np.ndarray, d: np.ndarray) -> None:
+        step = max(1, PIECE // self.raw.shape[1])
+        for s in range(0, len(q), step):
+            at, row = q[s:s + step], rows[s:s + step]
+            self.new.append((at, row, exact_scores(self.q[at], self.raw[row]), d[s:s + step]))
+            self.waiting += len(at)
+            if self.waiting > PIECE + 4 * len(self.bound) * self.k:
+                self.best()
+
+    def best(self) -> tuple[np.ndarray, ...]:
+        """Query, row, score and distance of what is kept."""
+        q, row, score, d = (np.concatenate(c) for c in zip(self.kept, *self.new, strict=True))
+        order = np.lexsort((row, self.keys[row], -score, q))
+        q, row, score, d = q[order], row[order], score[order], d[order]
+        once = np.ones(len(q), bool)
+        once[1:] = (q[1:] != q[:-1]) | (row[1:] != row[:-1])
+        q, row, score, d = q[once], row[once], score[once], d[once]
+        first = np.arange(len(q)) - np.searchsorted(q, q) < self.k
+        self.kept, self.new, self.waiting = (q[first], row[first], score[first], d[first]), [], 0
+        return self.kept
+
+
 def search(tree: Node, x: np.ndarray, q: np.ndarray, active: np.ndarray, found: Found, factor: float) -> None:
     """Search ``q[active]``, nearer sides first, with relaxed pruning."""
     if not len(active):
@@ -209,11 +251,14 @@ def _searched(shards: DataFrame, queries: DataFrame, dim: int, top: float, scale
         x, y = _lift(raw, top) / scale, _flat(q)
         found = Found(len(y), k)
         found.dist[:, -1] = asked["lim"].fillna(np.inf).to_numpy() + EPS
-        search(build(x, np.arange(len(x)), LEAF), x, y, np.arange(len(y)), found, factor)
+        tree, every = build(x, np.arange(len(x)), LEAF), np.arange(len(y))
+        search(tree, x, y, every, found, factor)
+        ties = Ties(found.limit(every), k, raw, q, index["ids"].map(lambda v: v[0]).to_numpy())
         i, j = np.nonzero(found.row >= 0)
-        r = found.row[i, j]
-        return pd.DataFrame({"q": asked["q"].to_numpy()[i], "score": exact_scores(q[i], raw[r]),
-                             "ids": index["ids"].to_numpy()[r], "dist": found.dist[i, j]})
+        ties.pairs(i, found.row[i, j], found.dist[i, j])
+        search(tree, x, y, every, ties, factor)
+        i, r, score, dist = ties.best()
+        return pd.DataFrame({"q": asked["q"].to_numpy()[i], "score": score, "ids": index["ids"].to_numpy()[r], "dist": dist})
 
     return (blocks.groupBy("s", "b").cogroup(queries.groupBy("shard", "blk"))
             .applyInPandas(run, "q long, score double, ids array<long>, dist double"))
@@ -264,7 +309,7 @@ def nearest(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k:
                 mine = low.argmin(axis=1)
                 for i, (q, e, lim) in enumerate(zip(b["q"], b["e"], b["lim"], strict=True)):
                     bound = np.inf if pd.isna(lim) else lim
-                    go = [mine[i]] if home else [j for j in np.flatnonzero(low[i] * factor <= bound + EPS) if j != mine[i]]
+                    go = [mine[i]] if home else [j for j in np.flatnonzero(low[i] * factor <= bound + TIE) if j != mine[i]]
                     at = [s for j in go for s in range(base[j], base[j] + subs[j])]
                     if at:
                         yield pd.DataFrame({"shard": at, "q": q, "e": [e] * len(at), "lim": lim})

@@ -59,6 +59,19 @@ def test_exact_search_matches_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, got)) == brute_nearest(rows, 5)
 
 
+@pytest.mark.parametrize("kind", ["one-hot", "binary", "quantised"])
+def test_ties_at_the_cut_go_to_smaller_ids(spark, monkeypatch, kind):
+    monkeypatch.setattr(vptree, "SHARD_ROWS", 40)
+    monkeypatch.setattr(vptree, "SAMPLE", 64)
+    monkeypatch.setattr(vptree, "LEAF", 8)
+    monkeypatch.setattr(vptree, "PIECE", 256)
+    rng = np.random.default_rng(9)
+    x = {"one-hot": np.eye(120), "binary": rng.integers(0, 2, (200, 10)), "quantised": rng.integers(-2, 3, (200, 4)) / 4}[kind]
+    rows = list(zip(rng.permutation(len(x)).tolist(), x.astype(np.float32).tolist(), strict=True))
+    got = vptree.nearest(frame(spark, rows), "vec_id", "embedding", vptree.F.col("id") % 20 == 0, 5).collect()
+    assert sorted(map(tuple, got)) == brute_nearest(rows, 5)
+
+
 def test_relaxed_search_recall(spark, monkeypatch):
     monkeypatch.setattr(vptree, "SHARD_ROWS", 100)
     monkeypatch.setattr(vptree, "SAMPLE", 256)
