@@ -8,8 +8,8 @@ import __spark_entry__ as entry
 from check_oracle import table_hash
 from chatframe.plans.catalog import QUERIES
 from chatframe.sources.tables import TABLES
-from conftest import SF_SMOKE
 
+SF_SMOKE = entry.SMOKE_DIR
 NAMES = sorted(QUERIES)
 
 
