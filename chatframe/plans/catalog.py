@@ -410,12 +410,12 @@ def bertscore_bottom(spark, sf_dir):
 
 @register("ranked_few", _bs("""
 SELECT CAST(row_number() OVER (ORDER BY f1_diff, pair_id) AS INT) AS rank, pair_id, round(f1_diff, 6) AS f1_diff
-FROM d WHERE pair_id % 13 = 0"""))
+FROM d"""))
 def ranked_few(spark, sf_dir):
-    """All pairs its SQL names, numbered without a cap."""
+    """J3 without a cap: every pair from the largest loss to the largest gain."""
     from chatframe.operators.bertscore import f1_diffs
-    few = f1_diffs(pair_scores(spark, sf_dir)).where("pair_id % 13 = 0")
-    t = sp.number_rows(few.withColumn("at", F.struct("f1_diff", "pair_id")), "at", name="rank")
+    pairs = f1_diffs(pair_scores(spark, sf_dir))
+    t = sp.number_rows(pairs.withColumn("at", F.struct("f1_diff", "pair_id")), "at", name="rank")
     return t.select(F.col("rank").cast("int").alias("rank"), "pair_id", r6("f1_diff").alias("f1_diff"))
 
 
