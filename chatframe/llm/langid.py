@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from chatframe.llm.kernels import held, row_slices, text_buffer
 
@@ -238,13 +239,14 @@ def accepted(docs: DataFrame, model: Model | None, most_bits: float = float(np.l
     def run(batches):
         held("langid")
         for b in batches:
-            lang, _, per = _predicted(shared.value, b.column(b.num_columns - 2), b.column(b.num_columns - 1))
+            lang, _, per = _predicted(shared.value, b.column(1), b.column(2))
             keep = pa.array((lang != UND) & (per < most_bits), pa.bool_())
-            out = pa.RecordBatch.from_arrays(b.columns[:-2], b.schema.names[:-2])
-            yield out.filter(keep)
+            yield pa.RecordBatch.from_arrays([b.column(0)], ["row"]).filter(keep)
 
-    text, letter = _inputs()
-    return docs.select(*docs.columns, text.alias("_t"), letter.alias("_l")).mapInArrow(run, docs.schema)
+    # the row travels as one struct, so its columns may have any names
+    rows = docs.select(F.struct("*").alias("row"), *_inputs())
+    kind = StructType([StructField("row", rows.schema["row"].dataType)])
+    return rows.mapInArrow(run, kind).select("row.*")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -38,24 +38,27 @@ def bit_set(df: DataFrame, hash_col: str | Column, bits: int) -> BitSet:
 
 
 def without_ids(df: DataFrame, gone: DataFrame, key: str, bits: int = 23) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is not in ``gone`` (null keys stay).
+    """Rows of ``df`` whose ``key`` is not in ``gone`` (null keys stay), with
+    the columns of ``df`` whatever their names.
 
     A bit set of ``gone``, at most ``2**(bits - 6)`` rows of two longs, is
     broadcast; only rows that it can't clear are shuffled for the exact join.
     """
-    def slot(c: str) -> Column:
+    def slot(c: Column) -> Column:
         return F.shiftrightunsigned(F.xxhash64(c), 64 - bits)
 
-    def bit(c: str) -> Column:
-        return F.expr(f"shiftleft(1L, cast({c} & 63L as int))")
+    def bit(c: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(63).cast("int"))
 
-    words = (gone.select(slot(key).alias("_s")).select(F.shiftright("_s", 6).alias("_w"), bit("_s").alias("_one"))
-             .groupBy("_w").agg(F.bit_or("_one").alias("_bits")))
-    marked = (df.withColumn("_slot", slot(key)).withColumn("_w", F.shiftright("_slot", 6))
-              .join(F.broadcast(words), "_w", "left")
-              .withColumn("_maybe", F.coalesce(F.col("_bits").bitwiseAND(bit("_slot")) != 0, F.lit(False))))
-    clear = marked.where(~F.col("_maybe")).select(df.columns)
-    return clear.unionByName(marked.where("_maybe").select(df.columns).join(gone, key, "left_anti").select(df.columns))
+    left = gone.select(F.col(key).alias("k"))
+    words = (left.select(slot(F.col("k")).alias("s")).select(F.shiftright("s", 6).alias("w"), bit(F.col("s")).alias("one"))
+             .groupBy("w").agg(F.bit_or("one").alias("bits")))
+    rows = df.select(F.struct("*").alias("row"))
+    marked = (rows.select("row", slot(F.col("row")[key]).alias("slot"))
+              .join(F.broadcast(words), F.shiftright("slot", 6) == F.col("w"), "left")
+              .select("row", F.coalesce(F.col("bits").bitwiseAND(bit(F.col("slot"))) != 0, F.lit(False)).alias("maybe")))
+    clear = marked.where(~F.col("maybe")).select("row.*")
+    return clear.unionByName(marked.where("maybe").join(left, F.col("row")[key] == F.col("k"), "left_anti").select("row.*"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
