@@ -10,8 +10,13 @@ predecessor kept; all but the last return the columns of ``documents``.
 4. The secret scan replaces every span.
 5. Byte-level BPE encodes and decodes what is left.
 
-Rows that repeat a doc_id are one document, whose first row stays in stage 2.
+Rows that repeat a doc_id are one document, one row of which stays in stage 2.
 Rows with a null doc_id can't be named by a decision: stages 2 and 3 keep them.
+Null and empty texts have no language and go in stage 1; texts of any length
+are worked on whole; copies and near copies tie by doc_id; an empty table gives
+an empty result.  Columns besides doc_id and text may have any names and are
+handed on unchanged, but ``n_chars``, where there is one, is counted anew by
+stage 4.
 """
 
 from __future__ import annotations
@@ -49,8 +54,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return (secret_scan.redacted(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-            .select(docs.columns))
+    out = secret_scan.redacted(docs)
+    if "n_chars" not in docs.columns:
+        return out
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
