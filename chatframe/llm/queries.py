@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatframe.llm import bpe_fst, decontam, html_paths, langid, repeats, secret_scan, simhash, token_counts, vptree, warc_zip
+from chatframe.llm import (
+    bpe_fst, decontam, html_paths, langid, repeats, runs, secret_scan, simhash, token_counts, vptree, warc_zip,
+)
 from chatframe.llm.spark_util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +139,68 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS sco
       FROM v q, v c WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """The input that the contract of ``op13_periodic_runs`` states: doc_id and
+    text, where a hash of the id makes the words of a tenth of the texts
+    periodic from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    d = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    d = d.withColumn("n", F.size("words").cast("long"))
+    d = d.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    d = d.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    period = F.slice("words", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(period, times)), F.lit(1), (F.col("n") - F.col("a")).cast("int"))
+    new = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), tail), " ")
+    return d.select("doc_id", F.when(F.col("a").isNotNull(), new).otherwise(F.col("text")).alias("text"))
+
+
+@register
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runs.periodic_runs(with_periods(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    d = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"),
+                   F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+                   F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    length, period = F.col("top.length"), -F.col("top.period")
+    return d.select("doc_id", "n_runs", (-F.col("top.start")).alias("start"), length.alias("length"),
+                    period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
+                    "runs_sha256", "collapsed_sha256")
+
+
+# crc32 by bits; equal words of a text by distance, their islands, and of these the ones of smallest period
+ORACLE["op13_periodic_runs"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+          lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END),
+        4294967295) AS h FROM documents),
+k AS (SELECT rid, doc_id, w, len(w) AS n, h // 10 AS g, h % 10 = 0 AND len(w) > 0 AS hit FROM d),
+m AS (SELECT *, CASE WHEN hit THEN g % n END AS a FROM k),
+q AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM m),
+t AS (SELECT rid, doc_id, n, CASE WHEN hit THEN list_transform(range(n), lambda i:
+        CASE WHEN i >= a THEN w[1 + a + (i - a) % p] ELSE w[1 + i] END) ELSE w END AS w FROM q),
+x AS (SELECT rid, unnest(w) AS v, unnest(range(n)) AS i FROM t),
+e AS (SELECT a.rid, a.i, b.i - a.i AS q FROM x a JOIN x b ON a.rid = b.rid AND a.v = b.v AND b.i > a.i),
+f AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS isle FROM e),
+s AS (SELECT rid, q AS period, min(i) AS start, count(*) + q AS length FROM f GROUP BY rid, q, isle
+      HAVING count(*) >= q AND count(*) + q >= 12),
+r AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.rid = s.rid AND o.period < s.period
+        AND o.start <= s.start AND o.start + o.length >= s.start + s.length)),
+g AS (SELECT rid, count(*) AS n_runs, max({'l': length, 's': -start, 'p': -period}) AS top,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+      FROM r GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM r),
+kept AS (SELECT x.rid, string_agg(v, ' ' ORDER BY x.i) AS c FROM x LEFT JOIN gone ON gone.rid = x.rid AND gone.i = x.i
+         WHERE gone.i IS NULL GROUP BY x.rid)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -top.s AS start, top.l AS length, -top.p AS period,
+       1000 * top.l // -top.p AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(c, '')) AS collapsed_sha256
+FROM t LEFT JOIN g USING (rid) LEFT JOIN kept USING (rid)"""
