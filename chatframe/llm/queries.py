@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatframe.llm import (
-    bpe_fst, decontam, html_paths, langid, repeats, runs, secret_scan, simhash, token_counts, vptree, warc_zip,
+    bpe_fst, covertree, decontam, html_paths, langid, repeats, runs, secret_scan, simhash, token_counts, vptree, warc_zip,
 )
 from chatframe.llm.spark_util import table
 
@@ -204,3 +204,27 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -top.s AS start, top.l AS length,
        1000 * top.l // -top.p AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
        sha256(coalesce(c, '')) AS collapsed_sha256
 FROM t LEFT JOIN g USING (rid) LEFT JOIN kept USING (rid)"""
+
+
+@register
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return covertree.hard_negatives(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, F.col("id") % 50 == 0)
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.vec_id AS a, a.e AS ae, a.label = c.label AND NOT (a.vec_id = c.vec_id AND a.e = c.e) AS same,
+             a.label <> c.label AS other, c.vec_id AS c, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+      FROM v a, v c WHERE a.vec_id % 50 = 0),
+p AS (SELECT a, ae, c, score, row_number() OVER (PARTITION BY a, ae ORDER BY score DESC, c) AS n FROM s WHERE same),
+w AS (SELECT p.a AS anchor_id, p.ae, p.c AS positive_id, p.score AS positive_score, s.c AS negative_id, s.score AS negative_score
+      FROM p JOIN s ON p.a = s.a AND p.ae = s.ae
+      WHERE n <= 5 AND other AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score),
+r AS (SELECT *, row_number() OVER (PARTITION BY anchor_id, ae, positive_id, positive_score
+                                   ORDER BY negative_score DESC, negative_id) AS rank FROM w)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM r WHERE rank <= 3"""
