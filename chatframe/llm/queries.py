@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatframe.llm import (
-    bpe_fst, covertree, decontam, html_paths, langid, repeats, runs, secret_scan, simhash, token_counts, vptree, warc_zip,
+    bpe_fst, covertree, decontam, html_paths, langid, ngram_join, repeats, runs, secret_scan, simhash, token_counts,
+    vptree, warc_zip,
 )
 from chatframe.llm.spark_util import table
 
@@ -228,3 +229,24 @@ r AS (SELECT *, row_number() OVER (PARTITION BY anchor_id, ae, positive_id, posi
                                    ORDER BY negative_score DESC, negative_id) AS rank FROM w)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
 FROM r WHERE rank <= 3"""
+
+
+@register
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_texts(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+ORACLE["op12_ngram_join"] = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT rid, array_to_string(w[p:p + 2], ' ') AS t
+     FROM (SELECT rid, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+b AS (SELECT x.rid AS a, y.rid AS b, count(*) AS both FROM s x JOIN s y ON x.t = y.t AND x.rid <> y.rid GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM b JOIN n na ON na.rid = a JOIN n nb ON nb.rid = b
+                   WHERE 100 * both >= 90 * (na.n + nb.n - both)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS rid, min(doc_id) AS least FROM r JOIN d ON d.rid = r.b GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, coalesce(c.least, doc_id)) AS component_id
+FROM d LEFT JOIN n USING (rid) LEFT JOIN c USING (rid)"""
