@@ -243,9 +243,9 @@ WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id,
 s AS MATERIALIZED (SELECT DISTINCT rid, array_to_string(w[p:p + 2], ' ') AS t
      FROM (SELECT rid, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS p FROM d WHERE len(w) > 0)),
 n AS MATERIALIZED (SELECT rid, count(*) AS n FROM s GROUP BY rid),
-b AS (SELECT x.rid AS a, y.rid AS b, count(*) AS both FROM s x JOIN s y ON x.t = y.t AND x.rid <> y.rid GROUP BY 1, 2),
+b AS (SELECT x.rid AS a, y.rid AS b, count(*) AS common FROM s x JOIN s y ON x.t = y.t AND x.rid <> y.rid GROUP BY 1, 2),
 l AS MATERIALIZED (SELECT a, b FROM b JOIN n na ON na.rid = a JOIN n nb ON nb.rid = b
-                   WHERE 100 * both >= 90 * (na.n + nb.n - both)),
+                   WHERE 100 * common >= 90 * (na.n + nb.n - common)),
 r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
 c AS (SELECT a AS rid, min(doc_id) AS least FROM r JOIN d ON d.rid = r.b GROUP BY a)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, coalesce(c.least, doc_id)) AS component_id
