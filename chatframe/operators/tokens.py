@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatframe.functions.text import count_words, sanitize, truncate_ids
+from chatframe.session import stored
 
 
 def count_tokens(col, tokenizer_factory: Callable[[], Callable[[str], Sequence]] | None = None) -> Column:
@@ -41,6 +42,26 @@ def count_tokens(col, tokenizer_factory: Callable[[], Callable[[str], Sequence]]
     return _count(sanitize(c))
 
 
+def count_table(texts: DataFrame, tokenizer_factory: Callable[[], Callable[[str], Sequence]], text: str = "text") -> DataFrame:
+    """E1 by content: ``<text_sha256, n_tokens>`` of every different text, stored.
+
+    Copies are combined before the shuffle, and each different text is one call
+    of the tokenizer (two, if its task is tried again)."""
+    t = texts.select(F.col(text).alias("text")).where("text IS NOT NULL").distinct()
+    return stored(t.select(F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+                           count_tokens("text", tokenizer_factory).alias("n_tokens")), "token-counts")
+
+
+def with_token_counts(turns: DataFrame, tokenizer_factory=None, text: str = "text") -> DataFrame:
+    """``turns`` with ``n_tokens``: words, or what the supplied tokenizer says,
+    looked up in a ``count_table`` so that later reads call nothing (null: 0)."""
+    if tokenizer_factory is None:
+        return turns.withColumn("n_tokens", count_tokens(text))
+    counts = count_table(turns, tokenizer_factory, text).select(F.col("text_sha256").alias("_sha"), "n_tokens")
+    same = F.sha2(F.col(text).cast("binary"), 256) == F.col("_sha")
+    return turns.join(counts, same, "left").select(*turns.columns, F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
+
+
 def truncate_tokens(df: DataFrame, ids: str, max_len: int = 1024) -> DataFrame:
     """Keep the first ``max_len`` ids and flag the rows that were cut."""
     return (df.withColumn(f"{ids}_kept", truncate_ids(ids, max_len))

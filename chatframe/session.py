@@ -15,7 +15,7 @@ import tempfile
 import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -73,3 +73,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new table under the shared folder and read it back: the
+    lineage ends there and survives lost executors."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
