@@ -768,34 +768,35 @@ FROM c t LEFT JOIN c i
   ON i.conv_id = t.conv_id AND i.turn <= t.turn AND t.cum - i.cum + i.n <= {HISTORY_BUDGET}
 GROUP BY t.conv_id, t.turn, t.role""", "turns_with_exit", extra=_TURNS_SESSION))
 def stream_context(spark, sf_dir):
-    """Turns arrive in three micro-batches; session rules apply in the stream."""
+    """Turns arrive in three parts, and the query goes on after each of them;
+    session rules apply in the stream."""
     from chatframe.operators.inference import materialize
     from chatframe.schemas import TURN
     from chatframe.session import work_dir
     from chatframe.streaming.context import stream_context as sc
     from chatframe.streaming.runner import run_append
-    turns, path = fx.turns_with_exit(spark, sf_dir), work_dir(spark, "turns")
-    for part in ("turn < 2", "turn >= 2 AND turn < 4", "turn >= 4"):
-        materialize(turns.where(part).coalesce(1), path)
-    src = spark.readStream.schema(TURN).option("maxFilesPerTrigger", 1).parquet(path)
-    return run_append(sc(src, HISTORY_BUDGET), "stream-context").where("status = 'ok'").drop("status")
+    turns, path, base = fx.turns_with_exit(spark, sf_dir), work_dir(spark, "turns"), work_dir(spark, "stream-context")
+    for part in ("turn < 2 OR turn IS NULL", "turn >= 2 AND turn < 4", "turn >= 4"):
+        materialize(turns.where(part), path)
+        arrived = spark.readStream.schema(TURN).parquet(path)
+        out = run_append(sc(arrived, HISTORY_BUDGET), "stream-context", base)
+    return out.where("status = 'ok'").drop("status")
 
 
 @register("stream_scoreboard", ORACLE["judge_scoreboard"])
 def stream_scoreboard(spark, sf_dir):
-    """Every reply's call fails in the first micro-batch and is retried."""
+    """Every reply's call fails in the first micro-batch and is retried; the
+    board after the last one."""
     from chatframe.operators.inference import materialize
     from chatframe.session import work_dir
-    from chatframe.streaming.runner import run_update
-    from chatframe.streaming.scoreboard import best_replies
+    from chatframe.streaming.scoreboard import board_long, run_boards
     replies = fx.judge_replies(spark, sf_dir).withColumn("error", F.lit(None).cast("string")).withColumn(
         "run_id", F.lit("run")).withColumn("attempt", F.lit(1))
     failed = replies.withColumn("reply", F.lit(None).cast("string")).withColumn(
         "error", F.lit("timeout")).withColumn("attempt", F.lit(0))
-    path = work_dir(spark, "replies")
+    path, base = work_dir(spark, "replies"), work_dir(spark, "boards")
     for rows in (failed, replies):
-        materialize(rows.coalesce(2), path)
-    stream = spark.readStream.schema(replies.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    best = run_update(best_replies(stream, at=F.col("attempt")), "scoreboard", ["run_id", "sample_id"])
-    board = jd.scoreboard_long(jd.scoreboard_wide(jd.score_replies(best)))
-    return board.select("dimension", r6("base").alias("base"), r6("lora").alias("lora"), r6("diff").alias("diff"))
+        materialize(rows, path)
+        arrived = spark.readStream.schema(replies.schema).parquet(path)
+        boards = run_boards(arrived, base=base, at=F.col("attempt"))
+    return board_long(boards).select("dimension", r6("base").alias("base"), r6("lora").alias("lora"), r6("diff").alias("diff"))
