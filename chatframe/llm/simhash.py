@@ -17,23 +17,28 @@ is 1 where over half of the hashes have it.
    measured exact collisions.
 3. Index rows hold a partition's value; probe rows the values up to the
    threshold away.  Both are shuffled once by that value.
-4. Each index row of a value is compared with all rows of it.  A group emits
-   the edges of a spanning forest, never all of its pairs, which loses no
-   connection.  Values with over ``BLOCK`` index rows (known from the counts of
-   2, as a ``BitSet``) are dealt to ``SPLIT`` groups: index rows to one of
-   them, the others to all.
+4. Each index row of a value is compared with all rows of it.  Index rows come
+   first and stay, the others stream past them, and every batch emits the edges
+   of a spanning forest, never all of its pairs, which loses no connection.  A
+   value with ``n > BLOCK`` index rows (by the counts of 2) is dealt to pairs of
+   ``ceil(n / BLOCK)`` blocks, so no task holds more than about ``BLOCK`` index
+   rows or compares them with more than one block of the others.
 
 Groups follow from connected components.  Copies share a fingerprint and are
 never paired.
 
 Defined cases: null text has no words; texts without words have fingerprint
 zero and link like any other; fewer words than ``shingle``: one shingle of
-them all; repeated rows and null ``doc_id`` keep their rows; a component of
-null ids only has a null id; other columns are ignored.
+them all; texts of any length are hashed whole, 65,536 shingles at a time;
+repeated rows and null ``doc_id`` keep their rows; a component of null ids only
+has a null id; shingles that tie on a bit (half of them have it) leave it 0; an
+empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+from itertools import combinations
 from math import comb
 
 import numpy as np
@@ -51,7 +56,7 @@ DISTANCE = 4
 PARTS = 3
 SEED = 42
 BLOCK = 4096
-SPLIT = 16
+PIECE = 1 << 20      # probes made at a time
 SET_BITS = 20
 
 
@@ -175,7 +180,7 @@ def part_costs(n: int, together: np.ndarray, groups: list[list[int]], distance:
     under independent bits.  ``collisions``, the measured pairs that agree in a
     partition, scale them, since correlated bits collide more often."""
     p = np.diag(together) / max(n, 1)
-    top = min(2, max(0, distance))
+    top = max(0, distance)
     cost = np.zeros((len(groups), top + 2))
     for g, bits in enumerate(groups):
         share = near_share(p[bits], top)
@@ -194,39 +199,50 @@ def _part_value(bits: np.ndarray, group: list[int]) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=8)
 def _flips(width: int, t: int) -> np.ndarray:
     """All masks of 1..t of ``width`` bits."""
-    one = [1 << i for i in range(width)]
-    masks = list(one) if t >= 1 else []
-    if t >= 2:
-        masks += [a | b for i, a in enumerate(one) for b in one[i + 1:]]
-    return np.array(masks, np.int64)
+    masks = [sum(1 << b for b in bits) for k in range(1, min(t, width) + 1) for bits in combinations(range(width), k)]
+    return np.array(masks, np.uint64).view(np.int64)
 
 
 def probe_rows(fps: DataFrame, groups: list[list[int]], limits: list[int], hot: BitSet | None = None) -> DataFrame:
-    """(key, fp, idx): a partition's value (idx) or one near it.  The partition
-    is in the key's high bits; rows of a hot key go to ``SPLIT`` sub-keys, the
-    index rows to one of them as such."""
+    """(key, fp, idx, warm): a partition's value (idx) or one near it, and
+    whether it may be one of the ``hot`` values.  The partition is in the key's
+    high bits."""
     def run(batches):
         for b in batches:
             all_fp = b.column("fp").to_numpy()
-            for at in range(0, len(all_fp), 2048):
-                fp = all_fp[at:at + 2048]
-                bits = _bits(fp.view(np.uint64))
-                for g, (group, t) in enumerate(zip(groups, limits, strict=True)):
-                    if t < 0:
-                        continue
-                    masks = np.concatenate([[0], _flips(len(group), t)])
-                    key = ((np.int64(g) << np.int64(58)) | (_part_value(bits, group)[:, None] ^ masks[None, :])).ravel()
-                    own, idx = np.repeat(fp, len(masks)), np.tile(masks == 0, len(fp))
-                    if hot is not None and (h := hot.has(mix64(key.view(np.uint64)))).any():
-                        sub = np.arange(SPLIT)[None, :]
-                        mine = (mix64(own[h].view(np.uint64)) % np.uint64(SPLIT)).astype(np.int64)
-                        key = np.concatenate([key[~h], (key[h][:, None] | (sub << 40)).ravel()])
-                        idx = np.concatenate([idx[~h], (idx[h][:, None] & (sub == mine[:, None])).ravel()])
-                        own = np.concatenate([own[~h], np.repeat(own[h], SPLIT)])
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(own), pa.array(idx)], ["key", "fp", "idx"])
-    return fps.select("fp").mapInArrow(run, "key long, fp long, idx boolean")
+            for g, (group, t) in enumerate(zip(groups, limits, strict=True)):
+                if t < 0:
+                    continue
+                masks = np.concatenate([[0], _flips(len(group), t)])
+                step = max(1, PIECE // len(masks))
+                for at in range(0, len(all_fp), step):
+                    fp = all_fp[at:at + step]
+                    value = _part_value(_bits(fp.view(np.uint64)), group)
+                    key = ((np.int64(g) << np.int64(58)) | (value[:, None] ^ masks[None, :])).ravel()
+                    warm = np.zeros(len(key), bool) if hot is None else hot.has(mix64(key.view(np.uint64)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key), pa.array(np.repeat(fp, len(masks))), pa.array(np.tile(masks == 0, len(fp))), pa.array(warm)],
+                        ["key", "fp", "idx", "warm"])
+    return fps.select("fp").mapInArrow(run, "key long, fp long, idx boolean, warm boolean")
+
+
+def dealt(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """(key, cell, fp, idx): rows of a value with over ``BLOCK`` index rows go to
+    cells, pairs of a block of its index rows and a block of all its rows."""
+    hot = counts.where(F.col("n") > BLOCK).select(F.col("key").alias("value"), F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    cool = rows.where("NOT warm").select("key", F.lit(0).cast("long").alias("cell"), "fp", "idx")
+    warm = rows.where("warm").join(hot, F.col("key") == F.col("value"), "left").select(
+        "key", "fp", "idx", F.coalesce("blocks", F.lit(1).cast("long")).alias("blocks"))
+    mine = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    as_probe = warm.select("key", "fp", F.lit(False).alias("idx"), "blocks", mine.alias("mine"), F.explode(every).alias("i")).select(
+        "key", (F.col("i") * F.col("blocks") + F.col("mine")).alias("cell"), "fp", "idx")
+    as_index = warm.where("idx").select("key", "fp", "idx", "blocks", mine.alias("mine"), F.explode(every).alias("j")).select(
+        "key", (F.col("mine") * F.col("blocks") + F.col("j")).alias("cell"), "fp", "idx")
+    return cool.unionByName(as_probe).unionByName(as_index)
 
 
 # ------------------------------------------------------------- verification ---
@@ -245,8 +261,8 @@ def _forest(fp: np.ndarray, idx: np.ndarray, distance: int) -> list[tuple[int, i
 
 
 def _verify(key: np.ndarray, fp: np.ndarray, idx: np.ndarray, distance: int, most: int = 8):
-    """Links of complete groups (rows sorted by key): groups of at most
-    ``most`` rows all at once, larger ones by ``_forest``."""
+    """Links of groups (rows sorted by key): groups of at most ``most`` rows all
+    at once, larger ones by ``_forest``."""
     cut = np.flatnonzero(np.diff(key)) + 1
     start, end = np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])
     size = end - start
@@ -283,26 +299,23 @@ def links(fps: DataFrame, distance: int = DISTANCE, parts: int = PARTS) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(mix64(b.column(0).to_numpy().view(np.uint64)).view(np.int64))], ["h"])
 
     hot = bit_set(counts.where(F.col("n") > BLOCK).select("key").mapInArrow(mixed, "h long"), "h", SET_BITS)
-    rows = probe_rows(fps, groups, allocate(cost, distance - parts + 1), hot)
+    rows = dealt(probe_rows(fps, groups, allocate(cost, distance - parts + 1), hot), counts)
 
     def run(batches):
-        hold: list[np.ndarray] = [np.empty(0, np.int64)] * 3
-
-        def edges(cols):
-            a, b = _verify(cols[0], cols[1].view(np.uint64), cols[2].astype(bool), distance)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
-
+        held = [np.empty(0, np.int64)] * 4  # index rows of the last group: rows of it may still come
         for bt in batches:
-            new = [bt.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "fp", "idx")]
-            hold = [np.concatenate(x) for x in zip(hold, new, strict=True)]
-            cut = int(np.searchsorted(hold[0], hold[0][-1])) if len(hold[0]) else 0
-            if cut:
-                yield edges([x[:cut] for x in hold])
-                hold = [x[cut:] for x in hold]
-        if len(hold[0]):
-            yield edges(hold)
-
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+            new = [bt.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "cell", "fp", "idx")]
+            key, cell, fp, idx = (np.concatenate(x) for x in zip(held, new, strict=True))
+            if not len(key):
+                continue
+            group = np.cumsum(np.append(0, (np.diff(key) != 0) | (np.diff(cell) != 0)))
+            a, b = _verify(group, fp.view(np.uint64), idx.astype(bool), distance)
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+            stay = (group == group[-1]) & (idx > 0)
+            held = [key[stay], cell[stay], fp[stay], idx[stay]]
+
+    order = ["key", "cell", F.desc("idx")]
+    return rows.repartition("key", "cell").sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from chatframe.llm import components, decontam, langid, repeats, simhash
@@ -91,6 +92,59 @@ def test_blocks_of_a_hot_key(spark, monkeypatch):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def ball(rng, n, most):
+    """Fingerprints around a few centres, at most ``most`` bits away."""
+    centres = [rng.getrandbits(64) for _ in range(3)]
+    out = set(centres)
+    while len(out) < n:
+        x = rng.choice(centres)
+        for b in rng.sample(range(64), rng.randrange(1, most + 1)):
+            x ^= 1 << b
+        out.add(x)
+    return np.array(sorted(out), np.uint64)
+
+
+def brute_parts(fps, distance):
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= distance
+    label = np.arange(len(fps))
+    while True:
+        new = np.array([label[near[i]].min() for i in range(len(fps))])
+        if (new == label).all():
+            return label
+        label = new
+
+
+@pytest.mark.parametrize("distance,parts", [(1, 1), (6, 2), (9, 3), (3, 6), (4, 3)])
+def test_any_distance_and_number_of_parts(spark, monkeypatch, distance, parts):
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    fps = ball(random.Random(distance), 60 if distance > 8 else 150, distance + 8)
+    edges = simhash.links(spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long"), distance, parts)
+    roots = {r["node"]: r["root"] for r in components.components(edges).collect()}
+    at = {x: i for i, x in enumerate(fps.view(np.int64).tolist())}
+    got = [at[roots.get(x, x)] for x in at]
+    want = brute_parts(fps, distance)
+    assert len(set(zip(got, want.tolist(), strict=True))) == len(set(got)) == len(set(want.tolist()))
+
+
+def test_a_hot_value_is_spread(spark):
+    """10^5 rows of one value: cells hold a block, and every pair of rows meets."""
+    n = 100_000
+    rows = spark.range(n).select(F.lit(7).cast("long").alias("key"), F.col("id").alias("fp"), (F.col("id") % 2 == 0).alias("idx"),
+                                 F.lit(True).alias("warm"))
+    counts = spark.createDataFrame([(7, n // 2)], "key long, n long")
+    cells = simhash.dealt(rows, counts).groupBy("cell").agg(F.sum(F.col("idx").cast("int")).alias("i"), F.count("*").alias("n")).collect()
+    blocks = -(-n // 2 // simhash.BLOCK)
+    assert len(cells) == blocks ** 2 and max(r["i"] for r in cells) < 1.2 * simhash.BLOCK
+    assert max(r["n"] for r in cells) < 1.2 * (n / blocks + simhash.BLOCK)
+
+
+def test_one_very_long_text(docs):
+    long = " ".join(f"w{i % 977}" for i in range(200_000))
+    got = simhash.near_duplicates(docs([(1, long), (2, long + " end"), (3, "short")])).collect()
+    fp = {r["doc_id"]: r["fp"] % 2 ** 64 for r in got}
+    assert fp[1] == simhash.simhash(long.encode()) and {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 1, 3: 3}
+
+
 @pytest.mark.parametrize("parts", [2, 3, 4, 5])
 @pytest.mark.parametrize("n", [10, 10**6, 10**10])
 def test_thresholds_cover_the_distance(n, parts):
