@@ -1,11 +1,12 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read into *nodes* (the text of one block) in page order, each with
-its tag path from the root.  Nodes under elements that are never the article
-(``SKIP``, or hidden) are left out.  Elements that a whole class, id, role or
-aria-label names as boilerplate are set apart on the path (``~``).  Hidden or
-so named elements that hold ``article``, ``main`` or ``MOST`` of the page's
-text are taken like others.  For the nodes that are left:
+its tag path from the root, a number in a tree of paths.  Nodes under elements
+that are never the article (``SKIP``, or hidden) are left out, and so is a block
+that holds nothing but controls (a button or label inside a sentence belongs to
+it).  Elements whose class, id, role or aria-label names boilerplate are set
+apart.  Hidden or so named elements that hold ``article``, ``main`` or ``MOST`` of
+the page's text are taken like others.  For the nodes that are left:
 
 1. Aggregate by path: characters and punctuation marks per node, without the
    characters inside links: an ``a`` with ``href``, until it or its enclosing
@@ -13,19 +14,23 @@ text are taken like others.  For the nodes that are left:
 2. Smooth both ratios over the nodes in page order (a Gaussian window), so a
    heading or a short line between paragraphs follows its neighbours.
 3. Fuse: the root of the product of the two ratios, each with one added, times
-   a weight for paths inside ``article`` or ``main``, and a smaller one for
-   paths named as boilerplate.
+   a weight for paths inside ``article`` or ``main``, and a small one for named
+   elements in there that hold more than all that is not set apart, in blocks
+   ``RICHER`` times as long.
 4. Threshold: a path is content if the mean of its nodes reaches ``SHARE`` of
-   the best path's, or if it lies inside the container of content, is not
-   mostly links and not named as boilerplate there.
+   the best path's, or if it lies inside the container of content.  Paths that
+   are mostly links are menus, but inside ``article``, and other paths set apart
+   are content only where nothing else is.
 
 The text is the content nodes' blocks: character references decoded, white
 space made one space, trimmed, joined by two ``\\n``.  Nothing is cut off.
+The work of a page grows with its length, however deep its elements nest.
 
 Defined cases: null html is empty and gives the empty text; unclosed or
 misnested elements close as their parents do; unclosed comments, scripts and
-tags end with the page; repeated rows and null ``page_id`` or ``url`` keep
-their rows; other columns are ignored.
+tags end with the page; pages of any length are read whole; paths that tie are
+treated alike; repeated rows and null ``page_id`` or ``url`` keep their rows; an
+empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,8 +46,9 @@ from pyspark.sql import functions as F
 SHARE = 0.1
 SIGMA = 1.0
 ROOT_WEIGHT = 4.0
-NAMED_WEIGHT = 0.08   # content only if richer than the best path without such a name
 MOST = 2 / 3     # share of the page's characters that only an element around the article has
+RICHER = 4.0     # blocks so many times as long as those outside make up for a name inside the article
+NAMED_WEIGHT = 0.08
 LINKS = 0.6      # share of link characters that makes a path a menu
 
 # Element classes of the HTML standard.
@@ -52,7 +58,9 @@ SKIP = frozenset("""head script style title textarea noscript iframe noembed nof
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav
     ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul""".split())
-INSIDE = frozenset("button select svg canvas object audio video map label datalist".split())  # not blocks, kept on the path
+CONTROL = frozenset("button label".split())     # text of a sentence, if there is other text in its block
+UNSEEN = frozenset("select svg canvas object audio video map datalist".split())  # left out of a sentence, don't end it
+INSIDE = CONTROL | UNSEEN                       # not blocks, kept on the path
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: an open element (key) ends where one of these starts
 ENDED_BY = {
@@ -63,6 +71,8 @@ ENDED_BY = {
     "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
     "head": frozenset(["body"]),
 }
+#: an element (key) ends these where it starts
+ENDS = {name: frozenset(k for k, v in ENDED_BY.items() if name in v) for name in BLOCK | INSIDE}
 #: an element is not ended from inside these
 SCOPE = frozenset("ul ol dl table select article section div blockquote body html main aside nav".split())
 
@@ -76,10 +86,12 @@ BOILERPLATE = frozenset("""ad ads advert advertisement adverts advertising spons
     sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar cookie cookies consent
     notice notices alert disclaimer popup modal overlay newsletter subscribe signup login search share sharing
     social related recommended comment comments replies respond disqus pagination pager widget
-    complementary contentinfo skip""".split())
+    commentlist commenters discussions complementary contentinfo skip""".split())
 #: words that say nothing beside them, as in site-footer or comments-area
 NEUTRAL = frozenset("""area bar block bottom box button buttons container form global inner item items left link links
     list outer page post posts primary right secondary section site top wrap wrapper""".split())
+#: a first word that tells of a state, not of what the element is
+STATE = frozenset("has have with no not is without show hide js can".split())
 PAGE_HEADER = frozenset(["header"])
 MARKS = re.compile(r"[^\w\s]")
 _WORD = re.compile(r"[a-z]+")
@@ -87,10 +99,31 @@ CLOSED = re.compile(r"""(?:^|[\s"'])/$""")   # a slash that no unquoted value en
 
 
 class Node:
-    __slots__ = ("path", "text", "links", "rooted")
+    __slots__ = ("path", "text", "links")
 
-    def __init__(self, path: str, text: str, links: int, rooted: bool):
-        self.path, self.text, self.links, self.rooted = path, text, links, rooted
+    def __init__(self, path: int, text: str, links: int):
+        self.path, self.text, self.links = path, text, links
+
+
+class Paths:
+    """A tree of tag paths.  Number 0 is the empty path; parents come before
+    their children.  An element that is set apart has a path of its own."""
+
+    def __init__(self):
+        self.number: dict[tuple[int, str, int], int] = {}
+        self.parent, self.name, self.apart = [0], [""], [-1]
+        self.inside, self.article = [False], [False]     # article or main, article on the path
+
+    def of(self, parent: int, name: str, apart: int = -1) -> int:
+        found = self.number.get((parent, name, apart))
+        if found is None:
+            found = self.number[parent, name, apart] = len(self.parent)
+            self.parent.append(parent)
+            self.name.append(name)
+            self.apart.append(apart)
+            self.article.append(self.article[parent] or name == "article")
+            self.inside.append(self.inside[parent] or name in ("article", "main"))
+        return found
 
 
 def _attributes(attrs: str) -> dict[str, str]:
@@ -101,9 +134,13 @@ def _attributes(attrs: str) -> dict[str, str]:
     return out
 
 
-def _boilerplate(token: str) -> bool:
-    words = set(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower()))
-    return bool(words & BOILERPLATE) and words <= BOILERPLATE | NEUTRAL
+def _boilerplate(token: str, phrase: bool = False) -> bool:
+    """Whether a class or id, or a whole ``phrase``, names boilerplate: all its
+    words that say something do, or of a class or id the last of them."""
+    words = [w for w in _WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower()) if w not in NEUTRAL]
+    if not words or words[0] in STATE:
+        return False
+    return all(w in BOILERPLATE for w in words) or (not phrase and words[-1] in BOILERPLATE)
 
 
 def _kind(attrs: str) -> str:
@@ -114,31 +151,34 @@ def _kind(attrs: str) -> str:
     if (("hidden" in a and a["hidden"].lower() != "until-found") or a.get("aria-hidden", "").strip().lower() == "true"
             or NO_DISPLAY.search(a.get("style", ""))):
         return "hidden"
-    tokens = [t for k in ("class", "id", "role") for t in a.get(k, "").split()] + [a.get("aria-label", "")]
-    return "named" if any(map(_boilerplate, tokens)) else ""
+    tokens = [t for k in ("class", "id", "role") for t in a.get(k, "").split()]
+    return "named" if any(map(_boilerplate, tokens)) or _boilerplate(a.get("aria-label", ""), True) else ""
 
 
-def nodes(page: str) -> list[Node]:
-    """Text nodes outside of what is never content, in page order."""
+def nodes(page: str) -> tuple[list[Node], Paths, list[str]]:
+    """Text nodes outside of what is never content, in page order, their paths,
+    and which paths are set apart (``named``) or ``rich`` in spite of a name."""
     out: list[Node] = []
-    stack: list[tuple[str, bool, int]] = []  # (name, left out, number in apart or -1)
-    apart: list[list] = []                   # hidden or named elements: kind, characters, holds the article
-    within: list[list[tuple[str, int]]] = [] # for each node its elements: (name, number in apart or -1)
-    text: list[str] = []
+    paths = Paths()
+    stack: list[tuple[str, bool, int]] = []  # (name, left out, path)
+    is_open: dict[str, int] = {}
+    kinds: list[str] = []                    # of the hidden or named elements
+    holds: list[bool] = []                   # the article
+    around = {0}                             # paths around an article
+    text: list[tuple[str, bool]] = []        # pieces, and whether they are in a control
     links = at = 0
+    unseen_at = -1                           # elements open where the outermost unseen element began, or -1
     link_at = -1                             # elements open where the open link began, or -1
 
+    def here() -> int:
+        return stack[-1][2] if stack else 0
+
     def flush() -> None:
         nonlocal text, links
-        if text:
-            body = " ".join(html.unescape("".join(text)).split())
+        if any(not control and not piece.isspace() for piece, control in text):
+            body = " ".join(html.unescape("".join(piece for piece, _ in text)).split())
             if body:
-                names = [n for n, _, _ in stack]
-                out.append(Node("", body, links, "article" in names or "main" in names))
-                within.append([(n, i) for n, _, i in stack])
-                for _, _, i in stack:
-                    if i >= 0:
-                        apart[i][1] += len(body)
+                out.append(Node(here(), body, links))
         text, links = [], 0
 
     def off() -> bool:
@@ -147,10 +187,25 @@ def nodes(page: str) -> list[Node]:
     def data(s: str) -> None:
         nonlocal links
         if s and not off():
-            text.append(s)
+            text.append((s, bool(stack) and stack[-1][0] in CONTROL))
             if link_at >= 0:
                 links += len(s.strip())
 
+    def push(name: str, skip: bool, path: int) -> None:
+        nonlocal unseen_at
+        if name in UNSEEN and unseen_at < 0:
+            unseen_at = len(stack)
+        stack.append((name, skip, path))
+        is_open[name] = is_open.get(name, 0) + 1
+
+    def pop() -> str:
+        nonlocal unseen_at
+        name = stack.pop()[0]
+        is_open[name] -= 1
+        if len(stack) == unseen_at:
+            unseen_at = -1
+        return name
+
     def end_link() -> None:
         nonlocal link_at
         if len(stack) < link_at:
@@ -171,11 +226,20 @@ def nodes(page: str) -> list[Node]:
             if name == "a":
                 link_at = -1
             elif name in BLOCK or name in INSIDE:
-                flush()
-                if any(n == name for n, _, _ in stack):
-                    while stack.pop()[0] != name:
-                        pass
-                    end_link()
+                if not is_open.get(name):
+                    if name in BLOCK and unseen_at < 0:
+                        flush()
+                    continue
+                start = len(stack) - 1
+                while stack[start][0] != name:
+                    start -= 1
+                # a control ends no block, nor does what an unseen element holds
+                if unseen_at < 0 or start < unseen_at:
+                    if any(stack[i][0] in BLOCK for i in range(start, len(stack))):
+                        flush()
+                while len(stack) > start:
+                    pop()
+                end_link()
             continue
         attrs = m[3] if m[2] else m[6]
         if name in RAW:
@@ -191,43 +255,84 @@ def nodes(page: str) -> list[Node]:
             link_at = len(stack) if not CLOSED.search(attrs) and "href" in _attributes(attrs) else -1
         if name in VOID and name != "hr":
             continue
-        if name in BLOCK or name in INSIDE:
-            flush()
+        if name in INSIDE:
+            push(name, off() or name in UNSEEN, here())
+        elif name in BLOCK and unseen_at >= 0 and name in ("option", "optgroup", "hr"):
+            continue
+        elif name in BLOCK:
+            if unseen_at < 0:
+                flush()
             if name == "hr":
                 continue
-            for i in range(len(stack) - 1, -1, -1):
-                if name in ENDED_BY.get(stack[i][0], ()):
-                    del stack[i:]
-                    if name not in ("tr", "tbody", "tfoot"):
+            if any(is_open.get(k) for k in ENDS[name]):
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] in ENDS[name]:
+                        while len(stack) > i:
+                            pop()
+                        if name not in ("tr", "tbody", "tfoot"):
+                            break
+                    elif stack[i][0] in SCOPE:
                         break
-                elif stack[i][0] in SCOPE:
-                    break
             end_link()
-            skip = off() or name in SKIP
-            inside = any(n in ("article", "main") for n, _, _ in stack)
-            if name in PAGE_HEADER and not inside:
-                skip = True
+            parent = here()
+            skip = off() or name in SKIP or is_open.get("button", 0) > 0 or (name in PAGE_HEADER and not paths.inside[parent])
             number = -1
             if name in ("article", "main"):
-                if not inside and not skip:
-                    for _, _, i in stack:
-                        if i >= 0:
-                            apart[i][2] = True
+                if not paths.inside[parent] and not skip:
+                    above = parent
+                    while above not in around:
+                        around.add(above)
+                        if paths.apart[above] >= 0:
+                            holds[paths.apart[above]] = True
+                        above = paths.parent[above]
             elif not skip and name not in ("html", "body"):
                 kind = _kind(attrs)
                 if kind:
-                    number = len(apart)
-                    apart.append([kind, 0, False])
-            stack.append((name, skip, number))
+                    number = len(kinds)
+                    kinds.append(kind)
+                    holds.append(False)
+            push(name, skip, parent if skip else paths.of(parent, name, number))
     flush()
-    whole = sum(len(n.text) for n in out)
-    kinds = ["" if holds or n > MOST * whole else kind for kind, n, holds in apart] + [""]
+    return _outside(out, paths, kinds, holds)
+
+
+def _outside(found: list[Node], paths: Paths, kinds: list[str], holds: list[bool]) -> tuple[list[Node], Paths, list[str]]:
+    """Nodes that are not hidden, on paths without the elements' numbers, and
+    which of these paths are named or rich."""
+    n = len(paths.parent)
+    size, blocks = [0] * n, [0] * n    # characters and nodes at and below a path
+    loose = [True] * n                 # nothing on the path is set apart
+    for i in range(1, n):
+        loose[i] = loose[paths.parent[i]] and paths.apart[i] < 0
+    whole = plain = plain_blocks = 0
+    for node in found:
+        size[node.path] += len(node.text)
+        blocks[node.path] += 1
+        whole += len(node.text)
+        if loose[node.path]:
+            plain += len(node.text)
+            plain_blocks += 1
+    for i in range(n - 1, 0, -1):
+        size[paths.parent[i]] += size[i]
+        blocks[paths.parent[i]] += blocks[i]
+    out, same, hidden, named = Paths(), [0] * n, [False] * n, [""]
+    for i in range(1, n):
+        up, number = paths.parent[i], paths.apart[i]
+        kind = "" if number < 0 or holds[number] or size[i] > MOST * whole else kinds[number]
+        if (kind == "named" and paths.inside[i] and size[i] > plain
+                and size[i] * plain_blocks >= RICHER * plain * blocks[i]):
+            kind = "rich"
+        hidden[i] = hidden[up] or kind == "hidden"
+        same[i] = out.of(same[up], paths.name[i], ("", "named", "rich", "hidden").index(kind) - 1)
+        if same[i] == len(named):
+            above = named[same[up]]
+            named.append(above if above == "named" or not kind else kind)
     kept = []
-    for node, names in zip(out, within, strict=True):
-        if not any(kinds[i] == "hidden" for _, i in names):
-            node.path = "/".join(n + "~" if kinds[i] else n for n, i in names)
+    for node in found:
+        if not hidden[node.path]:
+            node.path = same[node.path]
             kept.append(node)
-    return kept
+    return kept, out, named
 
 
 def _smooth(values: list[float], sigma: float) -> list[float]:
@@ -243,9 +348,9 @@ def _smooth(values: list[float], sigma: float) -> list[float]:
     return out
 
 
-def content_paths(found: list[Node]) -> set[str]:
+def content_paths(found: list[Node], paths: Paths, named: list[str]) -> set[int]:
     """Paths whose fused, smoothed ratios reach the threshold."""
-    chars: dict[str, list[float]] = {}
+    chars: dict[int, list[float]] = {}
     for n in found:
         c = chars.setdefault(n.path, [0.0, 0.0, 0.0, 0.0])
         c[0] += max(0, len(n.text) - n.links)
@@ -254,26 +359,29 @@ def content_paths(found: list[Node]) -> set[str]:
         c[3] += n.links
     length = _smooth([chars[n.path][0] / chars[n.path][2] for n in found], SIGMA)
     marks = _smooth([chars[n.path][1] / chars[n.path][2] for n in found], SIGMA)
-    score: dict[str, float] = {}
+    score: dict[int, float] = {}
     for n, a, b in zip(found, length, marks, strict=True):
-        fused = sqrt((1 + a) * (1 + b)) * (ROOT_WEIGHT if n.rooted else 1.0) * (NAMED_WEIGHT if "~" in n.path else 1.0)
+        fused = sqrt((1 + a) * (1 + b)) * (ROOT_WEIGHT if paths.inside[n.path] else 1.0) * (NAMED_WEIGHT if named[n.path] else 1.0)
         score[n.path] = score.get(n.path, 0.0) + fused / chars[n.path][2]
-    menu = {p for p, c in chars.items() if c[3] > LINKS * (c[0] + c[3])}
-    best = max((v for p, v in score.items() if p not in menu), default=0.0)
-    good = {p for p, v in score.items() if p not in menu and v >= SHARE * best}
-    rooted = {n.path for n in found if n.rooted}
-    if good & rooted:   # an article element holds the article
-        good &= rooted
-    holders = {p.rpartition("/")[0] for p in good} - {"html", "html/body", "body", ""}
-    return good | {p for p in score if p not in menu and any(
-        (p + "/").startswith(h + "/") and "~" not in p[len(h):] for h in holders)}
+    menu = {p for p, c in chars.items() if c[3] > LINKS * (c[0] + c[3]) and not paths.article[p]}
+    open_to = {p for p in score if p not in menu and named[p] != "named"} or {p for p in score if p not in menu}
+    best = max((score[p] for p in open_to), default=0.0)
+    good = {p for p in open_to if score[p] >= SHARE * best}
+    if any(paths.inside[p] for p in good):   # an article element holds the article
+        good = {p for p in good if paths.inside[p]}
+    holders = {paths.parent[p] for p in good}
+    within = [False] * len(paths.parent)
+    for p in range(1, len(within)):
+        root = paths.name[p] in ("html", "body") and paths.parent[paths.parent[p]] == 0
+        within[p] = (p in holders and not root) or (within[paths.parent[p]] and paths.apart[p] < 0)
+    return good | {p for p in score if p not in menu and within[p]}
 
 
 def main_text(page: str) -> str:
-    found = nodes(page)
+    found, paths, named = nodes(page)
     if not found:
         return ""
-    keep = content_paths(found)
+    keep = content_paths(found, paths, named)
     return "\n\n".join(n.text for n in found if n.path in keep)
 
 

@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -188,19 +190,105 @@ def test_names_do_not_delete_the_article(page, text):
     assert html_paths.main_text(page) == text
 
 
+ARTICLE = f"<p>{LONG}</p>" * 3
+TEXT = "\n\n".join([LONG] * 3)
+
+
+@pytest.mark.parametrize("apart", [
+    "<div id=user-comments><p>{0}</div>", "<section class='reader-comments'><p>{0}<p>{0}</section>", "<ol class=commentlist><li>{0}</ol>",
+    "<div class=cookie-notice><p>{0} {0} {0}</div>", "<div role=alert><p>{0}</div>", "<div class='top-banner'>{0}</div>",
+    "<ul class=main-menu><li>{0}</ul>", "<div id=left-sidebar><p>{0}</div>", "<div class=newsletter-signup><p>{0}</div>",
+    "<ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul>", "<form><label>Mail</label><input><button>Send</button></form>",
+    "<header><p>{0}</header>", "<footer><p>{0}</footer>", "<aside><p>{0}</aside>"])
+@pytest.mark.parametrize("page", ["{0}<article>{1}</article>", "<article>{1}</article>{0}", "<body><div class=page>{0}<div class=text>{1}</div></div>"])
+def test_what_is_not_the_article(page, apart):
+    assert html_paths.main_text(page.format(apart.format(LONG), ARTICLE)) == TEXT
+
+
+@pytest.mark.parametrize(("inside", "text"), [
+    ("<h2>References</h2><ul><li><a href=/a>First, of all</a><li><a href=/b>Second</a></ul>", "References\n\nFirst, of all\n\nSecond"),
+    ("<p>Press <button>OK</button> now.", "Press OK now."), ("<p><button>OK</button> is what you press.", "OK is what you press."),
+    ("<p>The <label>name</label> of it, <svg><text>no</text></svg>here.", "The name of it, here."),
+    ("<p>One<select><option>x<option>y</select> word, or two.", "One word, or two."), ("<p><button>Share</button></p><p>So, it ends.", "So, it ends."),
+    ("<div><button>Subscribe</button> <label>Mail</label></div><p>So, it ends.", "So, it ends.")])
+def test_what_belongs_to_the_article(inside, text):
+    assert html_paths.main_text(f"<nav><a href=/>x</a></nav><article>{ARTICLE}{inside}</article>") == f"{TEXT}\n\n{text}"
+
+
+def plain_ratios(tree):
+    """Main text of a page given as (tag, [text or tree, ...]), by the definition
+    over path strings: no text repeats, nothing is named."""
+    found = []
+
+    def walk(node, path):
+        for child in node[1]:
+            if isinstance(child, str):
+                found.append((path, child))
+            else:
+                walk(child, f"{path}/{child[0]}")
+    walk(tree, tree[0])
+    group = {}
+    for path, text in found:
+        group.setdefault(path, []).append(text)
+
+    def ratio(value):
+        flat = [sum(map(value, group[p])) / len(group[p]) for p, _ in found]
+        w = {d: math.exp(-d * d / 2) for d in range(-2, 3)}
+        return [sum(w[d] * flat[i + d] for d in w if 0 <= i + d < len(flat)) / sum(w[d] for d in w if 0 <= i + d < len(flat))
+                for i in range(len(flat))]
+    score = {}
+    for (path, _), a, b in zip(found, ratio(len), ratio(lambda t: len(re.findall(r"[^\w\s]", t))), strict=True):
+        rooted = "article" in path.split("/")
+        score.setdefault(path, []).append(math.sqrt((1 + a) * (1 + b)) * (4 if rooted else 1))
+    mean = {p: sum(v) / len(v) for p, v in score.items()}
+    good = {p for p in mean if mean[p] >= 0.1 * max(mean.values())}
+    if any("article" in p.split("/") for p in good):
+        good = {p for p in good if "article" in p.split("/")}
+    holders = {p.rpartition("/")[0] for p in good} - {"body", ""}
+    return "\n\n".join(t for p, t in found if p in good or any((p + "/").startswith(h + "/") for h in holders))
+
+
+def test_ratios_against_the_definition():
+    rng = random.Random(11)
+
+    def tree(depth):
+        kids, tag = [], rng.choice(["div", "section", "blockquote", "div", "article"])
+        for _ in range(rng.randint(1, 5)):
+            if depth and rng.random() < 0.5:
+                kids.append(tree(depth - 1))
+            else:
+                words = " ".join(f"w{rng.randrange(999)}" + rng.choice(["", "", ",", "."]) for _ in range(rng.choice([1, 2, 5, 30, 120])))
+                kids.append((rng.choice(["p", "pre", "h2", "address"]), [words]))
+        return tag, kids
+
+    def html_of(node):
+        return node if isinstance(node, str) else f"<{node[0]}>{''.join(map(html_of, node[1]))}</{node[0]}>"
+    for _ in range(200):
+        page = ("body", [tree(3) for _ in range(rng.randint(1, 4))])
+        assert html_paths.main_text(html_of(page)) == plain_ratios(page)
+
+
+@pytest.mark.parametrize("page", ["<div><p>a, b.</p>" * 8000, "<div>" * 8000 + LONG, "<li><center>" * 8000 + LONG, "<div class=ad>" * 8000 + LONG,
+                                  "<div><p>x</section>" * 8000, "<div><p>x</label>" * 8000, "<label>" * 8000 + "<p>x</label>" * 8000])
+def test_deep_pages_take_no_longer(page):
+    start = time.process_time()
+    assert html_paths.main_text(page)
+    assert time.process_time() - start < 1.5
+
+
 @pytest.mark.parametrize(("start", "end"), [
     ("<a name='top'>", ""), ("<a>", ""), ("<a id='s1'/>", ""), ("<a href='#s1'/>", ""), ("<a href='#s1' />", ""),
     ("<div><a href='/up'>up</div>", ""), ("<p><a href='/up'>up", ""), ("<div><p><a href='/up'>up</div>", ""),
 ])
 def test_only_links_are_links(start, end):
     assert html_paths.main_text(f"<article>{start}<p>{LONG}<p>{LONG}{end}</article>").endswith(f"{LONG}\n\n{LONG}")
-    for n in html_paths.nodes(f"<article>{start}<p>{LONG}</article>"):
+    for n in html_paths.nodes(f"<article>{start}<p>{LONG}</article>")[0]:
         assert n.links == (2 if n.text == "up" else 0)
 
 
 @pytest.mark.parametrize("link", [f"<a href=/>{LONG}</a>", f"<a class=x HREF='/'><div>{LONG}</div></a>", f"<a href=''>{LONG}"])
 def test_links_keep_their_characters(link):
-    assert [n.links for n in html_paths.nodes(f"<div>{link}</div><p>x")] == [len(LONG), 0]
+    assert [n.links for n in html_paths.nodes(f"<div>{link}</div><p>x")[0]] == [len(LONG), 0]
 
 
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<li", ">", "<!--", "-->", "<script>", "</script>", "a b",
