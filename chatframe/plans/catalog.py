@@ -366,6 +366,25 @@ def bertscore_blocks(spark, sf_dir):
                     r6("recall").alias("recall"), r6("f1").alias("f1"))
 
 
+@register("bertscore_tiles", ORACLE["bertscore_pairs"])
+def bertscore_tiles(spark, sf_dir):
+    """The same pairs as grids of tiles of 4 x 4 ids, in blocks of 2."""
+    from chatframe.operators.bertscore import bertscore
+    s = bertscore(fx.token_pairs(spark, sf_dir), block=2, tile=4)
+    return s.select("pair_id", "variant", r6("precision").alias("precision"),
+                    r6("recall").alias("recall"), r6("f1").alias("f1"))
+
+
+@register("bertscore_rows", ORACLE["bertscore_pairs"])
+def bertscore_rows(spark, sf_dir):
+    """The same pairs with each side's vectors in one row, without Python."""
+    from chatframe.operators.bertscore import bertscore_rows as rows
+    side = [F.collect_list(F.when(F.col("side") == s, F.col("vec"))).alias(s) for s in ("base", "lora", "ref")]
+    s = rows(fx.token_pairs(spark, sf_dir).groupBy("pair_id").agg(*side))
+    return s.select("pair_id", "variant", r6("precision").alias("precision"),
+                    r6("recall").alias("recall"), r6("f1").alias("f1"))
+
+
 @register("bertscore_summary", _bs("""
 SELECT variant, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM (
   SELECT variant, avg(precision) AS precision, avg(recall) AS recall, avg(f1) AS f1 FROM scores GROUP BY variant
@@ -508,6 +527,41 @@ def judge_resume(spark, sf_dir):
     return pending(fx.answers(spark, sf_dir), done).select("sample_id", "question")
 
 
+@register("judge_runs", q.with_views("""
+SELECT run_id, count(*) AS n_rows, count(*) FILTER (WHERE error IS NULL) AS n_evaluated,
+       round(avg(base_correctness), 6) AS base_correctness, round(avg(lora_correctness), 6) AS lora_correctness
+FROM (SELECT 'first' AS run_id, * FROM judge_details UNION ALL SELECT 'second', * FROM judge_details WHERE base_is_a) r
+GROUP BY run_id""", "judge_details"))
+def judge_runs(spark, sf_dir):
+    """Two runs in one table; the first is stored twice and counts once."""
+    from chatframe.operators.inference import read_run, store_run
+    from chatframe.session import work_dir
+    scored, path = judged(spark, sf_dir), work_dir(spark, "runs")
+    for run_id, rows in (("first", scored), ("second", scored.where("base_is_a")), ("first", scored)):
+        kept = store_run(rows, path, run_id)
+    return read_run(spark, path, kept.drop("run_id").schema).groupBy("run_id").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("error").isNull()).alias("n_evaluated"),
+        r6c(F.avg("base_correctness")).alias("base_correctness"), r6c(F.avg("lora_correctness")).alias("lora_correctness"))
+
+
+@register("judge_rounds", ORACLE["judge_stub"])
+def judge_rounds(spark, sf_dir):
+    """The calls of ``judge_stub`` in stored rounds, two at a time; a second
+    round of asking finds nothing left to call."""
+    from chatframe.functions.prompts import judge_messages
+    from chatframe.operators.inference import judge_stored
+    from chatframe.session import work_dir
+    from chatframe.sources.standins import length_judge
+    a = jd.assign_ab(fx.answers(spark, sf_dir), SEED)
+    calls = a.select("sample_id", "base_is_a", judge_messages(render_judge_prompt()).alias("messages"))
+    path = work_dir(spark, "judged")
+    for _ in range(2):
+        replies = judge_stored(calls, path, length_judge, "stand-in", keep=("sample_id", "base_is_a"), min_interval_s=0.0,
+                               concurrency=2, round_rows=1000)
+    return jd.score_replies(replies).select("sample_id", "base_is_a", "error", "base_correctness", "lora_correctness",
+                                            "base_completeness", "lora_completeness")
+
+
 _BT_WORDS = {c: q.words(c) for c in ("base_answer", "lora_answer", "reference")}
 _BT = [
     ("toks", f"""SELECT sample_id AS pair_id, 'base' AS side, unnest({_BT_WORDS['base_answer']}) AS w FROM answers

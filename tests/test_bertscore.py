@@ -88,3 +88,67 @@ def test_every_text_is_encoded_once(spark):
     done = toks.select("pair_id").distinct()
     again = encode_tokens(pending(texts, done, "pair_id"), factory)
     assert again.count() == 0 and calls.value == 60
+
+
+# ------------------------------------------------------------ physical forms ---
+def random_pairs(seed, pairs=6, dims=5):
+    rng = np.random.default_rng(seed)
+    rows, sides = [], {}
+    for p in range(pairs):
+        for side in ("base", "lora", "ref"):
+            n = int(rng.integers(0, 40)) if (p, side) != (0, "ref") else 0
+            v = rng.normal(size=(n, dims)).astype(np.float32)
+            sides[p, side] = v
+            rows += [(p, side, int(i), x.tolist()) for i, x in zip(rng.permutation(200)[:n], v, strict=True)]
+    return rows, sides
+
+
+@pytest.mark.parametrize("block,tile", [(4, 4), (4, 16), (8, 64), (512, 512)])
+def test_tiles_equal_brute_force(spark, block, tile):
+    rows, sides = random_pairs(tile)
+    df = spark.createDataFrame(rows, "pair_id long, side string, tok_id long, vec array<float>")
+    pairs = spark.range(6).withColumnRenamed("id", "pair_id")
+    got = {(r["pair_id"], r["variant"]): (r["precision"], r["recall"], r["f1"])
+           for r in bertscore(df, block=block, tile=tile, pairs=pairs).collect()}
+    assert len(got) == 12
+    for (p, v), x in got.items():
+        assert x == pytest.approx(brute(sides[p, v].astype(np.float64), sides[p, "ref"].astype(np.float64)), abs=1e-9)
+
+
+def test_a_tile_holds_whole_blocks(spark):
+    df = spark.createDataFrame([], "pair_id long, side string, tok_id long, vec array<float>")
+    with pytest.raises(ValueError, match="whole blocks"):
+        bertscore(df, block=4, tile=6)
+    assert bertscore(df, block=4, tile=8).count() == 0
+
+
+def test_blocks_travel_with_the_root_of_the_tiles(spark):
+    """One pair of 64 x 64 blocks: rows sent for T tiles are 128 * sqrt(T)."""
+    from pyspark.sql import functions as F
+
+    from chatframe.operators.bertscore import tile_grid
+    blocks = spark.range(128).select(F.lit(1).alias("pair_id"), F.when(F.col("id") < 64, "base").otherwise("ref").alias("side"),
+                                     (F.col("id") % 64).alias("blk"), F.array(F.col("id")).alias("tok"),
+                                     F.array(F.lit(1.0).cast("float")).alias("vec"))
+    for root in (1, 2, 4, 8, 16):
+        cut = blocks.withColumn("tile", F.floor(F.col("blk") * root / 64))
+        grid = tile_grid(cut, ("base",), "ref")
+        assert grid.count() == 128 * root and grid.select("ct", "rt").distinct().count() == root ** 2
+        assert grid.groupBy("ct", "rt").count().agg(F.max("count")).first()[0] == 128 // root
+
+
+def test_row_local_form_is_native(spark):
+    from chatframe.operators.bertscore import bertscore_rows
+    _, sides = random_pairs(3)
+    rows = [(p, *[None if (p, s) == (1, "lora") else sides[p, s].tolist() for s in ("base", "lora", "ref")]) for p in range(6)]
+    rows.append((9, [[0.0, 0.0], [1.0, 0.0]], [[3.0, 4.0]], [[3.0, 4.0]]))
+    df = spark.createDataFrame(rows, "pair_id long, base array<array<float>>, lora array<array<float>>, ref array<array<float>>")
+    out = bertscore_rows(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "MapIn" not in plan
+    got = {(r["pair_id"], r["variant"]): (r["precision"], r["recall"], r["f1"]) for r in out.collect()}
+    assert got[9, "lora"] == pytest.approx((1, 1, 1)) and got[9, "base"] == pytest.approx((0.3, 0.6, 0.4))
+    for p in range(6):
+        for v in ("base", "lora"):
+            c = np.empty((0, 5)) if (p, v) == (1, "lora") else sides[p, v].astype(np.float64)
+            assert got[p, v] == pytest.approx(brute(c, sides[p, "ref"].astype(np.float64)), abs=1e-9)

@@ -105,3 +105,150 @@ def test_word_counts_and_strip_match_python(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "i long, text string").orderBy("i")
     rows = df.select(count_tokens("text").alias("n"), py_strip(F.col("text")).alias("s")).collect()
     assert [(r["n"], r["s"]) for r in rows] == [(len(t.split()), t.strip()) for t in texts]
+
+
+# ------------------------------------------------------------ packed calls ---
+@given(st.lists(st.integers(0, 300), max_size=80), st.integers(1, 500))
+@settings(max_examples=200, deadline=None)
+def test_packs_hold_the_budget(sizes, budget):
+    out = inf.pack(sizes, budget)
+    assert sorted(i for b in out for i in b) == list(range(len(sizes)))
+    assert all(len(b) == 1 or len(b) * max(sizes[i] for i in b) <= budget for b in out)
+
+
+def padding(sizes, batches):
+    full = sum(len(b) * max(sizes[i] for i in b) for b in batches)
+    return 1 - sum(sizes) / full
+
+
+def test_packing_saves_padding():
+    rng = np.random.default_rng(0)
+    sizes = (rng.pareto(1.2, 4096) * 40 + 5).astype(int).clip(max=4000).tolist()
+    by_arrival = [list(range(i, i + 32)) for i in range(0, 4096, 32)]
+    assert padding(sizes, by_arrival) > 0.9 and padding(sizes, inf.pack(sizes, 1 << 16)) < 0.24  # measured: 0.92, 0.23
+
+
+def test_generation_within_the_budget_over_arrow_batches(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    class Model:
+        def encode(self, texts):
+            return [t.split() for t in texts]
+
+        def generate(self, ids, n):
+            with open(log, "a") as f:
+                f.write(f"{len(ids)} {max(map(len, ids)) + n} {sum(map(len, ids))}\n")
+            return [x + [x[0] + "!"] * n for x in ids]
+
+        def decode(self, ids):
+            return [" ".join(x) for x in ids]
+    rows = [(i, " ".join([f"w{i}"] * (1 + i * 7 % 90))) for i in range(700)]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        df = spark.createDataFrame(rows, "sample_id long, prompt string").coalesce(1)
+        got = [(r["sample_id"], r["answer"]) for r in inf.generate(df, Model, max_new_tokens=2, token_budget=600).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == [(i, f"w{i}! w{i}!") for i, _ in rows]  # in the rows' order
+    calls = [tuple(map(int, line.split())) for line in open(log)]
+    assert sum(n for n, _, _ in calls) == 700 and all(n * longest <= 600 for n, longest, _ in calls)
+    assert len(calls) < 700 * 48 / 600 * 1.3  # batches go over the limits of Arrow batches
+
+
+def test_each_text_is_encoded_once_within_the_budget(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def factory():
+        def enc(texts):
+            with open(log, "a") as f:
+                f.write("".join(f"{t}|" for t in texts) + "\n")
+            return [np.full((len(t.split()), 3), len(t), np.float32) for t in texts]
+        return enc
+    rows = [(i, f"t{i} " + "x " * (i % 13)) for i in range(300)] + [(300, None), (301, "")]
+    df = spark.createDataFrame(rows, "pair_id long, text string").repartition(3)
+    out = inf.encode_tokens(df, factory, keep=("pair_id",), token_budget=40, size=lambda t: len(t.split())).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r["pair_id"], []).append(r["tok_id"])
+    assert {i: sorted(v) for i, v in got.items()} == {i: list(range(len(t.split()))) for i, t in rows if t}
+    calls = [line.strip("\n").split("|")[:-1] for line in open(log)]
+    assert sorted(t for c in calls for t in c) == sorted(t for _, t in rows if t is not None)
+    assert all(len(c) * max(len(t.split()) for t in c) <= 40 for c in calls)
+
+
+# ---------------------------------------------------------------- judge calls ---
+MESSAGES = "sample_id long, messages array<struct<role:string,content:string>>"
+
+
+def test_never_more_calls_at_once_than_asked_for(spark, tmp_path):
+    """Also when a lost task ends the job and the next one goes on: at most one
+    round is called again (a local master tries no task twice)."""
+    root = str(tmp_path)
+
+    def client():
+        import os
+        import time as t
+
+        def call(messages, model, temperature, max_tokens):
+            name = messages[0]["content"]
+            with open(f"{root}/log", "a") as f:
+                f.write(f"+{name} {t.time()}\n")
+            t.sleep(0.05)
+            lost = name == "7" and not os.path.exists(f"{root}/lost")
+            with open(f"{root}/log", "a") as f:
+                f.write(f"-{name} {t.time()}\n")
+            if lost:
+                open(f"{root}/lost", "w").close()
+                raise SystemExit("the task is lost")
+            return name
+        return call
+    df = spark.createDataFrame([(i, [("user", str(i))]) for i in range(40)], MESSAGES).repartition(16)
+    out = inf.judge(df, client, model="m", min_interval_s=0.0, concurrency=2)
+    assert out.rdd.getNumPartitions() == 2
+    assert inf.judge(df, client, model="m", concurrency=99).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    for attempt in range(2):
+        try:
+            done = inf.judge_stored(df, f"{root}/out", client, "m", round_rows=10, min_interval_s=0.0, concurrency=2)
+        except Exception as lost:
+            assert attempt == 0 and "the task is lost" in str(lost)
+    assert sorted(int(r["reply"]) for r in done.collect()) == list(range(40))
+    events = sorted((float(x.split()[1]), 1 if x[0] == "+" else -1) for x in open(f"{root}/log"))
+    now = most = 0
+    for _, d in events:
+        now += d
+        most = max(most, now)
+    calls = sum(d > 0 for _, d in events)
+    assert most == 2 and 40 < calls <= 40 + 20
+
+
+def test_rounds_resume_and_repeat_no_success(spark, tmp_path):
+    log = str(tmp_path / "log")
+
+    def client():
+        def call(messages, model, temperature, max_tokens):
+            name = messages[0]["content"]
+            with open(log, "a") as f:
+                f.write(name + "\n")
+            if name == "3" and open(log).read().split().count("3") == 1:
+                raise ValueError("busy")
+            return name
+        return call
+    df = spark.createDataFrame([(i % 20, [("user", str(i % 20))]) for i in range(25)], MESSAGES)
+    path = str(tmp_path / "store")
+    one = inf.judge_stored(df, path, client, "m", round_rows=6, min_interval_s=0.0, concurrency=2)
+    assert one.count() == 20 and one.where("error IS NOT NULL").count() == 1
+    two = inf.judge_stored(df, path, client, "m", round_rows=6, min_interval_s=0.0)
+    assert two.where("error IS NULL").count() == 20 and inf.pending(df, two).count() == 0
+    assert sorted(map(int, open(log).read().split())) == sorted([*range(20), 3])
+
+
+def test_a_repeated_run_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    df = spark.range(10).withColumnRenamed("id", "sample_id")
+    for run, rows in (("007", df), ("b", df.where("sample_id < 4")), ("007", df.where("sample_id > 2"))):
+        out = inf.store_run(rows, path, run)
+    assert out.count() == 7 and inf.read_run(spark, path, df.schema, "b").count() == 4
+    assert inf.read_run(spark, path, df.schema).count() == 11
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan
