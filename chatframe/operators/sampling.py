@@ -8,37 +8,41 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.window import Window
 
-from chatframe.session import work_dir
+from chatframe.session import stored, work_dir
 
 COPY_STEP = 10_000  # copies of a row emitted by one task at a time
 PREFIX_DIGITS = 4  # hash prefixes of a sample: 16**4 rows at most in one window
 
 
 def sample_hash(seed: int, key: Column | str = "sample_id") -> Column:
-    """md5 of ``"<seed>:<key>"``: depends on (seed, key) only, never on
-    partitioning or read order, and is the same in every engine."""
+    """md5 of ``"<seed>:<key>"`` (a null key is empty): depends on (seed, key)
+    only, never on partitioning or read order, and is the same in every engine."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(k.cast("string"), F.lit(""))))
 
 
-def sample_k(df: DataFrame, k: int, seed: int = 42, key: str = "sample_id") -> DataFrame:
-    """Exactly ``min(k, n)`` rows without replacement, reproducible.
+def sample_k(df: DataFrame, k: int, seed: int = 42, key: str = "sample_id", position: str | None = None) -> DataFrame:
+    """Exactly ``min(k, n)`` rows without replacement, reproducible; with
+    ``position`` that column holds each row's place in the sample, from 1.
 
-    One lazy plan for every ``k``: count the rows of each hash prefix (a table
-    of at most ``16**PREFIX_DIGITS`` rows), take whole prefixes while they fit,
-    and rank only the rows of the prefix in which the ``k``-th row lies.
+    The keys alone are read to count the rows of each hash prefix (a table of at
+    most ``16**PREFIX_DIGITS`` rows, stored).  The rows are read once: those of
+    the prefixes up to the one with the ``k``-th row are ranked inside their
+    prefix, behind the rows of the prefixes before.  Runs jobs when called.
     """
-    d = df.withColumn("_h", sample_hash(seed, key)).withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS))
-    upto = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (d.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-           .withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
-           .where(F.col("_before") < k).select("_p", "_n", "_before"))
-    near = d.join(cut, "_p")
-    whole = near.where(F.col("_before") + F.col("_n") <= k)
-    edge = (near.where(F.col("_before") + F.col("_n") > k)
-            .withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_h", key)))
-            .where(F.col("_before") + F.col("_r") <= k))
-    return whole.select(df.columns).unionByName(edge.select(df.columns))
+    prefix = F.substring("h", 1, PREFIX_DIGITS)
+    counts = (df.select(sample_hash(seed, key).alias("h")).groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")))
+    upto = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    places = stored(counts.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where(F.col("before") < k)
+                    .select(F.col("p").alias("of"), "before"), "prefixes")
+    last = places.agg(F.max("of")).first()[0] or ""
+    rows = df.select(F.struct("*").alias("row"), sample_hash(seed, key).alias("h"), F.col(key).alias("key"))
+    inside = Window.partitionBy("p").orderBy("h", "key")
+    ranked = rows.withColumn("p", prefix).where(F.col("p") <= last).withColumn("r", F.row_number().over(inside))
+    taken = (ranked.join(F.broadcast(places), F.col("p") == F.col("of"))  # of the size stated above
+             .withColumn("place", F.col("before") + F.col("r")).where(F.col("place") <= k))
+    out = taken.select("row.*", *([F.col("place").alias(position)] if position else []))
+    return out
 
 
 def select_ids(df: DataFrame, ids: DataFrame, key: str = "sample_id", position: str | None = None) -> DataFrame:

@@ -130,6 +130,34 @@ def sample_k(spark, sf_dir):
     return sp.sample_k(fx.sft(spark, sf_dir), SAMPLE_K, SEED)
 
 
+@register("sample_positions", q.with_views(f"""
+SELECT * FROM (SELECT row_number() OVER (ORDER BY md5(concat('{SEED}:', CAST(sample_id AS VARCHAR))), sample_id) AS position, *
+               FROM sft) s WHERE position <= 100""", "sft"))
+def sample_positions(spark, sf_dir):
+    """C1 with each row's place, so that the order of the sample is kept."""
+    return sp.sample_k(fx.sft(spark, sf_dir), 100, SEED, position="position")
+
+
+@register("question_list", q.with_views("""
+SELECT row_number() OVER (ORDER BY question) AS question_id, question
+FROM (SELECT DISTINCT input AS question FROM sft) s""", "sft"))
+def question_list(spark, sf_dir):
+    """A2 over the questions of the conversations."""
+    from chatframe.sources.readers import questions
+    return questions(spark, fx.sft(spark, sf_dir), column="input")
+
+
+@register("row_counts", q.with_views("""
+SELECT 'conversations' AS source, count(*) AS n FROM conversations UNION ALL SELECT 'documents', count(*) FROM documents
+UNION ALL SELECT 'sft', count(*) FROM sft""", "sft"))
+def row_counts(spark, sf_dir):
+    """A4: the number of rows of three sources."""
+    from chatframe.sources.readers import row_count
+    sources = {"conversations": fx.conversations(spark, sf_dir), "documents": table(spark, sf_dir, "documents"),
+               "sft": fx.sft(spark, sf_dir)}
+    return spark.createDataFrame([(name, row_count(df)) for name, df in sources.items()], "source string, n long")
+
+
 @register("select_ids", q.with_views("""
 SELECT * FROM sft s
 WHERE EXISTS (SELECT 1 FROM labels l WHERE concat(l.doc_id // 100, ':', l.doc_id % 100) = s.sample_id)""", "sft"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatframe.operators.sampling import ensure_sample_id
+from chatframe.operators.sampling import ensure_sample_id, number_rows
 from chatframe.schemas import ANSWER, ANSWERS_CONFIG
 
 DEFAULT_QUESTIONS = ("What can you help me with?", "Explain the difference between a list and a set.")
@@ -32,9 +32,14 @@ def read_sft(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return df.where(F.col("sample_id").isNotNull()).unionByName(made)
 
 
-def questions(spark: SparkSession, items: Sequence[str] | None = None) -> DataFrame:
+def questions(spark: SparkSession, items: Sequence[str] | DataFrame | None = None, column: str = "question") -> DataFrame:
     """A2: the caller's questions, or the built-in list when none (an empty
-    list also falls back); numbered from 1 in the given order."""
+    list or table also falls back); numbered from 1 in the given order.  Of a
+    table the different texts of ``column`` count, numbered in their order."""
+    if isinstance(items, DataFrame):
+        found = items.select(F.col(column).alias("question")).where("question IS NOT NULL").distinct()
+        numbered = number_rows(found, "question", name="question_id").select("question_id", "question")
+        return questions(spark) if numbered.isEmpty() else numbered
     qs = list(items) if items else list(DEFAULT_QUESTIONS)
     return spark.createDataFrame([(i + 1, q) for i, q in enumerate(qs)],
                                  "question_id long, question string")

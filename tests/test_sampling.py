@@ -52,3 +52,24 @@ def test_ensure_sample_id_copies(spark):
                                "instruction string, input string, output string")
     out = sp.ensure_sample_id(df)
     assert out.select("sample_id").distinct().count() == 4 and out.count() == 4
+
+
+def test_sample_positions_ties_and_null_keys(spark):
+    """Rows that share a key or have none take part; places are gapless."""
+    rows = [(str(i % 300) if i % 50 else None, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "sample_id string, h int").repartition(5)
+    for k in (0, 1, 299, 900, 5000):
+        out = sp.sample_k(df, k, position="at").collect()
+        assert sorted(r["at"] for r in out) == list(range(1, min(k, 900) + 1))
+    import hashlib
+    want = sorted(hashlib.md5(f"42:{key or ''}".encode()).hexdigest() for key, _ in rows)
+    got = {r["at"]: hashlib.md5(f"42:{r['sample_id'] or ''}".encode()).hexdigest()
+           for r in sp.sample_k(df, 400, position="at").collect()}
+    assert [got[i] for i in range(1, 401)] == want[:400]
+    assert sp.sample_k(df.limit(0), 5).count() == 0
+
+
+def test_a_sample_reads_its_rows_once(spark, tmp_path):
+    spark.range(1000).selectExpr("cast(id as string) sample_id", "repeat('x', 50) text").write.parquet(str(tmp_path / "t"))
+    plan = sp.sample_k(spark.read.parquet(str(tmp_path / "t")), 20)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count(f"{tmp_path}") == 1 and "SinglePartition" not in plan
