@@ -8,6 +8,7 @@ result, operators compare the bytes or a second independent hash.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -25,6 +26,13 @@ RUN_BASE = np.uint64(_P)
 _HELD: dict = {}
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, where the C library can (glibc)."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def held(name, make: Callable | None = None):
     """The one large object that a Python process keeps between tasks.
 
@@ -36,6 +44,7 @@ def held(name, make: Callable | None = None):
             _HELD.clear()
             gc.collect()
         pa.default_memory_pool().release_unused()
+        _give_back()
         _HELD[name] = make() if make else None
     return _HELD[name]
 

@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from chatframe.llm.components import components
 from chatframe.llm.kernels import BitSet, group_hash, held, mix64
-from chatframe.llm.spark_util import bit_set, stored
+from chatframe.llm.spark_util import bit_set, small_batches, stored
 
 WORDS = 3
 PERCENT = 90
@@ -368,6 +368,7 @@ def other_pairs(keys: DataFrame, classes: DataFrame, parts: DataFrame, percent:
 def linked_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the
     smallest doc_id that links reach)."""
+    small_batches(docs.sparkSession)
     rows = stored(text_sets(docs, words), "sets")
     classes = stored(rows.where("n > 0").groupBy("sid").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("counts").alias("counts")), "classes")

@@ -19,6 +19,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """From now on Arrow batches of this session end at ``size`` bytes (a row
+    above it is alone), so that long texts don't fill a task's memory.  A
+    smaller setting stays."""
+    if spark.conf.get(ARROW_BYTES, "").rstrip("b") not in ("-1", "") and int(spark.conf.get(ARROW_BYTES).rstrip("b")) <= size:
+        return
+    spark.conf.set(ARROW_BYTES, str(size))
+
+
 def bit_set(df: DataFrame, hash_col: str | Column, bits: int) -> BitSet:
     """Fold a 64-bit hash column into a ``BitSet``.
 
