@@ -1,7 +1,8 @@
 """From raw documents to token digests in five stages.
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame`` and works on all that its
-predecessor kept; all but the last return the columns of ``documents``.
+predecessor kept; all but the last return the columns of ``documents``.  Stages
+bound the session's Arrow batches by bytes, as texts may be long.
 
 1. language ID drops documents without a language: no letter, or a text that
    no language's context tree codes better than equal chances.
@@ -26,14 +27,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatframe.llm import bpe_fst, decontam, langid, secret_scan, simhash
-from chatframe.llm.spark_util import stored, table, without_ids
+from chatframe.llm.spark_util import small_batches, stored, table, without_ids
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return langid.accepted(docs, langid.fit(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     rows = simhash.near_duplicates(docs.select("doc_id", "text"), shingle=4, distance=4)
     found = stored(rows.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")),
                    "groups")
@@ -48,12 +51,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     rows = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
     gone = stored(rows.where("n_hit > 0 AND doc_id IS NOT NULL").select("doc_id").distinct(), "contaminated")
     return without_ids(docs, gone, "doc_id")
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     out = secret_scan.redacted(docs)
     if "n_chars" not in docs.columns:
         return out
@@ -61,6 +66,7 @@ def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return bpe_fst.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
