@@ -3,6 +3,8 @@ of fixed size."""
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +28,10 @@ def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
     """From now on Arrow batches of this session end at ``size`` bytes (a row
     above it is alone), so that long texts don't fill a task's memory.  A
     smaller setting stays."""
-    if spark.conf.get(ARROW_BYTES, "").rstrip("b") not in ("-1", "") and int(spark.conf.get(ARROW_BYTES).rstrip("b")) <= size:
-        return
-    spark.conf.set(ARROW_BYTES, str(size))
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", spark.conf.get(ARROW_BYTES).lower()).groups()
+    now = int(number) << 10 * " kmgt".index(unit or " ")
+    if now < 0 or now > size:
+        spark.conf.set(ARROW_BYTES, str(size))
 
 
 def bit_set(df: DataFrame, hash_col: str | Column, bits: int) -> BitSet:
