@@ -18,15 +18,21 @@ its windows cover; its *class* is its ``K`` bytes.
    them can only share ``min_len`` bytes around the anchor if they share
    ``SPLIT`` bytes to the right, or ``min_len - SPLIT`` to the left, so
    classes are split by these longer strings before they are sorted.
-4. Per class: sort by right context (enhanced suffix array), stack-scan the
-   common-prefix values into the interval tree, and at each interval test the
-   left extensions of *all* members.  Members of an interval of depth ``d``
-   whose left extension agrees with another member for ``l`` bytes belong to
-   a repeat of ``l + d`` bytes.
+   Classes with over ``HOT`` contexts are split by ``FINE`` steps instead, which
+   leaves at most that many of the ``min_len`` bytes open.
+4. Per class: sort by right context (enhanced suffix array) and stack-scan the
+   common-prefix values into the interval tree.  The members of an interval of
+   depth ``d`` are scanned the same way by left context; a node of depth ``l``
+   is left-diverse, and if its members' right contexts share no more than ``d``
+   it is right-diverse too.  Then it is a maximal repeat of ``l + d`` bytes, with
+   all its occurrences in the class (``maximal_groups``).  Every member of a group
+   of at least ``min_len`` bytes is covered by it.
 
 Defined cases: null text is empty; texts shorter than ``min_len`` bytes keep
-all bytes; repeated rows count as other places, so both lose all their bytes
-(if long enough); null ``doc_id`` is kept; other columns are ignored.
+all bytes; texts of any length are read whole, in slices that share no window;
+repeated rows count as other places, so both lose all their bytes (if long
+enough); groups that tie in length stand side by side; null ``doc_id`` is kept;
+an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -46,6 +52,8 @@ from chatframe.llm.spark_util import bit_set, stored
 MIN_LEN = 200
 K = 80              # bytes that define a class
 SPLIT = 150         # right bytes of the first split; the second has MIN_LEN - SPLIT left bytes
+HOT = 1024          # contexts of a class that is split in finer steps
+FINE = 12
 SLICE = 1 << 18
 SET_BITS = 25       # 4 MB bit sets
 _POS = np.uint64((1 << 22) - 1)
@@ -84,55 +92,83 @@ def _common(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.
     return np.minimum(first, np.minimum(na, nb))
 
 
-def left_agreement(left: list[bytes], members: list[int]) -> tuple[list[int], bool]:
-    """For each member the longest left extension it shares with another one,
-    and whether the members' left extensions are diverse at the first byte
-    beyond what all share (then the repeat is left-maximal)."""
-    order = sorted(members, key=lambda x: left[x])
-    size = np.array([len(left[x]) for x in order])
-    buf = np.frombuffer(b"".join(left[x] for x in order) or b"\0", np.uint8)
-    mat = _rows(buf, np.concatenate([[0], np.cumsum(size)[:-1]]), size, max(1, int(size.max())), False)
-    near = _common(mat[1:], mat[:-1], size[1:], size[:-1])
-    best = np.maximum(np.concatenate([near, [0]]), np.concatenate([[0], near])).tolist()
-    at = dict(zip(order, best, strict=True))
-    return [at[x] for x in members], int(near.min()) == 0
+class Least:
+    """Least value of any range of an array."""
+
+    def __init__(self, values: np.ndarray):
+        self.rows = [values]
+        while len(self.rows[-1]) > 1 << (len(self.rows) - 1):
+            step = 1 << (len(self.rows) - 1)
+            self.rows.append(np.minimum(self.rows[-1][:-step], self.rows[-1][step:]))
+
+    def of(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Least of ``lo..hi - 1`` (not empty)."""
+        k = np.frexp(hi - lo)[1] - 1
+        out = np.empty(len(lo), self.rows[0].dtype)
+        for j in np.unique(k).tolist():
+            at = k == j
+            out[at] = np.minimum(self.rows[j][lo[at]], self.rows[j][hi[at] - (1 << j)])
+        return out
+
+
+def _sorted_lcp(texts: list[bytes]) -> np.ndarray:
+    """Common prefixes of neighbours in a sorted list."""
+    size, out = np.array([len(t) for t in texts], np.int64), []
+    for i in range(0, len(texts) - 1, 8192):
+        part, n = texts[i:i + 8193], size[i:i + 8193]
+        mat = _rows(np.frombuffer(b"".join(part) or b"\0", np.uint8), np.concatenate([[0], np.cumsum(n)[:-1]]), n,
+                    max(1, int(n.max())), False)
+        out.append(_common(mat[1:], mat[:-1], n[1:], n[:-1]))
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+def maximal_groups(right: list[bytes], left: list[bytes], lcp: np.ndarray, min_len: int,
+                   ) -> Iterator[tuple[int, int, np.ndarray]]:
+    """``(l, d, members)`` of every left- and right-maximal repeat of at least
+    ``min_len`` bytes of one class: the members (numbers into ``right``, which is
+    sorted and has common prefixes ``lcp``) that share ``l`` bytes to the left and
+    ``d`` to the right of their anchor.  ``left`` holds the left contexts reversed."""
+    order = sorted(range(len(left)), key=left.__getitem__)
+    rank = np.empty(len(left), np.int64)
+    rank[order] = np.arange(len(left))
+    order = np.array(order)
+    shared_left = Least(_sorted_lcp([left[x] for x in order]))
+    shared_right = Least(np.asarray(lcp, np.int64))
+    for d, i, j in lcp_intervals(list(lcp)):
+        at = np.sort(rank[i:j + 1])
+        near = shared_left.of(at[:-1], at[1:])
+        least = max(0, min_len - d)
+        long = near >= least
+        if not long.any():
+            continue
+        # runs of members that share enough to the left
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], long, [False]]).astype(np.int8)))
+        for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            for l, a, b in lcp_intervals(near[s:e].tolist()):
+                members = np.sort(order[at[s + a:s + b + 1]])
+                if shared_right.of(members[:1], members[-1:])[0] == d:
+                    yield l, d, members
 
 
 def maximal_repeats(texts: list[bytes], min_len: int) -> list[tuple[int, list[tuple[int, int]]]]:
     """Groups ``(length, [(text, start), ...])`` of the left- and right-maximal
     repeats of one block of texts, with all occurrences.  The block's suffixes
     are sorted in memory; callers bound the block."""
-    where = [(t, s) for t, x in enumerate(texts) for s in range(len(x) - min_len + 1)]
-    where.sort(key=lambda p: texts[p[0]][p[1]:])
-    lcp = []
-    for (t, s), (u, v) in zip(where, where[1:], strict=False):
-        a, b = texts[t][s:], texts[u][v:]
-        n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-        lcp.append(n)
-    out = []
-    for depth, i, j in lcp_intervals(lcp):
-        if depth >= min_len:
-            before = {texts[t][s - 1] if s else None for t, s in where[i:j + 1]}
-            if len(before) > 1 or None in before:
-                out.append((depth, sorted(where[i:j + 1])))
-    return out
-
+    where = sorted(((t, s) for t, x in enumerate(texts) for s in range(len(x))), key=lambda p: texts[p[0]][p[1]:])
+    right, left = [texts[t][s:] for t, s in where], [texts[t][:s][::-1] for t, s in where]
+    # every position of a repeat finds it; only at its start nothing is shared to the left
+    return [(d, sorted(where[m] for m in members))
+            for l, d, members in maximal_groups(right, left, _sorted_lcp(right), min_len) if l == 0]
 
-def class_cover(right: list[bytes], left: list[bytes], lcp: list[int], min_len: int,
-                ) -> tuple[list[int], list[int]]:
-    """Longest left and right reach of every member of one sorted class over
-    the repeats of ``min_len`` bytes that it belongs to (0, 0: none).
 
-    ``left`` holds the left contexts reversed."""
-    reach_l, reach_r = [0] * len(right), [0] * len(right)
-    for depth, i, j in lcp_intervals(lcp):
-        members = list(range(i, j + 1))
-        best, _ = left_agreement(left, members)
-        for x, n in zip(members, best, strict=True):
-            if n + depth >= min_len:
-                reach_l[x] = max(reach_l[x], n)
-                reach_r[x] = max(reach_r[x], depth)
-    return reach_l, reach_r
+def class_cover(right: list[bytes], left: list[bytes], lcp: np.ndarray, min_len: int) -> tuple[list[int], list[int]]:
+    """Left and right reach of every member of one sorted class over its maximal
+    repeats of at least ``min_len`` bytes (0, 0: in none)."""
+    reach = np.zeros((2, len(right)), np.int64)
+    for l, d, members in maximal_groups(right, left, lcp, min_len):
+        reach[0, members] = np.maximum(reach[0, members], l)
+        reach[1, members] = np.maximum(reach[1, members], d)
+    return reach[0].tolist(), reach[1].tolist()
 
 
 # ------------------------------------------------------------------ anchors ---
@@ -269,10 +305,21 @@ def _tid_set(df: DataFrame) -> BitSet:
     return bit_set(df, F.conv(F.hex(F.substring("tid", 1, 8)), 16, -10).cast("long"), SET_BITS)
 
 
+def split_keys(l: bytes, r: bytes, min_len: int, hot: bool) -> list[bytes]:
+    """Strings of which two contexts share one if they share ``min_len`` bytes
+    around their anchor (``K`` of them to its right)."""
+    if hot:
+        # of n shared bytes to the left, the multiple of FINE below n and what is then shared to the right
+        return [bytes([n]) + l[len(l) - n:] + r[:m] for n in range(0, min_len - K + FINE, FINE)
+                if len(l) >= n and len(r) >= (m := max(K, min_len - n - FINE + 1))]
+    return ([b"r" + r[:SPLIT]] if len(r) >= SPLIT else []) + (
+        [b"l" + l[-(min_len - SPLIT):] + r[:K]] if len(l) >= min_len - SPLIT else [])
+
+
 def contexts(wanted: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
     """Left and right bytes of the wanted anchors, once for each split class.
 
-    ``wanted``: z (compressed text), at (array of struct(ah, ch, pos, back, run)).
+    ``wanted``: z (compressed text), at (array of struct(ah, ch, pos, back, run, hot)).
     """
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
@@ -284,9 +331,7 @@ def contexts(wanted: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
                     p = x["pos"]
                     lo = p - x["back"]
                     r, l = t[p:lo + x["run"] + min_len], t[lo:p]
-                    keys = ([b"r" + r[:SPLIT]] if len(r) >= SPLIT else []) + (
-                        [b"l" + l[-(min_len - SPLIT):] + r[:K]] if len(l) >= min_len - SPLIT else [])
-                    for k in keys:
+                    for k in split_keys(l, r, min_len, x["hot"]):
                         rk = int.from_bytes(hashlib.blake2b(k, digest_size=8).digest(), "big", signed=True)
                         out.append((rk, x["ah"], x["ch"], l[::-1], r))
                 if len(out) > 20_000:
@@ -311,15 +356,7 @@ def _classes(rows: list[tuple], min_len: int) -> pa.RecordBatch:
     for r in rows:  # a context that was fetched from repeated rows is one
         if not seen or seen[-1][0] != r[0] or seen[-1][1] != r[1] or seen[-1][2] != r[2]:
             seen.append(r)
-    size = np.array([len(r[1]) for r in seen])
-    lcp: list[int] = []
-    if len(seen) > 1:
-        for i in range(0, len(seen) - 1, 8192):
-            part = seen[i:i + 8193]
-            s = size[i:i + 8193]
-            mat = _rows(np.frombuffer(b"".join(r[1] for r in part), np.uint8),
-                        np.concatenate([[0], np.cumsum(s)[:-1]]), s, int(s.max()), False)
-            lcp += _common(mat[1:], mat[:-1], s[1:], s[:-1]).tolist()
+    lcp = _sorted_lcp([r[1] for r in seen])
     ah, ch, reach_l, reach_r, i = [], [], [], [], 0
     while i < len(seen):
         j = i + 1
@@ -372,8 +409,8 @@ def repeated_spans(table: DataFrame, docs: DataFrame, min_len: int = MIN_LEN) ->
     ctx = stored(again.groupBy("ah", "ch").agg(
         F.count("*").alias("n"), F.min(F.struct("rid", "pos", "back", "run")).alias("at")), "contexts")
     mixed = (ctx.groupBy("ah").agg(F.count("*").alias("m"), F.min("n").alias("least"))
-             .where("m > 1 AND least = 1").select("ah"))
-    wanted = (ctx.join(mixed, "ah").select("at.rid", F.struct("ah", "ch", "at.pos", "at.back", "at.run").alias("x"))
+             .where("m > 1 AND least = 1").select("ah", (F.col("m") > HOT).alias("hot")))
+    wanted = (ctx.join(mixed, "ah").select("at.rid", F.struct("ah", "ch", "at.pos", "at.back", "at.run", "hot").alias("x"))
               .groupBy("rid").agg(F.collect_list("x").alias("at"))
               .join(table.select("rid", "doc_id", "tid"), "rid").drop("rid"))
     wanted = stored(wanted, "wanted")

@@ -271,6 +271,61 @@ def test_long_texts_in_pieces(docs, monkeypatch):
     assert windows == {(i, s) for i, (_, t) in enumerate(rows) for s in range(len(t.encode()) - 199)}
 
 
+def test_hot_classes_in_finer_steps(docs, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 1)
+    rows = repeat_rows()
+    got = repeats.without_repeats(docs(rows)).collect()
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], len(r["spans"] or []), r["kept_sha256"])
+                  for r in got) == brute_kept(rows, 200)
+
+
+def test_one_very_long_text_of_repeats(docs):
+    rng = random.Random(8)
+    line = "".join(rng.choices("abcdefgh ", k=230))
+    rows = [(1, "".join("".join(rng.choices("abcdefgh ", k=700)) + line for _ in range(300))), (2, line[:150]), (3, "x" * 100_000)]
+    got = repeats.without_repeats(docs(rows)).collect()
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], len(r["spans"] or []), r["kept_sha256"])
+                  for r in got) == brute_kept(rows, 200)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_split_keys_meet(hot):
+    """Contexts that share 200 bytes with the anchor's K among them share a key."""
+    rng = random.Random(3)
+    for _ in range(400):
+        l, r = rng.randrange(0, 160), rng.randrange(repeats.K, 260)
+        both = bytes(rng.choices(b"abc", k=l)), bytes(rng.choices(b"abc", k=r))
+        one, two = ((c + bytes(rng.choices(b"abc", k=20)) + both[0], both[1] + d + bytes(rng.choices(b"abc", k=20)))
+                    for c, d in ((b"xx", b"x"), (b"yy", b"y")))
+        met = set(repeats.split_keys(*one, 200, hot)) & set(repeats.split_keys(*two, 200, hot))
+        assert met or l + r < 200
+
+
+def test_maximal_groups_of_a_class_match_brute_force():
+    """All left- and right-maximal repeats around the anchor, with all members."""
+    rng = random.Random(5)
+    for _ in range(150):
+        ctx = {("".join(rng.choices("ab", k=rng.randrange(9))).encode(), "".join(rng.choices("ab", k=rng.randrange(9))).encode())
+               for _ in range(rng.randint(2, 14))}  # (reversed left, right)
+        ctx = sorted(ctx, key=lambda x: (x[1], x[0]))
+        want = set()
+        for a, (la, ra) in enumerate(ctx):
+            for l in range(len(la) + 1):
+                for d in range(len(ra) + 1):
+                    group = [i for i, (x, y) in enumerate(ctx) if x[:l] == la[:l] and y[:d] == ra[:d]]
+                    left = {ctx[i][0][l:l + 1] or i for i in group}    # the end differs from everything
+                    right = {ctx[i][1][d:d + 1] or i for i in group}
+                    if len(group) > 1 and len(left) > 1 and len(right) > 1 and l + d >= 4:
+                        want.add((l, d, tuple(group)))
+        right, left = [x[1] for x in ctx], [x[0] for x in ctx]
+        got = [(l, d, tuple(m.tolist())) for l, d, m in repeats.maximal_groups(right, left, repeats._sorted_lcp(right), 4)]
+        assert len(got) == len(set(got)) and set(got) == want
+        reach = repeats.class_cover(right, left, repeats._sorted_lcp(right), 4)
+        for i in range(len(ctx)):
+            mine = [(l, d) for l, d, m in want if i in m]
+            assert (reach[0][i], reach[1][i]) == (max((l for l, _ in mine), default=0), max((d for _, d in mine), default=0))
+
+
 def test_maximal_repeats_match_brute_force():
     rng = random.Random(6)
     for _ in range(40):
