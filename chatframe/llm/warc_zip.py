@@ -2,9 +2,11 @@
 
 *Writing.*  Every page is one gzip member: a ``response`` record, or, for
 payloads of at least ``least`` bytes that equal another page's, a ``revisit``
-of the page with the largest id.  Copies are found by digest from light rows;
-only a ``BitSet`` of fixed size tells which payloads take part in the join, so
-other payloads are never shuffled, and revisits are written without theirs.
+of the page with the largest id.  Equal means equal SHA-1 and length.  Digests
+are stored once, and light rows without payloads decide: revisits are written
+from them.  Payloads are read twice more: those that a ``BitSet`` of fixed size
+rules out of any group, which go straight to their archive, and those it can't,
+of which only the groups' responses and false hits meet the exact join.
 A task packs its records into archives of about ``ARCHIVE_BYTES``: a ZIP file
 whose stored members are the WARC file and its CDXJ index, always with ZIP64
 directories.  Each archive is one row of Spark's text writer (its line end is
@@ -18,8 +20,10 @@ by ranges; elsewhere Spark hands over the (bounded) archive.
 
 Defined cases: null html is the empty payload; payloads below ``least`` bytes
 are all responses; rows that repeat the largest id are all responses; a null
-id is a response that nothing refers to; line ends in urls are escaped, a null
-url is left out; an empty table writes no archive; other columns are ignored.
+id is a response that nothing refers to; payloads of any length are one record,
+and may make an archive longer; line ends in urls are escaped, a null url is
+left out; an empty table writes no archive; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -42,7 +46,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatframe.llm.kernels import BitSet
-from chatframe.llm.spark_util import bit_set
+from chatframe.llm.spark_util import bit_set, stored
 from chatframe.session import work_dir
 
 LEAST = 1000
@@ -230,39 +234,38 @@ def decided(pages: DataFrame, least: int = LEAST) -> DataFrame:
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", body.alias("body")).select(
         "page_id", "url", "body", F.sha1("body").alias("sha"), F.octet_length("body").cast("long").alias("n"))
-    light = rows.select("page_id", "url", "sha", "n")
-    copies = (light.where(F.col("n") >= least).groupBy("sha", "n")
-              .agg(F.count("*").alias("copies"), F.max("page_id").alias("last")).where("copies > 1"))
+    light = stored(rows.select("page_id", "url", "sha", "n"), "digests")
+    copies = stored(light.where(F.col("n") >= least).groupBy("sha", "n")
+                    .agg(F.count("*").alias("copies"), F.max("page_id").alias("last")).where("copies > 1"), "copies")
     key = F.conv(F.substring("sha", 1, 16), 16, -10).cast("long")
-    taken = bit_set(copies.select(key.alias("k")), "k", SET_BITS)
-    chosen = bit_set(copies.select(F.xxhash64("sha", "last").alias("k")), "k", SET_BITS)
+    taken = bit_set(copies, key, SET_BITS)
 
-    def among(df: DataFrame, keep: BitSet, of: Column, wanted: bool) -> DataFrame:
-        cols = df.columns
+    def among(df: DataFrame, tests: list[tuple[BitSet, Column]], wanted: bool = True) -> DataFrame:
+        """Rows that are in all of the sets (not ``wanted``: the others)."""
+        cols, sets = df.columns, [keep for keep, _ in tests]
 
         def run(batches):
             for b in batches:
-                ok = keep.has(b.column("_k").to_numpy(zero_copy_only=False).view(np.uint64))
+                ok = np.ones(b.num_rows, bool)
+                for i, keep in enumerate(sets):
+                    ok &= keep.has(b.column(f"k{i}").to_numpy(zero_copy_only=False).view(np.uint64))
                 yield b.filter(pa.array(ok == wanted)).select(cols)
 
-        return df.withColumn("_k", of).mapInArrow(run, df.schema)
+        return df.withColumns({f"k{i}": of for i, (_, of) in enumerate(tests)}).mapInArrow(run, df.schema)
 
-    maybe = (F.col("n") >= least)
-    alone = rows.where(~maybe).unionByName(among(rows.where(maybe), taken, key, False))
-    met = among(light.where(maybe), taken, key, True).join(copies, ["sha", "n"], "left")
-    revisit = met.where("copies > 1 AND page_id < last")
+    large = F.col("n") >= least
+    met = stored(among(light.where(large), [(taken, key)]).join(copies, ["sha", "n"], "left"), "met")
     # responses of groups, and rows that only look like copies, need their payload
+    asked = met.where("copies IS NULL OR page_id IS NULL OR page_id = last")
     mine = F.xxhash64("sha", "page_id")
-    full = among(rows.where(maybe), taken, key, True)
-    lone = full.join(copies.select("sha", "n"), ["sha", "n"], "left_anti")
-    first = among(full, chosen, mine, True).join(
-        copies.select("sha", "n", F.col("last").alias("page_id")), ["sha", "n", "page_id"], "left_semi")
-    unnamed = full.where(F.col("page_id").isNull()).join(copies.select("sha", "n"), ["sha", "n"], "left_semi")
+    chosen = bit_set(asked, mine, SET_BITS)
+    alone = rows.where(~large).unionByName(among(rows.where(large), [(taken, key)], False))
+    full = among(rows.where(large), [(taken, key), (chosen, mine)])
+    first = full.join(copies, ["sha", "n"], "left").where("copies IS NULL OR page_id IS NULL OR page_id = last")
     cols = ["page_id", "url", "sha", "n", "body"]
-    whole = alone.select(cols)
-    for more in (lone, first, unnamed):
-        whole = whole.unionByName(more.select(cols))
+    whole = alone.select(cols).unionByName(first.select(cols))
     nothing = F.lit(None).cast("string")
+    revisit = met.where("copies > 1 AND page_id < last")
     return whole.select(F.col("page_id").cast("string").alias("id"), "url", "sha", "n", nothing.alias("refers"),
                         "body").unionByName(revisit.select(
                             F.col("page_id").cast("string").alias("id"), "url", "sha", "n",
