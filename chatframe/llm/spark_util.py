@@ -4,8 +4,10 @@ of fixed size."""
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,29 @@ def bit_set(df: DataFrame, hash_col: str | Column, bits: int) -> BitSet:
     return out
 
 
+def past_each_group(batches: Iterator[pa.RecordBatch], make: Callable, ask: Callable, size: int) -> Iterator[pa.RecordBatch]:
+    """Stream the rows of a partition sorted by shard, blk and kind: the rows of
+    kinds 0 and 1 of a group are made into an object once (``make`` gets them as
+    a table), the others come to ``ask(object, rows)``, at most ``size`` at a time."""
+    here, parts, held = None, [], None
+    for b in batches:
+        shard, blk, kind = (b.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "blk", "kind"))
+        new = (shard[1:] != shard[:-1]) | (blk[1:] != blk[:-1]) | ((kind[1:] < 2) != (kind[:-1] < 2))
+        cut = [0, *(np.flatnonzero(new) + 1).tolist(), b.num_rows]
+        for s, e in zip(cut[:-1], cut[1:], strict=True):
+            if s == e:
+                continue
+            if (shard[s], blk[s]) != here:
+                here, parts, held = (shard[s], blk[s]), [], None
+            if kind[s] < 2:
+                parts.append(b.slice(s, e - s))
+            elif parts or held is not None:
+                if held is None:
+                    held, parts = make(pa.Table.from_batches(parts)), []
+                for at in range(s, e, size):
+                    yield from ask(held, b.slice(at, min(size, e - at)))
+
+
 def without_ids(df: DataFrame, gone: DataFrame, key: str, bits: int = 23) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in ``gone`` (null keys stay), with
     the columns of ``df`` whatever their names.

@@ -9,9 +9,13 @@ distances and the triangle inequality holds.
 2. A vantage-point tree over at most ``SAMPLE`` rows (by hash) routes *all*
    rows to its leaves; leaves are dealt by hash to shards of about
    ``SHARD_ROWS`` rows.
-3. Every shard is one group with its own vantage-point tree.  A query searches
-   its home leaf first; its ``k``-th distance there bounds the other leaves it
-   visits, by the triangle inequality along each leaf's path.
+3. Every shard's vantage-point tree is built once and stored as rows: nodes,
+   then vectors in tree order.  A search sorts them in front of the shard's
+   queries and streams these past the tree in batches, so a task holds one tree
+   and one batch, and only queries are shuffled per visit (the trees once per
+   ``QUERY_BLOCK`` queries).  A query searches its home leaf first; its ``k``-th
+   distance there bounds the other leaves it visits, by the triangle inequality
+   along each leaf's path.
 4. Pruning, of leaves and inside trees, is relaxed by ``factor``: a branch goes
    if its lower bound times ``factor`` exceeds the ``k``-th distance.  Factor 1
    is exact search, larger factors look at less.
@@ -22,8 +26,9 @@ summed in order in double precision, and decide ranks (ties: smaller id).
 
 Defined cases: null or empty vectors, zero vectors and vectors with null or
 non-finite components take no part, nor do null ids; shorter vectors are
-compared as if filled up with zeros; repeated rows of one id and vector count
-once, and no query returns its own id; other columns are ignored.
+compared as if filled up with zeros; vectors of any length are one row; repeated
+rows of one id and vector count once, and no query returns its own id; an empty
+table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,18 +37,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from chatframe.llm.spark_util import stored
+from chatframe.llm.kernels import held
+from chatframe.llm.spark_util import past_each_group, stored
 
 K = 20
 FACTOR = 1.0
 SAMPLE = 4096
 SHARD_ROWS = 8192
 LEAF = 256
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 1 << 16   # queries that share one shipment of the trees
+QUERY_BATCH = 2048
 SALTS = 64
 EPS = 1e-9
 TIE = 1e-7       # rounding of distances: rows this close to the k-th compete by exact score
@@ -148,6 +156,33 @@ class Ties:
         return self.kept
 
 
+def flattened(tree: Node) -> tuple[np.ndarray, list[tuple]]:
+    """Order of the rows and (up, near side, lo, hi, point, radius) of the nodes,
+    parents first; a leaf's rows are ``lo:hi`` of that order."""
+    order, nodes = [np.empty(0, np.int64)], []
+    n, stack = 0, [(tree, -1, True)]
+    while stack:
+        node, up, near = stack.pop()
+        me = len(nodes)
+        if node.rows is None:
+            nodes.append((up, near, 0, 0, node.point, node.radius))
+            stack += [(node.near, me, True), (node.far, me, False)]
+        else:
+            nodes.append((up, near, n, n + len(node.rows), None, 0.0))
+            order.append(node.rows)
+            n += len(node.rows)
+    return np.concatenate(order), nodes
+
+
+def rebuilt(nodes: list[tuple]) -> Node:
+    """The tree whose rows are in the order that ``flattened`` gave."""
+    made = [Node(np.arange(lo, hi)) if point is None else Node(None, point, radius) for _, _, lo, hi, point, radius in nodes]
+    for node, (up, near, *_) in zip(made, nodes, strict=True):
+        if up >= 0:
+            setattr(made[up], "near" if near else "far", node)
+    return made[0]
+
+
 def search(tree: Node, x: np.ndarray, q: np.ndarray, active: np.ndarray, found: Found, factor: float) -> None:
     """Search ``q[active]``, nearer sides first, with relaxed pruning."""
     if not len(active):
@@ -237,31 +272,65 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.add.accumulate(q * x, axis=1)[:, -1]
 
 
-def _searched(shards: DataFrame, queries: DataFrame, dim: int, top: float, scale: float, k: int,
-              factor: float) -> DataFrame:
-    """Per shard and query block the ``k`` best index rows of every query.
-    ``queries``: shard, blk, q, e, lim (distance known to suffice, or null)."""
-    asked_at = queries.select(F.col("shard").alias("s"), F.col("blk").alias("b")).distinct()
-    blocks = shards.join(asked_at, F.col("shard") == F.col("s")).select("s", "b", "e", "ids")
-
-    def run(key, index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(index) or not len(asked):
-            return pd.DataFrame({"q": [], "score": [], "ids": [], "dist": []})
-        raw, q = _matrix(index["e"], dim), _matrix(asked["e"], dim)
-        x, y = _lift(raw, top) / scale, _flat(q)
+TREE = "shard long, kind int, at long, up long, near boolean, lo long, hi long, r double, e array<double>, ids array<long>"
+
+
+def stored_trees(shards: DataFrame, dim: int, top: float) -> DataFrame:
+    """The vantage-point tree of every shard (e, ids, shard) as rows."""
+    def grow(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
+        x = _lift(_matrix(df["e"], dim), top) / top
+        order, nodes = flattened(build(x, np.arange(len(x)), LEAF))
+        up, near, lo, hi, point, r = zip(*nodes, strict=True)
+        head = pd.DataFrame({"shard": key[0], "kind": 0, "at": np.arange(len(nodes)), "up": up, "near": near, "lo": lo, "hi": hi,
+                             "r": r, "e": list(point), "ids": None})
+        body = pd.DataFrame({"shard": key[0], "kind": 1, "at": np.arange(len(x)), "up": 0, "near": False, "lo": 0, "hi": 0, "r": 0.0,
+                             "e": df["e"].to_numpy()[order], "ids": df["ids"].to_numpy()[order]})
+        return pd.concat([head, body], ignore_index=True)
+
+    return stored(shards.groupBy("shard").applyInPandas(grow, TREE), "trees")
+
+
+def _searched(trees: DataFrame, visits: DataFrame, dim: int, top: float, k: int, factor: float, blocks: int) -> DataFrame:
+    """Per visit (shard, q, e, lim: a distance known to suffice, or null) the
+    ``k`` best index rows of that shard: q, score, ids, dist."""
+    blank = {c: F.lit(None).cast(t) for c, t in (x.strip().split(" ") for x in TREE.split(","))}
+    block = F.pmod(F.xxhash64("q"), F.lit(blocks)).cast("long")
+    asked = visits.select("shard", F.lit(2).alias("kind"), F.col("q").alias("at"), *[blank[c].alias(c) for c in ("up", "near", "lo", "hi")],
+                          F.col("lim").alias("r"), "e", blank["ids"].alias("ids"), block.alias("blk"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    both = trees.select("*", every.alias("blk")).unionByName(asked)
+
+    def grown(t: pa.Table):
+        kind = t.column("kind").to_numpy()
+        node, row = t.filter(pa.array(kind == 0)), t.filter(pa.array(kind == 1))
+        cols = [node.column(c).to_pylist() for c in ("up", "near", "lo", "hi", "e", "r")]
+        nodes = [(u, n, lo, hi, None if p is None else np.array(p), r) for u, n, lo, hi, p, r in zip(*cols, strict=True)]
+        raw, ids = _matrix(row.column("e").to_pylist(), dim), row.column("ids").to_pylist()
+        return rebuilt(nodes), raw, _lift(raw, top) / top, ids, np.array([i[0] for i in ids])
+
+    def ask(held_tree, part: pa.RecordBatch):
+        tree, raw, x, ids, first = held_tree
+        q = _matrix(part.column("e").to_pylist(), dim)
+        y, every_q = _flat(q), np.arange(len(q))
         found = Found(len(y), k)
-        found.dist[:, -1] = asked["lim"].fillna(np.inf).to_numpy() + EPS
-        tree, every = build(x, np.arange(len(x)), LEAF), np.arange(len(y))
-        search(tree, x, y, every, found, factor)
-        ties = Ties(found.limit(every), k, raw, q, index["ids"].map(lambda v: v[0]).to_numpy())
+        lim = part.column("r").to_numpy(zero_copy_only=False)
+        found.dist[:, -1] = np.where(np.isnan(lim), np.inf, lim) + EPS
+        search(tree, x, y, every_q, found, factor)
+        ties = Ties(found.limit(every_q), k, raw, q, first)
         i, j = np.nonzero(found.row >= 0)
         ties.pairs(i, found.row[i, j], found.dist[i, j])
-        search(tree, x, y, every, ties, factor)
+        search(tree, x, y, every_q, ties, factor)
         i, r, score, dist = ties.best()
-        return pd.DataFrame({"q": asked["q"].to_numpy()[i], "score": score, "ids": index["ids"].to_numpy()[r], "dist": dist})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part.column("at").to_numpy()[i]), pa.array(score), pa.array([ids[n] for n in r.tolist()], pa.list_(pa.int64())),
+             pa.array(dist)], ["q", "score", "ids", "dist"])
+
+    def run(batches):
+        held("vptree")
+        yield from past_each_group(batches, grown, ask, QUERY_BATCH)
 
-    return (blocks.groupBy("s", "b").cogroup(queries.groupBy("shard", "blk"))
-            .applyInPandas(run, "q long, score double, ids array<long>, dist double"))
+    return (both.repartition("shard", "blk").sortWithinPartitions("shard", "blk", "kind", "at")
+            .mapInArrow(run, "q long, score double, ids array<long>, dist double"))
 
 
 def nearest(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int = K,
@@ -299,30 +368,33 @@ def nearest(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k:
     asked = rows.where(is_query).select("id", "e")
     named = stored(asked.join(index.select("e", F.col("key").alias("q")), "e").select("id", "q", "e"), "queries")
     queries = named.groupBy("q").agg(F.first("e").alias("e"), F.lit(None).cast("double").alias("lim"))
-    blk = F.pmod(F.xxhash64("q"), F.lit(max(1, -(-n // (20 * QUERY_BLOCK))))).alias("blk")
+    queries = stored(queries, "asked")
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    trees = stored_trees(shards, dim, top)
 
     def visits(home: bool):
         def run(batches):
             for b in batches:
-                y = _flat(_matrix(b["e"], dim))
+                y = _flat(_matrix(b.column("e").to_pylist(), dim))
+                lim = b.column("lim").to_numpy(zero_copy_only=False)
                 low = lower_bounds(paths, y)
-                mine = low.argmin(axis=1)
-                for i, (q, e, lim) in enumerate(zip(b["q"], b["e"], b["lim"], strict=True)):
-                    bound = np.inf if pd.isna(lim) else lim
-                    go = [mine[i]] if home else [j for j in np.flatnonzero(low[i] * factor <= bound + TIE) if j != mine[i]]
-                    at = [s for j in go for s in range(base[j], base[j] + subs[j])]
-                    if at:
-                        yield pd.DataFrame({"shard": at, "q": q, "e": [e] * len(at), "lim": lim})
+                mine = np.zeros(low.shape, bool)
+                mine[np.arange(len(y)), low.argmin(axis=1)] = True
+                near = low * factor <= np.where(np.isnan(lim), np.inf, lim)[:, None] + TIE
+                i, at = np.nonzero(mine if home else near & ~mine)
+                n = subs[at]
+                shard = np.repeat(base[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                rows = b.take(pa.array(np.repeat(i, n)))
+                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64)), *rows.columns], ["shard", *rows.schema.names])
         return run
 
     kind = "shard long, q long, e array<double>, lim double"
     want_k = k + 1
-    one = stored(_searched(shards, queries.mapInPandas(visits(True), kind).select("*", blk), dim, top, top, want_k,
-                           factor), "round1")
+    one = stored(_searched(trees, queries.mapInArrow(visits(True), kind), dim, top, want_k, factor, blocks), "round1")
     limit = (one.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("dist")))
              .where(F.col("r") == want_k).select("q", F.col("dist").alias("lim")))
     again = queries.drop("lim").join(limit, "q", "left").select("q", "e", "lim")
-    two = _searched(shards, again.mapInPandas(visits(False), kind).select("*", blk), dim, top, top, want_k, factor)
+    two = _searched(trees, again.mapInArrow(visits(False), kind), dim, top, want_k, factor, blocks)
     hits = one.unionByName(two).select("q", "score", F.explode("ids").alias("id"))
     best = (hits.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id")))
             .where(F.col("r") <= want_k))
