@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatframe.operators.sampling import ensure_sample_id, number_rows
 from chatframe.schemas import ANSWER, ANSWERS_CONFIG
+from chatframe.sources.documents import AnswersDocument, local_path
 
 DEFAULT_QUESTIONS = ("What can you help me with?", "Explain the difference between a list and a set.")
 SFT_COLS = ("instruction", "input", "output")
@@ -45,21 +47,33 @@ def questions(spark: SparkSession, items: Sequence[str] | DataFrame | None = Non
                                  "question_id long, question string")
 
 
+def _files(spark: SparkSession, path: str) -> list[str] | None:
+    """The files under ``path`` (names only), or None if there is nothing."""
+    try:
+        return spark.read.format("binaryFile").load(path).inputFiles()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
     """A3: answers in table form (``<path>/answers`` JSON lines, one per
     sample), as a document in ordered parts (``writers``), or as one nested
-    JSON file (``config`` + ``answers[]``).  Keys are strings."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    at = hadoop(path)
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(at):
-        raise FileNotFoundError(f"answers not found: {path} (run the generate step first)")
-    if fs.exists(hadoop(f"{path}/answers")):
+    JSON file (``config`` + ``answers[]``), which several tasks read by byte
+    ranges where they can open it.  Keys are strings."""
+    if _files(spark, f"{path}/answers") is not None:
         return spark.read.schema(ANSWER).json(f"{path}/answers")
-    if fs.getFileStatus(at).isDirectory():
+    files = _files(spark, path)
+    if files is None:
+        raise FileNotFoundError(f"answers not found: {path} (run the generate step first)")
+    if len(files) != 1 or files[0].rstrip("/").rsplit("/", 1)[-1] != path.rstrip("/").rsplit("/", 1)[-1]:
         lines = spark.read.text(path).where(F.col("value").rlike(r'^,?\{"sample_id"'))
         row = F.from_json(F.regexp_replace("value", "^,", ""), ANSWER)
         return lines.select(row.alias("a")).select("a.*")
+    if local_path(files[0]) is not None:
+        spark.dataSource.register(AnswersDocument)
+        return spark.read.format("answers_document").load(files[0])
     doc_schema = f"config {ANSWERS_CONFIG.simpleString()}, answers array<{ANSWER.simpleString()}>"
     doc = spark.read.schema(doc_schema).option("multiLine", True).json(path)
     return doc.select(F.explode("answers").alias("a")).select("a.*")

@@ -98,3 +98,36 @@ def test_from_source_to_scores_without_ids(spark, tmp_path):
     assert sorted(r["question_no"] for r in side_by_side(back).collect()) == list(range(1, 9))
     d = result_details(back, text_scores(spark, "", back)).collect()
     assert len(d) == 8 and all(r["lora_f1"] == pytest.approx(1) for r in d)
+
+
+# ------------------------------------------------------------ nested documents ---
+TRICKY = ['{"', 'a {"', '"sample_id":', '{"sample_id": "x"}', "\\", '\\"', "ünï 日本 😀", "]}", "a\nb\t", "", '{ "question" : ', "x" * 70_000]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("config_first", [True, False])
+def test_nested_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch, indent, config_first):
+    from chatframe.sources import documents as d
+    rows = [{"sample_id": str(i), "instruction": TRICKY[i % len(TRICKY)], "question": TRICKY[i * 5 % len(TRICKY)],
+             "reference": None if i % 7 == 0 else "r", "base_answer": f"b{i}", "lora_answer": "l"} for i in range(240)]
+    config = {"num_samples": 240, "adapter_path": 'x {"answers": [', "seed": 42}
+    doc = {"config": config, "answers": rows} if config_first else {"answers": rows, "config": config}
+    path = tmp_path / "answers.json"
+    path.write_text(json.dumps(doc, ensure_ascii=False, indent=indent), encoding="utf-8")
+    got = read_answers(spark, str(path))
+    assert sorted((r.asDict() for r in got.collect()), key=lambda r: int(r["sample_id"])) == rows
+    for split in (7, 1000, 50_000):  # every element begins in exactly one range
+        reader = d.ElementReader(str(path), d.ANSWER, split)
+        parts = reader.partitions()
+        parts = parts if split > 7 else parts[:3000]
+        found = [x[0] for p in parts for x in reader.read(p)]
+        assert found == [r["sample_id"] for r in rows][:len(found)] and (split == 7 or len(found) == 240)
+    df = spark.read.format("answers_document").option("split", 200_000).load(str(path))
+    assert df.rdd.getNumPartitions() > 4 and df.count() == 240
+
+
+def test_a_broken_document_fails(spark, tmp_path):
+    path = tmp_path / "answers.json"
+    path.write_text('{"answers": [{"sample_id": "1", "question": "q"')
+    with pytest.raises(Exception, match="JSONDecodeError"):
+        read_answers(spark, str(path)).collect()
