@@ -8,19 +8,24 @@ times the byte's chance in the next shorter context, down to equal chances.
 The language with the shortest code of the whole text wins.
 
 Statistics are frozen after training, so a byte's code length depends on its
-``ORDER`` predecessors only and is read from one table
-``(context, byte) -> bits by language``.
+``ORDER`` predecessors only.  All (context, byte) pairs that any language has seen
+are in one hash table with their bits by language, and all contexts in another
+with the bits of their escapes: a byte's bits are those of the longest context
+that has it plus the escapes from the longer ones.
 
 *Bounds.*  Trees are fitted on labelled texts, drawn by hash, of at most
 ``TRAIN_BYTES`` bytes for all languages together (equal shares).  Texts are
 whole, but of one that alone exceeds its language's share one ``RUN``-th
-of the share is learned; every label has texts.  The table takes at most ``TABLE_BYTES``: the rarest order-``ORDER`` contexts are left
-to their suffixes.  Both are independent of the corpus.
+of the share is learned; every label has texts.  Nothing learned is left out:
+the tables have at most ``ORDER + 1`` pairs for each byte of the sample (of prose
+about one in ten).
 
 Defined cases: null texts and texts without a letter get ``und`` and score 0;
 ties go to the smaller name; without any training text all get ``und``;
 repeated rows and null ``doc_id`` keep their rows (a null ``doc_id`` is never
-held out nor learned from by queries); other columns are ignored.
+held out nor learned from by queries); texts of any length are coded whole, in
+pieces with their history; an empty table gives no rows; other columns are
+ignored, whatever their names (``accepted`` keeps them).
 """
 
 from __future__ import annotations
@@ -33,23 +38,62 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from chatframe.llm.kernels import held, row_slices, text_buffer
+from chatframe.llm.kernels import held, mix64, row_slices, text_buffer
 
 ORDER = 3
-SYMBOLS = 128             # start mark, frequent bytes, and one class for the others
+START = 256               # stands before a text
+BASE = 257
+EQUAL = 8.0               # bits of a byte at equal chances
 TRAIN_BYTES = 8 << 20
-TABLE_BYTES = 48 << 20
 RUN = 4                   # a text longer than the share gives this part of the share
 DRAWN = 8                 # expected draws of a language at least, however long its texts
 UND = "und"
 
 
+class Numbers:
+    """Distinct keys (not negative) numbered as given, found by hash."""
+
+    def __init__(self, keys: np.ndarray):
+        self.mask = (1 << max(4, (2 * len(keys)).bit_length())) - 1
+        self.key = np.full(self.mask + 1, -1, np.int64)
+        self.number = np.full(self.mask + 1, -1, np.int32)
+        left, at = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = np.flatnonzero(self.key[at] < 0)
+            slot, first = np.unique(at[free], return_index=True)
+            placed = free[first]
+            self.key[slot], self.number[slot] = keys[left[placed]], left[placed]
+            rest = np.ones(len(left), bool)
+            rest[placed] = False
+            left, at = left[rest], (at[rest] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (mix64(keys.astype(np.uint64)) & np.uint64(self.mask)).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the keys, -1 for those that are not there."""
+        at = self._slot(keys)
+        found = self.key[at]
+        out = np.where(found == keys, self.number[at], -1)
+        left = np.flatnonzero((found != keys) & (found >= 0))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & self.mask
+            found = self.key[at]
+            hit = found == keys[left]
+            out[left[hit]] = self.number[at[hit]]
+            on = ~hit & (found >= 0)
+            left, at = left[on], at[on]
+        return out
+
+
 @dataclass
 class Model:
     langs: list[str]
-    symbol: np.ndarray    # byte -> symbol
-    node: np.ndarray      # three symbols -> context
-    bits: np.ndarray      # context * SYMBOLS + symbol -> bits by language
+    pairs: Numbers        # ((context * BASE) + byte) * 4 + order
+    bits: np.ndarray      # by pair and language
+    contexts: Numbers     # context * 4 + order
+    escape: np.ndarray    # bits by context and language, 0 where it was not seen
 
 
 def training_sample(docs: DataFrame, lang: str = "lang", total: int = TRAIN_BYTES) -> list[tuple[str, bytes]]:
@@ -82,106 +126,89 @@ def training_sample(docs: DataFrame, lang: str = "lang", total: int = TRAIN_BYTE
     return sorted(out)
 
 
-def _symbols(texts: list[tuple[str, bytes]]) -> np.ndarray:
-    n = sum(np.bincount(np.frombuffer(t, np.uint8), minlength=256) for _, t in texts)
-    frequent = [b for b in np.argsort(-n, kind="stable")[:SYMBOLS - 2] if n[b]]
-    out = np.full(256, SYMBOLS - 1, np.uint8)
-    for i, b in enumerate(sorted(frequent)):
-        out[b] = i + 1
-    return out
-
-
-def _with_history(sym: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The three symbols before each position; the start mark 0 fills in."""
-    hist = []
+def _contexts(sym: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The ``ORDER`` bytes before each position as one number, the nearest one
+    lowest; the start mark fills in."""
+    out = np.zeros(len(sym), np.int64)
     for k in range(1, ORDER + 1):
-        h = np.zeros(len(sym), np.int64)
+        h = np.full(len(sym), START, np.int64)
         h[k:] = sym[:-k]
         for j in range(k):  # positions whose k-th predecessor is in the text before
             at = starts + j
-            h[at[at < len(sym)]] = 0
-        hist.append(h)
-    return tuple(hist)
+            h[at[at < len(sym)]] = START
+        out += h * BASE ** (k - 1)
+    return out
 
 
 def train(texts: list[tuple[str, bytes]]) -> Model:
     langs = sorted({l for l, _ in texts})
-    symbol = _symbols(texts)
-    a = SYMBOLS
-    counts = {}
-    for k in range(ORDER + 1):
-        counts[k] = {}
-    for li, lang in enumerate(langs):
+    counts: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(ORDER + 1)]
+    for lang in langs:
         own = [t for l, t in texts if l == lang]
-        sym = symbol[np.frombuffer(b"".join(own), np.uint8)].astype(np.int64)
+        sym = np.frombuffer(b"".join(own), np.uint8).astype(np.int64)
         starts = np.concatenate([[0], np.cumsum([len(t) for t in own])[:-1]]).astype(np.int64)
-        h1, h2, h3 = _with_history(sym, starts)
-        ctx = np.zeros(len(sym), np.int64)
-        for k, h in enumerate((None, h1, h2, h3)):
-            if h is not None:
-                ctx = ctx + h * a ** (k - 1)
-            key, n = np.unique(ctx * a + sym, return_counts=True)
-            counts[k][li] = (key // a, key % a, n)
-    # contexts: numbered by order; the rarest of the longest go
-    room = max(a + 1, TABLE_BYTES // (4 * a * len(langs)))
-    known = []
-    for k in range(ORDER + 1):
-        c = np.concatenate([counts[k][li][0] for li in range(len(langs))])
-        n = np.concatenate([counts[k][li][2] for li in range(len(langs))])
-        u, inv = np.unique(c, return_inverse=True)
-        total = np.bincount(inv, weights=n)
-        left = room - sum(map(len, known))
-        if len(u) > left:
-            u = np.sort(u[np.argsort(-total, kind="stable")[:max(0, left)]])
-        known.append(u)
-    base = np.cumsum([0, *map(len, known)])
-    bits = np.empty((base[-1], a, len(langs)), np.float32)
-    flat = np.full((1, a, len(langs)), np.log2(a), np.float64)
+        ctx = _contexts(sym, starts)
+        for k in range(ORDER + 1):
+            counts[k].append(np.unique(ctx % BASE ** k * BASE + sym, return_counts=True))
+    pairs, bits, contexts, escape = [], [], [], []
+    lower, lower_bits = np.empty(0, np.int64), np.empty((0, len(langs)))
     for k in range(ORDER + 1):
-        u = known[k]
-        if k:  # what the suffix without the oldest symbol says
-            short = u % a ** (k - 1) if k > 1 else np.zeros(len(u), np.int64)
-            at = np.searchsorted(known[k - 1], short)
-            block = bits[base[k - 1]:base[k]][at].astype(np.float64)
+        pair = np.unique(np.concatenate([c for c, _ in counts[k]]))
+        ctx, at = np.unique(pair // BASE, return_inverse=True)
+        if k:  # what the suffix without the oldest byte says
+            short = pair // BASE % BASE ** (k - 1) * BASE + pair % BASE
+            cost = lower_bits[np.searchsorted(lower, short)]
         else:
-            block = np.repeat(flat, len(u), axis=0)
-        for li in range(len(langs)):
-            c, s, n = counts[k][li]
-            pos = np.searchsorted(u, c)
-            ok = (pos < len(u)) & (u[np.minimum(pos, len(u) - 1)] == c) if len(u) else np.zeros(len(c), bool)
-            pos, s, n = pos[ok], s[ok], n[ok]
-            total = np.bincount(pos, weights=n, minlength=len(u))
-            kinds = np.bincount(pos, minlength=len(u))
-            seen = total > 0
-            block[seen, :, li] += -np.log2(kinds[seen] / (total[seen] + kinds[seen]))[:, None]
-            block[pos, s, li] = -np.log2(n / (total[pos] + kinds[pos]))
-        bits[base[k]:base[k + 1]] = block
-    # every history of three symbols to its longest known context
-    node = np.zeros(a ** ORDER, np.int32)
-    every = np.arange(a ** ORDER)
-    for k in range(1, ORDER + 1):
-        part = every % a ** k
-        at = np.minimum(np.searchsorted(known[k], part), max(0, len(known[k]) - 1))
-        if len(known[k]):
-            hit = known[k][at] == part
-            node[hit] = base[k] + at[hit]
-    return Model(langs, symbol, node, bits.reshape(-1, len(langs)))
+            cost = np.full((len(pair), len(langs)), EQUAL)
+        out = np.zeros((len(ctx), len(langs)))
+        for li, (seen, n) in enumerate(counts[k]):
+            mine = np.searchsorted(pair, seen)
+            total = np.bincount(at[mine], weights=n, minlength=len(ctx))
+            kinds = np.bincount(at[mine], minlength=len(ctx))
+            some = total > 0
+            out[some, li] = -np.log2(kinds[some] / (total[some] + kinds[some]))
+            cost[:, li] += out[at, li]
+            cost[mine, li] = -np.log2(n / (total + kinds)[at[mine]])
+        lower, lower_bits = pair, cost
+        pairs.append(pair * 4 + k)
+        bits.append(cost)
+        contexts.append(ctx * 4 + k)
+        escape.append(out)
+    return Model(langs, Numbers(np.concatenate(pairs)), np.concatenate(bits).astype(np.float32),
+                 Numbers(np.concatenate(contexts)), np.concatenate(escape).astype(np.float32))
+
+
+def byte_bits(model: Model, sym: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    """Bits of every byte behind its context, by language."""
+    out = np.zeros((len(sym), len(model.langs)), np.float32)
+    left = np.arange(len(sym))
+    for k in range(ORDER, -1, -1):
+        short = ctx % BASE ** k
+        found = model.pairs.of((short * BASE + sym) * 4 + k)
+        hit = found >= 0
+        out[left[hit]] += model.bits[found[hit]]
+        left, sym, ctx, short = left[~hit], sym[~hit], ctx[~hit], short[~hit]
+        if not len(left):
+            return out
+        known = model.contexts.of(short * 4 + k)
+        out[left[known >= 0]] += model.escape[known[known >= 0]]
+    out[left] += EQUAL
+    return out
 
 
 def code_lengths(model: Model, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Bits of every text under every language."""
     out = np.zeros((len(off) - 1, len(model.langs)))
-    step = 1 << 18
+    step = 1 << 17
     for lo, hi in row_slices(off, step):
         base, end = int(off[lo]), int(off[hi])
         for s in range(base, end, 4 * step):  # a long text in pieces with their history
             e = min(end, s + 4 * step)
             before = min(ORDER, s - base)
-            sym = model.symbol[buf[s - before:e]]
-            starts = (off[lo:hi] - s + before) if hi - lo > 1 else np.zeros(1, np.int64)
-            h1, h2, h3 = _with_history(sym, starts)
-            row = model.node[h1 + SYMBOLS * (h2 + SYMBOLS * h3)].astype(np.int64) * SYMBOLS + sym
-            cost = model.bits[row[before:]]
+            sym = buf[s - before:e].astype(np.int64)
+            # a piece inside a text has its history before it, not a start
+            starts = (off[lo:hi] - s + before) if hi - lo > 1 else np.zeros(int(s == base), np.int64)
+            cost = byte_bits(model, sym[before:], _contexts(sym, starts)[before:])
             if hi - lo == 1:
                 out[lo] += cost.sum(axis=0, dtype=np.float64)
                 continue
@@ -231,7 +258,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         run, f"doc_id {id_type}, lang_pred string, score double, bits_per_byte double")
 
 
-def accepted(docs: DataFrame, model: Model | None, most_bits: float = float(np.log2(SYMBOLS))) -> DataFrame:
+def accepted(docs: DataFrame, model: Model | None, most_bits: float = EQUAL) -> DataFrame:
     """The rows of ``docs``, with all columns, whose text has a language: not
     ``und``, and coded in less than ``most_bits`` a byte (equal chances)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -345,8 +345,8 @@ def test_maximal_repeats_match_brute_force():
 
 
 # -------------------------------------------------------------- language ID ---
-def slow_bits(model, trees, text):
-    s = [0] * 3 + model.symbol[np.frombuffer(text, np.uint8)].tolist()
+def slow_bits(trees, text):
+    s = [256] * 3 + list(text)
     total = 0.0
     for i in range(3, len(s)):
         for k in (3, 2, 1, 0):
@@ -359,35 +359,45 @@ def slow_bits(model, trees, text):
                 break
             total -= np.log2(d / (n + d))
         else:
-            total += np.log2(langid.SYMBOLS)
+            total += 8
     return total
 
 
 def test_code_lengths_match_a_plain_tree():
+    """Also of bytes that no language has seen, and of a hundred scripts' bytes."""
     rng = random.Random(1)
-    texts = [(l, "".join(rng.choices(a, k=300)).encode()) for l, a in (("x", "abc "), ("y", "abcdé "), ("x", "ab"))]
+    every = bytes(range(256))
+    texts = [("x", "".join(rng.choices("abc ", k=300)).encode()), ("y", "".join(rng.choices("abcdé ", k=300)).encode()),
+             ("x", b"abab"), ("z", bytes(rng.choices(every[:200], k=5000)))]
     m = langid.train(sorted(texts))
-    probe = [b"", b"abc", "é?z".encode(), b"ab" * 50]
+    probe = [b"", b"abc", "é?z".encode(), b"ab" * 50, every * 3, bytes(rng.choices(every, k=400))]
     off = np.concatenate([[0], np.cumsum([len(p) for p in probe])]).astype(np.int64)
     got = langid.code_lengths(m, np.frombuffer(b"".join(probe), np.uint8), off)
     for li, lang in enumerate(m.langs):
         trees = defaultdict(Counter)
         for l, t in texts:
             if l == lang:
-                s = [0] * 3 + m.symbol[np.frombuffer(t, np.uint8)].tolist()
+                s = [256] * 3 + list(t)
                 for i in range(3, len(s)):
                     for k in range(4):
                         trees[tuple(s[i - k:i])][s[i]] += 1
-        assert np.allclose(got[:, li], [slow_bits(m, trees, p) for p in probe], rtol=1e-5)
+        assert np.allclose(got[:, li], [slow_bits(trees, p) for p in probe], rtol=1e-5)
+
+
+def test_numbers_find_all_keys_and_no_others():
+    rng = np.random.default_rng(3)
+    keys = rng.permutation(10 ** 6)[:20_000].astype(np.int64)
+    n = langid.Numbers(keys)
+    assert (n.of(keys) == np.arange(len(keys))).all()
+    other = np.setdiff1d(np.arange(10 ** 6), keys)
+    assert (n.of(other) == -1).all() and (langid.Numbers(keys[:0]).of(keys) == -1).all()
 
 
 def test_long_texts_code_alike():
     m = langid.train([("a", b"abcabcabd" * 50), ("b", b"bcabdd" * 50)])
     buf = np.frombuffer("".join(random.Random(3).choices("abcd", k=2_500_000)).encode(), np.uint8)
-    sym = m.symbol[buf].astype(np.int64)
-    h = langid._with_history(sym, np.zeros(1, np.int64))
-    node = m.node[h[0] + langid.SYMBOLS * (h[1] + langid.SYMBOLS * h[2])].astype(np.int64)
-    whole = m.bits[node * langid.SYMBOLS + sym].sum(axis=0, dtype=np.float64)
+    sym = buf.astype(np.int64)
+    whole = langid.byte_bits(m, sym, langid._contexts(sym, np.zeros(1, np.int64))).sum(axis=0, dtype=np.float64)
     assert np.allclose(langid.code_lengths(m, buf, np.array([0, len(buf)]))[0], whole, rtol=1e-9)
 
 
