@@ -10,7 +10,7 @@ from chatframe.operators import context as ctx
 from chatframe.operators.scans import ordered_scan
 
 SCHEMA = "conv_id long, turn long, role string, text string"
-LAYOUTS = [(None, 4096), (7, 5), (23, 64), (40, 1)]
+LAYOUTS = [(None, 4096), (7, 5), (40, 1)]
 
 
 def turns_with_nulls(seed, hot=250):
