@@ -13,6 +13,7 @@ from chatframe.session import work_dir
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+PARTITIONS = "spark.sql.shuffle.partitions"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -25,13 +26,17 @@ def keep_state_in_rocksdb(spark: SparkSession) -> None:
 def run_to_end(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
     """All that has arrived, then stop.  Timers would otherwise ask for one
     batch without data after another and keep the query from ending; they fire
-    in the next run's batches."""
-    old = spark.conf.get(EMPTY_BATCHES)
+    in the next run's batches.  State has at most two partitions a core: each is
+    a store to open and a worker to start in every micro-batch.  (A query that
+    goes on keeps the number it began with.)"""
+    old = {k: spark.conf.get(k) for k in (EMPTY_BATCHES, PARTITIONS)}
     spark.conf.set(EMPTY_BATCHES, "false")
+    spark.conf.set(PARTITIONS, str(min(int(old[PARTITIONS]), 2 * spark.sparkContext.defaultParallelism)))
     try:
         q = writer.trigger(availableNow=True).start()
     finally:
-        spark.conf.set(EMPTY_BATCHES, old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
     q.awaitTermination()
     return q
 
