@@ -16,8 +16,10 @@ Decoding joins token bytes in chunks and pushes them through an incremental
 UTF-8 state machine: what it carries from chunk to chunk is the unfinished
 sequence of at most three bytes.
 
-Defined cases: null text is empty and has no tokens; repeated rows and null
-``doc_id`` keep their rows; other columns are ignored.
+Defined cases: null and empty texts have no tokens; texts of any length are
+encoded whole and decoded ``CHUNK`` tokens at a time; merges of equal rank apply
+from the left; repeated rows and null ``doc_id`` keep their rows; an empty table
+gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -21,7 +21,9 @@ false candidates, never lose one, and step 3 is exact.
 
 Defined cases: null or empty text has no words; null ``doc_id`` and repeated
 rows each keep their row; items without words have no windows; repeated items
-all count; an empty table gives an empty result; other columns are ignored.
+all count, and equal windows of several items are hits of each; texts of any
+length are searched whole; an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,8 +12,10 @@
 Spans count code points, end exclusive, and cover the whole match.
 
 Defined cases: null text is empty; overlapping spans of different kinds all
-stay; ties are ordered as in ``KINDS``; repeated rows and null ``doc_id`` keep
-their rows; other columns are ignored (``redacted`` keeps them).
+stay; ties are ordered as in ``KINDS``; texts of any length are scanned whole, one
+at a time; repeated rows and null ``doc_id`` keep their rows; an empty table gives
+no rows; other columns are ignored, whatever their names (``redacted`` keeps
+them).
 """
 
 from __future__ import annotations

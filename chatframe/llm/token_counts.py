@@ -12,8 +12,10 @@ of a batch that were not met yet are encoded once.  A model without these
 properties, and ``.json`` tokenizers, get whole texts.
 
 Defined cases: null text is empty; an empty text has no tokens; special
-strings are handled as the library's default does; repeated rows and null
-``doc_id`` keep their rows; other columns are ignored.
+strings are handled as the library's default does; very long texts are split at
+safe boundaries, and encoded whole where they have none (no interior space, or a
+``.json`` tokenizer); repeated rows and null ``doc_id`` keep their rows; an empty
+table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
