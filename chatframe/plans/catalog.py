@@ -754,17 +754,13 @@ def answers_parts(spark, sf_dir):
 
 @register("answers_nested", ORACLE["answers_document"])
 def answers_nested(spark, sf_dir):
-    """A3 over one nested JSON file, read by several tasks."""
+    """A3 over one nested JSON file, written and read by several tasks."""
     from chatframe.session import work_dir
     from chatframe.sources.readers import read_answers
-    from chatframe.sources.writers import write_answers
-    path, one = work_dir(spark, "answers-parts"), work_dir(spark, "answers-file")
+    from chatframe.sources.writers import join_parts, write_answers
+    path = work_dir(spark, "answers-parts")
     write_answers(fx.answers(spark, sf_dir), {"seed": SEED}, path, document=True)
-    kind = F.when(F.startswith("value", F.lit('{"config"')), 0).when(F.col("value") == "]}", 2).otherwise(1)
-    lines = spark.read.text(path).select("value", kind.alias("kind"), F.startswith("value", F.lit(",")).alias("later"))
-    # the stand-in's one file: its first line, the elements, its end
-    lines.coalesce(1).sortWithinPartitions("kind", "later").select("value").write.text(one)
-    return read_answers(spark, spark.read.text(one).inputFiles()[0])
+    return read_answers(spark, join_parts(spark, path))
 
 
 @register("read_sft_keys", q.with_views("SELECT * FROM sft", "sft"))

@@ -5,20 +5,22 @@ plus a one-row ``config``.  Document form (the nested file the evaluation
 scripts produce): a folder of parts which, joined in name order, are that JSON
 document.  Many tasks write the rows, each a line; the first and the last line
 hold what stands before and after them, so no value gathers the rows and any
-number of them can be written.
+number of them can be written.  ``join_parts`` makes one file of the parts.
 """
 
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatframe.operators.judging import scoreboard_wide
 from chatframe.operators.reports import cut_fields
 from chatframe.operators.sampling import number_rows
+from chatframe.sources.documents import SPLIT_BYTES, local_path
 
 ANSWER_COLS = ["sample_id", "instruction", "question", "reference", "base_answer", "lora_answer"]
 
@@ -42,6 +44,57 @@ def _document(rows: DataFrame, order: str, cols: Sequence[str], head: Mapping, n
      .select("value").write.mode("overwrite").text(path))
 
 
+def _slices(sizes: Sequence[tuple[str, int]], split: int) -> list[tuple[int, list[tuple[str, int, int]]]]:
+    """Ranges of at most ``split`` bytes of the files' concatenation: where a
+    range begins, and its pieces ``(file, from, bytes)``."""
+    out, to = [], 0
+    for name, size in sizes:
+        at = 0
+        while at < size:
+            if to % split == 0:
+                out.append((to, []))
+            n = min(size - at, split - to % split)
+            out[-1][1].append((name, at, n))
+            at, to = at + n, to + n
+    return out
+
+
+def join_parts(spark: SparkSession, parts: str, split: int = SPLIT_BYTES) -> str:
+    """The document under ``parts`` as one file beside that folder: its path.
+
+    Each task fills one range of at most ``split`` bytes of the file, so a task
+    that is tried again writes the same bytes.  On a file system that tasks can't
+    open, where a file has one writer, one task writes it."""
+    path = f"{parts.rstrip('/')}.json"
+    files = sorted(spark.read.format("binaryFile").load(parts).inputFiles())
+    if local_path(files[0]) is None:
+        kind = F.when(F.col("value") == "]}", 3).when(F.endswith("value", F.lit("[")), 0).otherwise(
+            F.when(F.startswith("value", F.lit(",")), 2).otherwise(1))
+        spark.read.text(parts).coalesce(1).sortWithinPartitions(kind).write.text(path)
+        return spark.read.text(path).inputFiles()[0]
+    names = [local_path(f) for f in files]
+    target = f"{os.path.dirname(names[0])}.json"
+    slices = _slices([(n, os.path.getsize(n)) for n in names], split)
+    with open(target, "wb") as out:
+        out.truncate(sum(n for _, pieces in slices for *_, n in pieces))
+
+    def fill(piece: tuple[int, list[tuple[str, int, int]]]) -> None:
+        with open(target, "r+b") as out:
+            out.seek(piece[0])
+            for name, at, n in piece[1]:
+                with open(name, "rb") as part:
+                    part.seek(at)
+                    while n:
+                        block = part.read(min(n, 1 << 20))
+                        if not block:
+                            raise EOFError(f"{name} has become shorter")
+                        out.write(block)
+                        n -= len(block)
+
+    spark.sparkContext.parallelize(slices, max(1, len(slices))).foreach(fill)
+    return path
+
+
 def write_answers(df: DataFrame, config: Mapping, path: str, document: bool = False) -> None:
     """B1: answers (one row per sample), overwriting ``path``."""
     if document:

@@ -131,3 +131,55 @@ def test_a_broken_document_fails(spark, tmp_path):
     path.write_text('{"answers": [{"sample_id": "1", "question": "q"')
     with pytest.raises(Exception, match="JSONDecodeError"):
         read_answers(spark, str(path)).collect()
+
+
+def test_parts_are_joined_by_several_tasks(spark, monkeypatch):
+    rows = spark.range(500).select(F.format_string("%04d", "id").alias("sample_id"), *[
+        F.concat(F.lit("字\n[]}{,"), F.col("id").cast("string")).alias(c) for c in w.ANSWER_COLS[1:]])
+    path = work_dir(spark, "parts")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several parts of few rows
+    try:
+        w.write_answers(rows, {"seed": 42}, path, document=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted(spark.read.format("binaryFile").load(path).collect(), key=lambda r: r["path"])
+    whole = b"".join(bytes(r["content"]) for r in files)
+    assert len(files) > 1 and len(whole) > 50_000
+    spark.sparkContext.setJobGroup("join", "join")
+    try:
+        one = w.join_parts(spark, path, split=7_000)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("join") for s in status.getJobInfo(j).stageIds]
+    assert max(tasks) == -(-len(whole) // 7_000)  # none of them gets more than 7,000 bytes
+    assert bytes(spark.read.format("binaryFile").load(one).first()["content"]) == whole
+    doc = json.loads(whole)
+    assert doc["config"] == {"seed": 42} and [r["sample_id"] for r in doc["answers"]] == [f"{i:04d}" for i in range(500)]
+    assert {tuple(r) for r in read_answers(spark, one).collect()} == {tuple(r) for r in rows.collect()}
+
+    again = work_dir(spark, "parts")
+    w.write_answers(rows, {"seed": 42}, again, document=True)
+    monkeypatch.setattr(w, "local_path", lambda _: None)  # as on a file system that only Spark can open
+    doc = read_doc(spark, w.join_parts(spark, again))
+    assert doc["config"] == {"seed": 42} and sorted(r["sample_id"] for r in doc["answers"]) == [f"{i:04d}" for i in range(500)]
+
+
+def test_slices_hold_every_byte_once():
+    for split in (1, 3, 10, 100):
+        found = w._slices([("a", 7), ("b", 0), ("c", 25), ("d", 3)], split)
+        assert [to for to, _ in found] == list(range(0, 35, split)) and all(sum(n for *_, n in p) <= split for _, p in found)
+        assert [(f, at + i) for _, p in found for f, at, n in p for i in range(n)] == [
+            (f, i) for f, size in (("a", 7), ("c", 25), ("d", 3)) for i in range(size)]
+
+
+def test_the_nested_file_has_no_single_writer(spark, tmp_path, monkeypatch):
+    """No step of the query brings all rows into one partition."""
+    from chatframe.plans.catalog import answers_nested
+    turns = [(c, t, ("user", "assistant")[t % 2], f"text {c} {t}") for c in range(40) for t in range(4)]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+
+    def refused(*_):
+        raise AssertionError("all rows in one task")
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", refused)
+    assert answers_nested(spark, str(tmp_path)).count() == 80
