@@ -3,7 +3,6 @@ of fixed size."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatframe.llm.kernels import BitSet
-from chatframe.session import work_dir
+from chatframe.session import small_batches, work_dir  # noqa: F401 - operators import small_batches from here
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -23,19 +22,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
-    """From now on Arrow batches of this session end at ``size`` bytes (a row
-    above it is alone), so that long texts don't fill a task's memory.  A
-    smaller setting stays."""
-    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", spark.conf.get(ARROW_BYTES).lower()).groups()
-    now = int(number) << 10 * " kmgt".index(unit or " ")
-    if now < 0 or now > size:
-        spark.conf.set(ARROW_BYTES, str(size))
-
-
 def bit_set(df: DataFrame, hash_col: str | Column, bits: int) -> BitSet:
     """Fold a 64-bit hash column into a ``BitSet``.
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatframe.operators.scans import Groups
-from chatframe.session import stored
+from chatframe.session import small_batches, stored
 
 DEFAULT_BLOCK = 512
 
@@ -157,7 +157,12 @@ def bertscore(tokens: DataFrame, candidates: Sequence[str] = ("base", "lora"), r
     empty side scores 0.  ``tile`` (token ids a side of a tile, a multiple of
     ``block``) turns the tile grid on, which stores the blocks.  ``tokens`` is
     read once for each role: store it if an encoder made it.
+
+    The kernels get Arrow batches of at most 8 MB: a row holds two blocks, and
+    a batch of 10,000 of them would fill a task's memory.
     """
+    small_batches(tokens.sparkSession)
+
     def blocks(rows: DataFrame, role: str) -> DataFrame:
         # both lists are filled row by row by one aggregate: their orders agree
         return (rows.select("pair_id", "side", "tok_id", F.col("vec").cast("array<float>").alias("vec"),

@@ -152,3 +152,38 @@ def test_row_local_form_is_native(spark):
         for v in ("base", "lora"):
             c = np.empty((0, 5)) if (p, v) == (1, "lora") else sides[p, v].astype(np.float64)
             assert got[p, v] == pytest.approx(brute(c, sides[p, "ref"].astype(np.float64)), abs=1e-9)
+
+
+@pytest.mark.parametrize("tile", [None, 1024])
+def test_kernels_get_small_batches(spark, tmp_path, monkeypatch, tile):
+    """16 MB of block pairs in one task come in batches of about 8 MB at most."""
+    from pyspark.sql import functions as F
+
+    from chatframe.operators import bertscore as bs
+    from chatframe.session import ARROW_BYTES
+    toks = spark.range(40 * 2 * 512).select(
+        F.floor(F.col("id") / 1024).alias("pair_id"), F.when(F.col("id") % 2 == 0, "base").otherwise("ref").alias("side"),
+        (F.col("id") % 1024 / 2).cast("long").alias("tok_id"), F.array_repeat(F.lit(1.0).cast("float"), 96).alias("vec"))
+    of, name = (bs._block_maxima, "_block_maxima") if tile is None else (bs._tile_maxima, "_tile_maxima")
+    seen = str(tmp_path / "seen")
+
+    def watched(batches):
+        def each():
+            for b in batches:
+                n = b.nbytes if hasattr(b, "nbytes") else sum(v.nbytes for c in ("c_vec", "r_vec", "c_tok", "r_tok") for v in b[c])
+                with open(seen, "a") as f:
+                    f.write(f"{n}\n")
+                yield b
+        return of(each())
+    monkeypatch.setattr(bs, name, watched)
+    before = {k: spark.conf.get(k) for k in (ARROW_BYTES, "spark.sql.shuffle.partitions")}
+    spark.conf.unset(ARROW_BYTES)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        rows = bs.bertscore(toks, tile=tile).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 80 and all(r["f1"] == pytest.approx(float(r["variant"] == "base")) for r in rows)
+    sizes = [int(x) for x in open(seen)]
+    assert sum(sizes) > 15 << 20 and max(sizes) < 10 << 20
