@@ -252,3 +252,23 @@ def test_a_repeated_run_replaces_itself(spark, tmp_path):
     assert inf.read_run(spark, path, df.schema).count() == 11
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_id" in plan
+
+
+def test_long_texts_are_encoded_in_small_windows(spark):
+    """Texts are held up to 4,096 rows or 8 MB, and Arrow batches end there too."""
+    import pyarrow as pa
+
+    from chatframe.operators import inference as inf
+    from chatframe.session import ARROW_BYTES
+    batches = [pa.RecordBatch.from_pydict({"text": ["x" * 100_000] * 10, "no": range(i * 10, i * 10 + 10)}) for i in range(30)]
+    tables = list(inf._tables(iter(batches)))
+    assert [n for t in tables for n in t["no"].to_pylist()] == list(range(300))
+    assert max(t.nbytes for t in tables) < 10 << 20 and len(tables) > 2
+    assert [t.num_rows for t in inf._tables(iter(batches), rows=25)] == [30] * 10
+    before = spark.conf.get(ARROW_BYTES)
+    spark.conf.unset(ARROW_BYTES)
+    try:
+        inf.encode_tokens(spark.createDataFrame([(1, "ref", "a b")], "pair_id long, side string, text string"), lambda: None)
+        assert int(spark.conf.get(ARROW_BYTES)) == 8 << 20
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
