@@ -91,7 +91,8 @@ def number_rows(df: DataFrame, order: str, name: str = "rn", start: int = 1) ->
 
     Rows are range-partitioned and sorted, written once with their place in
     the partition, and shifted by the rows of the partitions before (one
-    number for each partition).  Runs one job when it is called.
+    number for each partition, broadcast: a shuffle by the partition's number
+    would bring whole partitions together).  Runs one job when it is called.
     """
     spark = df.sparkSession
     path = work_dir(spark, "numbered")
@@ -105,4 +106,4 @@ def number_rows(df: DataFrame, order: str, name: str = "rn", start: int = 1) ->
         before += n
     offsets = spark.createDataFrame(shift, "_part int, _off long")
     place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return d.join(offsets, "_part").withColumn(name, place + F.col("_off")).select(*df.columns, name)
+    return d.join(F.broadcast(offsets), "_part").withColumn(name, place + F.col("_off")).select(*df.columns, name)

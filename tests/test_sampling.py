@@ -73,3 +73,15 @@ def test_a_sample_reads_its_rows_once(spark, tmp_path):
     spark.range(1000).selectExpr("cast(id as string) sample_id", "repeat('x', 50) text").write.parquet(str(tmp_path / "t"))
     plan = sp.sample_k(spark.read.parquet(str(tmp_path / "t")), 20)._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[0].count(f"{tmp_path}") == 1 and "SinglePartition" not in plan
+
+
+def test_numbered_rows_are_not_shuffled_by_their_partition(spark):
+    from pyspark.sql import functions as F
+    out = sp.number_rows(spark.range(1000).select((F.col("id") * 7 % 1000).alias("k")), "k", name="no")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the rows were too many to broadcast
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert [tuple(r) for r in out.orderBy("k").collect()] == [(i, i + 1) for i in range(1000)]
